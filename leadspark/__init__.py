@@ -11,4 +11,12 @@ Every public operator is a lazy ``DataFrame -> DataFrame`` function (or a
 * ``catalog``    the named queries over the benchmark tables
 """
 
+import sys
+
+from pyspark import cloudpickle
+
+# Python functions of this package travel to the executors by value, so a job
+# needs no copy of the package on the workers.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __version__ = "0.1.0"

@@ -22,7 +22,7 @@ NO_NAME = "NO_ENCONTRADO"
 
 def _distinct_hits(text, pattern: str) -> Column:
     hits = F.regexp_extract_all(F.coalesce(_col(text), F.lit("")), F.lit(pattern), F.lit(0))
-    return F.array_sort(F.array_distinct(hits))
+    return F.sort_array(F.array_distinct(hits))
 
 
 def emails_in(text) -> Column:
@@ -89,4 +89,4 @@ def union_emails(regex_emails, contacts, general) -> Column:
         F.filter(from_contacts, lambda e: truthy(e)),
         F.filter(F.coalesce(_col(general), empty), lambda e: e.isNotNull()),
     )
-    return F.array_sort(F.array_distinct(addresses))
+    return F.sort_array(F.array_distinct(addresses))

@@ -70,7 +70,7 @@ def dedup_key(nombre="nombre", partido="partido") -> Column:
 
 def sort_tokens(normalized) -> Column:
     """Words of a normalised name in code-point order."""
-    return F.array_join(F.array_sort(F.split(_col(normalized), " ")), " ")
+    return F.array_join(F.sort_array(F.split(_col(normalized), " ")), " ")
 
 
 def same_district(a, b) -> Column:
