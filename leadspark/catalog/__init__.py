@@ -1 +1,6 @@
+"""Named queries over the benchmark tables; importing this package registers them all."""
 
+from . import functions, relational, scans  # noqa: F401
+from .registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

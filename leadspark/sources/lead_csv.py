@@ -106,24 +106,23 @@ def consolidate(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [fit(p) for p in parts])
 
 
-def latest_file(files: DataFrame, name: str | None = None) -> DataFrame:
-    """Rows of the most recently modified file of a file listing or scan.
+def latest_export(files: DataFrame, name: str = "consolidated.csv") -> DataFrame:
+    """Folder of the newest export among the part files of a listing (``path, modificationTime``)."""
+    folder = F.regexp_extract("path", r"^(.*/" + name.replace(".", r"\.") + r")/part-[^/]*$", 1)
+    parts = files.select(folder.alias("path"), "modificationTime").filter("path <> ''")
+    return parts.agg(F.max_by("path", F.struct("modificationTime", "path")).alias("path")).filter("path is not null")
 
-    ``files`` has ``path`` and ``modificationTime`` (the ``binaryFile`` listing)
-    """
-    if name:
-        files = files.filter(F.col("path").endswith("/" + name))
-    newest = files.agg(F.max_by("path", F.struct("modificationTime", "path")).alias("path"))
-    return newest.filter("path is not null")
 
+def read_latest_export(spark: SparkSession, root: str, name: str = "consolidated.csv") -> DataFrame:
+    """The newest export folder of that name anywhere below ``root`` as lead rows; none -> empty.
 
-def read_latest_consolidated(spark: SparkSession, root: str, name: str = "consolidated.csv") -> DataFrame:
-    """The newest file of that name anywhere below ``root`` as lead rows; none -> empty."""
+    Only the file listing is read to choose it, not the files.
+    """
     if not path_exists(spark, root):
         return spark.createDataFrame([], CSV_SCHEMA)
     listing = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", name)
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*.csv")
         .load(root).select("path", "modificationTime")
     )
-    found = latest_file(listing).first()
+    found = latest_export(listing, name).first()
     return read_leads_csv(spark, found["path"]) if found else spark.createDataFrame([], CSV_SCHEMA)
