@@ -211,8 +211,8 @@ def x25(t):
     return t.documents.select("doc_id", F.md5(pii.redact_text("text")).alias("texto"))
 
 
-@query("x26_redact_nested", with_cust(f"""SELECT ord, coalesce(substr(sha256(split_part(email, '@', 1)), 1, 8) || '@example.com', '') AS email,
-  CASE WHEN length({DIGITS}) >= 8 THEN '****-' || right({DIGITS}, 4) ELSE telefono END AS telefono, nombre FROM v"""))
+@query("x26_redact_nested", with_cust(f"""SELECT ord, coalesce(CASE WHEN regexp_full_match(h, '\\d{{8}}') THEN '****-' || right(h, 4) ELSE h END || '@example.com', '') AS email,
+  CASE WHEN length({DIGITS}) >= 8 THEN '****-' || right({DIGITS}, 4) ELSE telefono END AS telefono, 'Customer-****-' || right(nombre, 4) AS nombre FROM (SELECT *, substr(sha256(split_part(email, '@', 1)), 1, 8) AS h FROM v)"""))
 def x26(t):
     rows = v_cust(t).select("ord", F.struct(
         F.array(F.struct(F.coalesce("email", F.lit("")).alias("mail"))).alias("mails"), F.create_map(F.lit("tel"), "telefono").alias("datos"),
@@ -229,14 +229,14 @@ REPLY_JSON = """'{"nombre": "Org ' || CAST(doc_id AS STRING) || '", "email": "'
   || ', "sitio_web": ' || CASE WHEN source = 'src5' THEN '"no url"' WHEN source = 'src6' THEN 'null' ELSE '"https://O' || CAST(doc_id AS STRING) || '.Example.org"' END
   || ', "fuente_contacto": "pie", "cantidad_habitaciones": ' || CASE WHEN source = 'src7' THEN '"' || CAST(n_chars AS STRING) || '"' ELSE CAST(n_chars AS STRING) END
   || ', "metadata": {"categoria_estrellas": ' || CAST(n_chars % 7 AS STRING) || ', "tipo": "resort", "cadena": null}}'"""
-REPLY = f"""CASE lang WHEN 'en' THEN '```json\n' || {REPLY_JSON} || '\n```' WHEN 'fr' THEN '<think>pienso {{"nombre": 1}}</think>\n' || {REPLY_JSON}
+REPLY = f"""CASE lang WHEN 'en' THEN '```json' || chr(10) || {REPLY_JSON} || chr(10) || '```'
+  WHEN 'fr' THEN '<think>pienso {{"nombre": 1}}</think>' || chr(10) || {REPLY_JSON}
   WHEN 'es' THEN 'Respuesta: ' || {REPLY_JSON} || ' fin.' ELSE 'sin datos' END"""
-REPLY = REPLY.replace("\\n", "\n")
 
 
 def v_reply(t):
     """Model replies over the documents, parsed."""
-    return t.documents.select("doc_id", "source", "lang", "n_chars", F.expr(REPLY.replace("\n", "\\n")).alias("reply")).withColumn("v", replies.parse_reply("reply"))
+    return t.documents.select("doc_id", "source", "lang", "n_chars", F.expr(REPLY).alias("reply")).withColumn("v", replies.parse_reply("reply"))
 
 
 @query("x27_parse_reply", "SELECT doc_id, CASE WHEN lang <> 'de' THEN 'Org ' || doc_id::STRING END AS nombre, CASE WHEN lang <> 'de' THEN (n_chars % 7)::BIGINT END AS estrellas FROM documents")
