@@ -9,18 +9,23 @@ done on *distinct* sorted-token strings ("nodes"):
   one (prefix filter). Where that bound gives nothing (very short strings, low
   T) the same is done with single characters.
 * A node meets only nodes whose length can still reach T (length bands in the
-  block key), and a 256-bit gram signature bounds the shared grams before the
-  LCS is computed (bitmap filter). Both filters drop no true pair.
+  block key). 256-bit signatures of letter counts and of grams bound the edits
+  and the shared grams (bitmap filters), and the built-in Levenshtein distance, never above the insert/delete
+  distance, ends most comparisons inside the JVM. No filter drops a true pair.
+* A pair is let through only at its first shared gram, so candidates need no
+  ``distinct`` and no shuffle of their own.
 * Block sizes are estimated in a fixed-size hashed histogram. One side of a big
   block is split at random and the other copied to the splits, so a hot gram
   becomes many tasks.
 
-The LCS itself is bit-parallel inside an Arrow batch.
+Grams and the final LCS (bit-parallel) are computed in Arrow batches.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
+from zlib import crc32
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -55,8 +60,8 @@ def _lcs_batch(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([lcs_bits(x, y) for x, y in zip(a, b)], dtype="int32")
 
 
-# Declared nondeterministic so that the optimizer neither moves it below the
-# de-duplication of candidates nor evaluates it twice.
+# Declared nondeterministic so that the optimizer does not evaluate it twice
+# (for the filter and for the score).
 lcs_udf = _lcs_batch.asNondeterministic()
 
 
@@ -96,12 +101,16 @@ def gram_floor_length(threshold: float, horizon: int = 2000) -> int | None:
     return start
 
 
-def routes(threshold: float) -> list[tuple[int, int, int | None]]:
-    """(gram size, shortest, longest) of the passes that together see every pair."""
+def routes(threshold: float) -> list[tuple[int, int, int | None, int | None]]:
+    """Passes that together see every pair once.
+
+    Each is (gram size, shortest node, longest node, bound below which the
+    shorter string of a pair must lie).
+    """
     start = gram_floor_length(threshold)
     if start is None:
-        return [(1, 0, None)]
-    return [(2, start, None), (1, 0, _longest_partner(start - 1, threshold))]
+        return [(1, 0, None, None)]
+    return [(2, start, None, None), (1, 0, _longest_partner(start - 1, threshold), start)]
 
 
 # ---------------------------------------------------------------- grams
@@ -112,28 +121,73 @@ def _fixed_array(values: list[int]) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
-def _grams(s: Column, size: int) -> Column:
-    """Grams with occurrence numbers as ``struct(bucket, h)``: equal bags give equal sets."""
-    count = F.length(s) - (size - 1)
-    whole = F.transform(
-        F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda i: F.substring(s, i, F.lit(size))
-    )
-    raw = F.sort_array(F.when(count >= 1, whole).otherwise(F.array(F.lit(""))))
-    return F.transform(
-        raw,
-        lambda g, i: F.struct(
-            F.pmod(F.xxhash64(g), F.lit(GRAM_BUCKETS)).cast("int").alias("bucket"),
-            F.xxhash64(g, i - F.array_position(raw, g)).alias("h"),
-        ),
-    )
+def gram_codes(s: str, size: int) -> list[int]:
+    """Grams with occurrence numbers as codes: equal bags give equal sets. Empty text has one code."""
+    seen: dict[str, int] = {}
+    codes = []
+    for i in range(len(s) - size + 1) if s else [0]:
+        g = s[i:i + size]
+        n = seen.get(g, 0)
+        seen[g] = n + 1
+        codes.append(crc32(g.encode()) * 31 + n)
+    return codes
+
+
+def _signed_words(bits: int) -> list[int]:
+    words = [(bits >> (64 * w)) & 0xFFFFFFFFFFFFFFFF for w in range(BITMAP_WORDS)]
+    return [w - (1 << 64) if w >> 63 else w for w in words]
+
+
+def gram_signature(codes: list[int]) -> list[int]:
+    """256 hashed bits of a gram set as signed longs."""
+    bits = 0
+    for c in codes:
+        bits |= 1 << ((c * 2654435761 >> 11) & (64 * BITMAP_WORDS - 1))
+    return _signed_words(bits)
+
+
+def letter_signature(s: str) -> list[int]:
+    """Letter counts in unary: 32 letter classes of 8 bits.
+
+    The bits in which two texts differ never exceed their insert/delete
+    distance, since each operation changes one count by one.
+    """
+    counts = [0] * 32
+    for ch in s:
+        counts[ord(ch) & 31] += 1
+    bits = 0
+    for i, n in enumerate(counts):
+        bits |= ((1 << min(n, 8)) - 1) << (8 * i)
+    return _signed_words(bits)
+
+
+SIGNATURE = [f"{kind}{w}" for kind in ("gram_bits", "letter_bits") for w in range(BITMAP_WORDS)]
+_GRAM_SCHEMA = T.StructType(
+    [T.StructField("n_grams", T.IntegerType()), T.StructField("prefix", T.ArrayType(T.LongType()))]
+    + [T.StructField(name, T.LongType()) for name in SIGNATURE]
+)
 
 
-def _bitmap_word(grams: Column, w: int) -> Column:
-    """One of the four longs of a gram bag's 256-bit signature."""
-    bits = F.transform(grams, lambda g: F.pmod(g["h"], F.lit(64 * BITMAP_WORDS)).cast("int"))
-    mine = F.filter(bits, lambda b: (b >= 64 * w) & (b < 64 * (w + 1)))
-    one = F.lit(1).cast("long")
-    return F.aggregate(mine, F.lit(0).cast("long"), lambda acc, b: acc.bitwiseOR(F.call_function("shiftleft", one, b - 64 * w)))
+def _bucket_udf(size: int):
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def buckets(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: [c % GRAM_BUCKETS for c in gram_codes(x, size)])
+
+    return buckets
+
+
+def _prefix_udf(size: int, weights: list[int]):
+    """Rarest ``len - need + 1`` grams (rarest first) and the signature of all."""
+    @F.pandas_udf(_GRAM_SCHEMA)
+    def prefix(s: pd.Series, need: pd.Series) -> pd.DataFrame:
+        rows = []
+        for text, least in zip(s, need):
+            codes = gram_codes(text, size)
+            ranked = sorted(codes, key=lambda c: (weights[c % GRAM_BUCKETS], c))
+            rows.append((len(codes), ranked[:max(len(codes) - int(least) + 1, 0)], *gram_signature(codes), *letter_signature(text)))
+        return pd.DataFrame(rows, columns=_GRAM_SCHEMA.names)
+
+    return prefix
 
 
 def _histogram(buckets: DataFrame, size: int) -> list[int]:
@@ -151,40 +205,44 @@ def _band(length: Column, threshold: float) -> Column:
     return F.floor(F.log(F.greatest(length, F.lit(1)).cast("double")) / math.log((2 - t) / t)).cast("int")
 
 
-def _postings(nodes: DataFrame, threshold: float, route, weights: Column, on: list[str], longer: bool) -> DataFrame:
+def _in_route(nodes: DataFrame, route) -> DataFrame:
+    _, shortest, longest, _ = route
+    df = nodes.filter(F.col("len") >= shortest)
+    return df if longest is None else df.filter(F.col("len") <= longest)
+
+
+def _postings(nodes: DataFrame, threshold: float, route, weights: list[int], on: list[str], longer: bool) -> DataFrame:
     """(block key, node) rows of one route.
 
     The shorter string of a pair posts in its own length band only; the longer
-    one in every band a shorter partner can have.
+    one in every band a shorter partner can have. ``before`` are the grams of
+    the prefix in front of the posted one.
     """
-    size, shortest, longest = route
-    df = nodes.filter(F.col("len") >= shortest)
-    if longest is not None:
-        df = df.filter(F.col("len") <= longest)
+    size = route[0]
     t = threshold / 100.0
     length = F.col("len")
     partner = F.ceil(length * (t / (2 - t)) - EPS).cast("int") if longer else length
-    need = F.greatest(F.ceil(_shared_floor(length + partner, threshold, size) - EPS), F.lit(1))
-    df = df.select("id", "s", "len", *on, need.alias("need"), _grams(F.col("s"), size).alias("g"))
-    ranked = F.sort_array(F.transform("g", lambda g: F.struct(
-        F.element_at(weights, g["bucket"] + 1).alias("n"), g["h"].alias("h"))))
-    keep = F.greatest(F.size("g") - F.col("need") + 1, F.lit(0)).cast("int")
-    prefix = F.transform(F.slice(ranked, F.lit(1), keep), lambda p: p["h"])
+    need = F.greatest(F.ceil(_shared_floor(length + partner, threshold, size) - EPS), F.lit(1)).cast("int")
     bands = F.sequence(_band(partner, threshold), _band(length, threshold)) if longer else F.array(_band(length, threshold))
-    # Outer explodes: the plain ones make the optimizer compute the grams once
-    # more in a non-empty check; an empty prefix gives a NULL gram that joins nothing.
+    df = _in_route(nodes, route).select("id", "s", "len", *on, bands.alias("bands"), _prefix_udf(size, weights)("s", need).alias("g"))
+    # Outer explodes: the plain ones add a non-empty check that would evaluate
+    # the Python function again. A NULL gram (empty prefix) joins nothing.
+    df = df.select("id", "s", "len", *on, "bands", "g.*").select(
+        "id", "s", "len", *on, "n_grams", *SIGNATURE, "bands", "prefix", F.posexplode_outer("prefix").alias("rank", "gram"))
     df = df.select(
-        "id", "s", "len", *on, F.size("g").alias("n_grams"),
-        *[_bitmap_word(F.col("g"), w).alias(f"bits{w}") for w in range(BITMAP_WORDS)],
-        bands.alias("bands"), F.explode_outer(prefix).alias("gram"),
-    )
-    df = df.select(*[c for c in df.columns if c != "bands"], F.explode_outer("bands").alias("band"))
+        "id", "s", "len", *on, "n_grams", *SIGNATURE, "gram", F.slice("prefix", F.lit(1), F.coalesce("rank", F.lit(0))).alias("before"),
+        F.explode_outer("bands").alias("band"))
     return df.select("*", F.xxhash64("gram", "band", *on).alias("block"))
 
 
-def _candidates(short: DataFrame, long: DataFrame, threshold: float, size: int, on: list[str], self_pairs: bool,
+def _candidates(short: DataFrame, long: DataFrame, threshold: float, route, on: list[str], order: str,
                 block_rows: int, may_be_hot: bool) -> DataFrame:
-    """Pairs of one route that pass the length and bitmap filters (with repeats)."""
+    """Pairs of one route that pass all filters, each once.
+
+    ``order`` tells which pairs count: ``id`` (self-join: shorter first, ids break
+    ties), ``le`` or ``lt`` (lengths of the short and the long side).
+    """
+    size, _, _, below = route
     bucket = F.pmod("block", F.lit(BLOCK_BUCKETS)).cast("int")
     sizes = _histogram(short.select(bucket.alias("bucket")), BLOCK_BUCKETS) if may_be_hot else [0]
     if max(sizes) > block_rows:
@@ -199,13 +257,23 @@ def _candidates(short: DataFrame, long: DataFrame, threshold: float, size: int,
     cond = F.lit(True)
     for k in ["block", "cut", "gram", "band", *on]:
         cond = cond & (F.col(f"a.{k}") == F.col(f"b.{k}"))
-    order = (la < lb) | ((la == lb) & (F.col("a.id") < F.col("b.id"))) if self_pairs else (la <= lb)
-    differing = sum(
-        (F.bit_count(F.col(f"a.bits{w}").bitwiseXOR(F.col(f"b.bits{w}"))) for w in range(BITMAP_WORDS)), F.lit(0)
-    )
-    shared_cap = (F.col("a.n_grams") + F.col("b.n_grams") - differing) / 2
-    cond = cond & order & (la * (2 - t) >= lb * t - EPS) & (shared_cap >= _shared_floor(la + lb, threshold, size) - 1e-6)
-    return a.join(b, cond).select(
+    if order == "id":
+        cond = cond & ((la < lb) | ((la == lb) & (F.col("a.id") < F.col("b.id"))))
+    else:
+        cond = cond & (la <= lb if order == "le" else la < lb)
+    if below is not None:
+        cond = cond & (la < below)
+    def differing(kind: str) -> Column:
+        words = range(BITMAP_WORDS)
+        return sum((F.bit_count(F.col(f"a.{kind}{w}").bitwiseXOR(F.col(f"b.{kind}{w}"))) for w in words), F.lit(0))
+
+    most_edits = F.floor((la + lb) * (1 - t) + EPS).cast("int")
+    shared_cap = (F.col("a.n_grams") + F.col("b.n_grams") - differing("gram_bits")) / 2
+    cond = cond & (differing("letter_bits") <= most_edits)
+    cond = cond & (la * (2 - t) >= lb * t - EPS) & (shared_cap >= _shared_floor(la + lb, threshold, size) - 1e-6)
+    cond = cond & ~F.arrays_overlap("a.before", "b.before")
+    distance = F.call_function("levenshtein", F.col("a.s"), F.col("b.s"), most_edits)
+    return a.join(b, cond & (distance >= 0)).select(
         F.col("a.id").alias("id_a"), F.col("a.s").alias("s_a"), F.col("b.id").alias("id_b"), F.col("b.s").alias("s_b")
     )
 
@@ -217,44 +285,34 @@ def candidate_pairs(left: DataFrame, right: DataFrame | None, threshold: float,
     self_join = right is None
 
     def prepare(df: DataFrame) -> DataFrame:
-        return cut_lineage(df.select("id", "s", *on, F.length("s").alias("len")))
+        # Comparing costs CPU, not bytes: spread the nodes whatever their size.
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return cut_lineage(df.select("id", "s", *on, F.length("s").alias("len")).repartition(n))
 
     nodes = [prepare(df) for df in ([left] if self_join else [left, right])]
-    found = None
+    found = []
     for route in routes(threshold):
-        size, shortest, longest = route
-        grams = None
-        for df in nodes:
-            kept = df.filter(F.col("len") >= shortest)
-            kept = kept if longest is None else kept.filter(F.col("len") <= longest)
-            one = kept.select(F.explode(F.transform(_grams(F.col("s"), size), lambda g: g["bucket"])).alias("bucket"))
-            grams = one if grams is None else grams.unionByName(one)
-        counts = _histogram(grams, GRAM_BUCKETS)
+        grams = [_in_route(df, route).select(F.explode_outer(_bucket_udf(route[0])("s")).alias("bucket")) for df in nodes]
+        counts = _histogram(reduce(DataFrame.unionByName, grams), GRAM_BUCKETS)
         if not any(counts):
             continue
-        weights = _fixed_array(counts)
         may_be_hot = max(counts) > block_rows  # a block is never bigger than its gram's count
 
-        def post(df: DataFrame, longer: bool) -> DataFrame:
-            return _postings(df, threshold, route, weights, on, longer)
+        def pairs(short: DataFrame, long: DataFrame, order: str) -> DataFrame:
+            return _candidates(
+                _postings(short, threshold, route, counts, on, False), _postings(long, threshold, route, counts, on, True),
+                threshold, route, on, order, block_rows, may_be_hot)
 
         if self_join:
-            pairs = _candidates(post(nodes[0], False), post(nodes[0], True), threshold, size, on, True, block_rows, may_be_hot)
+            found.append(pairs(nodes[0], nodes[0], "id"))
         else:
-            forward = _candidates(post(nodes[0], False), post(nodes[1], True), threshold, size, on, False, block_rows,
-                                  may_be_hot)
-            backward = _candidates(post(nodes[1], False), post(nodes[0], True), threshold, size, on, False, block_rows,
-                                  may_be_hot)
-            pairs = forward.unionByName(backward.select(
-                F.col("id_b").alias("id_a"), F.col("s_b").alias("s_a"),
-                F.col("id_a").alias("id_b"), F.col("s_a").alias("s_b")))
-        found = pairs if found is None else found.unionByName(pairs)
-    if found is None:
-        a = nodes[0].select(F.col("id").alias("id_a"), F.col("s").alias("s_a"))
-        b = nodes[-1].select(F.col("id").alias("id_b"), F.col("s").alias("s_b"))
-        return a.join(b, F.lit(False))
-    # The same pair comes up once per shared gram.
-    return found.distinct()
+            swapped = pairs(nodes[1], nodes[0], "lt")
+            found += [pairs(nodes[0], nodes[1], "le"), swapped.select(
+                F.col("id_b").alias("id_a"), F.col("s_b").alias("s_a"), F.col("id_a").alias("id_b"), F.col("s_a").alias("s_b"))]
+    if found:
+        return reduce(DataFrame.unionByName, found)
+    a = nodes[0].select(F.col("id").alias("id_a"), F.col("s").alias("s_a")).filter(F.lit(False))
+    return a.join(nodes[-1].select(F.col("id").alias("id_b"), F.col("s").alias("s_b")), F.col("s_a") == F.col("s_b"))
 
 
 def similar_pairs(left: DataFrame, right: DataFrame | None = None, threshold: float = 85,
