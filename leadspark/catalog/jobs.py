@@ -117,12 +117,14 @@ STREAKS_SQL = """WITH g AS (SELECT *, sum(CASE WHEN event_type <> 'error' THEN 1
 @query("st2_streaming_streaks", STREAKS_SQL)
 def st2(t):
     root = t.scratch("st2")
-    attempts = t.events.select(F.col("user_id").alias("source"), F.col("event_id").alias("ts"), (F.col("event_type") == "error").alias("fail"))
-    attempts.write.parquet(f"{root}/in")
-    stream = incremental.page_stream(t.spark, f"{root}/in", attempts.schema)
-    incremental.stream_streaks(stream).writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{root}/state").trigger(
-        availableNow=True).start(f"{root}/out").awaitTermination()
-    return t.spark.read.parquet(f"{root}/out")
+    attempts = t.events.select(F.col("user_id").cast("string").alias("source"), F.col("event_id").alias("ts"), (F.col("event_type") == "error").alias("fail"))
+    middle = attempts.agg(F.floor(F.avg("ts")).alias("m")).scalar()
+    for later in (False, True):  # the attempts arrive in two parts, in order
+        part = attempts.filter((F.col("ts") > middle) == later)
+        part.write.mode("append").parquet(f"{root}/in")
+        stream = incremental.page_stream(t.spark, f"{root}/in", attempts.schema)
+        incremental.streak_stream(stream, f"{root}/out", f"{root}/state", f"{root}/checkpoint").awaitTermination()
+    return t.spark.read.parquet(f"{root}/out").select("source", "ts", "streak", "open")
 
 
 # ---------------------------------------------------------------- E

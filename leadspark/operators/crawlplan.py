@@ -9,7 +9,7 @@ from pyspark.sql.window import Window as W
 from ..functions.html import has_content
 from ..functions.text import _col, has_http_scheme, url_base, url_domain, url_path
 from .discover import CONTACT_PAGES
-from .grouping import streaks
+from .grouping import order_bucket, streaks
 
 # --- fixed values: outcome texts ---
 BAD_URL = "URL inválida"
@@ -69,7 +69,7 @@ def failure_streaks(attempts: DataFrame, source: str = "source", order_cols: lis
                     failed: str = "fail", bucket: Column | None = None, limit: int = FAILURE_LIMIT) -> DataFrame:
     """Failures since the last success per source; the breaker is open from ``limit`` on."""
     order_cols = order_cols or ["ts"]
-    bucket = F.lit(0) if bucket is None else bucket
+    bucket = order_bucket(attempts, order_cols[0]) if bucket is None else bucket
     f = F.coalesce(failed, F.lit(False))
     out = streaks(attempts, [source], order_cols, f, ~f, bucket, "streak")
     return out.withColumn("open", F.col("streak") >= limit)
@@ -85,6 +85,3 @@ def subpage_urls(urls: DataFrame, url: str = "url", paths: list[str] = CONTACT_P
 def page_outcomes(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """Pages (``url, text``) with permission and outcome."""
     return crawl_permission(pages, rules).withColumn("error", fetch_error("url", "text", "allowed"))
-
-
-

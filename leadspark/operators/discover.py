@@ -328,8 +328,8 @@ def supplement(base: DataFrame, extra: DataFrame, limit: int) -> DataFrame:
     """
     known = base.filter(truthy("sitio_web")).select("sitio_web").distinct()
     fresh = extra.join(known, "sitio_web", "left_anti")
-    short = base.select(F.lit(1).alias("x")).limit(max(limit // 2, 0)).agg((F.count("x") < limit // 2).alias("__short"))
-    gated = fresh.join(F.broadcast(short), F.col("__short")).drop("__short")
+    short = base.select(F.lit(1).alias("x")).limit(max(limit // 2, 0)).agg(F.count("x") < limit // 2)
+    gated = fresh.filter(short.scalar())
     return base.unionByName(gated, allowMissingColumns=True)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 
@@ -60,13 +61,22 @@ def streaks(
     return joined.withColumn(name, total).drop("__b", "__hit", "__reset", "__seg", "__run", "__carry")
 
 
-def global_row_number(df: DataFrame, order_col: str, name: str = "row_no", buckets: int = 256) -> DataFrame:
+def order_bucket(df: DataFrame, col: str) -> Column:
+    """A coarse, never decreasing bucket of an order column: hours of a time, blocks of a number."""
+    dtype = df.schema[col].dataType
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.floor(F.unix_micros(F.col(col).cast("timestamp")) / 3_600_000_000)
+    return F.floor(F.col(col) / 100_000)
+
+
+def global_row_number(df: DataFrame, order_col: str, name: str = "row_no", buckets: int | None = None) -> DataFrame:
     """1-based position by a numeric, unique ``order_col`` without a single-task sort.
 
     The value range is cut at a bounded number of quantiles (the only thing the
     driver sees); rows are numbered inside their slice and shifted by the sizes
-    of the slices before it.
+    of the slices before it. ``buckets`` defaults to twice the shuffle partitions.
     """
+    buckets = buckets or max(64, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     probes = [i / buckets for i in range(1, buckets)]
     cuts = sorted(set(df.approxQuantile(order_col, probes, 1.0 / (2 * buckets))))
     edges = F.array(*[F.lit(float(c)) for c in cuts]) if cuts else F.array().cast("array<double>")

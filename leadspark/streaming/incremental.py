@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.crawlplan import FAILURE_LIMIT
+from ..operators.crawlplan import FAILURE_LIMIT, failure_streaks
 from ..operators.enrich import extraction_records
+from ..sources.lead_csv import path_exists
 
 
 def page_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", files_per_trigger: int = 1000) -> DataFrame:
@@ -31,31 +29,32 @@ def incremental_extraction(pages: DataFrame, out: str, checkpoint: str, fmt: str
     )
 
 
-STREAK_STATE = T.StructType([T.StructField("streak", T.LongType())])
-
-
-def streak_schema(order_type: T.DataType) -> T.StructType:
-    return T.StructType([
-        T.StructField("source", T.StringType()), T.StructField("ts", order_type),
-        T.StructField("streak", T.LongType()), T.StructField("open", T.BooleanType()),
-    ])
-
-
-def stream_streaks(attempts: DataFrame, limit: int = FAILURE_LIMIT) -> DataFrame:
+def streak_stream(attempts: DataFrame, out: str, state: str, checkpoint: str, limit: int = FAILURE_LIMIT) -> StreamingQuery:
     """Running failure streak per source of a stream ``(source, ts, fail)``.
 
-    Attempts of one trigger are taken in ``ts`` order; the streak lives in state.
+    Every micro-batch runs the batch operator, which spreads a hot source over
+    time buckets, and adds the streak carried over to the rows before the
+    source's first success. Output and state are written per batch id with
+    overwrite, so a repeated batch replaces itself. Attempts of later batches
+    must be later in ``ts``.
     """
-    def advance(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        streak = state.get[0] if state.exists else 0
-        rows = pd.concat(list(batches)).sort_values("ts")
-        values = []
-        for failed in rows["fail"]:
-            streak = streak + 1 if failed else 0
-            values.append(streak)
-        state.update((streak,))
-        yield pd.DataFrame({
-            "source": key[0], "ts": rows["ts"].values, "streak": values, "open": [v >= limit for v in values]})
-
-    return attempts.select(F.col("source").cast("string").alias("source"), "ts", "fail").groupBy("source").applyInPandasWithState(
-        advance, streak_schema(attempts.schema["ts"].dataType), STREAK_STATE, "append", "NoTimeout")
+    def advance(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = failure_streaks(batch, "source", ["ts"], "fail", limit=limit)
+        first_ok = batch.filter(~F.col("fail")).groupBy("source").agg(F.min("ts").alias("__ok"))
+        before = f"{state}/batch={batch_id - 1}"
+        if batch_id > 0 and path_exists(spark, before):
+            carried = spark.read.parquet(before)
+        else:
+            carried = rows.select("source", F.col("streak").alias("carry")).limit(0)
+        total = F.col("streak") + F.when(
+            F.col("__ok").isNull() | (F.col("ts") < F.col("__ok")), F.coalesce("carry", F.lit(0))).otherwise(0)
+        joined = rows.join(first_ok, "source", "left").join(carried, "source", "left")
+        result = joined.select("source", "ts", total.alias("streak"), (total >= limit).alias("open"))
+        result.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        done = spark.read.parquet(f"{out}/batch={batch_id}")
+        latest = done.groupBy("source").agg(F.max_by("streak", "ts").alias("carry"))
+        idle = carried.join(latest.select("source"), "source", "left_anti")
+        latest.unionByName(idle).write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
+
+    return attempts.writeStream.foreachBatch(advance).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
