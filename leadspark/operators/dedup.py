@@ -18,8 +18,8 @@ from .grouping import first_per_group
 from .similarity import similar_pairs
 
 DEFAULT_THRESHOLD = 85
-FIRST_BATCH = 1_000
-BATCH_GROWTH = 4
+FIRST_BATCH = 2_000
+BATCH_GROWTH = 8
 
 
 # ---------------------------------------------------------------- exact

@@ -292,6 +292,8 @@ def candidate_pairs(left: DataFrame, right: DataFrame | None, threshold: float,
     nodes = [prepare(df) for df in ([left] if self_join else [left, right])]
     found = []
     for route in routes(threshold):
+        if route[2] is not None and any(_in_route(df, route).isEmpty() for df in nodes):
+            continue
         grams = [_in_route(df, route).select(F.explode_outer(_bucket_udf(route[0])("s")).alias("bucket")) for df in nodes]
         counts = _histogram(reduce(DataFrame.unionByName, grams), GRAM_BUCKETS)
         if not any(counts):
