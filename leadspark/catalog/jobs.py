@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import extract as X
 from ..functions import pii
 from ..functions import replies
-from ..operators import dedup, discover, enrich, quality
+from ..functions.scoring import quality_score
+from ..operators import dedup, discover, enrich
 from ..plans import jobs
 from ..schemas import METADATA_FIELDS, metadata_schema
 from ..sources import lead_csv, ledger
@@ -15,7 +16,9 @@ from ..streaming import incremental
 from . import views as V
 from .functions import REPLY, registry_pages
 from .registry import query
-from .relational import KNOWN_EMAILS, NEW_EMAILS, NEW_SQL, PROD_SQL, VERIF, known_emails, new_batch, production, verifications
+from .relational import (
+    KNOWN_EMAILS, NEW_EMAILS, NEW_SQL, PROD_SQL, SUMMARY_SQL, VERIF, known_emails, new_batch, production, verifications,
+)
 from .scans import LIVE_SQL, LOG_SQL, LOTS_SQL, UNIFIED, lot_events, typed_leads, v_log, v_lots, vertical_events
 from .views import v_cust, v_part, with_cust
 
@@ -29,19 +32,19 @@ from .views import v_cust, v_part, with_cust
     count(*) FILTER (WHERE con_email) AS con_email, count(*) FILTER (WHERE con_tel) AS con_tel FROM u GROUP BY lang""")
 def flagship(t):
     """Documents -> contacts -> redacted leads -> first per name and district -> quality by language."""
-    docs = t.documents.select("doc_id", "text", "lang", "source")
-    email = F.try_element_at(X.emails_in("text"), F.lit(1))
-    phone = F.try_element_at(X.phones_in("text"), F.lit(1))
-    none = F.lit(None).cast("string")
-    leads = docs.select(
+    found = t.documents.select(
         F.col("doc_id").alias("ord"), "lang", F.substring("text", 1, 60).alias("nombre"), F.col("source").alias("partido"),
-        pii.pseudonymize_email(email).alias("email"), F.when(phone.isNotNull(), pii.mask_phone(phone)).alias("telefono"),
+        F.try_element_at(X.emails_in("text"), F.lit(1)).alias("email"), F.try_element_at(X.phones_in("text"), F.lit(1)).alias("telefono"))
+    none = F.lit(None).cast("string")
+    leads = found.select(
+        "ord", "lang", "nombre", "partido", pii.pseudonymize_email("email").alias("email"),
+        F.when(F.col("telefono").isNotNull(), pii.mask_phone("telefono")).alias("telefono"),
         none.alias("sitio_web"), none.alias("localidad"), F.lit(None).cast("double").alias("latitud"),
         F.lit(None).cast("double").alias("longitud"), F.lit(False).alias("email_validado"))
     unique = dedup.dedup_exact(leads, "ord", ["lang"])
-    return quality.field_metrics(unique, ["lang"]).join(
-        unique.groupBy("lang").agg(F.count("email").alias("con_email"), F.count("telefono").alias("con_tel")), "lang"
-    ).select("lang", "total", "avg_score", "con_email", "con_tel")
+    return unique.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("total"), F.avg(quality_score()).alias("avg_score"),
+        F.count("email").alias("con_email"), F.count("telefono").alias("con_tel"))
 
 
 # ---------------------------------------------------------------- L
@@ -219,11 +222,11 @@ def q2(t):
     return out.select("barrio_id", "url_usada", "error", F.array_join("emails_regex", ",").alias("emails"))
 
 
-@query("q3_quality_view")
+@query("q3_quality_view", SUMMARY_SQL)
 def q3(t):
     rows = lead_csv.export_row(typed_leads(t)).withColumn("ord", F.regexp_extract("nombre", r"(\d+)$", 1).cast("long"))
     runs = ledger.run_states(t.spark.createDataFrame([], ledger.RUN_EVENT_SCHEMA))
-    return jobs.quality_view(rows, runs)[0]
+    return jobs.quality_view(rows, runs)[0].select("vertical", "total", "exact_duplicates", "fuzzy_duplicates", "upload_ready")
 
 
 @query("q4_production_summary", f"""WITH n AS (SELECT *, {V.sort_tokens('nombre')} AS s, {V.norm('partido')} AS d, {V.dedup_key()} AS k FROM ({NEW_SQL})),

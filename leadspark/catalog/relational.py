@@ -233,9 +233,16 @@ def a3(t):
     return quality.field_metrics(v_cust(t), ["vertical"])
 
 
-@query("a3_summarize_batches")
+CUST_GROUPS = f"SELECT vertical AS g, ord, nombre, partido FROM ({V.CUST_SQL})"
+SUMMARY_SQL = f"""WITH RECURSIVE {V.greedy(CUST_GROUPS, 85)}, v AS ({V.CUST_SQL})
+  SELECT vertical, count(*) AS total, count(*) - count(DISTINCT {V.dedup_key()}) AS exact_duplicates,
+    count(DISTINCT {V.dedup_key()}) - count(kept.ord) AS fuzzy_duplicates, avg({V.score('v.')}) >= 40 AND count(*) >= 5 AS upload_ready
+  FROM v LEFT JOIN kept ON kept.ord = v.ord GROUP BY vertical"""
+
+
+@query("a3_summarize_batches", SUMMARY_SQL)
 def a3_full(t):
-    return quality.summarize_batches(v_cust(t))
+    return quality.summarize_batches(v_cust(t)).select("vertical", "total", "exact_duplicates", "fuzzy_duplicates", "upload_ready")
 
 
 def floor_pct(c: str) -> str:
@@ -334,7 +341,10 @@ def w1(t):
     return dedup.dedup_exact(v_part(t))
 
 
-@query("w2_dedup_fuzzy")
+PART_GROUPS = f"SELECT '' AS g, ord, nombre, partido FROM ({V.PART_SQL})"
+
+
+@query("w2_dedup_fuzzy", f"WITH RECURSIVE {V.greedy(PART_GROUPS, 70)} SELECT p.* FROM kept JOIN ({V.PART_SQL}) p USING (ord)")
 def w2(t):
     return dedup.dedup_fuzzy(v_part(t), threshold=70)
 

@@ -150,3 +150,19 @@ def score(prefix: str = "") -> str:
         f" + CASE WHEN {p}latitud IS NOT NULL AND {p}longitud IS NOT NULL THEN 10 ELSE 0 END"
         f" + CASE WHEN coalesce({p}email_validado, false) THEN 10 ELSE 0 END)::DOUBLE"
     )
+
+
+def greedy(rows: str, threshold: int) -> str:
+    """CTEs of the in-order greedy scan over ``rows`` (g, ord, nombre, partido); ``kept`` has (g, ord)."""
+    return f"""nd AS (SELECT g, s, d, min(ord) AS ord FROM (SELECT g, ord, {sort_tokens('nombre')} AS s, {norm('partido')} AS d FROM ({rows})) GROUP BY ALL),
+  u AS (SELECT DISTINCT g, s FROM nd), us AS (SELECT DISTINCT a.s AS sa, b.s AS sb FROM u a JOIN u b ON a.g = b.g AND a.s < b.s),
+  sp AS (SELECT sa, sb FROM us WHERE {ratio('sa', 'sb')} >= {threshold}),
+  sym AS (SELECT sa, sb FROM sp UNION ALL SELECT sb, sa FROM sp UNION ALL SELECT DISTINCT s, s FROM u),
+  nb AS (SELECT x.g, x.ord, list(y.ord) AS lower FROM nd x JOIN sym ON sym.sa = x.s JOIN nd y ON y.g = x.g AND y.s = sym.sb
+    WHERE y.ord < x.ord AND (x.d = y.d OR x.d = '' OR y.d = '') GROUP BY ALL),
+  q AS (SELECT nd.g, nd.ord, coalesce(nb.lower, []) AS lower, row_number() OVER (PARTITION BY nd.g ORDER BY nd.ord) AS rk
+    FROM nd LEFT JOIN nb ON nb.g = nd.g AND nb.ord = nd.ord),
+  r AS (SELECT DISTINCT g, 0::BIGINT AS rk, []::BIGINT[] AS kept FROM q UNION ALL
+    SELECT r.g, r.rk + 1, CASE WHEN len(list_intersect(r.kept, q.lower)) > 0 THEN r.kept ELSE list_append(r.kept, q.ord) END
+    FROM r JOIN q ON q.g = r.g AND q.rk = r.rk + 1),
+  kept AS (SELECT g, unnest(kept) AS ord FROM (SELECT g, arg_max(kept, rk) AS kept FROM r GROUP BY g))"""

@@ -26,8 +26,9 @@ def _distinct_hits(text, pattern: str) -> Column:
 
 
 def emails_in(text) -> Column:
-    """Distinct e-mail addresses, sorted."""
-    return _distinct_hits(text, EMAIL_PATTERN)
+    """Distinct e-mail addresses, sorted. The pattern only runs where there is an ``@``."""
+    none = F.array().cast("array<string>")
+    return F.when(F.coalesce(F.instr(_col(text), "@"), F.lit(0)) > 0, _distinct_hits(text, EMAIL_PATTERN)).otherwise(none)
 
 
 def phones_in(text) -> Column:
