@@ -22,8 +22,8 @@ HEADLINE = [
     "w1_dedup_exact",
     "w3_dedup_by_name",
     "w2_dedup_fuzzy",
-    "w2_dedup_fuzzy_documents",
-    "j3_document_heads",
+    "w2_dedup_fuzzy_titles",
+    "j3_page_titles",
     "j4_vs_production",
     "a3_summarize_batches",
     "a6_pending_leads",

@@ -15,22 +15,22 @@ from ..schemas import METADATA_FIELDS, vertical_dimension
 from . import views as V
 from .registry import query
 from .scans import CARD_SQL, PAGE_TEXT, doc_pages
-from .views import v_cust, v_doc, with_cust
+from .views import v_cust, with_cust
 
 
-@query("x1_normalize_name", f"SELECT ord, {V.norm('nombre')} AS clave FROM ({V.DOC_SQL})")
+@query("x1_normalize_name", f"SELECT doc_id, md5({V.norm('text')}) AS clave FROM documents")
 def x1(t):
-    return v_doc(t).select("ord", T.normalize_name("nombre").alias("clave"))
+    return t.documents.select("doc_id", F.md5(T.normalize_name("text")).alias("clave"))
 
 
-@query("x1b_squash_name", f"SELECT ord, {V.squash('nombre')} AS clave FROM ({V.DOC_SQL})")
+@query("x1b_squash_name", f"SELECT doc_id, md5({V.squash('text')}) AS clave FROM documents")
 def x1b(t):
-    return v_doc(t).select("ord", T.squash_name("nombre").alias("clave"))
+    return t.documents.select("doc_id", F.md5(T.squash_name("text")).alias("clave"))
 
 
-@query("x2_dedup_key", f"SELECT ord, {V.dedup_key()} AS clave FROM ({V.DOC_SQL})")
+@query("x2_dedup_key", f"SELECT doc_id, md5({V.dedup_key('text', 'lang')}) AS clave FROM documents")
 def x2(t):
-    return v_doc(t).select("ord", T.dedup_key().alias("clave"))
+    return t.documents.select("doc_id", F.md5(T.dedup_key("text", "lang")).alias("clave"))
 
 
 @query("x3_token_sort_ratio", f"""WITH k AS (SELECT p_partkey, {V.sort_tokens('p_name')} AS a, {V.sort_tokens("p_type || ' ' || split_part(p_name, ' ', 1)")} AS b FROM part)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import extract as X
 from ..functions import pii
 from ..functions import replies
+from ..functions import text as T
 from ..functions.scoring import quality_score
 from ..operators import dedup, discover, enrich
 from ..plans import jobs
@@ -26,14 +27,17 @@ from .views import v_cust, v_part, with_cust
 
 
 @query("contact_quality_by_language", f"""WITH d AS (SELECT doc_id AS ord, lang, source, {V.hits('text', V.EMAIL_RE)} AS e, {V.hits('text', V.PHONE_RE)} AS p, text FROM documents),
-  l AS (SELECT ord, lang, substr(text, 1, 60) AS nombre, source AS partido, len(e) > 0 AS con_email, len(p) > 0 AS con_tel FROM d),
+  l AS (SELECT ord, lang, sha256({V.norm('text')}) AS nombre, source AS partido, len(e) > 0 AS con_email, len(p) > 0 AS con_tel FROM d),
   u AS (SELECT * FROM l QUALIFY row_number() OVER (PARTITION BY lang, {V.dedup_key()} ORDER BY ord) = 1)
   SELECT lang, count(*) AS total, avg((CASE WHEN con_email THEN 25 ELSE 0 END + CASE WHEN con_tel THEN 20 ELSE 0 END + 10)::DOUBLE) AS avg_score,
     count(*) FILTER (WHERE con_email) AS con_email, count(*) FILTER (WHERE con_tel) AS con_tel FROM u GROUP BY lang""")
 def flagship(t):
-    """Documents -> contacts -> redacted leads -> first per name and district -> quality by language."""
+    """Documents -> contacts -> redacted leads -> first per text and source -> quality by language.
+
+    The whole normalised text is the name; its digest stands for it in the shuffle.
+    """
     found = t.documents.select(
-        F.col("doc_id").alias("ord"), "lang", F.substring("text", 1, 60).alias("nombre"), F.col("source").alias("partido"),
+        F.col("doc_id").alias("ord"), "lang", F.sha2(T.normalize_name("text"), 256).alias("nombre"), F.col("source").alias("partido"),
         F.try_element_at(X.emails_in("text"), F.lit(1)).alias("email"), F.try_element_at(X.phones_in("text"), F.lit(1)).alias("telefono"))
     none = F.lit(None).cast("string")
     leads = found.select(

@@ -16,7 +16,7 @@ from .registry import query
 from .scans import (
     LIVE_SQL, LOG_SQL, LOTS_SQL, PAGE_TEXT, UNIFIED, typed_leads, v_log, v_lots, vertical_events,
 )
-from .views import v_cust, v_doc, v_part, with_cust
+from .views import v_cust, v_part, v_title, with_cust
 
 # ---------------------------------------------------------------- J
 
@@ -65,9 +65,9 @@ def j3(t):
     return dedup.name_pairs(v_part(t), threshold=70).withColumn("score", F.round("score", 6))
 
 
-@query("j3_document_heads")
-def j3_docs(t):
-    return dedup.name_pairs(v_doc(t))
+@query("j3_page_titles")
+def j3_titles(t):
+    return dedup.name_pairs(v_title(t), threshold=75)
 
 
 @query("j4_vs_production", f"""WITH n AS (SELECT *, {V.sort_tokens('nombre')} AS s, {V.norm('partido')} AS d FROM ({NEW_SQL})
@@ -349,14 +349,15 @@ def w2(t):
     return dedup.dedup_fuzzy(v_part(t), threshold=70)
 
 
-@query("w2_dedup_fuzzy_documents")
-def w2_docs(t):
-    return dedup.dedup_fuzzy(v_doc(t))
+@query("w2_dedup_fuzzy_titles")
+def w2_titles(t):
+    return dedup.dedup_fuzzy(v_title(t), threshold=75)
 
 
-@query("w3_dedup_by_name", f"SELECT ord, nombre FROM ({V.DOC_SQL}) QUALIFY row_number() OVER (PARTITION BY {V.squash('nombre')} ORDER BY ord) = 1")
+@query("w3_dedup_by_name", f"SELECT doc_id AS ord, md5(text) AS texto FROM documents QUALIFY row_number() OVER (PARTITION BY {V.squash('text')} ORDER BY doc_id) = 1")
 def w3(t):
-    return dedup.dedup_by_name(v_doc(t)).select("ord", "nombre")
+    rows = t.documents.select(F.col("doc_id").alias("ord"), F.col("text").alias("nombre"))
+    return dedup.dedup_by_name(rows).select("ord", F.md5("nombre").alias("texto"))
 
 
 @query("w4_dedup_by_url", f"SELECT page_id, url FROM (SELECT page_id, CASE WHEN contains(url, '?') THEN NULL ELSE {V.domain('url')} END AS url FROM pages) QUALIFY row_number() OVER (PARTITION BY coalesce(url, '') ORDER BY page_id) = 1")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.html import first_element_text
 from ..schemas import VERTICALS
 from .registry import Tables
 
@@ -43,7 +44,6 @@ CUST_SQL = (
     + " FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"
 )
 PART_SQL = "SELECT p_partkey AS ord, p_name AS nombre, p_brand AS partido FROM part"
-DOC_SQL = "SELECT doc_id AS ord, substr(text, 1, 60) AS nombre, lang AS partido FROM documents"
 
 #: Lot state told by the order status; open orders keep the state they were created with.
 STATE_OF_ORDER = "CASE o_orderstatus WHEN 'F' THEN 'subido' WHEN 'P' THEN 'consolidado' END"
@@ -59,8 +59,10 @@ def v_part(t: Tables) -> DataFrame:
     return t.part.selectExpr("p_partkey AS ord", "p_name AS nombre", "p_brand AS partido")
 
 
-def v_doc(t: Tables) -> DataFrame:
-    return t.documents.selectExpr("doc_id AS ord", "substr(text, 1, 60) AS nombre", "lang AS partido")
+def v_title(t: Tables) -> DataFrame:
+    """Pages named by their whole title, the language in the address as district."""
+    lang = F.regexp_extract("url", r"^[a-z]+://[^/]*/([a-z]+)", 1)
+    return t.pages.select(F.col("page_id").alias("ord"), first_element_text("html", ["h1"]).alias("nombre"), lang.alias("partido"))
 
 
 def with_cust(body: str) -> str:

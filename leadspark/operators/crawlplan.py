@@ -9,7 +9,7 @@ from pyspark.sql.window import Window as W
 from ..functions.html import has_content
 from ..functions.text import _col, has_http_scheme, url_base, url_domain, url_path
 from .discover import CONTACT_PAGES
-from .grouping import order_bucket, streaks
+from .grouping import null_safe_join, order_bucket, streaks
 
 # --- fixed values: outcome texts ---
 BAD_URL = "URL inválida"
@@ -59,7 +59,7 @@ def pacing_plan(requests: DataFrame, rate: float = 3.0, domain: str = "domain",
     before = W.partitionBy(domain).orderBy("__b").rowsBetween(W.unboundedPreceding, -1)
     buckets = buckets.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
     buckets = buckets.withColumn("__carry", F.max(F.col("__peak") - F.col("__off") * rate).over(before))
-    joined = rows.join(buckets.select(domain, "__b", "__off", "__carry"), [domain, "__b"])
+    joined = null_safe_join(rows, buckets.select(domain, "__b", "__off", "__carry"), [domain, "__b"])
     best = F.greatest(F.col("__m") - F.col("__off") * rate, F.col("__carry"))
     slot = best + (F.col("__off") + F.col("__rn")) * rate
     return joined.withColumn("slot", slot).drop("__b", "__rn", "__m", "__off", "__carry")

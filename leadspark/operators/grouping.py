@@ -19,6 +19,15 @@ def first_per_group(df: DataFrame, keys: list[str], order_cols: list, last: bool
     return df.groupBy(*[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)]).agg(pick.alias("__row")).select("__row.*")
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where NULL equals NULL; the keys appear once."""
+    renamed = right.select(*[F.col(c).alias(f"__r_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
+    return left.join(renamed, cond, how).drop(*[f"__r_{k}" for k in keys])
+
+
 def streaks(
     df: DataFrame,
     group: list[str],
@@ -56,7 +65,7 @@ def streaks(
     )
     per_bucket = per_bucket.withColumn("__upto", running)
     carry = per_bucket.select(*group, "__b", F.lag("__upto", 1, 0).over(order_b).alias("__carry"))
-    joined = rows.join(carry, [*group, "__b"])
+    joined = null_safe_join(rows, carry, [*group, "__b"])
     total = F.when(F.col("__seg") == 0, F.col("__run") + F.col("__carry")).otherwise(F.col("__run"))
     return joined.withColumn(name, total).drop("__b", "__hit", "__reset", "__seg", "__run", "__carry")
 
