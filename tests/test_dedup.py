@@ -240,3 +240,27 @@ def test_production_equals_nested_loop(spark, any_match):
     assert sorted(r["ord"] for r in unique.collect()) == want_unique
     got = sorted((r.ord_a, r.ord_b) if not any_match else r.ord_a for r in matches.collect())
     assert got == want_match
+
+
+def test_title_queries_equal_nested_loop(spark):
+    """The named title queries have no SQL twin: plain Python over the smallest pages table instead."""
+    import unicodedata
+
+    from conftest import SF
+    from leadspark.catalog import QUERIES
+    from leadspark.catalog.registry import Tables
+    from leadspark.catalog.views import v_title
+
+    def norm(x):
+        folded = "".join(c for c in unicodedata.normalize("NFD", x.lower()) if unicodedata.category(c) != "Mn")
+        return " ".join(folded.split())
+
+    rows = [(r.ord, " ".join(sorted(norm(r.nombre).split())), norm(r.partido)) for r in v_title(Tables(spark, SF)).orderBy("ord").collect()]
+    kept, pairs = [], 0
+    for i, (o, s, d) in enumerate(rows):
+        pairs += sum(reaches(s, q, 75) for _, q, _ in rows[:i])
+        if not any(reaches(s, q, 75) and (not d or not e or d == e) for _, q, e in kept):
+            kept.append((o, s, d))
+    got = sorted(r.ord for r in QUERIES["w2_dedup_fuzzy_titles"](spark, SF).collect())
+    assert got == [o for o, _, _ in kept]
+    assert (QUERIES["j3_page_titles"](spark, SF).selectExpr("coalesce(sum(pairs), 0)").first()[0]) == pairs
