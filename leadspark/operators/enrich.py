@@ -122,17 +122,20 @@ def apply_geocodes(leads: DataFrame, primary: DataFrame, secondary: DataFrame |
     }).drop("__lat", "__lon", "geo_query")
 
 
-def run_metrics(leads: DataFrame) -> DataFrame:
-    """One row of counters of an enrichment result."""
-    return leads.agg(
-        F.count(F.lit(1)).alias("discovered"),
-        F.count_if(F.coalesce("had_url", truthy("sitio_web"))).alias("fetched"),
-        F.count_if(F.coalesce("had_text", F.lit(False))).alias("fetched_ok"),
-        F.count_if(F.col("enriched")).alias("enriched"),
+def metric_columns() -> list[Column]:
+    """Counters of an enrichment result, for ``agg`` or for ``observe`` while writing."""
+    return [
+        F.count(F.lit(1)).alias("discovered"), F.count_if(F.col("had_url")).alias("fetched"),
+        F.count_if(F.col("had_text")).alias("fetched_ok"), F.count_if(F.col("enriched")).alias("enriched"),
         F.count_if(F.col("verified")).alias("validated"), F.count_if(F.col("verified_ok")).alias("verified_ok"),
         F.count_if(F.col("geo_found")).alias("geocoded"), F.count(F.lit(1)).alias("saved"),
         F.count_if(F.col("had_url") & ~F.col("had_text")).alias("errors"),
-    )
+    ]
+
+
+def run_metrics(leads: DataFrame) -> DataFrame:
+    """One row of counters of an enrichment result."""
+    return leads.agg(*metric_columns())
 
 
 def mark_enriched(leads: DataFrame) -> DataFrame:

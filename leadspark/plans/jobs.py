@@ -6,7 +6,7 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.html import FETCH_DROP, html_text
@@ -14,13 +14,13 @@ from ..functions.text import truthy, url_base
 from ..operators import dedup, quality, report
 from ..operators.discover import pick_contact_page, pick_search_result, take_quota
 from ..operators.enrich import (
-    apply_geocodes, apply_verifications, extraction_records, leads_from_answers, mark_enriched, mark_missing_pages,
+    apply_geocodes, apply_verifications, extraction_records, leads_from_answers, mark_enriched, mark_missing_pages, metric_columns,
     page_text_by_url, resume, run_metrics,
 )
 from ..operators.grouping import left_lookup
 from ..sources.ledger import Ledger
 from ..sources.lead_csv import minimal_lead, production_lead
-from ..sources.lots import save_lot
+from ..sources.lots import write_lot
 
 
 @dataclass
@@ -60,18 +60,25 @@ def enrichment_plan(candidates: DataFrame, page_text: DataFrame, answers: DataFr
 
 
 def run_enrichment(ledger: Ledger, lots_root: str, options: RunOptions, **inputs: DataFrame) -> dict:
-    """Run the plan, save the lot, keep start and finish in the ledger; returns the counters."""
+    """Run the plan, save the lot, keep start and finish in the ledger; returns the counters.
+
+    The counters are observed while the lot is written, so the plan runs once.
+    """
     run_id = str(uuid.uuid4())
     ledger.start_run(run_id, options.vertical, datetime.now(timezone.utc))
     counters, failure = {}, None
     try:
         leads = enrichment_plan(options=options, **inputs)
         flags = ["ord", "had_url", "had_text", "extracted", "enriched", "verified", "verified_ok", "geo_found"]
-        counters = run_metrics(leads).first().asDict()
-        if options.dry_run or counters["discovered"] == 0:
-            counters.update(saved=0, lote_id=None)
+        if options.dry_run:
+            counters = {**run_metrics(leads).first().asDict(), "saved": 0, "lote_id": None}
         else:
-            counters["lote_id"] = save_lot(ledger, leads.drop(*flags), lots_root, options.vertical)
+            seen, lot_id = Observation(), str(uuid.uuid4())
+            write_lot(leads.observe(seen, *metric_columns()).drop(*flags), lots_root, options.vertical, lot_id)
+            counters = {**seen.get, "lote_id": None}
+            if counters["discovered"]:
+                ledger.create_lot(lot_id, options.vertical, datetime.now(timezone.utc), counters["saved"])
+                counters["lote_id"] = lot_id
     except Exception as error:  # recorded in the ledger, then raised
         failure = error
     ledger.finish_run(

@@ -12,16 +12,20 @@ from .ledger import Ledger
 from .lead_csv import consolidate, path_exists
 
 
+def write_lot(leads: DataFrame, root: str, vertical: str, lot_id: str) -> None:
+    """Lead rows under ``vertical=/lote_id=``."""
+    tagged = leads.withColumn("vertical", F.lit(vertical)).withColumn("lote_id", F.lit(lot_id))
+    tagged.write.mode("append").partitionBy("vertical", "lote_id").parquet(root)
+
+
 def save_lot(ledger: Ledger, leads: DataFrame, root: str, vertical: str, lot_id: str | None = None) -> str:
-    """Write one lot under ``vertical=/lote_id=`` and register it with its row count.
+    """Write one lot and register it with its row count.
 
     The count is observed while writing: the rows are computed once.
     """
     lot_id = lot_id or str(uuid.uuid4())
     seen = Observation()
-    rows = leads.drop("vertical").observe(seen, F.count(F.lit(1)).alias("n"))
-    rows.withColumn("vertical", F.lit(vertical)).withColumn("lote_id", F.lit(lot_id)).write.mode("append").partitionBy(
-        "vertical", "lote_id").parquet(root)
+    write_lot(leads.observe(seen, F.count(F.lit(1)).alias("n")), root, vertical, lot_id)
     ledger.create_lot(lot_id, vertical, datetime.now(timezone.utc), seen.get["n"])
     return lot_id
 
