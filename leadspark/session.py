@@ -19,6 +19,10 @@ RECOMMENDED_CONF = {
 }
 
 
+#: Temporary folder of a local session without ``spark.checkpoint.dir``.
+_local_fallback: list[str] = []
+
+
 def build_session(app_name: str = "leadspark", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -40,9 +44,9 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    fallback = tempfile.mkdtemp(prefix="spark-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    if not _local_fallback:
+        _local_fallback.append(tempfile.mkdtemp(prefix="spark-"))
+    return _local_fallback[0]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
