@@ -442,8 +442,8 @@ def w11(t):
 
 
 @query("w12_failure_streaks", """WITH g AS (SELECT *, sum(CASE WHEN event_type <> 'error' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island FROM events)
-  SELECT event_id, sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER w::BIGINT AS streak, sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER w >= 3 AS open
-  FROM g WINDOW w AS (PARTITION BY user_id, island ORDER BY ts, event_id)""".replace("OVER w::BIGINT", "OVER w"))
+  SELECT event_id, (sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER w)::BIGINT AS streak, sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER w >= 3 AS open
+  FROM g WINDOW w AS (PARTITION BY user_id, island ORDER BY ts, event_id)""")
 def w12(t):
     attempts = t.events.select("event_id", "user_id", "ts", (F.col("event_type") == "error").alias("fail"))
     hours = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 3_600_000_000 / 12)
