@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, secrets, simhash
+from . import langid, packing, secrets, simhash, toxicity
 from .common import documents
 from .registry import ORACLES, QUERIES, query
 
@@ -35,3 +35,20 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     near = simhash.near_duplicates(documents(spark, folder), words=4, most=4)
     return near.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op6_toxicity")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    scores = toxicity.score_documents(docs, toxicity.train(docs, documents(spark, folder, "labels")))
+    return scores.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+@query("op7_language_id")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    found = langid.identify(docs, langid.train(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "languages")

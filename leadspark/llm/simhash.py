@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from .common import map_batches, pick, stored
 from .components import connected_components
@@ -53,17 +54,17 @@ def fingerprint(text: str, words: int = 4, seed: int = 42) -> int:
 
 
 def document_fingerprints(docs: DataFrame, words: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint of each whole text as a signed 64-bit number."""
-    source = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    """(doc_id, text_hash, fp): the fingerprint of each whole text as a signed 64-bit number."""
+    source = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64("text").alias("text_hash"))
 
     def start():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             fps = np.array([fingerprint(t or "", words) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fps.view(np.int64))], names=["doc_id", "text_hash", "fp"])
 
         return step
 
-    return map_batches(source, start, "doc_id long, fp long")
+    return map_batches(source, start, "doc_id long, text_hash long, fp long")
 
 
 def golay_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -240,18 +241,37 @@ def fingerprint_links(fps: DataFrame, most: int = 4) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, most: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs``.
+    """(doc_id, text_hash, fp, group_fp, component_id) for every row of ``docs``.
 
-    ``component_id`` is the least doc_id reachable over links of ``most`` differing bits. NULL,
-    empty and wordless texts have fingerprint 0 and link like others; repeated rows come back
-    as often; NULL ids get the least id of their component, if it has one.
+    ``component_id`` is the least doc_id reachable over links of ``most`` differing bits,
+    ``group_fp`` the least fingerprint. NULL, empty and wordless texts have fingerprint 0 and link
+    like others; repeated rows come back as often; NULL ids get the least id of their component,
+    if it has one.
     """
     prints = stored(document_fingerprints(docs, words, id_col, text_col), "fingerprints")
     first = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("doc")), "first-of-fingerprint")
     roots = connected_components(fingerprint_links(first.select("fp"), most))
-    # Only fingerprints with a link are left here, so both joins are of two small sides or one.
+    # Only fingerprints with a link have a root.
     linked = first.join(roots, F.col("fp") == F.col("node")).select("fp", "doc", "root")
     least = linked.groupBy("root").agg(F.min("doc").alias("component"))
-    owner = linked.join(least, "root").select("fp", "component")
-    known = stored(first.join(owner, "fp", "left").select("fp", F.coalesce("component", "doc").alias("component_id")), "component-of-fingerprint")
-    return prints.join(known, "fp").select("doc_id", "fp", "component_id")
+    owner = linked.join(least, "root").select("fp", "component", "root")
+    known = stored(first.join(owner, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("group_fp"), F.coalesce("component", "doc").alias("component_id")), "component-of-fingerprint")
+    return prints.join(known, "fp").select("doc_id", "text_hash", "fp", "group_fp", "component_id")
+
+
+def keep_one_of_each(docs: DataFrame, words: int = 4, most: int = 4) -> DataFrame:
+    """One row of each near-duplicate group: that of the least doc_id (NULL last), all columns as they were.
+
+    Of rows that share it, the one with the least text hash stays, once.
+    """
+    near = near_duplicates(docs, words, most)
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+    kept = near.groupBy("group_fp").agg(F.min(order).alias("first")).select(F.col("first.id").alias("kept_id"), F.col("first.hash").alias("kept_hash"))
+    names = docs.columns
+    flat = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    own_id, own_hash = F.col(f"c{names.index('doc_id')}"), F.xxhash64(f"c{names.index('text')}")
+    rows = flat.withColumn("own_id", own_id).withColumn("own_hash", own_hash).join(
+        kept, F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("own_hash") == F.col("kept_hash")), "left_semi")
+    turn = F.row_number().over(W.partitionBy("own_id", "own_hash").orderBy("own_id"))
+    return rows.withColumn("turn", turn).where("turn = 1").select(*[f"c{i}" for i in range(len(names))]).toDF(*names)
