@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing, secrets, simhash, toxicity
+from . import langid, packing, secrets, simhash, sketch, toxicity
 from .common import documents
 from .registry import ORACLES, QUERIES, query
 
@@ -52,3 +52,15 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     found = langid.identify(docs, langid.train(docs))
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "languages")
+
+
+@query("op9_document_fingerprints")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    rows = sketch.document_fingerprints(documents(spark, folder))
+    own, edited, following = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
+    return rows.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        sketch.shown(own).alias("fingerprint"), sketch.shown(edited).alias("edited_fingerprint"),
+        sketch.resemblance(own, edited).alias("near_edited"), sketch.resemblance(own, following).alias("near_next"),
+        sketch.containment(own, edited).alias("contained_in_edited"), sketch.distinct_shingles(own).alias("n_shingles"),
+    )
