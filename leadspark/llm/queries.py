@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing, secrets, simhash, sketch, toxicity
+from . import langid, packing, pivots, secrets, simhash, sketch, tokens, toxicity
 from .common import documents
 from .registry import ORACLES, QUERIES, query
 
@@ -14,6 +14,7 @@ __all__ = ["ORACLES", "QUERIES"]
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 MAX_TOKENS = 2048
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 @query("op2_secret_scan")
@@ -64,3 +65,32 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
         sketch.resemblance(own, edited).alias("near_edited"), sketch.resemblance(own, following).alias("near_next"),
         sketch.containment(own, edited).alias("contained_in_edited"), sketch.distinct_shingles(own).alias("n_shingles"),
     )
+
+
+@query("op1_token_counts")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.count_tokens(documents(spark, folder), PIECES)
+
+
+OP10_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT query_id, vec_id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query("op10_pivot_top_k", OP10_SQL)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return pivots.top_products(documents(spark, folder, "embeddings"), query_every=50, k=5, factor=256)
