@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing, pivots, secrets, simhash, sketch, tokens, toxicity
+from . import html_content, langid, packing, pivots, sampling, secrets, simhash, sketch, tokens, toxicity
 from .common import documents
 from .registry import ORACLES, QUERIES, query
 
@@ -94,3 +94,13 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 @query("op10_pivot_top_k", OP10_SQL)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return pivots.top_products(documents(spark, folder, "embeddings"), query_every=50, k=5, factor=256)
+
+
+@query("op4_sampled_pieces")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return sampling.sample_segmentations(documents(spark, folder), PIECES)
+
+
+@query("op8_html_content")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return html_content.extract_pages(documents(spark, folder, "pages"))
