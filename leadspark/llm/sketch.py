@@ -86,7 +86,8 @@ def with_next(docs: DataFrame, columns: list[str], slices: int | None = None) ->
     """
     slices = slices or max(64, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ids = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("double").alias("v"))
-    cuts = sorted(set(ids.approxQuantile("v", [i / slices for i in range(1, slices)], 1 / (2 * slices))))
+    probes = [i / slices for i in range(1, slices)]
+    cuts = sorted(set(ids.approxQuantile("v", probes, 1 / (2 * slices)))) if probes else []
     edges = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
     number = F.coalesce(F.size(F.filter(edges, lambda e: e <= F.col("doc_id").cast("double"))), F.lit(-1))
     placed = docs.withColumn("slice", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(number))
