@@ -139,7 +139,7 @@ def x18(t):
                        F.md5(H.html_text("html", H.LISTING_DROP)).alias("listado"), F.md5(H.html_text("html", H.BULK_DROP)).alias("masivo"))
 
 
-@query("x19_join_texts", "SELECT doc_id, md5(substr(CASE WHEN lang = 'de' THEN source ELSE text || ' | ' || source END, 1, 12000)) AS texto FROM documents")
+@query("x19_join_texts", "SELECT doc_id, md5(CASE WHEN lang = 'de' THEN source ELSE text || ' | ' || source END) AS texto FROM documents")
 def x19(t):
     main = F.when(F.col("lang") == "de", "").otherwise(F.col("text"))
     return t.documents.select("doc_id", F.md5(T.join_texts(main, "source")).alias("texto"))

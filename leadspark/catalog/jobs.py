@@ -246,7 +246,7 @@ def q4(t):
 
 
 @query("q5_duplicate_review", f"""WITH k AS (SELECT ord, nombre, partido, {V.sort_tokens('nombre')} AS s, {V.norm('partido')} AS d FROM ({V.PART_SQL}))
-  SELECT a.ord AS ord_a, b.ord AS ord_b, substr(a.nombre, 1, 30) AS lead_a, substr(b.nombre, 1, 30) AS lead_b, 100 AS score, a.partido || ' / ' || b.partido AS partidos,
+  SELECT a.ord AS ord_a, b.ord AS ord_b, a.nombre AS lead_a, b.nombre AS lead_b, 100 AS score, a.partido || ' / ' || b.partido AS partidos,
   CASE WHEN a.d = b.d THEN 'nombre+partido' ELSE 'nombre' END AS match_type FROM k a JOIN k b ON a.s = b.s AND a.ord < b.ord ORDER BY a.ord, b.ord LIMIT 20""")
 def q5(t):
     empty = F.lit("")

@@ -8,7 +8,7 @@ from ..functions import extract as X
 from ..functions import html as H
 from ..functions import text as X1
 from ..operators import crawlplan, dedup, discover, enrich, quality, report
-from ..operators.grouping import first_per_group
+from ..operators.grouping import first_per_group, global_row_number
 from ..schemas import VERTICALS, vertical_dimension
 from ..sources import lead_csv, ledger
 from . import views as V
@@ -113,7 +113,7 @@ def j7(t):
     site = X1.url_domain("url")
     base = t.pages.filter(F.col("url").contains("/fr/")).select(site.alias("sitio_web"), F.lit(1).alias("origen"))
     extra = t.pages.select("page_id", F.when(~F.col("url").contains("?"), site).alias("sitio_web"))
-    out = discover.supplement(base, extra, 1_000_000_000)
+    out = discover.supplement(base, extra)
     return out.filter("origen is null").select("page_id", F.col("sitio_web").alias("sitio"))
 
 
@@ -378,9 +378,9 @@ def w6(t):
     return report.with_chunks(t.orders.select("o_orderkey"), "o_orderkey", 100)
 
 
-@query("w7_latest_run", "SELECT user_id, max_by(event_id, (ts, event_id)) AS event_id FROM events WHERE event_type = 'signup' GROUP BY 1")
+@query("w7_latest_run", "SELECT user_id, max_by(event_id, (ts, event_id)) AS event_id FROM events GROUP BY 1")
 def w7(t):
-    rows = t.events.filter("event_type = 'signup'").select(F.col("user_id").alias("vertical"), F.col("ts").alias("inicio"), F.col("event_id").alias("run_id"))
+    rows = t.events.select(F.col("user_id").alias("vertical"), F.col("ts").alias("inicio"), F.col("event_id").alias("run_id"))
     return ledger.latest_runs(rows).select(F.col("vertical").alias("user_id"), F.col("run_id").alias("event_id"))
 
 
@@ -484,13 +484,10 @@ def w15(t):
 # ---------------------------------------------------------------- T
 
 
-@query("t1_match_order", "SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS n FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 50")
+@query("t1_match_order", "SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS n FROM orders")
 def t1(t):
-    from pyspark.sql.window import Window as W
-
-    top = t.orders.orderBy(F.desc("o_totalprice"), "o_orderkey").limit(50)
-    position = F.row_number().over(W.orderBy(F.desc("o_totalprice"), "o_orderkey"))  # 50 rows
-    return top.select("o_orderkey", position.cast("long").alias("n"))
+    rows = t.orders.select("o_orderkey", (-F.col("o_totalprice")).alias("lowest"))
+    return global_row_number(rows, "lowest", "n", ties=("o_orderkey",)).select("o_orderkey", "n")
 
 
 @query("t2_top_pairs", f"""WITH k AS (SELECT ord, {V.sort_tokens('nombre')} AS s, {V.norm('partido')} AS d FROM ({V.PART_SQL}))
@@ -500,9 +497,9 @@ def t2(t):
     return dedup.top_matches(v_part(t), 20).select("ord_a", "ord_b", "score", "match_type")
 
 
-@query("t3_lots_newest_first", f"SELECT lote_id FROM ({LOTS_SQL}) ORDER BY creado_en DESC, lote_id LIMIT 40")
+@query("t3_lots_newest_first", f"SELECT lote_id FROM ({LOTS_SQL}) ORDER BY creado_en DESC, lote_id")
 def t3(t):
-    return ledger.filter_lots(v_lots(t)).limit(40).select("lote_id")
+    return ledger.filter_lots(v_lots(t)).select("lote_id")
 
 
 @query("t4_head_limit", "SELECT doc_id FROM documents ORDER BY doc_id LIMIT 100")
@@ -510,13 +507,10 @@ def t4(t):
     return discover.take_quota(t.documents.select("doc_id"), 100, ["doc_id"])
 
 
-@query("t5_prefer_ar", f"SELECT rank, row_number() OVER (ORDER BY CASE WHEN contains(url, '.com.ar') OR contains(url, '.org.ar') THEN 0 ELSE 1 END, rank) AS n FROM ({RESULTS}) ORDER BY n LIMIT 30")
+@query("t5_prefer_ar", f"SELECT rank, row_number() OVER (ORDER BY CASE WHEN contains(url, '.com.ar') OR contains(url, '.org.ar') THEN 0 ELSE 1 END, rank) AS n FROM ({RESULTS})")
 def t5(t):
-    from pyspark.sql.window import Window as W
-
-    best = search_results(t).orderBy(discover.prefer_ar_order("url"), "rank").limit(30)
-    n = F.row_number().over(W.orderBy(discover.prefer_ar_order("url"), "rank"))  # 30 rows
-    return best.select("rank", n.cast("long").alias("n"))
+    place = discover.prefer_ar_order("url").cast("long") * F.lit(1 << 40) + F.col("rank")
+    return global_row_number(search_results(t).select("rank", place.alias("place")), "place", "n").select("rank", "n")
 
 
 # ---------------------------------------------------------------- U
@@ -527,19 +521,19 @@ def u1(t):
     return discover.merge_sources(list(source_tables(t)), 1000)
 
 
-@query("u2_consolidate", with_cust("SELECT nombre, vertical, coalesce(email, '') AS email, CASE WHEN provincia = 'ASIA' THEN '' ELSE provincia END AS provincia FROM v WHERE provincia IN ('ASIA', 'AFRICA')"))
+@query("u2_consolidate", with_cust("SELECT nombre, vertical, coalesce(email, '') AS email, CASE WHEN provincia = 'ASIA' THEN '' ELSE provincia END AS provincia FROM v"))
 def u2(t):
     rows = lead_csv.export_row(typed_leads(t))
-    parts = [rows.filter("provincia = 'ASIA'").drop("provincia"), rows.filter("provincia = 'AFRICA'").withColumn("sobra", F.lit(1))]
+    parts = [rows.filter("provincia = 'ASIA'").drop("provincia"), rows.filter("provincia <> 'ASIA'").withColumn("sobra", F.lit(1))]
     return lead_csv.consolidate(parts).select("nombre", "vertical", "email", "provincia")
 
 
-@query("u3_supplement", f"""WITH b AS (SELECT page_id, {V.domain('url')} AS sitio_web FROM pages WHERE contains(url, '/fr/')), x AS (SELECT page_id, {V.domain('url')} AS sitio_web FROM pages WHERE contains(url, '/en/'))
+@query("u3_supplement", f"""WITH b AS (SELECT page_id, {V.domain('url')} AS sitio_web FROM pages WHERE contains(url, '/fr/')), x AS (SELECT page_id, {V.domain('url')} AS sitio_web FROM pages WHERE NOT contains(url, '/fr/'))
   SELECT * FROM b UNION ALL SELECT * FROM x WHERE sitio_web NOT IN (SELECT sitio_web FROM b)""")
 def u3(t):
     rows = t.pages.select("page_id", X1.url_domain("url").alias("sitio_web"), "url")
-    base, extra = rows.filter(F.col("url").contains("/fr/")).drop("url"), rows.filter(F.col("url").contains("/en/")).drop("url")
-    return discover.supplement(base, extra, 1_000_000_000)
+    base, extra = rows.filter(F.col("url").contains("/fr/")).drop("url"), rows.filter(~F.col("url").contains("/fr/")).drop("url")
+    return discover.supplement(base, extra)
 
 
 @query("u4_union_emails", f"SELECT doc_id, array_to_string(list_sort(list_distinct({V.hits('text', V.EMAIL_RE)} || ['admin' || doc_id::STRING || '@example.com'] || CASE WHEN lang = 'en' THEN ['info@example.com'] ELSE [] END)), ',') AS emails FROM documents")

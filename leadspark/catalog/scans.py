@@ -106,11 +106,11 @@ def s7(t):
     return jsonl.read_source_csv(t.spark, path, "c_custkey").select("row_id", "c_name", F.col("c_acctbal").cast("double").alias("c_acctbal"))
 
 
-@query("s8_latest_export", with_cust("SELECT nombre, vertical FROM v WHERE provincia = 'ASIA'"))
+@query("s8_latest_export", with_cust("SELECT nombre, vertical FROM v"))
 def s8(t):
     root = t.scratch("s8")
-    lead_csv.write_leads_csv(typed_leads(t).filter("provincia = 'AFRICA'"), f"{root}/a/consolidated.csv")
-    lead_csv.write_leads_csv(typed_leads(t).filter("provincia = 'ASIA'"), f"{root}/b/consolidated.csv")
+    lead_csv.write_leads_csv(typed_leads(t).filter("provincia IN ('AFRICA', 'AMERICA')"), f"{root}/a/consolidated.csv")
+    lead_csv.write_leads_csv(typed_leads(t), f"{root}/b/consolidated.csv")
     lead_csv.write_leads_csv(typed_leads(t).filter("provincia = 'EUROPE'"), f"{root}/c/lote.csv")
     return lead_csv.read_latest_export(t.spark, root).select("nombre", "vertical")
 
@@ -245,13 +245,13 @@ def p11(t):
     return ledger.short_ids(rows, "id", "fecha")
 
 
-@query("p12_batch_requests", f"""SELECT doc_id, md5('{prompts.REQUEST_BEFORE}' || substr(text, 1, 8000) || '{prompts.REQUEST_AFTER}') AS usuario,
+@query("p12_batch_requests", f"""SELECT doc_id, md5('{prompts.REQUEST_BEFORE}' || text || '{prompts.REQUEST_AFTER}') AS usuario, false AS truncated,
   CASE lang WHEN 'es' THEN 'Hoteles' WHEN 'en' THEN 'Clínicas Privadas' ELSE 'Empresas' END AS titulo FROM documents""")
 def p12(t):
     vertical = F.when(F.col("lang") == "es", "hoteles").when(F.col("lang") == "en", "clinicas").otherwise("empresas")
     pages = t.documents.select("doc_id", vertical.alias("vertical"), "text")
     out = prompts.batch_requests(pages, prompts.prompt_table(t.spark))
-    return out.select("doc_id", F.md5("user").alias("usuario"), F.regexp_extract("system", r"^# Prompt de extracción — (.*)\n", 1).alias("titulo"))
+    return out.select("doc_id", F.md5("user").alias("usuario"), "truncated", F.regexp_extract("system", r"^# Prompt de extracción — (.*)\n", 1).alias("titulo"))
 
 
 # ---------------------------------------------------------------- F
@@ -428,13 +428,13 @@ def f18(t):
 
 VERTICAL_EVENTS_SQL = f"""SELECT {V.VERTICAL_OF_NATION} AS vertical, o_orderdate AS ts, o_orderkey,
   CASE WHEN o_orderstatus = 'F' AND o_totalprice > 400000 AND n_nationkey % 15 <> 0 THEN 'desactivar' ELSE 'activar' END AS accion
-  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE n_nationkey < 13"""
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"""
 
 
 def vertical_events(t):
     """Activations told by orders; large finished orders deactivate (never the base vertical)."""
     base = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(
-        t.nation.filter("n_nationkey < 13"), F.col("c_nationkey") == F.col("n_nationkey"))
+        t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     off = "o_orderstatus = 'F' AND o_totalprice > 400000 AND n_nationkey % 15 <> 0"
     # The order key in microseconds keeps the times unique.
     ts = F.timestamp_micros(F.unix_micros(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey"))
@@ -452,8 +452,7 @@ LIVE_SQL = f"""e AS (SELECT vertical, accion, ts + to_microseconds(o_orderkey) A
 @query("f19_is_active", f"WITH {LIVE_SQL} SELECT vertical, vertical IN (SELECT vertical FROM live) OR vertical = 'barrios_privados' AS active FROM (SELECT DISTINCT vertical FROM e)")
 def f19(t):
     events = vertical_events(t)
-    active = ledger.active_verticals(events).select("vertical", F.lit(True).alias("a"))
-    return events.select("vertical").distinct().join(active, "vertical", "left").select("vertical", F.coalesce("a", F.lit(False)).alias("active"))
+    return ledger.are_active(events.select("vertical").distinct(), ledger.active_verticals(events))
 
 
 @query("f20_upload_gate", with_cust(f"SELECT vertical, avg({V.score()}) >= 40 AND count(*) >= 5 AS upload_ready FROM v GROUP BY vertical"))

@@ -73,14 +73,30 @@ def node_text(html, separator: str = " ") -> Column:
 
 
 def html_text(html, drop: list[str] = FETCH_DROP, separator: str = " ") -> Column:
-    """Readable text of a page: the ``drop`` elements vanish with their content."""
-    tags = "|".join(drop)
-    kept = F.regexp_replace(
-        F.regexp_replace(F.coalesce(_col(html), F.lit("")), r"(?s)<!--.*?-->", ""),
-        rf"(?is)<({tags})\b[^>]*>.*?</\1\s*>",
-        "<br>",
-    )
-    return node_text(kept, separator)
+    """Readable text of a page: the ``drop`` elements vanish with their content.
+
+    The page is cut at the start and end tags of these elements and folded from left to right: a
+    dropped element lasts to its own end tag, elements of its name within it included, or to the
+    end of the page. Scripts and styles hold no elements.
+    """
+    bare = F.regexp_replace(F.coalesce(_col(html), F.lit("")), r"(?s)<!--.*?-->", "")
+    tag = rf"(?is)</?(?:{'|'.join(drop)})(?![\w-])[^>]*>"
+    steps = F.arrays_zip(F.split(bare, tag, -1).alias("text"), F.concat(F.array(F.lit("")), F.regexp_extract_all(bare, F.lit(tag), F.lit(0))).alias("tag"))
+    start = F.struct(F.lit("").alias("within"), F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept"))
+
+    def fold(state: Column, step: Column) -> Column:
+        name = F.lower(F.regexp_extract(step["tag"], r"^</?(\w+)", 1))
+        ends, inside = step["tag"].startswith("</"), state["depth"] > 0
+        own = name == state["within"]
+        nests = own & ~name.isin("script", "style")
+        depth = F.when(step["tag"] == "", state["depth"]).when(
+            inside, state["depth"] + F.when(own & ends, -1).when(nests, 1).otherwise(0)).when(ends, 0).otherwise(1)
+        return F.struct(
+            F.when(inside, state["within"]).otherwise(name).alias("within"), depth.alias("depth"),
+            F.when(depth > 0, state["kept"]).otherwise(F.concat(state["kept"], F.array(step["text"]))).alias("kept"))
+
+    kept = F.aggregate(steps, start, fold, lambda state: F.array_join(state["kept"], "<br>"))
+    return node_text(F.when(bare.rlike(tag), kept).otherwise(bare), separator)
 
 
 def has_content(text) -> Column:

@@ -217,9 +217,10 @@ def geocode_query(direccion, localidad, partido, provincia, pais=None) -> Column
     )
 
 
-def join_texts(main, sub, limit: int = 12_000) -> Column:
-    """Home text and sub-page text as one budgeted text."""
-    return F.substring(F.concat_ws(" | ", blank_to_null(main), blank_to_null(sub)), 1, limit)
+def join_texts(main, sub, limit: int | None = None) -> Column:
+    """Home text and sub-page text as one text, cut to a budget if one is given."""
+    both = F.concat_ws(" | ", blank_to_null(main), blank_to_null(sub))
+    return both if limit is None else F.substring(both, 1, limit)
 
 
 # ---------------------------------------------------------------- time

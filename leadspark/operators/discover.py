@@ -321,16 +321,16 @@ def primary_or_fallback(df: DataFrame, group: list[str]) -> DataFrame:
     return df.join(best, group).filter(F.col("prioridad") == F.col("__best")).drop("__best")
 
 
-def supplement(base: DataFrame, extra: DataFrame, limit: int) -> DataFrame:
-    """Extra candidates with new sites, only when the base has fewer than ``limit/2`` rows.
+def supplement(base: DataFrame, extra: DataFrame, limit: int | None = None) -> DataFrame:
+    """The base and extra candidates with new sites.
 
-    Extra rows without a site always pass; extras are not compared among themselves.
+    With a ``limit``, extras come only if the base has fewer than ``limit/2`` rows. Extra rows without a site always pass; extras are not compared among themselves.
     """
     known = base.filter(truthy("sitio_web")).select("sitio_web").distinct()
     fresh = extra.join(known, "sitio_web", "left_anti")
-    short = base.select(F.lit(1).alias("x")).limit(max(limit // 2, 0)).agg(F.count("x") < limit // 2)
-    gated = fresh.filter(short.scalar())
-    return base.unionByName(gated, allowMissingColumns=True)
+    if limit is not None:
+        fresh = fresh.filter(base.agg(F.count(F.lit(1)) < limit // 2).scalar())
+    return base.unionByName(fresh, allowMissingColumns=True)
 
 
 def discovery_totals(df: DataFrame) -> DataFrame:
@@ -365,7 +365,7 @@ def pick_contact_page(pages: DataFrame, priority: DataFrame, min_chars: int = 30
     """
     ok = pages.filter(F.length("text") >= min_chars).filter(
         F.regexp_replace("url", "/+$", "") != F.regexp_replace(F.coalesce("home_url", F.lit("")), "/+$", ""))
-    return first_per_group(ok.join(F.broadcast(priority), "path"), ["site"], ["priority"])
+    return first_per_group(ok.join(priority, "path"), ["site"], ["priority"])
 
 
 def cut_listing(pages: DataFrame, portal: list[str], page_col: str = "page", rows_col: str = "rows",

@@ -145,12 +145,14 @@ def mark_enriched(leads: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- extraction records (v1)
 
 
-def extraction_records(pages: DataFrame, answers: DataFrame | None = None, at: Column | None = None) -> DataFrame:
+def extraction_records(pages: DataFrame, answers: DataFrame | None = None, at: Column | None = None,
+                       keep: tuple[str, ...] = ()) -> DataFrame:
     """Extraction record per page ``(id, nombre, url, text)``.
 
     ``answers`` ``(id, provider, contactos, emails_generales, telefono_general, tiene_datos_contacto)``
     is what the answer waterfall gave; pages without one are regex only.
-    Contacts that break the rules make the whole answer a failure.
+    Contacts that break the rules make the whole answer a failure. Addresses, phones and emptiness
+    are those of the whole text; ``keep`` names page columns to carry along.
     """
     none = F.lit(None)
     if answers is None:
@@ -161,7 +163,7 @@ def extraction_records(pages: DataFrame, answers: DataFrame | None = None, at: C
         valid = answers.filter(~F.exists(F.coalesce("contactos", F.array().cast(f"array<{_CONTACTS}>")),
                                          lambda c: contact_reject_reason(c).isNotNull()))
         df = left_lookup(pages, valid.withColumn("contactos", F.transform("contactos", clean_contact)), ["id"])
-    blank = F.trim(cut_text("text", EXTRACTION_BUDGET)) == ""
+    blank = F.trim("text") == ""
     answered = ~blank & F.col("provider").isNotNull()
     empty = F.array().cast("array<string>")
     return df.select(
@@ -175,6 +177,7 @@ def extraction_records(pages: DataFrame, answers: DataFrame | None = None, at: C
         F.date_format(F.current_timestamp() if at is None else at, "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
         F.when(answered, F.col("tiene_datos_contacto")).alias("tiene_datos_contacto_llm"),
         F.when(answered, union_emails(emails_in("text"), "contactos", "emails_generales")).alias("todos_los_emails_unificados"),
+        *keep,
     )
 
 

@@ -78,8 +78,11 @@ def order_bucket(df: DataFrame, col: str) -> Column:
     return F.floor(F.col(col) / 100_000)
 
 
-def global_row_number(df: DataFrame, order_col: str, name: str = "row_no", buckets: int | None = None) -> DataFrame:
-    """1-based position by a numeric, unique ``order_col`` without a single-task sort.
+def global_row_number(df: DataFrame, order_col: str, name: str = "row_no", buckets: int | None = None,
+                      ties: tuple[str, ...] = ()) -> DataFrame:
+    """1-based position by a numeric ``order_col`` without a single-task sort.
+
+    ``ties`` are the columns that put rows of equal ``order_col`` in order; few rows may share one.
 
     The value range is cut at a bounded number of quantiles (the only thing the
     driver sees); rows are numbered inside their slice and shifted by the sizes
@@ -95,7 +98,7 @@ def global_row_number(df: DataFrame, order_col: str, name: str = "row_no", bucke
     # At most `buckets` rows reach this window.
     before = F.sum("__n").over(W.orderBy("__slice").rowsBetween(W.unboundedPreceding, -1))
     offsets = sizes.select("__slice", F.coalesce(before, F.lit(0)).alias("__before"))
-    local = F.row_number().over(W.partitionBy("__slice").orderBy(order_col))
+    local = F.row_number().over(W.partitionBy("__slice").orderBy(order_col, *ties))
     return (
         sliced.withColumn("__local", local)
         .join(F.broadcast(offsets), "__slice")

@@ -167,16 +167,22 @@ def generate_missing(spark: SparkSession, existing: DataFrame) -> DataFrame:
     return missing_prompts(prompt_table(spark), existing)
 
 
-def batch_requests(pages: DataFrame, prompts: DataFrame, limit: int = REQUEST_BUDGET) -> DataFrame:
-    """Request rows (system and user text) of pages ``(..., vertical, text)``.
+def _request_text(before: str, after: str, limit: int | None) -> dict[str, Column]:
+    """The user text, and whether a budget (characters; None: none) cut the page text in it."""
+    text = F.col("text") if limit is None else cut_text("text", limit)
+    cut = F.lit(False) if limit is None else F.coalesce(F.length("text") > limit, F.lit(False))
+    return {"user": F.concat(F.lit(before), text, F.lit(after)), "truncated": cut}
 
-    The prompt table has one row per vertical (15): a fixed size.
+
+def batch_requests(pages: DataFrame, prompts: DataFrame, limit: int | None = None) -> DataFrame:
+    """Request rows (system and user text, ``truncated``) of pages ``(..., vertical, text)``.
+
+    The prompt table has one row per vertical, so Spark broadcasts it by its size.
     """
-    user = F.concat(F.lit(REQUEST_BEFORE), cut_text("text", limit), F.lit(REQUEST_AFTER))
-    return pages.join(F.broadcast(prompts.select("vertical", F.col("prompt").alias("system"))), "vertical").withColumn("user", user)
+    system = prompts.select("vertical", F.col("prompt").alias("system"))
+    return pages.join(system, "vertical").withColumns(_request_text(REQUEST_BEFORE, REQUEST_AFTER, limit))
 
 
-def contact_requests(pages: DataFrame) -> DataFrame:
+def contact_requests(pages: DataFrame, limit: int | None = None) -> DataFrame:
     """Request rows of the contact extraction."""
-    user = F.concat(F.lit(CONTACT_BEFORE), cut_text("text", EXTRACTION_BUDGET), F.lit(CONTACT_AFTER))
-    return pages.withColumn("system", F.lit(CONTACT_SYSTEM)).withColumn("user", user)
+    return pages.withColumn("system", F.lit(CONTACT_SYSTEM)).withColumns(_request_text(CONTACT_BEFORE, CONTACT_AFTER, limit))

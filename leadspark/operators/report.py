@@ -66,7 +66,7 @@ def contact_details(log: DataFrame) -> DataFrame:
         lambda c: F.concat(c["nombre_completo"], F.lit(" ("), F.coalesce(c["cargo"], F.lit("")), F.lit(")"))), "; ")
     keep = [c for c in ("ord",) if c in log.columns]
     return log.filter(_answered() | _has("todos_los_emails_unificados")).select(
-        *keep, "barrio_nombre", F.substring(F.coalesce("url_usada", F.lit("")), 1, 80).alias("url"), people.alias("personas"),
+        *keep, "barrio_nombre", F.coalesce("url_usada", F.lit("")).alias("url"), people.alias("personas"),
         F.array_join(F.coalesce("emails_generales_llm", F.array().cast("array<string>")), ", ").alias("emails_generales"),
         F.col("telefono_general_llm").alias("telefono"),
         F.when(~_answered(), F.array_join("emails_regex", ", ")).otherwise("").alias("regex_only"),

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.html import FETCH_DROP, html_text
-from ..functions.text import truthy, url_base
+from ..functions.text import join_texts, truthy, url_base
 from ..operators import dedup, quality, report
 from ..operators.discover import pick_contact_page, pick_search_result, take_quota
 from ..operators.enrich import (
@@ -26,7 +26,7 @@ from ..sources.lots import write_lot
 @dataclass
 class RunOptions:
     vertical: str
-    limit: int | None = 50
+    limit: int | None = None
     skip_geocoding: bool = False
     skip_email_validation: bool = False
     dry_run: bool = False
@@ -106,11 +106,10 @@ def extraction_job(source: DataFrame, log: DataFrame | None, search_results: Dat
     looked = left_lookup(todo.withColumn("url", F.nullif("url", F.lit(""))), main, ["url"]).withColumn(
         "site", F.nullif(url_base("url"), F.lit("")))
     looked = left_lookup(looked, subs, ["site"])
-    text = F.substring(F.concat_ws(" | ", F.nullif("main_text", F.lit("")), F.nullif("sub_text", F.lit(""))), 1, 12_000)
+    text = join_texts("main_text", "sub_text")
     ready = looked.select(F.col("row_id").alias("id"), "nombre", F.coalesce("url", F.lit("")).alias("url"), text.alias("text"))
-    records = extraction_records(ready, answers, at)
-    present = ready.select(F.col("id").cast("string").alias("barrio_id"), (F.col("text") != "").alias("__has"))
-    return mark_missing_pages(records.join(present, "barrio_id"), F.col("__has")).drop("__has")
+    records = extraction_records(ready.withColumn("__has", F.col("text") != ""), answers, at, keep=("__has",))
+    return mark_missing_pages(records, F.col("__has")).drop("__has")
 
 
 def quality_view(rows: DataFrame, runs: DataFrame, order_col: str = "ord") -> tuple[DataFrame, DataFrame]:
@@ -127,10 +126,10 @@ def production_job(new: DataFrame, production_rows: DataFrame | None, order_col:
 
 
 def duplicate_review(rows: DataFrame, order_col: str = "ord", k: int = 20) -> DataFrame:
-    """The k best duplicate candidates of an export, cut for display."""
+    """The k best duplicate candidates of an export."""
     top = dedup.top_matches(minimal_lead(rows).select(order_col, "nombre", "partido"), k, order_col)
     return top.select(
-        "ord_a", "ord_b", F.substring("nombre_a", 1, 30).alias("lead_a"), F.substring("nombre_b", 1, 30).alias("lead_b"),
+        "ord_a", "ord_b", F.col("nombre_a").alias("lead_a"), F.col("nombre_b").alias("lead_b"),
         F.round("score", 0).cast("int").alias("score"),
         F.concat(F.when(truthy("partido_a"), F.col("partido_a")).otherwise("—"), F.lit(" / "),
                  F.when(truthy("partido_b"), F.col("partido_b")).otherwise("—")).alias("partidos"), "match_type")

@@ -107,6 +107,12 @@ def is_active(active: DataFrame, vertical: str) -> DataFrame:
     return active.agg(F.coalesce(F.max(F.col("vertical") == vertical), F.lit(False)).alias("active"))
 
 
+def are_active(verticals: DataFrame, active: DataFrame) -> DataFrame:
+    """``verticals`` with the column ``active``."""
+    marked = active.select("vertical", F.lit(True).alias("active"))
+    return verticals.join(marked, "vertical", "left").withColumn("active", F.coalesce("active", F.lit(False)))
+
+
 def lot_states(events: DataFrame) -> DataFrame:
     """Latest state of every lot; a NULL in an event keeps the older value."""
     def newest(name: str):

@@ -210,3 +210,45 @@ def test_extraction_with_answers(spark):
     got = {r.barrio_id: r for r in enrich.extraction_records(pages, answers).collect()}
     assert got["1"].todos_los_emails_unificados == ["ana@y.com", "g@y.com", "x@y.com"]
     assert got["2"].error == "Texto vacío" and got["3"].modelo_usado == "regex_only"
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<nav>a<nav>b</nav>LEAK</nav><p>ok</p>", "ok"),
+    ("x<script>var a = '<nav>'; leak", "x"),
+    ("<header>h<nav>n</nav>i</header>t<footer>f", "t"),
+    ("</nav>keep<NAV class=a>gone</NAV >tail", "keep tail"),
+    ("<style>a{}</style><style>b{}</style>z", "z"),
+    ("<navy>stay</navy>", "stay"),
+    ("<nav>a<nav>b<nav>c</nav>d</nav>e</nav>f<nav>g", "f"),
+    (None, ""),
+])
+def test_dropped_elements_nested_and_unclosed(spark, page, text):
+    frame = spark.createDataFrame([(page,)], "html string")
+    assert frame.select(html.html_text("html")).first()[0] == text
+
+
+def test_nothing_is_cut_unless_asked(spark):
+    from leadspark.functions.text import join_texts
+    from leadspark.operators.enrich import extraction_records
+    from leadspark.operators.prompts import batch_requests, contact_requests
+    from leadspark.plans.jobs import RunOptions
+
+    assert RunOptions("hoteles").limit is None
+    far = " " * 6_000 + "x" * 20_000 + " mail a@b.com"
+    pages = spark.createDataFrame([(1, "n", "u", far, "hoteles"), (2, "m", "v", "   ", "hoteles")], "id long, nombre string, url string, text string, vertical string")
+    rows = {r.barrio_id: r for r in extraction_records(pages).collect()}
+    assert rows["1"].emails_regex == ["a@b.com"] and rows["1"].error is None and rows["2"].error == "Texto vacío"
+    assert pages.select(F.length(join_texts("text", "nombre"))).first()[0] == len(far) + 4
+    prompts = spark.createDataFrame([("hoteles", "p")], "vertical string, prompt string")
+    whole, cut = batch_requests(pages, prompts), batch_requests(pages, prompts, 100)
+    assert far in whole.where("id = 1").first().user and not whole.where("id = 1").first().truncated
+    assert {r.id: r.truncated for r in cut.collect()} == {1: True, 2: False}
+    assert far in contact_requests(pages).where("id = 1").first().user and contact_requests(pages, 5).where("truncated").count() == 1
+
+
+def test_supplement_gate_has_two_sides(spark):
+    base = spark.createDataFrame([("a.com",), ("b.com",)], "sitio_web string")
+    extra = spark.createDataFrame([("b.com",), ("c.com",)], "sitio_web string")
+    sites = lambda limit: sorted(r[0] for r in discover.supplement(base, extra, limit).collect())
+    assert sites(None) == sites(6) == ["a.com", "b.com", "c.com"]
+    assert sites(4) == ["a.com", "b.com"]
