@@ -14,7 +14,7 @@ from pyspark.sql.window import Window as W
 
 from ..functions.text import dedup_key, normalize_name, same_district, sort_tokens, squash_name
 from ..session import cut_lineage
-from .grouping import first_per_group
+from .grouping import first_per_group, null_safe_join
 from .similarity import similar_pairs
 
 DEFAULT_THRESHOLD = 85
@@ -183,43 +183,77 @@ def top_matches(df: DataFrame, k: int = 20, order_col: str = "ord", threshold: f
 
 
 def _edges(nodes: DataFrame, others: DataFrame | None, threshold: float, by: list[str]) -> DataFrame:
-    """Similar and district-compatible node pairs as ``(lo, hi)`` resp. ``(id_a, id_b)``."""
-    known = F.col("__d") != ""
-    a = nodes.withColumnRenamed("__s", "s")
-    b = a if others is None else others.withColumnRenamed("__s", "s")
-    parts = [similar_pairs(a.filter(known), None if others is None else b.filter(known), threshold, on=[*by, "__d"])]
-    # An unknown district is compatible with all: those few nodes meet everybody.
-    if not a.filter(~known).isEmpty():
-        parts.append(similar_pairs(a.filter(~known), b, threshold, on=by))
-    if others is not None and not b.filter(~known).isEmpty():
-        parts.append(similar_pairs(a.filter(known), b.filter(~known), threshold, on=by))
-    out = reduce(DataFrame.unionByName, parts)
+    """Similar and district-compatible node pairs as ``(lo, hi)`` resp. ``(id_a, id_b)``.
+
+    Names are scored once within ``by``, whatever their districts; the pairs of names are then
+    spread to the nodes that hold them. An unknown district is compatible with all.
+    """
+    def names(df: DataFrame) -> DataFrame:
+        return df.groupBy(*by, F.col("__s").alias("s")).agg(F.min("id").alias("id"))
+
+    own = cut_lineage(names(nodes))
+    far = own if others is None else cut_lineage(names(others))
+    scored = similar_pairs(own, None if others is None else far, threshold, on=by).select("id_a", "id_b")
+    if others is None:
+        # Both directions, and each name with itself: its nodes differ in the district.
+        back = scored.select(F.col("id_b").alias("id_a"), F.col("id_a").alias("id_b"))
+        scored = scored.unionByName(back).unionByName(own.select(F.col("id").alias("id_a"), F.col("id").alias("id_b")))
+
+    def spread(df: DataFrame, of: DataFrame, side: str) -> DataFrame:
+        """(id of the name, id and district of a node with it)"""
+        held = of.select(*by, F.col("s").alias("__s"), F.col("id").alias(f"id_{side}"))
+        return null_safe_join(df, held, [*by, "__s"]).select(f"id_{side}", F.col("id").alias(f"node_{side}"), F.col("__d").alias(f"d_{side}"))
+
+    left, right = spread(nodes, own, "a"), spread(nodes if others is None else others, far, "b")
+    held = cut_lineage(scored.join(left, "id_a"))
+    same = held.filter("d_a <> ''").withColumnRenamed("d_a", "d_b").join(right, ["id_b", "d_b"])
+    either = held.filter("d_a = ''").join(right, "id_b")
+    unknown = held.filter("d_a <> ''").join(right.filter("d_b = ''"), "id_b")
+    pairs = reduce(DataFrame.unionByName, [df.select("node_a", "node_b") for df in (same, either, unknown)])
     if others is not None:
-        return out.select("id_a", "id_b").distinct()
-    return out.filter("id_a <> id_b").select(
-        F.least("id_a", "id_b").alias("lo"), F.greatest("id_a", "id_b").alias("hi")
-    ).distinct()
+        return pairs.select(F.col("node_a").alias("id_a"), F.col("node_b").alias("id_b")).distinct()
+    return pairs.filter("node_a < node_b").select(F.col("node_a").alias("lo"), F.col("node_b").alias("hi")).distinct()
 
 
 def _greedy_removed(edges: DataFrame) -> DataFrame:
     """Nodes the in-order greedy scan removes, given all edges ``lo < hi``.
 
-    Rounds: a node without undecided lower neighbour stays, its higher
-    neighbours go; decided nodes leave the edge table.
+    A node with a kept lower neighbour is removed, one whose lower neighbours are all removed is
+    kept. A round decides what can be decided, in one checkpoint; edges of decided nodes leave.
     """
-    spark = edges.sparkSession
     edges = cut_lineage(edges)
-    removed = spark.createDataFrame([], edges.select(F.col("hi").alias("id")).schema)
-    while not edges.isEmpty():
-        kept = edges.select("lo").distinct().join(edges.select(F.col("hi").alias("lo")).distinct(), "lo", "left_anti")
-        gone = cut_lineage(edges.join(kept, "lo", "left_semi").select("hi").distinct())
-        removed = removed.unionByName(gone.withColumnRenamed("hi", "id"))
-        edges = cut_lineage(
-            edges.join(kept, "lo", "left_anti")
-            .join(gone, "hi", "left_anti")
-            .join(gone.withColumnRenamed("hi", "lo"), "lo", "left_anti")
-        )
-    return removed
+    highs = edges.select(F.col("hi").alias("lo"), F.lit("open").alias("low")).distinct()
+    edges = edges.join(highs, "lo", "left").withColumn("low", F.coalesce("low", F.lit("kept")))
+    removed = edges.select(F.col("hi").alias("id")).limit(0)
+    state = F.when(F.max(F.col("low") == "kept"), "removed").when(F.min(F.col("low") == "removed"), "kept").otherwise("open")
+    while True:
+        decided = edges.groupBy("hi").agg(state.alias("high"))
+        below = decided.select(F.col("hi").alias("lo"), F.col("high").alias("now"))
+        edges = cut_lineage(edges.join(decided, "hi").join(below, "lo", "left").select(
+            "lo", "hi", F.coalesce("now", "low").alias("low"), "high"))
+        removed = removed.unionByName(edges.filter("high = 'removed'").select(F.col("hi").alias("id")).distinct())
+        edges = edges.filter("high = 'open'").drop("high")
+        if edges.isEmpty():
+            return removed
+
+
+def _order_cut(df: DataFrame, size: int, buckets: int = 4096) -> int:
+    """An id with about ``size`` to ``2 * size`` rows up to it, by counts in equal slices of the id range.
+
+    A slice that holds too many is sliced again; the driver sees ``buckets`` counts a time.
+    """
+    low, high = df.agg(F.min("id"), F.max("id")).first()
+    before = 0
+    while True:
+        width = max(1, -(-(high - low + 1) // buckets))
+        counts = df.filter(F.col("id").between(low, high)).groupBy(F.floor((F.col("id") - low) / width).alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()
+        for k, n in sorted((r["k"], r["n"]) for r in counts):
+            if before + n >= size:
+                break
+            before += n
+        if width == 1 or before + n <= 2 * size:
+            return low + (k + 1) * width - 1
+        low, high = low + k * width, low + (k + 1) * width - 1
 
 
 def fuzzy_survivors(nodes: DataFrame, threshold: float, by: list[str], first_batch: int = FIRST_BATCH) -> DataFrame:
@@ -237,13 +271,15 @@ def fuzzy_survivors(nodes: DataFrame, threshold: float, by: list[str], first_bat
         if left <= 2 * size:
             batch, rest = undecided, None
         else:
-            cut = undecided.approxQuantile("id", [size / left], min(0.25 * size / left, 0.01))[0]
+            cut = _order_cut(undecided, size)
             batch, rest = undecided.filter(F.col("id") <= cut), undecided.filter(F.col("id") > cut)
         removed = _greedy_removed(_edges(batch, None, threshold, by))
-        kept = cut_lineage(batch.join(removed, "id", "left_anti"))
-        kept_all.append(kept.select("id"))
+        kept = batch.join(removed, "id", "left_anti")
         if rest is None:
+            kept_all.append(kept.select("id"))
             break
+        kept = cut_lineage(kept)
+        kept_all.append(kept.select("id"))
         hit = _edges(kept, rest, threshold, by).select(F.col("id_b").alias("id")).distinct()
         undecided = cut_lineage(rest.join(hit, "id", "left_anti"))
         left = undecided.count()

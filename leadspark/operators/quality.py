@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.scoring import (
     completeness, has_critical_contact, missing_fields, percent_band, percent_flag, quality_band, quality_score,
 )
-from ..functions.text import truthy
-from .dedup import DEFAULT_THRESHOLD, count_duplicates, dedup_exact, dedup_fuzzy, dedup_vs_production
+from ..functions.text import dedup_key, truthy
+from ..session import cut_lineage
+from .dedup import DEFAULT_THRESHOLD, dedup_vs_production, fuzzy_survivors, with_name_keys
 
 UPLOAD_MIN_SCORE, UPLOAD_MIN_ROWS = 40, 5
 
@@ -58,13 +59,14 @@ def summarize_batches(df: DataFrame, by: str = "vertical", order_col: str = "ord
 
     Fuzzy duplicates are the rows the greedy scan drops after the exact pass.
     """
-    exact = dedup_exact(df.select(by, "nombre", "partido", order_col), order_col, [by])
-    unique_n = exact.groupBy(by).agg(F.count(F.lit(1)).alias("__exact"))
-    fuzzy_n = dedup_fuzzy(exact, order_col, threshold, [by]).groupBy(by).agg(F.count(F.lit(1)).alias("__fuzzy"))
+    # One row per exact key: its first order stands for it, its name and district are those of the key.
+    rows = with_name_keys(df.select(by, "nombre", "partido", order_col)).withColumn("__k", dedup_key())
+    keys = cut_lineage(rows.groupBy(by, "__k").agg(F.count(F.lit(1)).alias("__n"), F.min(order_col).alias("id"), F.min_by(F.struct("__s", "__d"), order_col).alias("of"))).select("*", "of.*").drop("of")
+    exact_n = keys.groupBy(by).agg((F.sum("__n") - F.count(F.lit(1))).alias("exact_duplicates"), F.count(F.lit(1)).alias("__exact"))
+    nodes = keys.groupBy(by, "__s", "__d").agg(F.min("id").alias("id"))
+    fuzzy_n = nodes.join(fuzzy_survivors(nodes, threshold, [by]), "id", "left_semi").groupBy(by).agg(F.count(F.lit(1)).alias("__fuzzy"))
     out = (
-        field_metrics(df, [by])
-        .join(count_duplicates(df, [by]).withColumnRenamed("duplicates", "exact_duplicates"), by)
-        .join(unique_n, by).join(fuzzy_n, by)
+        field_metrics(df, [by]).join(exact_n, by).join(fuzzy_n, by)
         .withColumn("fuzzy_duplicates", F.col("__exact") - F.col("__fuzzy")).drop("__exact", "__fuzzy")
     )
     return high_quality_share(upload_ready(out))

@@ -290,14 +290,19 @@ def candidate_pairs(left: DataFrame, right: DataFrame | None, threshold: float,
         return cut_lineage(df.select("id", "s", *on, F.length("s").alias("len")).repartition(n))
 
     nodes = [prepare(df) for df in ([left] if self_join else [left, right])]
-    found = []
-    for route in routes(threshold):
-        if route[2] is not None and any(_in_route(df, route).isEmpty() for df in nodes):
-            continue
-        grams = [_in_route(df, route).select(F.explode_outer(_bucket_udf(route[0])("s")).alias("bucket")) for df in nodes]
-        counts = _histogram(reduce(DataFrame.unionByName, grams), GRAM_BUCKETS)
-        if not any(counts):
-            continue
+    found, passes = [], routes(threshold)
+    # Gram counts of all passes and sides in one job: at most 4 * GRAM_BUCKETS rows.
+    grams = [
+        _in_route(df, route).select(F.lit(i).alias("pass"), F.lit(side).alias("side"), F.explode_outer(_bucket_udf(route[0])("s")).alias("bucket"))
+        for i, route in enumerate(passes) for side, df in enumerate(nodes)]
+    seen = {(i, side): [0] * GRAM_BUCKETS for i in range(len(passes)) for side in range(len(nodes))}
+    for row in reduce(DataFrame.unionByName, grams).groupBy("pass", "side", "bucket").agg(F.count(F.lit(1)).alias("n")).collect():
+        seen[row["pass"], row["side"]][row["bucket"]] = row["n"]
+    for i, route in enumerate(passes):
+        sides = [seen[i, side] for side in range(len(nodes))]
+        if not all(any(counts) for counts in sides):
+            continue  # nothing to pair on one side
+        counts = [sum(n) for n in zip(*sides)]
         may_be_hot = max(counts) > block_rows  # a block is never bigger than its gram's count
 
         def pairs(short: DataFrame, long: DataFrame, order: str) -> DataFrame:
