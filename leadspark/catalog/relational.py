@@ -48,26 +48,36 @@ def j2(t):
     return dedup.exact_new(new_batch(t), production(t)).select("ord", "nombre")
 
 
-PAIRS_SQL = f"""k AS (SELECT ord, {V.sort_tokens('nombre')} AS s, {V.norm('partido')} AS d FROM ({V.PART_SQL})),
+def pairs_sql(rows: str, threshold: int) -> str:
+    return f"""k AS (SELECT ord, {V.sort_tokens('nombre')} AS s, {V.norm('partido')} AS d FROM ({rows})),
   g AS (SELECT s, d, count(*) AS n FROM k GROUP BY 1, 2),
   m AS (SELECT s, count(*) AS n, min(ord) AS first FROM k GROUP BY 1),
   own AS (SELECT s, sum(n * (n - 1) / 2) FILTER (WHERE d <> '') AS own FROM g GROUP BY 1),
-  e AS (SELECT a.s AS sa, b.s AS sb, {V.ratio('a.s', 'b.s')} AS score, a.n * b.n AS pairs, a.first AS fa, b.first AS fb
+  e AS (SELECT a.s AS sa, b.s AS sb, CASE WHEN {V.likely('a.s', 'b.s', threshold)} THEN {V.ratio('a.s', 'b.s')} END AS score, a.n * b.n AS pairs, a.first AS fa, b.first AS fb
     FROM m a JOIN m b ON a.first < b.first),
   both_d AS (SELECT a.s AS sa, b.s AS sb, sum(a.n * b.n) AS same FROM g a JOIN g b ON a.d = b.d AND a.d <> '' GROUP BY 1, 2)"""
 
 
-@query("j3_name_pairs", f"""WITH {PAIRS_SQL}
+def name_pairs_sql(rows: str, threshold: int) -> str:
+    return f"""WITH {pairs_sql(rows, threshold)}
   SELECT fa AS first_a, fb AS first_b, round(score, 6) AS score, pairs::BIGINT AS pairs, coalesce(same, 0)::BIGINT AS pairs_same_district
-  FROM e LEFT JOIN both_d USING (sa, sb) WHERE score >= 70
-  UNION ALL SELECT first, first, 100.0, (n * (n - 1) / 2)::BIGINT, coalesce(own, 0)::BIGINT FROM m JOIN own USING (s) WHERE n > 1""")
+  FROM e LEFT JOIN both_d USING (sa, sb) WHERE score >= {threshold}
+  UNION ALL SELECT first, first, 100.0, (n * (n - 1) / 2)::BIGINT, coalesce(own, 0)::BIGINT FROM m JOIN own USING (s) WHERE n > 1"""
+
+
+@query("j3_name_pairs", name_pairs_sql(V.PART_SQL, 70))
 def j3(t):
     return dedup.name_pairs(v_part(t), threshold=70).withColumn("score", F.round("score", 6))
 
 
-@query("j3_page_titles")
+TITLE_SQL = V.TITLE_SQL.format(V.node_text(r"regexp_extract(html, '(?is)<h1\b[^>]*>(.*?)</h1\s*>', 1)", ""))
+#: Low enough for many pairs of different titles.
+TITLE_THRESHOLD = 60
+
+
+@query("j3_page_titles", name_pairs_sql(TITLE_SQL, TITLE_THRESHOLD))
 def j3_titles(t):
-    return dedup.name_pairs(v_title(t), threshold=75)
+    return dedup.name_pairs(v_title(t), threshold=TITLE_THRESHOLD).withColumn("score", F.round("score", 6))
 
 
 @query("j4_vs_production", f"""WITH n AS (SELECT *, {V.sort_tokens('nombre')} AS s, {V.norm('partido')} AS d FROM ({NEW_SQL})
@@ -349,9 +359,9 @@ def w2(t):
     return dedup.dedup_fuzzy(v_part(t), threshold=70)
 
 
-@query("w2_dedup_fuzzy_titles")
+@query("w2_dedup_fuzzy_titles", f"WITH RECURSIVE {V.greedy(f'SELECT \'\' AS g, ord, nombre, partido FROM ({TITLE_SQL})', TITLE_THRESHOLD)} SELECT p.* FROM kept JOIN ({TITLE_SQL}) p USING (ord)")
 def w2_titles(t):
-    return dedup.dedup_fuzzy(v_title(t), threshold=75)
+    return dedup.dedup_fuzzy(v_title(t), threshold=TITLE_THRESHOLD)
 
 
 @query("w3_dedup_by_name", f"SELECT doc_id AS ord, md5(text) AS texto FROM documents QUALIFY row_number() OVER (PARTITION BY {V.squash('text')} ORDER BY doc_id) = 1")

@@ -65,6 +65,10 @@ def v_title(t: Tables) -> DataFrame:
     return t.pages.select(F.col("page_id").alias("ord"), first_element_text("html", ["h1"]).alias("nombre"), lang.alias("partido"))
 
 
+TITLE_SQL = (
+    r"SELECT page_id AS ord, {} AS nombre, regexp_extract(url, '^[a-z]+://[^/]*/([a-z]+)', 1) AS partido FROM pages")
+
+
 def with_cust(body: str) -> str:
     return f"WITH v AS ({CUST_SQL}) {body}"
 
@@ -99,6 +103,12 @@ def ratio(a: str, b: str) -> str:
     / (length({a}) + length({b})) END)"""
 
 
+def likely(a: str, b: str, threshold: int) -> str:
+    """Whether the letters that two texts share, in any order, could reach the ratio at all."""
+    common = f"coalesce(list_sum(list_transform(list_distinct(string_split({a}, '')), lambda c: least(length({a}) - length(replace({a}, c, '')), length({b}) - length(replace({b}, c, ''))))), 0)"
+    return f"(CASE WHEN length({a}) + length({b}) = 0 THEN true WHEN 200 * least(length({a}), length({b})) < {threshold} * (length({a}) + length({b})) THEN false ELSE 200 * {common} >= {threshold} * (length({a}) + length({b})) END)"
+
+
 def truthy(c: str) -> str:
     return f"coalesce({c}, '') <> ''"
 
@@ -158,7 +168,7 @@ def greedy(rows: str, threshold: int) -> str:
     """CTEs of the in-order greedy scan over ``rows`` (g, ord, nombre, partido); ``kept`` has (g, ord)."""
     return f"""nd AS (SELECT g, s, d, min(ord) AS ord FROM (SELECT g, ord, {sort_tokens('nombre')} AS s, {norm('partido')} AS d FROM ({rows})) GROUP BY ALL),
   u AS (SELECT DISTINCT g, s FROM nd), us AS (SELECT DISTINCT a.s AS sa, b.s AS sb FROM u a JOIN u b ON a.g = b.g AND a.s < b.s),
-  sp AS (SELECT sa, sb FROM us WHERE {ratio('sa', 'sb')} >= {threshold}),
+  sp AS (SELECT sa, sb FROM us WHERE CASE WHEN {likely('sa', 'sb', threshold)} THEN {ratio('sa', 'sb')} >= {threshold} ELSE false END),
   sym AS (SELECT sa, sb FROM sp UNION ALL SELECT sb, sa FROM sp UNION ALL SELECT DISTINCT s, s FROM u),
   nb AS (SELECT x.g, x.ord, list(y.ord) AS lower FROM nd x JOIN sym ON sym.sa = x.s JOIN nd y ON y.g = x.g AND y.s = sym.sb
     WHERE y.ord < x.ord AND (x.d = y.d OR x.d = '' OR y.d = '') GROUP BY ALL),
