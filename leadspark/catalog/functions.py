@@ -11,7 +11,7 @@ from ..functions import scoring as Q
 from ..functions import text as T
 from ..operators import crawlplan, discover, enrich, prompts
 from ..operators.quality import field_metrics, summary_bands
-from ..schemas import METADATA_FIELDS, vertical_dimension
+from ..schemas import METADATA_FIELDS, VERTICAL_TABLE, vertical_dimension
 from . import views as V
 from .registry import query
 from .scans import CARD_SQL, PAGE_TEXT, doc_pages
@@ -329,24 +329,57 @@ def x37_sector(t):
     return discover.sector_queries(names)
 
 
-@query("x37_vertical_queries", with_cust("""SELECT ord, n AS query_no FROM (SELECT ord, unnest(CASE WHEN vertical IN ('universidades', 'entes_estatales', 'consulados', 'embajadas', 'depositos_fiscales', 'empresas', 'plantas_industriales', 'terminales_portuarias', 'aeronauticas') THEN [0, 1] ELSE [0] END) AS n FROM v)"""))
+def quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_TEXTS = " ".join(f"WHEN {quoted(v)} THEN [{', '.join(map(quoted, qs))}]" for v, qs in discover.VERTICAL_QUERIES.items())
+
+
+@query("x37_vertical_queries", with_cust(f"""SELECT ord, unnest(range(len(t)))::INT AS query_no, unnest(t) AS query FROM (
+  SELECT ord, CASE vertical {_TEXTS} ELSE [replace({quoted(discover.GENERIC_QUERY)}, '{{name}}', replace(vertical, '_', ' '))] END AS t FROM v)"""))
 def x37_vertical(t):
-    return discover.vertical_queries(v_cust(t).select("ord", "vertical")).select("ord", "query_no")
+    return discover.vertical_queries(v_cust(t).select("ord", "vertical")).select("ord", "query_no", "query")
+
 
+# The field registry and the names of the verticals as SQL tables.
+_FIELD_ROWS = ", ".join(
+    f"({quoted(v)}, {i}, {quoted(f.name)}, {quoted(f.kind)}, [{', '.join(map(quoted, f.options))}]::VARCHAR[], {'NULL' if f.default is None else quoted(str(f.default).lower())})"
+    for v, fields in METADATA_FIELDS.items() for i, f in enumerate(fields))
+_NAME_ROWS = ", ".join(f"({quoted(v)}, {quoted(name)})" for v, name, _ in VERTICAL_TABLE)
+_KINDS = " ".join(f"WHEN {quoted(k)} THEN {quoted(text)}" for k, text in prompts.TYPE_TEXT.items())
+PROMPTS_SQL = f"""f(vertical, pos, name, kind, options, def) AS (VALUES {_FIELD_ROWS}), dim(vertical, display_name) AS (VALUES {_NAME_ROWS}),
+  lines AS (SELECT vertical, pos, name, '- ' || name || ': ' || CASE WHEN kind = 'enum' THEN array_to_string(list_transform(options, lambda o: chr(39) || o || chr(39)), ', ') || ' | null'
+      WHEN kind = 'bool' AND def IS NOT NULL THEN 'true/false' ELSE CASE kind {_KINDS} END END AS doc,
+    '    "' || name || '": ' || coalesce(def, CASE WHEN kind = 'list' THEN '[]' ELSE 'null' END) AS js FROM f),
+  texts AS (SELECT vertical, string_agg(doc, chr(10) ORDER BY pos) AS docs, string_agg(js, ',' || chr(10) ORDER BY pos) AS jsons, string_agg(name, ', ' ORDER BY pos) AS names FROM lines GROUP BY 1),
+  own AS (SELECT vertical, replace({quoted(prompts.PROMPT_HEAD)}, '{{display_name}}', display_name) || docs || {quoted(prompts.PROMPT_FORMAT)} || jsons || {quoted(prompts.PROMPT_TAIL)} AS prompt FROM dim JOIN texts USING (vertical)),
+  gen AS (SELECT vertical, {quoted(prompts.GENERIC_PARTS[0])} || display_name || {quoted(prompts.GENERIC_PARTS[1])} || display_name || {quoted(prompts.GENERIC_PARTS[2])} || names || {quoted(prompts.GENERIC_PARTS[3])} AS prompt FROM dim JOIN texts USING (vertical))"""
 
-@query("x38_prompt_of_lead", with_cust("SELECT ord, CASE vertical WHEN 'consulados' THEN '- pais_representado: string | null' WHEN 'hoteles' THEN '- categoria_estrellas: número entero | null' END AS linea FROM v"))
+
+@query("x38_prompt_of_lead", f"WITH {PROMPTS_SQL}, v AS ({V.CUST_SQL}) SELECT ord, md5(prompt) AS prompt FROM v JOIN own USING (vertical)")
 def x38(t):
-    lines = prompts.prompt_table(t.spark)
-    first = F.when(F.col("vertical").isin("consulados", "hoteles"), F.regexp_extract("prompt", r"\(metadata\)\n(.*)\n", 1))
-    return v_cust(t).select("ord", "vertical").join(F.broadcast(lines), "vertical").select("ord", first.alias("linea"))
+    texts = prompts.prompt_table(t.spark).select("vertical", F.md5("prompt").alias("prompt"))
+    return v_cust(t).select("ord", "vertical").join(texts, "vertical").select("ord", "prompt")
 
 
-@query("x39_prompt_or_generic", with_cust("SELECT ord, vertical = 'hoteles' AS propio FROM v"))
+@query("x39_prompt_or_generic", f"WITH {PROMPTS_SQL}, v AS ({V.CUST_SQL}) SELECT ord, md5(CASE WHEN vertical = 'hoteles' THEN own.prompt ELSE gen.prompt END) AS prompt FROM v JOIN own USING (vertical) JOIN gen USING (vertical)")
 def x39(t):
-    dim = vertical_dimension(t.spark)
     own = prompts.prompt_table(t.spark).filter("vertical = 'hoteles'")
-    table = prompts.prompts_or_generic(dim, own)
-    return v_cust(t).select("ord", "vertical").join(F.broadcast(table), "vertical").select("ord", F.col("prompt").startswith("# Prompt").alias("propio"))
+    texts = prompts.prompts_or_generic(vertical_dimension(t.spark), own).select("vertical", F.md5("prompt").alias("prompt"))
+    return v_cust(t).select("ord", "vertical").join(texts, "vertical").select("ord", "prompt")
+
+
+@query("x39_missing_prompts", f"WITH {PROMPTS_SQL}, v AS ({V.CUST_SQL}) SELECT vertical, md5(prompt) AS prompt FROM own WHERE vertical NOT IN (SELECT vertical FROM v WHERE provincia = 'ASIA')")
+def x39_missing(t):
+    existing = v_cust(t).filter("provincia = 'ASIA'").select("vertical").distinct()
+    return prompts.generate_missing(t.spark, existing).select("vertical", F.md5("prompt").alias("prompt"))
+
+
+@query("p12_contact_requests", f"SELECT doc_id, md5({quoted(prompts.CONTACT_BEFORE)} || text || {quoted(prompts.CONTACT_AFTER)}) AS usuario, md5({quoted(prompts.CONTACT_SYSTEM)}) AS sistema FROM documents")
+def p12_contact(t):
+    rows = prompts.contact_requests(t.documents.select("doc_id", "text"))
+    return rows.select("doc_id", F.md5("user").alias("usuario"), F.md5("system").alias("sistema"))
 
 
 @query("x40_iso_times", "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS iso, date_trunc('second', ts) = ts AS exacto FROM events")

@@ -239,10 +239,11 @@ def q3(t):
   sc AS (SELECT ns.s, ps.ord, {V.ratio('ns.s', 'ps.s')} AS score FROM ns JOIN ps ON true),
   best AS (SELECT s, ord, score FROM sc WHERE score >= 85 QUALIFY row_number() OVER (PARTITION BY s ORDER BY score DESC, ord) = 1),
   m AS (SELECT c.ord FROM c JOIN best USING (s) JOIN p ON p.ord = best.ord WHERE c.d = p.d)
-  SELECT (SELECT count(*) FROM c) - (SELECT count(*) FROM m) AS total_new, (SELECT count(*) FROM m) AS already_in_production, (SELECT count(*) FROM n) AS total_checked""")
+  SELECT (SELECT count(*) FROM c) - (SELECT count(*) FROM m) AS total_new, (SELECT count(*) FROM m) AS already_in_production, (SELECT count(*) FROM n) AS total_checked,
+    round(((SELECT count(*) FROM c) - (SELECT count(*) FROM m)) * 100.0 / (SELECT count(*) FROM n), 6)::DOUBLE AS pct_new""")
 def q4(t):
     rows = production(t).withColumn("vertical", F.lit("hoteles"))
-    return jobs.production_job(new_batch(t), rows)[2].select("total_new", "already_in_production", "total_checked")
+    return jobs.production_job(new_batch(t), rows)[2].select("total_new", "already_in_production", "total_checked", F.round("pct_new", 6).alias("pct_new"))
 
 
 @query("q5_duplicate_review", f"""WITH k AS (SELECT ord, nombre, partido, {V.sort_tokens('nombre')} AS s, {V.norm('partido')} AS d FROM ({V.PART_SQL}))
