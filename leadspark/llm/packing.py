@@ -203,7 +203,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer: str, most: int = 2048, id_col:
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: Capacity = Capacity(), rule: str = "norm", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All documents in as few sequences as best fit gives: one row per piece.
 
-    Columns: doc_id, piece, start, length, ids_crc32, sequence_id, offset, sequence_bins.
+    Columns: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
     A NULL or empty text is its end id alone; a NULL id stays NULL; repeated rows are packed as
     often as they come; extra columns are ignored; an empty table gives no rows. The driver sees
     one count per length (``capacity.tokens`` at most).
