@@ -31,6 +31,12 @@ HEADLINE = [
     "w12_failure_streaks",
     "w13_pacing_plan",
     "q1_enrichment_run",
+    "q3_quality_view",
+    "q4_production_summary",
+    "q5_duplicate_review",
+    "x3_token_sort_ratio",
+    "st1_incremental",
+    "st2_streaming_streaks",
 ]
 
 

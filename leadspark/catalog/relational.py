@@ -71,8 +71,8 @@ def j3(t):
 
 
 TITLE_SQL = V.TITLE_SQL.format(V.node_text(r"regexp_extract(html, '(?is)<h1\b[^>]*>(.*?)</h1\s*>', 1)", ""))
-#: Low enough for many pairs of different titles.
-TITLE_THRESHOLD = 60
+#: Ratio from which titles count as alike.
+TITLE_THRESHOLD = 75
 
 
 @query("j3_page_titles", name_pairs_sql(TITLE_SQL, TITLE_THRESHOLD))
