@@ -27,7 +27,9 @@ SMOOTHING = 0.0005
 #: Segmentations of a text.
 SAMPLES = 2
 #: Distinct words whose lattices a task keeps.
-KEPT_WORDS = 150_000
+KEPT_WORDS = 200_000
+#: Decisions looked at one by one, and the log mass (relative) from which later ones stay together.
+NEAR, FAR_MASS = 512, 40.0
 
 
 class Codec:
@@ -52,16 +54,22 @@ class Codec:
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.byte_ids = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        self.byte_of = {i: bytes([b]) for b, i in enumerate(self.byte_ids)}
+        # Bytes of ASCII are characters by themselves.
         self.text_of = [model.id_to_piece(i).replace(SPACE, " ") for i in range(model.get_piece_size())]
+        self.high_bytes = {}
+        for b, i in enumerate(self.byte_ids):
+            if b < 0x80:
+                self.text_of[i] = chr(b)
+            else:
+                self.high_bytes[i] = bytes([b])
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: marks are spaces, byte pieces bytes, and the space before the text goes."""
-        names, bytes_of = self.text_of, self.byte_of
-        if bytes_of.keys().isdisjoint(ids):
+        names, high = self.text_of, self.high_bytes
+        if high.keys().isdisjoint(ids):
             text = "".join([names[i] for i in ids])
         else:
-            text = b"".join([bytes_of.get(i) or names[i].encode() for i in ids]).decode("utf-8", "replace")
+            text = b"".join([high.get(i) or names[i].encode() for i in ids]).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -70,15 +78,25 @@ class Lattice:
 
     Pieces are sorted by the node they end at: ``start`` position, ``piece`` (a row of the
     codec's tables, -1 - c for character c without one), conditional log probability, and
-    node number plus cumulative probability, for drawing by binary search.
+    cumulative probability within the node (``key``), for drawing.
     """
 
     def __init__(self, codec: Codec, smoothing: float):
         self.codec, self.smoothing, self.number = codec, smoothing, {}
+        self.room: dict[str, np.ndarray] = {}
         self.length = self.base = self.first = self.many = np.zeros(0, dtype=np.int64)
         self.start = self.piece = np.zeros(0, dtype=np.int32)
         self.log_p = self.key = np.zeros(0)
 
+    def _append(self, name: str, values: np.ndarray) -> None:
+        """More rows for one of the tables, whose room doubles when it is full."""
+        held, size = getattr(self, name), len(getattr(self, name)) + len(values)
+        if name not in self.room or len(self.room[name]) < size:
+            self.room[name] = np.empty(max(2 * len(held), size), dtype=held.dtype)
+            self.room[name][: len(held)] = held
+        self.room[name][len(held) : size] = values
+        setattr(self, name, self.room[name][:size])
+
     def words_of(self, text: str) -> np.ndarray:
         """Numbers of the words of a text; new words get the next ones, ``extend`` adds their nodes."""
         number = self.number
@@ -129,14 +147,14 @@ class Lattice:
         p = np.exp(log_p)
         cumulative = np.cumsum(p)
         within = cumulative - np.repeat(cumulative[first] - p[first], count)
-        key = node + ends + np.minimum(within / np.repeat(within[first + count - 1], count), 1.0)
-        key[first + count - 1] = node + ends[first] + 1.0
+        share = np.minimum(within / np.repeat(within[first + count - 1], count), 1.0)
+        share[first + count - 1] = 1.0
         first_of, many_of = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.int64)
         first_of[ends[first]], many_of[ends[first]] = arc + first, count
         added = {"length": lengths, "base": node + base, "first": first_of, "many": many_of,
-                 "start": (start - base[word]).astype(np.int32), "piece": piece.astype(np.int32), "log_p": log_p, "key": key}
+                 "start": start - base[word], "piece": piece, "log_p": log_p, "key": share}
         for name, values in added.items():
-            setattr(self, name, np.concatenate([getattr(self, name), values]))
+            self._append(name, values)
 
 
 def uniform(key: np.ndarray, a: np.ndarray, b: np.ndarray, c: int) -> np.ndarray:
@@ -174,8 +192,12 @@ class Sampler:
         while len(todo):
             node = lattice.base[word[todo]] + at[todo]
             u = uniform(key[todo], local[todo], step[todo] + count[todo], draw)
-            # Rounding of node + u must not leave the node.
-            arc = np.clip(np.searchsorted(lattice.key, node + u, side="left"), lattice.first[node], lattice.first[node] + lattice.many[node] - 1)
+            arc = lattice.first[node]
+            # The pieces of a node are few: step on while the cumulative probability is too low.
+            on = np.flatnonzero(lattice.key[arc] < u)
+            while len(on):
+                arc[on] += 1
+                on = on[lattice.key[arc[on]] < u[on]]
             rounds.append((todo, arc))
             count[todo] += 1
             at[todo] = lattice.start[arc]
@@ -188,14 +210,16 @@ class Sampler:
 
     def _sets(self, lattice: Lattice, path: _Path, word: np.ndarray, key: np.uint64, draw: int) -> list[tuple]:
         """The best sets that the rest of a path's set falls into, (value, decision, excluded pieces)."""
-        log_p = lattice.log_p[path.arcs]
-        before = np.concatenate([[0.0], np.cumsum(log_p)])
-        path.log_p = float(before[-1])
         at = path.fixed
-        if at >= len(log_p):
+        path.log_p = float(lattice.log_p[path.arcs].sum())
+        log_p = lattice.log_p[path.arcs[: at + NEAR]]
+        before = np.concatenate([[0.0], np.cumsum(log_p)])
+        if at >= len(path.arcs):
             return []
-        with np.errstate(divide="ignore"):
-            mass = before[at:-1] + np.log(-np.expm1(np.minimum(log_p[at:], 0.0)))
+        # Sets that leave the path late have hardly any mass; they stay together until they matter.
+        far = int(np.searchsorted(-before[at:], FAR_MASS - before[at], side="left")) + at
+        far = min(far, len(log_p))
+        mass = self._left(log_p[at:far]) + before[at:far]
         excluded = ()
         if path.without:
             # The first free decision has lost more pieces than the one taken.
@@ -204,12 +228,46 @@ class Sampler:
             left = [i for i in range(lattice.first[node], lattice.first[node] + lattice.many[node]) if i not in excluded]
             mass[0] = before[at] + (np.logaddexp.reduce(lattice.log_p[left]) if left else -np.inf)
         n = len(mass)
+        value = self._truncated(mass, path.value, key, at, draw)
+        best = np.argpartition(-value, self.samples)[: self.samples + 1] if n > self.samples + 1 else np.arange(n)
+        sets = [(float(value[i]), at + int(i), excluded if i == 0 and excluded else (int(path.arcs[at + i]),)) for i in best if value[i] > -np.inf]
+        if far < len(path.arcs):
+            rest = float(lattice.log_p[path.arcs[far:]].sum())
+            late = self._truncated(before[far : far + 1] + self._left(np.array([rest])), path.value, key, 1 << 43, draw)[0]
+            if late > -np.inf:
+                sets.append((float(late), far, None))
+        return sets
+
+    @staticmethod
+    def _left(log_p: np.ndarray) -> np.ndarray:
+        """Log probability of not taking a decision."""
+        with np.errstate(divide="ignore"):
+            return np.log(-np.expm1(np.minimum(log_p, 0.0)))
+
+    @staticmethod
+    def _truncated(mass: np.ndarray, limit: float, key: np.uint64, at: int, draw: int) -> np.ndarray:
+        """Gumbel values at the masses, truncated at the limit."""
+        n = len(mass)
         u = uniform(np.full(n, key), np.arange(at, at + n), np.full(n, 1 << 40), draw)
-        gumbel = mass - np.log(-np.log(u))
-        value = -np.logaddexp(-path.value, -gumbel)
+        value = -np.logaddexp(-limit, -(mass - np.log(-np.log(u))))
         value[np.isneginf(mass)] = -np.inf
-        best = np.argpartition(-value, self.samples)[: self.samples + 1] if n > self.samples + 1 else np.arange(n)
-        return [(float(value[i]), at + int(i), excluded if i == 0 and excluded else (int(path.arcs[at + i]),)) for i in best if value[i] > -np.inf]
+        return value
+
+    def _split(self, lattice: Lattice, path: _Path, value: float, far: int, key: np.uint64, draw: int) -> list[tuple]:
+        """The single sets of those kept together: one has their value, the others less."""
+        log_p = lattice.log_p[path.arcs[far:]]
+        mass = np.concatenate([[0.0], np.cumsum(log_p)[:-1]]) + self._left(log_p)
+        n = len(mass)
+        gumbel = mass - np.log(-np.log(uniform(np.full(n, key), np.arange(far, far + n), np.full(n, 1 << 44), draw)))
+        first = int(gumbel.argmax())
+        with np.errstate(divide="ignore", over="ignore"):
+            # Given the maximum, the other values are truncated at it.
+            shift = np.exp(-value) - np.exp(-gumbel[first]) + np.exp(-gumbel)
+            values = -np.log(np.maximum(shift, np.exp(-value)))
+        values[np.isneginf(mass)] = -np.inf
+        values[first] = value
+        best = np.argsort(-values, kind="stable")[: self.samples + 1]
+        return [(float(values[i]), far + int(i), (int(path.arcs[far + i]),)) for i in best if values[i] > -np.inf]
 
     @staticmethod
     def _node(lattice: Lattice, path: _Path, word: np.ndarray, decision: int) -> int:
@@ -247,9 +305,13 @@ class Sampler:
             for d in range(n):
                 if not queues[d]:
                     continue
-                best = max(range(len(queues[d])), key=lambda i: queues[d][i][0])
-                value, decision, excluded, parent = queues[d].pop(best)
-                path = paths[d][parent]
+                while True:
+                    best = max(range(len(queues[d])), key=lambda i: queues[d][i][0])
+                    value, decision, excluded, parent = queues[d].pop(best)
+                    path = paths[d][parent]
+                    if excluded is not None:
+                        break
+                    queues[d] += [(*s, parent) for s in self._split(lattice, path, value, decision, key[d], draw)]
                 o = int(np.searchsorted(path.offsets, decision, side="right")) - 1
                 node = self._node(lattice, path, words[d], decision)
                 left = np.array([i for i in range(lattice.first[node], lattice.first[node] + lattice.many[node]) if i not in excluded])
@@ -321,7 +383,7 @@ def sample_segmentations(docs: DataFrame, model: str, samples: int = SAMPLES, sm
 
         return step
 
-    return map_batches(source, start, "doc_id long, sample int, ids array<int>, n_pieces int, log_prob double, perturbed double, inclusion double, round_trip boolean", rows=600)
+    return map_batches(source, start, "doc_id long, sample int, ids array<int>, n_pieces int, log_prob double, perturbed double, inclusion double, round_trip boolean", rows=400)
 
 
 def decode_ids(rows: DataFrame, model: str, ids_col: str = "ids") -> DataFrame:

@@ -62,7 +62,11 @@ def segmentations(word, pieces, codec, smoothing):
 
 
 @pytest.mark.parametrize("text", ["the an", "in\nhe"])
-def test_samples_follow_the_model_without_replacement(text):
+@pytest.mark.parametrize("near", [(512, 40.0), (2, 0.2)])
+def test_samples_follow_the_model_without_replacement(text, near, monkeypatch):
+    # With a small horizon the sets kept together are split.
+    monkeypatch.setattr(sampling, "NEAR", near[0])
+    monkeypatch.setattr(sampling, "FAR_MASS", near[1])
     n, smoothing = 6000, 0.0001
     sampler = sampling.Sampler(PIECES, 2, smoothing)
     pieces = tokens.vocabulary(PIECES)
