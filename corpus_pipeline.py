@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadspark.llm import langid, packing, secrets, simhash, toxicity
+from leadspark.llm import langid, neardup, packing, secrets, toxicity
 from leadspark.llm.common import documents, stored
 from leadspark.llm.queries import BYTE_BPE, MAX_TOKENS
 
@@ -18,7 +18,7 @@ def drop_unidentified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_one_of_each(docs)
+    return neardup.keep_one_of_each(docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,17 +35,25 @@ from .components import connected_components
 BLOCK = 4096
 
 
-def fingerprint(text: str, words: int = 4, seed: int = 42) -> int:
-    """SimHash of the ``words``-word shingles (repeats count), ASCII letters lower-cased; 0 without words."""
+def shingle_hashes(text: str, words: int, seed: int = 42) -> np.ndarray:
+    """Hashes of the ``words``-word shingles in their order (repeats too), ASCII letters lower-cased; none without words."""
     tokens = text.encode("utf-8", "surrogatepass").lower().split()
     if not tokens:
-        return 0
+        return np.zeros(0, dtype="<u8")
     line, n = b" ".join(tokens), max(1, len(tokens) - words + 1)
     starts = np.zeros(len(tokens) + 1, dtype=np.int64)
     np.cumsum([len(t) + 1 for t in tokens], out=starts[1:])
     ends = (starts[min(words, len(tokens)) :] - 1).tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(line[a:b], seed) for a, b in zip(starts[:n].tolist(), ends, strict=False)], dtype="<u8")
+    return np.array([digest(line[a:b], seed) for a, b in zip(starts[:n].tolist(), ends, strict=False)], dtype="<u8")
+
+
+def fingerprint(text: str, words: int = 4, seed: int = 42) -> int:
+    """SimHash of the ``words``-word shingles (repeats count), ASCII letters lower-cased; 0 without words."""
+    hashes = shingle_hashes(text, words, seed)
+    n = len(hashes)
+    if not n:
+        return 0
     ones = np.zeros(64, dtype=np.int64)
     for at in range(0, n, 1 << 16):
         part = hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8)
@@ -265,9 +273,13 @@ def keep_one_of_each(docs: DataFrame, words: int = 4, most: int = 4) -> DataFram
 
     Of rows that share it, the one with the least text hash stays, once.
     """
-    near = near_duplicates(docs, words, most)
+    return keep_first(docs, near_duplicates(docs, words, most), "group_fp")
+
+
+def keep_first(docs: DataFrame, near: DataFrame, group: str) -> DataFrame:
+    """The one row of each ``group`` of ``near`` (doc_id, text_hash, group) that ``keep_one_of_each`` names."""
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
-    kept = near.groupBy("group_fp").agg(F.min(order).alias("first")).select(F.col("first.id").alias("kept_id"), F.col("first.hash").alias("kept_hash"))
+    kept = near.groupBy(group).agg(F.min(order).alias("first")).select(F.col("first.id").alias("kept_id"), F.col("first.hash").alias("kept_hash"))
     names = docs.columns
     flat = docs.toDF(*[f"c{i}" for i in range(len(names))])
     own_id, own_hash = F.col(f"c{names.index('doc_id')}"), F.xxhash64(f"c{names.index('text')}")

@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from oracle import compare, connect
 
-from leadspark.llm import components, langid, pivots, simhash, sketch, toxicity
+from leadspark.llm import components, langid, neardup, pivots, simhash, sketch, toxicity
 from leadspark.llm.queries import ORACLES, QUERIES
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -326,6 +326,53 @@ def test_bounds_skip_candidates_and_stay_exact():
         assert [(v, s) for k, v, s in found if k == i] == [(j, -s) for s, j in best]
 
 
+def test_pipeline_stage_drops_planted_near_copies(spark):
+    import corpus_pipeline
+
+    rnd = random.Random(11)
+    rows, similarity = [], {}
+    for size in (30, 100, 400):
+        for _ in range(25):
+            words = [rnd.choice("abcdefgh") + str(rnd.randrange(3000)) for _ in range(size)]
+            rows.append((len(rows), " ".join(words)))
+            copy = list(words)
+            for at in rnd.sample(range(size), rnd.randint(0, max(1, size // 40))):
+                copy[at] = "changed"
+            a, b = shingles(" ".join(words)), shingles(" ".join(copy))
+            similarity[len(rows)] = len(a & b) / len(a | b)
+            rows.append((len(rows), " ".join(copy).upper()))
+    left = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), FOLDER).collect()}
+    assert left == {i for i, _ in rows} - {i for i, s in similarity.items() if s >= 0.8}
+    assert sum(0.8 <= s < 0.9 for s in similarity.values()) > 5 and sum(0.6 < s < 0.8 for s in similarity.values()) > 5
+
+
+def test_chains_through_a_band(spark):
+    """Groups equal those of all pairs where few texts are alike to the least one of a band."""
+    rnd = random.Random(4)
+    words = [f"w{rnd.randrange(9000)}" for _ in range(120)]
+    rows = []
+    for i in range(60):
+        words = list(words)
+        for at in range(2 + i % 3):
+            words[(i * 13 + at * 40) % 120] = f"n{i}"
+        rows.append((i, " ".join(words)))
+    sets = [shingles(t) for _, t in rows]
+    label = list(range(60))
+    for _ in rows:
+        label = [min(label[j] for j in range(60) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])) for i in range(60)]
+    groups = {}
+    for r in neardup.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        groups.setdefault(r.group_id, set()).add(r.doc_id)
+    assert sorted(map(sorted, groups.values())) == sorted([i for i in range(60) if label[i] == r] for r in set(label))
+
+
+def test_near_copies_of_messy_rows(spark, messy):
+    kept = neardup.keep_one_of_each(messy)
+    assert kept.columns == messy.columns
+    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 2, 6, 7]
+    assert neardup.keep_one_of_each(messy.limit(0)).count() == 0
+
+
 def test_pipeline_equals_its_parts(spark, tmp_path):
     import corpus_pipeline
 
