@@ -3,12 +3,14 @@
 A worklist unwraps URL escapes, Unicode escapes, base64 and compressed layers until nothing
 new comes out. Each layer knows, for every character, the span of the original text it came
 from, so a secret found five layers deep is reported where its outermost code stands.
+
+A code need not begin or end where a run of its characters does: runs over line breaks are one, every phase
+of a run is decoded, and the printable stretches of the bytes and compressed data among them are layers.
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
@@ -57,27 +59,42 @@ def _plain(data: bytes) -> str | None:
     return text if text and not odd else None
 
 
-def _unpack(data: bytes) -> bytes | None:
-    """What compressed data holds; None if it is not compressed or broken."""
-    try:
-        if data.startswith(b"\x1f\x8b"):
-            return zlib.decompress(data, 47)
-        if data[:2] in _MAGIC:
-            return zlib.decompress(data)
-        if data.startswith(b"BZh"):
-            return bz2.decompress(data)
-        if data.startswith(b"\xfd7zXZ"):
-            return lzma.decompress(data)
-        if data.startswith(b"\x28\xb5\x2f\xfd"):
-            import zstandard
-
-            return zstandard.ZstdDecompressor().decompressobj().decompress(data)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-        return None
-    except Exception as error:  # zstandard has an error class of its own
-        if type(error).__name__ != "ZstdError":
-            raise
-    return None
+#: Printable stretches of decoded bytes; the shortest secret has 12 characters.
+_STRETCH = re.compile("[^\x00-\x08\x0e-\x1f\udc80-\udcff]{12,}")
+_MAGIC_AT = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
+#: Bytes fed to a decompressor at a time: what stands before a broken place comes out.
+_FED = 256
+
+
+def _decompressor(data: bytes):
+    if data.startswith(b"BZh"):
+        return bz2.BZ2Decompressor()
+    if data.startswith(b"\xfd7zXZ"):
+        return lzma.LZMADecompressor()
+    if data.startswith(b"\x28\xb5\x2f\xfd"):
+        import zstandard
+
+        return zstandard.ZstdDecompressor().decompressobj()
+    return zlib.decompressobj(47)
+
+
+def _unpack(data: bytes) -> tuple[bytes, int]:
+    """What compressed data holds, all members of it, up to its end or a broken place; how many bytes it took."""
+    out, at = [], 0
+    while _MAGIC_AT.match(data, at):
+        one, begun = _decompressor(data[at : at + 8]), at
+        try:
+            while at < len(data) and not one.eof:
+                out.append(one.decompress(data[at : at + _FED]))
+                at = min(len(data), at + _FED)
+        except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+            return b"".join(out), begun + 1 if at == begun else at
+        except Exception as error:  # zstandard has an error class of its own
+            if type(error).__name__ != "ZstdError":
+                raise
+            return b"".join(out), begun + 1 if at == begun else at
+        at -= len(one.unused_data)
+    return b"".join(out), at
 
 
 class Layer:
@@ -118,19 +135,22 @@ def _unescaped(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
 
 
 def _percent_units(m: re.Match) -> list[tuple[str, int, int]] | None:
-    data = bytes.fromhex(m[0].replace("%", ""))
-    text = _plain(data)
-    if text is None:
-        return None
-    units, at = [], m.start()
-    for c in text:
-        n = 3 * len(c.encode())
-        units.append((c, at, at + n))
+    """Units of the characters; bytes that are no text stay as they are written."""
+    data, at = bytes.fromhex(m[0].replace("%", "")), m.start()
+    units, changed = [], False
+    for c in data.decode("utf-8", "surrogateescape"):
+        n = 3 * len(c.encode("utf-8", "surrogateescape"))
+        if c < " " and c not in "\t\n\r\x0b\x0c" or "\udc80" <= c <= "\udcff":
+            units += [(m[0][i - m.start()], i, i + 1) for i in range(at, at + n)]
+        else:
+            units.append((c, at, at + n))
+            changed = True
         at += n
-    return units
+    return units if changed else None
 
 
 def _unicode_units(m: re.Match) -> list[tuple[str, int, int]] | None:
+    """Units of the characters; halves without a partner and numbers that are no character stay as they are written."""
     units: list[tuple[str, int, int]] = []
     for one in _UNICODE_ONE.finditer(m[0]):
         code = int(next(g for g in one.groups() if g), 16)
@@ -139,10 +159,64 @@ def _unicode_units(m: re.Match) -> list[tuple[str, int, int]] | None:
             high = units.pop()
             units.append((chr(0x10000 + ((ord(high[0]) - 0xD800) << 10) + code - 0xDC00), high[1], b))
         elif code > 0x10FFFF:
-            return None
+            units += [(m[0][i - m.start()], i, i + 1) for i in range(a, b)]
         else:
             units.append((chr(code), a, b))
-    return None if any(0xD800 <= ord(u[0]) < 0xE000 for u in units) else units
+    out = []
+    for c, a, b in units:
+        out += [(m[0][i - m.start()], i, i + 1) for i in range(a, b)] if 0xD800 <= ord(c) < 0xE000 else [(c, a, b)]
+    return out if "".join(u[0] for u in out) != m[0] else None
+
+
+def _byte_layers(layer: Layer, data: bytes, first: np.ndarray, last: np.ndarray, stretches: bool = True) -> list[Layer]:
+    """Layers in decoded bytes; ``first`` and ``last`` are the characters of ``layer`` that hold each byte."""
+    out, at = [], 0
+    while found := _MAGIC_AT.search(data, at):
+        unpacked, used = _unpack(data[found.start() :])
+        at = found.start() + max(1, used if unpacked else 1)
+        span = layer.span(int(first[found.start()]), int(last[at - 1]) + 1)
+        out += [Layer(m[0], *span) for m in _STRETCH.finditer(unpacked.decode("utf-8", "surrogateescape"))]
+    if not stretches:
+        return out
+    text = data.decode("utf-8", "surrogateescape")
+    for m in _STRETCH.finditer(text):
+        if len(text) == len(data):
+            begin = np.arange(m.start(), m.end() + 1)
+        else:
+            start = len(text[: m.start()].encode("utf-8", "surrogateescape"))
+            begin = start + np.concatenate([[0], np.cumsum([len(c.encode()) for c in m[0]])])
+        a, b = first[begin[:-1]], last[begin[1:] - 1]
+        out.append(Layer(m[0], layer.start, layer.end) if isinstance(layer.start, int) else Layer(m[0], layer.start[a], layer.end[b]))
+    return out
+
+
+def _whole(data: bytes) -> str | None:
+    """The text of decoded bytes that are text, or compressed text, from end to end."""
+    unpacked = _unpack(data)[0] if data.startswith(_MAGIC) else b""
+    return _plain(unpacked or data)
+
+
+def _run_layers(layer: Layer, run: re.Match, bits: int, decode, done: bool) -> list[Layer]:
+    """Layers in a run of characters of ``bits`` bits each, from every phase; ``done``: not from the first."""
+    places = np.array([i for i in range(run.start(), run.end()) if not layer.text[i].isspace() and layer.text[i] != "="])
+    code, out = "".join(layer.text[i] for i in places), []
+    for phase in range(1 if done else 0, 4 if bits == 6 else 2):
+        data = decode(code[phase:])
+        byte = np.arange(len(data))
+        out += _byte_layers(layer, data, places[phase + 8 * byte // bits], places[phase + (8 * byte + 7) // bits])
+    return out
+
+
+def _base64_bytes(code: str) -> bytes:
+    code = code.replace("-", "+").replace("_", "/")
+    # A run that is not a multiple of four long can have a stray character at its end.
+    if len(code) % 4 == 1:
+        code = code[:-1]
+    return base64.b64decode(code + "=" * (-len(code) % 4))
+
+
+def _hex_bytes(code: str) -> bytes:
+    return bytes.fromhex(code[: len(code) // 2 * 2])
 
 
 def _inner_layers(layer: Layer) -> list[Layer]:
@@ -150,31 +224,28 @@ def _inner_layers(layer: Layer) -> list[Layer]:
     text, out = layer.text, []
     if "%" in text and (found := _unescaped(layer, _PERCENT, _percent_units)):
         out.append(found)
+        for m in _PERCENT.finditer(text):
+            data = bytes.fromhex(m[0].replace("%", ""))
+            at = m.start() + 3 * np.arange(len(data))
+            out += _byte_layers(layer, data, at, at + 2, stretches=False)
     if "\\" in text and (found := _unescaped(layer, _UNICODE, _unicode_units)):
         out.append(found)
-    for m in _BASE64.finditer(text):
-        code = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        # A run that is not a multiple of four long can have a stray character at its end.
-        if len(code) % 4 == 1:
-            code = code[:-1]
-        try:
-            data = base64.b64decode(code + "=" * (-len(code) % 4), validate=True)
-        except (binascii.Error, ValueError):
-            continue
-        unpacked = _unpack(data) if data.startswith(_MAGIC) else None
-        inner = _plain(unpacked if unpacked is not None else data)
-        if inner is not None:
-            out.append(Layer(inner, *layer.span(m.start(), m.end())))
-    for m in _HEX_CODE.finditer(text):
-        data = bytes.fromhex(m[0][: len(m[0]) // 2 * 2])
-        unpacked = _unpack(data) if data.startswith(_MAGIC) else None
-        inner = _plain(unpacked if unpacked is not None else data)
-        if inner is not None:
-            out.append(Layer(inner, *layer.span(m.start(), m.end())))
+    for whole, wrapped, bits, decode in ((_BASE64, _BASE64_RUN, 6, _base64_bytes), (_HEX_CODE, _HEX_RUN, 4, _hex_bytes)):
+        done = set()
+        for m in whole.finditer(text):
+            inner = _whole(decode(m[0].rstrip("=")))
+            if inner is not None:
+                done.add(m.span())
+                out.append(Layer(inner, *layer.span(m.start(), m.end())))
+        for m in wrapped.finditer(text):
+            out += _run_layers(layer, m, bits, decode, m.span() in done)
     return out
 
 
 _HEX_CODE = re.compile(r"(?:[0-9a-f]{24,}|[0-9A-F]{24,})")
+#: Runs that go on after line breaks.
+_BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)*={0,2}")
+_HEX_RUN = re.compile(r"[0-9A-Fa-f]{16,}(?:\r?\n[ \t]*[0-9A-Fa-f]+)*")
 _ENCODED = re.compile(r"%[0-9A-Fa-f]{2}|\\[uUx]|[A-Za-z0-9+/_-]{16}")
 
 

@@ -1,6 +1,7 @@
 """Token counts, sampled pieces, packing, secrets and page text against plain Python."""
 
 import base64
+import bz2
 import gzip
 import math
 import random
@@ -228,6 +229,40 @@ def test_nested_layers_map_to_the_outer_span(layers):
     assert secrets.redact_text(text, "#").startswith("Ünser #") and "hunter" not in secrets.redact_text(text, "#")
 
 
+SECRET = "password = hunter2222"
+GAP = bytes([0, 27, 255])
+
+
+def wrapped(code, end="\n"):
+    return end.join(code[i : i + 76] for i in range(0, len(code), 76))
+
+
+def raw64(data):
+    return base64.b64encode(data).decode()
+
+
+@pytest.mark.parametrize("code", [
+    *(f"https://h/{'a' * n}/{b64(SECRET)}" for n in range(1, 5)), "id_" + b64(SECRET), "key-" + b64(SECRET).rstrip("=") + "/more",
+    wrapped(b64("x" * 50 + SECRET + " y" * 60)), wrapped(b64("x" * 50 + SECRET + " y" * 60), "\r\n  "),
+    wrapped(raw64(gzip.compress((" ".join(map(str, range(150))) + SECRET).encode(), mtime=0))),
+    raw64(GAP + SECRET.encode() + GAP), "p/" + raw64(b"\x1b" + gzip.compress(SECRET.encode(), mtime=0)), (GAP + SECRET.encode() + GAP).hex(), "a" + SECRET.encode().hex(),
+    raw64(gzip.compress(GAP + SECRET.encode() + GAP, mtime=0)), raw64(gzip.compress(b"nothing", mtime=0) + gzip.compress(SECRET.encode(), mtime=0)),
+    raw64(zlib.compress(b"nothing") + zlib.compress(SECRET.encode())), raw64(bz2.compress(b"nothing") + bz2.compress(SECRET.encode())),
+    "%00%FF" + url(SECRET), url(SECRET) + "%1B", "\\ud800" + escaped(SECRET), "".join(f"%{b:02x}" for b in gzip.compress(SECRET.encode(), mtime=0)) + "%41",
+])
+def test_codes_in_longer_or_broken_runs(code):
+    text = f"see {code} end"
+    found = [x for x in secrets.scan_text(text)[1] if x[1] == 0]
+    assert found and all(4 <= a < b <= len(text) - 4 for a, _, b in found)
+    left = secrets.redact_text(text, "#")
+    assert not [x for x in secrets.scan_text(left)[1] if x[1] == 0]
+
+
+def test_span_in_a_partly_binary_run_is_that_of_the_stretch():
+    code = raw64(b"\0" * 30 + SECRET.encode() + b"\0" * 30)
+    assert secrets.scan_text(code)[1] == [(40, 0, 40 + 28)]
+
+
 def test_partial_escapes_and_cycles_end():
     assert secrets.scan_text("x pass%77ord = hunter2222 y")[1] == [(2, 0, 25)]
     assert secrets.scan_text("%25%25%32%35 " * 50)[1] == []
