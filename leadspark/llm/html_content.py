@@ -5,7 +5,8 @@ knows its length, its tags, and how much of it stands in links. The text-to-tag
 lines, smoothed with a Gaussian and split by a two-means threshold, gives the content regions.
 Names of the blocks around a line decide first where they say what it is: nothing below
 navigation, headers, footers, forms, notices, adverts or comments is content, and where a page marks
-its article the regions are those of the article.
+its article the regions are those of the article. A class or id does not rule out what holds the
+marked article or most of the dense text.
 """
 
 from __future__ import annotations
@@ -25,13 +26,13 @@ from .common import map_batches, pick
 SIGMA = 1.0
 
 #: Elements whose text is never shown.
-UNSEEN = frozenset("script style noscript template iframe object svg math canvas head title".split())
+UNSEEN = frozenset("script style noscript template iframe canvas head title desc metadata annotation annotation-xml".split())
 #: Elements that are not the main text.
-ASIDE = frozenset("nav header footer aside form button select option textarea dialog menu figcaption".split())
+ASIDE = frozenset("nav header footer aside form button select option textarea dialog menu".split())
 #: Elements that mark the main text.
 ARTICLE = frozenset("article main".split())
 #: Elements that do not end a line.
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset("math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle mpadded msub msup msubsup munder mover munderover mmultiscripts semantics g path tspan a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Text-to-tag ratio (characters a tag) that is content wherever the clusters part.
 DENSE = 12.0
@@ -39,15 +40,34 @@ DENSE = 12.0
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Roles that say the same as elements.
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-#: Words in a class or id that mark what is not the main text.
-ASIDE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert(?:s|isements?|ising)?|banner|sponsor(?:ed|s)?|promo(?:tions?)?|nav(?:bar|igation)?|menu|sidebars?|aside|footer|header|masthead|breadcrumbs?|cookies?|consent|"
-    r"notices?|popup|modal|overlay|comments?|disqus|repl(?:y|ies)|share|sharing|social|related|recommend(?:ed|ations)?|newsletter|subscribe|login|signup|widgets?|toolbar|pagination|pager|skip|hidden)(?:$|[\s_-])",
+#: Words that mark what is not the main text, as a class or id or all of its parts ...
+ASIDE_WORDS = re.compile(
+    r"ads?|advert(?:s|isements?|ising)?|banner|sponsor(?:ed|s)?|promo(?:tions?)?|nav(?:bar|igation)?|menu|sidebars?|aside|footer|header|masthead|breadcrumbs?|cookies?|consent|"
+    r"notices?|popup|modal|overlay|comments?|disqus|repl(?:y|ies)|share|sharing|social|related|recommend(?:ed|ations)?|newsletter|subscribe|login|signup|widgets?|toolbar|pagination|pager|skip|hidden",
     re.IGNORECASE)
+#: ... but for these, which say where a block is or what it is made of.
+PLACE_WORDS = re.compile(
+    r"\d+(?:x\d+)?|site|global|top|bottom|left|right|main|primary|secondary|inner|outer|wrap(?:per)?|container|box|block|bar|lists?|area|section|links?|icons?|buttons?|form|posts?|items?|group|slot|unit|column|row|"
+    r"mobile|desktop|sticky|fixed|respond|thread", re.IGNORECASE)
+#: Words for the head of a block, which within an article belongs to it.
+HEAD_WORDS = frozenset(("header", "masthead", "banner"))
+PARTS = re.compile(r"(?:posts?|items?|sections?|block|box|lists?|group|thread)$", re.IGNORECASE)
 #: End tags that the opening of these elements leaves out.
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 
 
+def named_aside(label: str, article: bool) -> bool:
+    """Whether a class or id among the names of an element says that it is not the main text."""
+    for name in label.split():
+        parts = [x for x in re.split("[-_]+", name) if x]
+        words = [x for x in parts if ASIDE_WORDS.fullmatch(x)]
+        head = all(x.lower() in HEAD_WORDS for x in words)
+        # post-header is the head of a post, site-header that of the site.
+        if words and all(x in words or PLACE_WORDS.fullmatch(x) for x in parts) and not (head and (article or PARTS.match(parts[0]))):
+            return True
+    return False
+
+
 @dataclass
 class Line:
     parts: list[str] = field(default_factory=list)
@@ -56,6 +76,8 @@ class Line:
     aside: bool = False
     article: int = 0
     heading: bool = False
+    #: Open elements that a class or id rules out: number, whether an article or main, and an article stands around it.
+    names: tuple[tuple[int, bool, bool], ...] = ()
 
     def text(self) -> str:
         return " ".join("".join(self.parts).split())
@@ -67,20 +89,21 @@ class LineReader(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.stack: list[tuple[str, bool, int]] = []
+        self.stack: list[tuple[str, bool, int, tuple]] = []
+        self.named = 0
         self.unseen = 0
         self.links = 0
         self.articles = 0
         self.line = Line()
 
-    def _state(self) -> tuple[bool, int]:
-        return self.stack[-1][1:] if self.stack else (False, 0)
+    def _state(self) -> tuple[bool, int, tuple]:
+        return self.stack[-1][1:] if self.stack else (False, 0, ())
 
     def _end_line(self) -> None:
         if self.line.parts:
             self.lines.append(self.line)
-        aside, article = self._state()
-        self.line = Line(aside=aside, article=article)
+        aside, article, names = self._state()
+        self.line = Line(aside=aside, article=article, names=names)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if self.unseen:
@@ -100,21 +123,23 @@ class LineReader(HTMLParser):
         if tag not in VOID:
             self._push(tag, attrs)
             if tag not in INLINE:
-                self.line.aside, self.line.article = self._state()
+                self.line.aside, self.line.article, self.line.names = self._state()
                 self.line.heading = tag in HEADINGS
 
     def _push(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        aside, article = self._state()
+        aside, article, names = self._state()
         named = dict(attrs)
         role = (named.get("role") or "").strip().lower()
         label = f"{named.get('class') or ''} {named.get('id') or ''}".strip()
         off = tag in ASIDE and not (tag == "header" and article) or role in ASIDE_ROLES or "hidden" in named or named.get("aria-hidden") == "true"
-        off = off or bool(label and tag not in ("html", "body", "article", "main") and ASIDE_NAMES.search(label))
+        if label and not off and tag not in ("html", "body", "article", "main") and named_aside(label, bool(article)):
+            self.named += 1
+            names = (*names, (self.named, bool(article), any(s[0] == "article" for s in self.stack)))
         if tag in ARTICLE or role in ("main", "article"):
             if not article and not aside and not off:
                 self.articles += 1
                 article = self.articles
-        self.stack.append((tag, aside or off, article))
+        self.stack.append((tag, aside or off, article, names))
         self.unseen += tag in UNSEEN
         self.links += tag == "a"
 
@@ -122,7 +147,7 @@ class LineReader(HTMLParser):
         """Closes the innermost ``tag`` and all within it, unless a barrier stands in between."""
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
-                for name, _, _ in self.stack[i:]:
+                for name, *_ in self.stack[i:]:
                     self.unseen -= name in UNSEEN
                     self.links -= name == "a"
                 del self.stack[i:]
@@ -139,7 +164,7 @@ class LineReader(HTMLParser):
         # An end tag of an inline element does not close blocks around it.
         self._pop_to(tag, ARTICLE | ASIDE | {"body", "div", "section"} if tag in INLINE or tag == "p" else frozenset())
         if tag not in INLINE:
-            self.line.aside, self.line.article = self._state()
+            self.line.aside, self.line.article, self.line.names = self._state()
 
     def handle_data(self, data: str) -> None:
         if self.unseen:
@@ -177,6 +202,37 @@ def threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
+def densities(lines: list[Line]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """(text, text-to-tag ratio, whether it is in a dense region, whether most of it is links) of each line."""
+    texts = [line.text() for line in lines]
+    chars = [len(t.replace(" ", "")) for t in texts]
+    ratio = np.array([max(0, n - line.link_chars) / max(1, line.tags) for n, line in zip(chars, lines, strict=True)], dtype=np.float64)
+    level = smoothed(np.log1p(ratio))
+    linked = np.array([2 * line.link_chars > n for n, line in zip(chars, lines, strict=True)])
+    return texts, ratio, level >= min(threshold(level), np.log1p(DENSE)), linked
+
+
+def not_ruled_out(lines: list[Line]) -> list[Line]:
+    """The lines that no class or id around them rules out.
+
+    It does not where it holds the only article of the page or, not within an article, most of the
+    dense text; if nothing is left otherwise, it never does.
+    """
+    if not any(line.names for line in lines):
+        return lines
+    texts, _, dense, linked = densities(lines)
+    total, held = 0, {}
+    for line, text, good in zip(lines, texts, dense & ~linked, strict=True):
+        if good:
+            total += len(text)
+            for name in line.names:
+                held[name] = held.get(name, 0) + len(text)
+    spared = {name for name, size in held.items() if 2 * size > total and not name[2]}
+    if len({line.article for line in lines if line.article}) == 1:
+        spared |= {name for line in lines if line.article for name in line.names if not name[1]}
+    return [line for line in lines if spared.issuperset(line.names)] or lines
+
+
 def content_lines(lines: list[Line]) -> list[str]:
     """Texts of the lines that are content.
 
@@ -185,20 +241,16 @@ def content_lines(lines: list[Line]) -> list[str]:
     Without one, the lines of the content regions do, if less than half of them stands in links,
     and those short lines that lie between two of them, and a heading before them.
     """
-    kept = [line for line in lines if not line.aside]
+    kept = not_ruled_out([line for line in lines if not line.aside])
     if not kept:
         return []
-    texts = [line.text() for line in kept]
-    ratio = np.array([max(0, len(t.replace(" ", "")) - line.link_chars) / max(1, line.tags) for t, line in zip(texts, kept, strict=True)], dtype=np.float64)
-    level = smoothed(np.log1p(ratio))
-    dense = level >= min(threshold(level), np.log1p(DENSE))
+    texts, ratio, dense, linked = densities(kept)
     articles = {line.article for line in kept if line.article}
     if articles:
         weight = {a: sum(r for line, r, d in zip(kept, ratio, dense, strict=True) if line.article == a and d) for a in articles}
         best = max(sorted(articles), key=lambda a: weight[a])
         chosen = {a for a in articles if a == best or weight[a] > 0}
         return [t for t, line in zip(texts, kept, strict=True) if line.article in chosen]
-    linked = np.array([2 * line.link_chars > len(t.replace(" ", "")) for t, line in zip(texts, kept, strict=True)])
     good = dense & ~linked
     if not good.any():
         good = ~linked

@@ -300,6 +300,37 @@ def test_small_pages(page, text):
     assert html_content.main_text(page) == text
 
 
+BODY = "".join(f"<p>Paragraph {i} has many words of running text so that it is dense enough to count.</p>" for i in range(4))
+BODY_TEXT = " ".join(f"Paragraph {i} has many words of running text so that it is dense enough to count." for i in range(4))
+
+
+@pytest.mark.parametrize("name", ["layout has-sidebar", "no-comments", "with-footer", "modal", "widget"])
+@pytest.mark.parametrize("mark", ["article", "div"])
+def test_named_wrappers_of_the_page(name, mark):
+    page = f'<body><div class="menu"><a href=x>One</a></div><div class="{name}"><{mark}>{BODY}</{mark}></div><div class="comment-list">Nice</div></body>'
+    assert html_content.main_text(page) == BODY_TEXT
+
+
+@pytest.mark.parametrize("inner, text", [
+    ("<div class='post-header'><h1>Title</h1></div>", "Title"), ("<section class='related-work'><p>Earlier work</p></section>", "Earlier work"),
+    ("<figure><img src=a><figcaption>A caption</figcaption></figure>", "A caption"), ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>", "so x=2 holds"),
+    ("<svg><title>no</title><text>Axis</text></svg>", "Axis"), ("<object data=a>Instead</object>", "Instead"),
+    ("<div class='share-buttons'>Share</div><div class='comments'><p>Reader says a lot of words here in a comment</p></div>", ""),
+])
+def test_parts_of_an_article(inner, text):
+    assert html_content.main_text(f"<body><article>{BODY}{inner}</article></body>") == f"{BODY_TEXT} {text}".strip()
+
+
+def test_cards_in_a_related_block_are_no_main_text():
+    cards = "<article><p>Another story you may like</p></article>" * 3
+    assert html_content.main_text(f"<body><div>{BODY}</div><div class='related-posts'>{cards}</div></body>") == BODY_TEXT
+    assert html_content.main_text(f"<body><article>{BODY}</article><div class='related'>{cards}</div></body>") == BODY_TEXT
+
+
+def test_all_lines_ruled_out():
+    assert html_content.main_text("<div class=widget>Some words</div><div class=promo>and others</div><div class=social>and more</div>") != ""
+
+
 def test_smoothing_and_threshold():
     assert np.allclose(html_content.smoothed(np.full(5, 3.0)), 3.0)
     assert 1 < html_content.threshold(np.array([0.0, 0.1, 5.0, 5.2])) < 5
