@@ -27,6 +27,8 @@ SIGMA = 1.0
 
 #: Elements whose text is never shown.
 UNSEEN = frozenset("script style noscript template iframe canvas head title desc metadata annotation annotation-xml".split())
+#: Elements that a head may hold; any other ends it.
+IN_HEAD = frozenset("title script style meta link base basefont bgsound noscript noframes template".split())
 #: Elements that are not the main text.
 ASIDE = frozenset("nav header footer aside form button select option textarea dialog menu".split())
 #: Elements that mark the main text.
@@ -106,8 +108,14 @@ class LineReader(HTMLParser):
         self.line = Line(aside=aside, article=article, names=names)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag == "body" and all(s[0] != "body" for s in self.stack):
+            for name in [s[0] for s in self.stack if s[0] in UNSEEN][::-1]:
+                self._pop_to(name)
+        elif self.stack and self.stack[-1][0] == "head" and tag not in IN_HEAD:
+            self._pop_to("head")
         if self.unseen:
-            if tag in UNSEEN and tag not in VOID:
+            # Elements in there are kept too, so that their end tags are told from those of elements around.
+            if tag not in VOID:
                 self._push(tag, attrs)
             return
         if tag in CLOSES_P and any(s[0] == "p" for s in self.stack):
@@ -156,17 +164,26 @@ class LineReader(HTMLParser):
                 return
 
     def handle_endtag(self, tag: str) -> None:
-        if self.unseen and tag not in UNSEEN:
-            return
+        # An end tag of an inline element does not close blocks around it.
+        barriers = ARTICLE | ASIDE | {"body", "div", "section"} if tag in INLINE or tag == "p" else frozenset()
+        hidden = self.unseen
+        if hidden:
+            # That of an element around what is unseen ends both.
+            self._pop_to(tag, barriers)
+            if self.unseen:
+                return
         if tag not in INLINE:
             self._end_line()
         self.line.tags += 1
-        # An end tag of an inline element does not close blocks around it.
-        self._pop_to(tag, ARTICLE | ASIDE | {"body", "div", "section"} if tag in INLINE or tag == "p" else frozenset())
-        if tag not in INLINE:
+        if not hidden:
+            self._pop_to(tag, barriers)
+        if hidden or tag not in INLINE:
             self.line.aside, self.line.article, self.line.names = self._state()
 
     def handle_data(self, data: str) -> None:
+        if self.stack and self.stack[-1][0] == "head" and data.strip():
+            self._pop_to("head")
+            self._end_line()
         if self.unseen:
             return
         self.line.parts.append(data)

@@ -331,6 +331,20 @@ def test_all_lines_ruled_out():
     assert html_content.main_text("<div class=widget>Some words</div><div class=promo>and others</div><div class=social>and more</div>") != ""
 
 
+@pytest.mark.parametrize("head", ["<head><title>T</title>", "<head><title>T</title><body>", "<html><head><meta charset=a><title>T</title><script>a</script><body class=x>", "<head><noscript><link rel=a><body>", "<title>T</title><noscript><body>"])
+def test_head_without_end_tag(head):
+    assert html_content.main_text(f"{head}<div>{BODY}</div>") == BODY_TEXT
+    assert html_content.main_text("<head><title>T</title>Bare words") == "Bare words"
+
+
+@pytest.mark.parametrize("tag", ["noscript", "iframe", "svg", "object", "template", "canvas"])
+def test_unseen_element_without_end_tag(tag):
+    assert html_content.main_text(f"<body>{BODY}<div><{tag}></div>{BODY}<footer>us</footer></body>") == f"{BODY_TEXT} {BODY_TEXT}"
+    assert html_content.main_text(f"<article><p>First words<{tag}></p><p>second words</p></article>") == "First words second words"
+    if tag not in ("svg", "object"):
+        assert html_content.main_text(f"<body><div><{tag}><div>no</div><p>no</p></{tag}><p>words</p></div></body>") == "words"
+
+
 def test_smoothing_and_threshold():
     assert np.allclose(html_content.smoothed(np.full(5, 3.0)), 3.0)
     assert 1 < html_content.threshold(np.array([0.0, 0.1, 5.0, 5.2])) < 5
