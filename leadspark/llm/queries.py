@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_content, langid, packing, pivots, sampling, secrets, simhash, sketch, tokens, toxicity
+from . import (
+    html_content, langid, packing, pivots, rules, sampling, secrets, simhash, sketch, tokens, toxicity, turns, whitening,
+)
 from .common import documents
 from .registry import ORACLES, QUERIES, query
 
@@ -104,3 +106,60 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_html_content")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return html_content.extract_pages(documents(spark, folder, "pages"))
+
+
+@query("op11_embedding_whitening")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(documents(spark, folder, "embeddings"))
+
+
+@query("op12_conversation_repair")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return turns.digested(turns.repair(turns.damaged(documents(spark, folder, "conversations")))).select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), places AS (
+  SELECT id, words, unnest(range(1, len(words) - 3)) AS at FROM d WHERE len(words) >= 5
+), windows AS (
+  SELECT id, at, count(*) OVER (PARTITION BY id, array_to_string(words[at:at + 4], ' ')) AS n FROM places
+), repeats AS (
+  SELECT id, count(DISTINCT place) AS n_repeat_words
+  FROM (SELECT id, unnest(range(at, at + 5)) AS place FROM windows WHERE n > 1) GROUP BY id
+), measured AS (
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+         CAST(len(list_filter(words, lambda w: regexp_matches(w, '\p{L}'))) AS BIGINT) AS n_letter_words,
+         CAST(len(lines) AS BIGINT) AS n_lines
+  FROM d LEFT JOIN repeats USING (id)
+), failed AS (
+  SELECT *, CAST(CASE WHEN n_words < 10 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * n_repeat_words > 20 * n_words THEN 2 ELSE 0 END
+    + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END
+    + CASE WHEN 10 * n_letter_words < 8 * n_words THEN 8 ELSE 0 END
+    + CASE WHEN word_chars < 2 * n_words OR word_chars > 12 * n_words THEN 16 ELSE 0 END
+    + CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN 32 ELSE 0 END
+    + CASE WHEN n_words > 1000000 THEN 64 ELSE 0 END AS BIGINT) AS failed_rules
+  FROM measured
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       (failed_rules & 3) <> 0 AS base_failed, (failed_rules & 31) = 0 AS kept, failed_rules
+FROM failed
+"""
+
+
+@query("op13_quality_rules", OP13_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    judged = rules.judge(rules.ledger(documents(spark, folder)), rules.policy("web", 2))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        rules.removed(rules.policy("web", 1)).alias("base_failed"), "kept", F.col("bits").alias("failed_rules"))
