@@ -126,12 +126,16 @@ WITH d AS (
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
   FROM documents
 ), places AS (
-  SELECT id, words, unnest(range(1, len(words) - 3)) AS at FROM d WHERE len(words) >= 5
+  SELECT id, unnest(words) AS word, generate_subscripts(words, 1) AS start FROM d
 ), windows AS (
-  SELECT id, at, count(*) OVER (PARTITION BY id, array_to_string(words[at:at + 4], ' ')) AS n FROM places
+  SELECT id, start, word || ' ' || lead(word, 1) OVER w || ' ' || lead(word, 2) OVER w || ' ' || lead(word, 3) OVER w
+                    || ' ' || lead(word, 4) OVER w AS words
+  FROM places WINDOW w AS (PARTITION BY id ORDER BY start)
+), counted AS (
+  SELECT id, start, count(*) OVER (PARTITION BY id, words) AS n FROM windows WHERE words IS NOT NULL
 ), repeats AS (
   SELECT id, count(DISTINCT place) AS n_repeat_words
-  FROM (SELECT id, unnest(range(at, at + 5)) AS place FROM windows WHERE n > 1) GROUP BY id
+  FROM (SELECT id, unnest(range(start, start + 5)) AS place FROM counted WHERE n > 1) GROUP BY id
 ), measured AS (
   SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
          CAST(coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
