@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -50,16 +51,28 @@ class Model:
         return [float(e / self.trace) if self.trace > 0 else 0.0 for e in self.eigenvalues]
 
 
-def _whole(row: list, factor: int, offset: int) -> list[int]:
-    """``floor(factor * c) + offset`` of every entry, cut to longs."""
-    scaled = np.floor(np.asarray(row, dtype=np.float64) * factor)
-    if scaled.size == 0 or np.abs(scaled).max() < _EXACT:
-        return (scaled.astype(np.int64) + offset).tolist()
-    return [max(-LARGEST, min(LARGEST, (int(v) if np.isfinite(v) else LARGEST * (1 if v > 0 else -1)) + offset)) for v in scaled]
+def _whole(vectors: pa.ListArray, dimensions: int, factor: int, offset: int) -> np.ndarray:
+    """``floor(factor * c) + offset`` of every entry, cut to longs; a row a vector."""
+    entries = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    lengths = vectors.value_lengths().to_numpy(zero_copy_only=False)
+    with np.errstate(over="ignore"):
+        scaled = np.zeros((len(vectors), dimensions))
+        scaled[np.arange(dimensions) < lengths[:, None]] = np.floor(entries * factor)
+    if np.abs(scaled).max(initial=0.0) < _EXACT:
+        return scaled.astype(np.int64) + offset
+    whole = [[int(v) if np.isfinite(v) else int(np.sign(v)) * LARGEST for v in row] for row in scaled]
+    return np.array([[max(-LARGEST, min(LARGEST, v + offset)) for v in row] for row in whole], dtype=np.int64)
 
 
-def digest(values: list[int]) -> bytes:
-    return hashlib.blake2b(np.asarray(values, dtype="<i8").tobytes(), digest_size=20).digest()
+def _lists(rows: np.ndarray) -> pa.ListArray:
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    return pa.ListArray.from_arrays(ends, np.ascontiguousarray(rows).reshape(-1))
+
+
+def digests(x: np.ndarray) -> pa.Array:
+    """A key of every row of whole numbers."""
+    x = np.ascontiguousarray(x, dtype="<i8")
+    return pa.array([hashlib.blake2b(row.data, digest_size=20).digest() for row in x], pa.binary())
 
 
 def usable(column: str) -> Column:
@@ -76,14 +89,10 @@ def _vectors(df: DataFrame, dimensions: int, factor: int, offset: int, key: bool
 
     def start() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            out = []
-            for row in batch["embedding"].to_pylist():
-                values = _whole(row, factor, offset)
-                values += [offset] * (dimensions - len(values))
-                out.append(digest(values) if key else values)
+            x = _whole(batch["embedding"], dimensions, factor, offset)
             if key:
-                return pa.RecordBatch.from_arrays([batch["vec_id"], pa.array(out, pa.binary())], ["vec_id", "key"])
-            return pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int64()))], ["x"])
+                return pa.RecordBatch.from_arrays([batch["vec_id"], digests(x)], ["vec_id", "key"])
+            return pa.RecordBatch.from_arrays([_lists(x)], ["x"])
 
         return step
 
@@ -143,13 +152,31 @@ def _products(df: DataFrame, values: Callable[[np.ndarray], np.ndarray]) -> Data
             y = values(x)
             product = (y * w[:, None]).T @ y
             return pa.RecordBatch.from_arrays(
-                [pa.array(range(len(product)), pa.int32()), pa.array(product.tolist(), pa.list_(pa.float64()))], ["i", "row"])
+                [pa.array(range(len(product)), pa.int32()), _lists(product)], ["i", "row"])
 
         return step
 
     return map_batches(df, start, "i int, row array<double>", rows=100_000)
 
 
+def _sums(rows: DataFrame) -> DataFrame:
+    """Exact weighted sum ``s`` of every dimension ``i``, added up a batch and then by Spark."""
+
+    def start() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            x, w = _matrix(batch)
+            if int(np.abs(x).max(initial=0)) * int(w.sum()) >= 1 << 62:
+                x, w = x.astype(object), w.astype(object)
+            totals = [Decimal(int(t)) for t in w @ x]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(range(len(totals)), pa.int32()), pa.array(totals, pa.decimal128(38, 0))], ["i", "s"])
+
+        return step
+
+    return map_batches(rows, start, "i int, s decimal(38,0)", rows=100_000).groupBy("i").agg(
+        F.sum("s").cast("decimal(38,0)").alias("s"))
+
+
 def fit(distinct: DataFrame, dimensions: int, components: int = COMPONENTS, weights: str = "counts") -> Model | None:
     """The model of distinct vectors ``x, n``; None without a vector.
 
@@ -159,10 +186,8 @@ def fit(distinct: DataFrame, dimensions: int, components: int = COMPONENTS, weig
     total = rows.agg(F.sum("w").alias("n")).first().n
     if not total:
         return None
-    cells = rows.select(F.posexplode("x").alias("i", "v"), "w").groupBy("i").agg(
-        F.sum(F.col("v").cast("decimal(38,0)") * F.col("w").cast("decimal(19,0)")).cast("decimal(38,0)").alias("s"))
     sums = [0] * dimensions
-    for r in cells.collect():
+    for r in _sums(rows).collect():
         sums[r.i] = int(r.s)
     sums = tuple(sums)
     if not dimensions:
@@ -196,10 +221,9 @@ def whiten_distinct(distinct: DataFrame, model: Model) -> DataFrame:
     def start() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             x = batch["x"].flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-            keys = [digest(row) for row in x]
             return pa.RecordBatch.from_arrays([
-                pa.array(keys, pa.binary()), batch["n"], pa.array(deviations(x, model.n, model.sums), pa.int64()),
-                pa.array(project(x, model).tolist(), pa.list_(pa.float64())),
+                digests(x), batch["n"], pa.array(deviations(x, model.n, model.sums), pa.int64()),
+                _lists(project(x, model)),
             ], ["key", "n", "deviation", "whitened"])
 
         return step
