@@ -4,7 +4,9 @@ Candidates are SimHash links and texts that share a band of min-hashes: two text
 s have the same least hash with chance s, so one of 32 bands of five is equal with chance
 1 - (1 - s**5)**32: 0.999997 at 0.8, more above. Every link is then checked by the exact similarity of
 the two sets. A band's texts are first compared with its least one; texts that this leaves outside the
-band's largest group are compared with all of the band that they are not connected with.
+band's largest group are compared with all of the band that they are not connected with, if their
+parity maps allow it: a shingle flips one bit of a map, so maps differ in at most as many bits as the sets differ in
+shingles, and a pair of the wanted similarity never differs in more. That leaves few pairs but links.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_batches, pick, stored
@@ -27,6 +29,9 @@ WORDS = 5
 COMMON, OF = 4, 5
 #: Bands of min-hashes and hashes of a band.
 BANDS, ROWS = 32, 5
+#: Words (of 64 bits) of a parity map; sets with more shingles than ``WIDE_FROM`` also have a wide one,
+#: of four bits a shingle or more.
+PARITY_WORDS, WIDE_FROM = 16, 2048
 #: Shingles hashed at a time.
 BLOCK = 1024
 
@@ -48,6 +53,44 @@ def band_keys(hashes: np.ndarray) -> list[int]:
     return np.array(keys, dtype=np.uint64).view(np.int64).tolist()
 
 
+def parity_map(held: np.ndarray, words: int) -> np.ndarray:
+    """``words`` longs (a power of two): a bit is set if an odd number of hashes ends in its place."""
+    bits = np.bincount((held & np.uint64(64 * words - 1)).astype(np.int64), minlength=64 * words).astype(np.uint8) & 1
+    return np.packbits(bits, bitorder="little").view("<i8")
+
+
+def wide_map(held: np.ndarray) -> list[int] | None:
+    if len(held) <= WIDE_FROM:
+        return None
+    return parity_map(held, 1 << (4 * len(held) // 64).bit_length()).tolist()
+
+
+def may_be_alike(a: str, b: str) -> Column:
+    """Whether rows aliased ``a`` and ``b`` (n, parity, wide) can be alike; never false for a pair that is.
+
+    Sets of n and m shingles with COMMON of OF in common differ in (n + m) * (OF - COMMON) / (OF + COMMON)
+    shingles at most. Of two wide maps the longer is folded onto the shorter.
+    """
+    n = F.col(f"{a}.n") + F.col(f"{b}.n")
+
+    def few(different: Column) -> Column:
+        return (OF + COMMON) * different <= (OF - COMMON) * n
+
+    def folded(long: Column, short: Column) -> Column:
+        half = F.size(short)
+        return F.when(F.size(long) == half, long).otherwise(
+            F.zip_with(F.slice(long, F.lit(1), half), F.slice(long, half + 1, half), lambda x, y: x.bitwiseXOR(y)))
+
+    def apart(x: Column, y: Column) -> Column:
+        return F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, v: t + v)
+
+    narrow = sum((F.bit_count(F.get(f"{a}.parity", i).bitwiseXOR(F.get(f"{b}.parity", i))) for i in range(PARITY_WORDS)), F.lit(0))
+    x, y = F.col(f"{a}.wide"), F.col(f"{b}.wide")
+    sizes = F.least(F.col(f"{a}.n"), F.col(f"{b}.n")) * OF >= F.greatest(F.col(f"{a}.n"), F.col(f"{b}.n")) * COMMON
+    wide = F.when(F.size(x) >= F.size(y), apart(folded(x, y), y)).otherwise(apart(x, folded(y, x)))
+    return sizes & few(narrow) & (x.isNull() | y.isNull() | few(wide))
+
+
 def alike(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether two sets (sorted, distinct) have COMMON of OF shingles in common."""
     if OF * min(len(a), len(b)) < COMMON * max(len(a), len(b)):
@@ -79,21 +122,26 @@ def _prints(docs: DataFrame) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(set_id, held) for the rows (set_id, text_hash) of ``wanted``: the hashes of the set as bytes."""
+    """(set_id, held, parity, wide) for the rows (set_id, text_hash) of ``wanted``: the hashes of the set as bytes, its parity maps."""
     text = pick(docs, text="text").select(F.col("text").cast("string"), F.xxhash64("text").alias("text_hash"))
     found = text.groupBy("text_hash").agg(F.first("text").alias("text")).join(wanted, "text_hash").select("set_id", "text")
 
     def start():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t or "").tobytes() for t in batch.column(1).to_pylist()], pa.binary())], names=["set_id", "held"])
+            sets = [shingle_set(t or "") for t in batch.column(1).to_pylist()]
+            maps = [[parity_map(held, PARITY_WORDS).tolist() for held in sets], [wide_map(held) for held in sets]]
+            return pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([held.tobytes() for held in sets], pa.binary()), *(pa.array(m, pa.list_(pa.int64())) for m in maps)],
+                names=["set_id", "held", "parity", "wide"])
 
         return step
 
-    return map_batches(found, start, "set_id long, held binary")
+    return map_batches(found, start, "set_id long, held binary, parity array<long>, wide array<long>")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
     """Those pairs (a, b) of sets that are alike."""
+    sets = sets.select("set_id", "held")
     both = pairs.join(sets.toDF("b", "held_b"), "b").join(sets.toDF("a", "held_a"), "a").select("a", "b", "held_a", "held_b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,9 +180,11 @@ def near_copies(docs: DataFrame) -> DataFrame:
     placed = stored(members.join(roots, F.col("set_id") == F.col("node"), "left").select("key", "set_id", "n", F.coalesce("root", "set_id").alias("root")), "placed-members")
     parts = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size")).groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("size", "root")).alias("top"))
     mixed = parts.where("parts > 1").select("key", F.col("top.root").alias("main"))
-    outside = placed.join(mixed, "key").where("root <> main").toDF("key", "one", "n_one", "root_one", "main")
-    more = outside.join(placed, "key").where("root <> root_one AND (root = main OR one < set_id)").where(f"{OF} * least(n, n_one) >= {COMMON} * greatest(n, n_one)")
-    more = more.select(F.least("one", "set_id").alias("a"), F.greatest("one", "set_id").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
+    around = stored(placed.join(mixed, "key").join(held.drop("held"), "set_id"), "mixed-band-members")
+    outside = around.where("root <> main").alias("x")
+    more = outside.join(around.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.root") != F.col("y.root")) & (
+        (F.col("y.root") == F.col("y.main")) | (F.col("x.set_id") < F.col("y.set_id"))) & may_be_alike("x", "y"))
+    more = more.select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
     roots = connected_components(links.unionAll(_verified(more, held, "more-shingle-links")))
     return prints.join(roots, F.col("set_id") == F.col("node"), "left").select("doc_id", "text_hash", F.coalesce("root", "set_id").alias("group_id"))
 
