@@ -79,33 +79,82 @@ def same_district(a, b) -> Column:
     return (a == "") | (b == "") | (a == b)
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once (expressions inside a lambda are evaluated a step)."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def characters(c) -> Column:
+    """The characters of a text; none of an empty one."""
+    c = _col(c)
+    return F.when(F.length(c) == 0, F.array().cast("array<string>")).otherwise(F.split(c, ""))
+
+
+#: Bits of a word of the longest-common-subsequence row: sums of two stay below the sign bit.
+LCS_BITS = 62
+
+
 def lcs_length(a, b) -> Column:
-    """Longest common subsequence as a nested fold (no Python)."""
-    a, b = _col(a), _col(b)
-    bs = F.split(b, "")
-    bs = F.when(F.length(b) == 0, F.array().cast("array<string>")).otherwise(bs)
-    cols = F.when(F.length(b) == 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(1), F.length(b)))
-    start = F.array_repeat(F.lit(0), F.length(b) + 1)
+    """Longest common subsequence by bit vectors: one step a character of the longer text.
+
+    A row of bits stands for the characters of the shorter text, ``LCS_BITS`` to a word; a bit turns 0 where
+    the common subsequence grows. Carries go from word to word. All of it runs inside the JVM.
+    """
+    full = F.lit((1 << LCS_BITS) - 1)
 
-    def row(prev, ch):
-        def cell(acc, j):
-            up = F.element_at(prev, j + 1)
-            diagonal = F.element_at(prev, j) + 1
-            return F.concat(
-                acc,
-                F.array(F.when(F.element_at(bs, j) == ch, diagonal).otherwise(F.greatest(up, F.element_at(acc, -1)))),
-            )
+    def bits(part: Column, ch: Column) -> Column:
+        """Where ``part`` (last character first) holds the character."""
+        return F.aggregate(part, F.lit(0).cast("long"), lambda m, x: F.shiftleft(m, 1) + F.when(x == ch, 1).otherwise(0))
 
-        return F.aggregate(cols, F.array(F.lit(0)), cell)
+    def masks(of_char, none: Column, t: Column) -> Column:
+        """What ``of_char`` gives for every character of the longer text, computed once a different one."""
+        known = F.array_distinct(t["short"])
+        return let(F.map_from_arrays(known, F.transform(known, of_char)),
+                   lambda m: F.transform(t["long"], lambda ch: F.coalesce(F.element_at(m, ch), none)))
 
-    chars = F.when(F.length(a) == 0, F.array().cast("array<string>")).otherwise(F.split(a, ""))
-    return F.element_at(F.aggregate(chars, start, row), -1)
+    def narrow(t: Column) -> Column:
+        zero = F.lit(0).cast("long")
+        rows = let(F.reverse(t["short"]), lambda part: masks(lambda ch: bits(part, ch), zero, t))
+        last = F.aggregate(rows, full, lambda row, m: (row + row.bitwiseAND(m)).bitwiseAND(full).bitwiseOR(row.bitwiseAND(F.bitwise_not(m))))
+        return LCS_BITS - F.bit_count(last)
+
+    def wide(t: Column) -> Column:
+        words = F.sequence(F.lit(0), F.floor((F.size(t["short"]) - 1) / LCS_BITS).cast("int"))
+        parts = F.transform(words, lambda w: F.reverse(F.slice(t["short"], w * LCS_BITS + 1, LCS_BITS)))
+        none = F.array().cast("array<long>")
+        rows = let(parts, lambda ps: masks(lambda ch: F.transform(ps, lambda part: bits(part, ch)), none, t))
+
+        def step(state: Column, word: Column) -> Column:
+            total = word["row"] + word["row"].bitwiseAND(word["m"]) + state["carry"]
+            new = total.bitwiseAND(full).bitwiseOR(word["row"].bitwiseAND(F.bitwise_not(word["m"])))
+            return F.struct(F.array_append(state["row"], new).alias("row"), F.shiftright(total, LCS_BITS).alias("carry"))
+
+        def advance(row: Column, m: Column) -> Column:
+            pairs = F.zip_with(row, m, lambda r, k: F.struct(r.alias("row"), k.alias("m")))
+            start = F.struct(none.alias("row"), F.lit(0).cast("long").alias("carry"))
+            return F.when(F.size(m) == 0, row).otherwise(F.aggregate(pairs, start, step, lambda state: state["row"]))
+
+        last = F.aggregate(rows, F.transform(words, lambda w: full), advance)
+        return F.aggregate(last, F.lit(0), lambda n, row: n + (LCS_BITS - F.bit_count(row)))
+
+    def of(t: Column) -> Column:
+        size = F.size(t["short"])
+        return F.when(size == 0, 0).when(size <= LCS_BITS, narrow(t)).otherwise(wide(t))
+
+    def sides(p: Column) -> Column:
+        a_short = F.size(p["a"]) <= F.size(p["b"])
+        return let(F.struct(F.when(a_short, p["a"]).otherwise(p["b"]).alias("short"), F.when(a_short, p["b"]).otherwise(p["a"]).alias("long")), of)
+
+    return let(F.struct(characters(a).alias("a"), characters(b).alias("b")), sides)
 
 
 def indel_ratio(a, b) -> Column:
     """0..100 similarity ``200*LCS/(len a + len b)``; two empty texts are equal."""
-    total = F.length(_col(a)) + F.length(_col(b))
-    return F.when(total == 0, F.lit(100.0)).otherwise(F.lit(200.0) * lcs_length(a, b) / total)
+    def score(p: Column) -> Column:
+        total = F.length(p["a"]) + F.length(p["b"])
+        return F.when(total == 0, F.lit(100.0)).otherwise(F.lit(200.0) * lcs_length(p["a"], p["b"]) / total)
+
+    return let(F.struct(_col(a).alias("a"), _col(b).alias("b")), score)
 
 
 def token_sort_ratio(a, b) -> Column:

@@ -12,14 +12,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from ..functions.text import dedup_key, normalize_name, same_district, sort_tokens, squash_name
+from ..functions.text import dedup_key, let, normalize_name, same_district, sort_tokens, squash_name
 from ..session import cut_lineage
+from .components import connected_components
 from .grouping import first_per_group, null_safe_join
 from .similarity import similar_pairs
 
 DEFAULT_THRESHOLD = 85
-FIRST_BATCH = 2_000
+FIRST_BATCH = 8_000
 BATCH_GROWTH = 8
+#: A connected group of names with up to this many rows to settle is settled by one fold.
+FOLD_ROWS = 2_000
 
 
 # ---------------------------------------------------------------- exact
@@ -182,37 +185,90 @@ def top_matches(df: DataFrame, k: int = 20, order_col: str = "ord", threshold: f
 # ---------------------------------------------------------------- greedy de-duplication
 
 
-def _edges(nodes: DataFrame, others: DataFrame | None, threshold: float, by: list[str]) -> DataFrame:
-    """Similar and district-compatible node pairs as ``(lo, hi)`` resp. ``(id_a, id_b)``.
+def _names(nodes: DataFrame, by: list[str]) -> DataFrame:
+    """Distinct names within ``by``, each with the least id of its nodes."""
+    return cut_lineage(nodes.groupBy(*by, F.col("__s").alias("s")).agg(F.min("id").alias("id")))
 
-    Names are scored once within ``by``, whatever their districts; the pairs of names are then
-    spread to the nodes that hold them. An unknown district is compatible with all.
+
+def _held(nodes: DataFrame, names: DataFrame, by: list[str]) -> DataFrame:
+    """Nodes as (name, id, d): the id of their name, their own id and their district."""
+    of = names.select(*by, F.col("s").alias("__s"), F.col("id").alias("name"))
+    return null_safe_join(nodes, of, [*by, "__s"]).select("name", "id", F.col("__d").alias("d"))
+
+
+def _compatible(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs of names (a, b) spread to their nodes with compatible districts, as (id_a, id_b).
+
+    An unknown district is compatible with all.
+    """
+    left, right = (df.select(*[F.col(c).alias(f"{c}_{side}") for c in ("name", "id", "d")]) for df, side in ((left, "a"), (right, "b")))
+    both = cut_lineage(pairs.select(F.col("a").alias("name_a"), F.col("b").alias("name_b")).join(left, "name_a"))
+    same = both.filter("d_a <> ''").withColumn("d_b", F.col("d_a")).join(right, ["name_b", "d_b"])
+    either = both.filter("d_a = ''").join(right, "name_b")
+    unknown = both.filter("d_a <> ''").join(right.filter("d_b = ''"), "name_b")
+    return reduce(DataFrame.unionByName, [df.select("id_a", "id_b") for df in (same, either, unknown)])
+
+
+def _both_ways(pairs: DataFrame) -> DataFrame:
+    return pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+
+
+def _fold_survivors(rows: DataFrame, near: DataFrame) -> DataFrame:
+    """Ids that the in-order scan keeps, one fold a component.
+
+    ``rows`` are (root, name, id, d), ``near`` (root, name, names): the names like it.
+    A row goes if a kept row of its own or a like name has a compatible district.
     """
-    def names(df: DataFrame) -> DataFrame:
-        return df.groupBy(*by, F.col("__s").alias("s")).agg(F.min("id").alias("id"))
-
-    own = cut_lineage(names(nodes))
-    far = own if others is None else cut_lineage(names(others))
-    scored = similar_pairs(own, None if others is None else far, threshold, on=by).select("id_a", "id_b")
-    if others is None:
-        # Both directions, and each name with itself: its nodes differ in the district.
-        back = scored.select(F.col("id_b").alias("id_a"), F.col("id_a").alias("id_b"))
-        scored = scored.unionByName(back).unionByName(own.select(F.col("id").alias("id_a"), F.col("id").alias("id_b")))
-
-    def spread(df: DataFrame, of: DataFrame, side: str) -> DataFrame:
-        """(id of the name, id and district of a node with it)"""
-        held = of.select(*by, F.col("s").alias("__s"), F.col("id").alias(f"id_{side}"))
-        return null_safe_join(df, held, [*by, "__s"]).select(f"id_{side}", F.col("id").alias(f"node_{side}"), F.col("__d").alias(f"d_{side}"))
-
-    left, right = spread(nodes, own, "a"), spread(nodes if others is None else others, far, "b")
-    held = cut_lineage(scored.join(left, "id_a"))
-    same = held.filter("d_a <> ''").withColumnRenamed("d_a", "d_b").join(right, ["id_b", "d_b"])
-    either = held.filter("d_a = ''").join(right, "id_b")
-    unknown = held.filter("d_a <> ''").join(right.filter("d_b = ''"), "id_b")
-    pairs = reduce(DataFrame.unionByName, [df.select("node_a", "node_b") for df in (same, either, unknown)])
-    if others is not None:
-        return pairs.select(F.col("node_a").alias("id_a"), F.col("node_b").alias("id_b")).distinct()
-    return pairs.filter("node_a < node_b").select(F.col("node_a").alias("lo"), F.col("node_b").alias("hi")).distinct()
+    scans = rows.groupBy("root").agg(F.sort_array(F.collect_list(F.struct("id", "name", "d"))).alias("scan"))
+    like = near.groupBy("root").agg(F.map_from_entries(F.collect_list(F.struct("name", "names"))).alias("like"))
+    none = F.filter("scan", lambda row: F.lit(False))
+
+    def step(kept, row):
+        def settled(names):
+            return F.when(F.exists(kept, lambda k: ((k["name"] == row["name"]) | F.coalesce(F.array_contains(names, k["name"]), F.lit(False)))
+                                   & same_district(k["d"], row["d"])), kept).otherwise(F.array_append(kept, row))
+
+        return let(F.element_at("like", row["name"]), settled)
+
+    kept = F.aggregate("scan", none, step)
+    return scans.join(like, "root", "left").select(F.explode(F.transform(kept, lambda k: k["id"])).alias("id"))
+
+
+def _settle(nodes: DataFrame, threshold: float, by: list[str]) -> DataFrame:
+    """Ids that the in-order scan keeps among all ``nodes``.
+
+    Rows influence each other only along similar names, so each connected component of names is
+    settled by itself: the small ones by a fold over their rows, the few large ones by rounds
+    over the edges of their rows.
+    """
+    names = _names(nodes, by)
+    pairs = cut_lineage(similar_pairs(names, None, threshold, on=by).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")))
+    roots = connected_components(pairs)
+    rows = _held(nodes, names, by).join(roots.withColumnRenamed("node", "name"), "name", "left")
+    rows = cut_lineage(rows.withColumn("root", F.coalesce("root", "name")))
+    sizes = rows.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    large = cut_lineage(sizes.filter(F.col("n") > FOLD_ROWS).select("root"))
+    linked = _both_ways(pairs).join(roots.withColumnRenamed("node", "a"), "a")
+    if large.isEmpty():
+        small_rows, small_links = rows, linked
+    else:
+        small_rows, small_links = rows.join(large, "root", "left_anti"), linked.join(large, "root", "left_anti")
+    near = small_links.groupBy("root", F.col("a").alias("name")).agg(F.collect_list("b").alias("names"))
+    kept = _fold_survivors(small_rows, near)
+    if small_rows is rows:
+        return kept
+    rows = rows.join(large, "root", "left_semi")
+    own = rows.select(F.col("name").alias("a"), F.col("name").alias("b")).distinct()
+    pairs = linked.join(large, "root", "left_semi").select("a", "b").unionByName(own)
+    edges = _compatible(pairs, rows, rows).filter("id_a < id_b").toDF("lo", "hi").distinct()
+    return kept.unionByName(rows.select("id").join(_greedy_removed(edges), "id", "left_anti"))
+
+
+def _struck(kept: DataFrame, rest: DataFrame, threshold: float, by: list[str]) -> DataFrame:
+    """Ids of ``rest`` that a node of ``kept`` removes."""
+    own, far = _names(kept, by), _names(rest, by)
+    pairs = similar_pairs(own, far, threshold, on=by).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    return _compatible(pairs, _held(kept, own, by), _held(rest, far, by)).select(F.col("id_b").alias("id")).distinct()
 
 
 def _greedy_removed(edges: DataFrame) -> DataFrame:
@@ -268,19 +324,13 @@ def fuzzy_survivors(nodes: DataFrame, threshold: float, by: list[str], first_bat
     size, kept_all = first_batch, []
     while left > 0:
         if left <= 2 * size:
-            batch, rest = undecided, None
-        else:
-            cut = _order_cut(undecided, size)
-            batch, rest = undecided.filter(F.col("id") <= cut), undecided.filter(F.col("id") > cut)
-        removed = _greedy_removed(_edges(batch, None, threshold, by))
-        kept = batch.join(removed, "id", "left_anti")
-        if rest is None:
-            kept_all.append(kept.select("id"))
+            kept_all.append(_settle(undecided, threshold, by))
             break
-        kept = cut_lineage(kept)
+        cut = _order_cut(undecided, size)
+        batch, rest = undecided.filter(F.col("id") <= cut), undecided.filter(F.col("id") > cut)
+        kept = cut_lineage(batch.join(_settle(batch, threshold, by), "id", "left_semi"))
         kept_all.append(kept.select("id"))
-        hit = _edges(kept, rest, threshold, by).select(F.col("id_b").alias("id")).distinct()
-        undecided = cut_lineage(rest.join(hit, "id", "left_anti"))
+        undecided = cut_lineage(rest.join(_struck(kept, rest, threshold, by), "id", "left_anti"))
         left = undecided.count()
         size *= BATCH_GROWTH
     out = nodes.select("id").limit(0)

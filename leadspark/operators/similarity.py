@@ -18,20 +18,18 @@ done on *distinct* sorted-token strings ("nodes"):
   block is split at random and the other copied to the splits, so a hot gram
   becomes many tasks.
 
-Grams and the final LCS (bit-parallel) are computed in Arrow batches.
+Grams, signatures and the final bit-vector LCS are expressions: no Python worker takes part.
 """
 
 from __future__ import annotations
 
 import math
 from functools import reduce
-from zlib import crc32
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ..functions.text import characters, lcs_length, let
 from ..session import cut_lineage
 
 GRAM_BUCKETS = 4096
@@ -40,31 +38,6 @@ BITMAP_WORDS = 4
 EPS = 1e-9
 
 
-def lcs_bits(a: str, b: str) -> int:
-    """LCS length by the bit-vector recurrence (one big-integer step per character)."""
-    if not a or not b:
-        return 0
-    masks: dict[str, int] = {}
-    for i, ch in enumerate(a):
-        masks[ch] = masks.get(ch, 0) | (1 << i)
-    full = (1 << len(a)) - 1
-    row = full
-    for ch in b:
-        match = row & masks.get(ch, 0)
-        row = ((row + match) | (row - match)) & full
-    return len(a) - row.bit_count()
-
-
-@F.pandas_udf(T.IntegerType())
-def _lcs_batch(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([lcs_bits(x, y) for x, y in zip(a, b)], dtype="int32")
-
-
-# Declared nondeterministic so that the optimizer does not evaluate it twice
-# (for the filter and for the score).
-lcs_udf = _lcs_batch.asNondeterministic()
-
-
 # ---------------------------------------------------------------- bounds
 
 
@@ -121,73 +94,41 @@ def _fixed_array(values: list[int]) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
-def gram_codes(s: str, size: int) -> list[int]:
+def _occurrences(values: Column, code) -> Column:
+    """``code(value, how often it came before)`` of every element, in the order of the elements."""
+    return let(F.sort_array(values), lambda g: F.transform(g, lambda x, i: code(x, i + 1 - F.array_position(g, x))))
+
+
+def gram_codes(s, size: int) -> Column:
     """Grams with occurrence numbers as codes: equal bags give equal sets. Empty text has one code."""
-    seen: dict[str, int] = {}
-    codes = []
-    for i in range(len(s) - size + 1) if s else [0]:
-        g = s[i:i + size]
-        n = seen.get(g, 0)
-        seen[g] = n + 1
-        codes.append(crc32(g.encode()) * 31 + n)
-    return codes
+    s = F.col(s) if isinstance(s, str) else s
+    places = F.when(F.length(s) == 0, F.sequence(F.lit(1), F.lit(1))).when(
+        F.length(s) < size, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(1), F.length(s) - (size - 1)))
+    return _occurrences(F.transform(places, lambda i: F.substring(s, i, F.lit(size))), lambda x, n: F.xxhash64(x, n))
+
 
+def _words(places: Column) -> Column:
+    """``BITMAP_WORDS`` longs with the bits at the given places."""
+    def word(w: int) -> Column:
+        return F.aggregate(places, F.lit(0).cast("long"), lambda bits, at: bits.bitwiseOR(
+            F.when(F.shiftright(at, 6) == w, F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)))).otherwise(F.lit(0).cast("long"))))
 
-def _signed_words(bits: int) -> list[int]:
-    words = [(bits >> (64 * w)) & 0xFFFFFFFFFFFFFFFF for w in range(BITMAP_WORDS)]
-    return [w - (1 << 64) if w >> 63 else w for w in words]
+    return F.array(*[word(w) for w in range(BITMAP_WORDS)])
 
 
-def gram_signature(codes: list[int]) -> list[int]:
-    """256 hashed bits of a gram set as signed longs."""
-    bits = 0
-    for c in codes:
-        bits |= 1 << ((c * 2654435761 >> 11) & (64 * BITMAP_WORDS - 1))
-    return _signed_words(bits)
+def gram_signature(codes: Column) -> Column:
+    """256 hashed bits of a gram set."""
+    return let(F.transform(codes, lambda c: F.shiftright(c, 7).bitwiseAND(F.lit(64 * BITMAP_WORDS - 1)).cast("int")), _words)
 
 
-def letter_signature(s: str) -> list[int]:
+def letter_signature(s) -> Column:
     """Letter counts in unary: 32 letter classes of 8 bits.
 
     The bits in which two texts differ never exceed their insert/delete
     distance, since each operation changes one count by one.
     """
-    counts = [0] * 32
-    for ch in s:
-        counts[ord(ch) & 31] += 1
-    bits = 0
-    for i, n in enumerate(counts):
-        bits |= ((1 << min(n, 8)) - 1) << (8 * i)
-    return _signed_words(bits)
-
-
-SIGNATURE = [f"{kind}{w}" for kind in ("gram_bits", "letter_bits") for w in range(BITMAP_WORDS)]
-_GRAM_SCHEMA = T.StructType(
-    [T.StructField("n_grams", T.IntegerType()), T.StructField("prefix", T.ArrayType(T.LongType()))]
-    + [T.StructField(name, T.LongType()) for name in SIGNATURE]
-)
-
-
-def _bucket_udf(size: int):
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def buckets(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: [c % GRAM_BUCKETS for c in gram_codes(x, size)])
-
-    return buckets
-
-
-def _prefix_udf(size: int, weights: list[int]):
-    """Rarest ``len - need + 1`` grams (rarest first) and the signature of all."""
-    @F.pandas_udf(_GRAM_SCHEMA)
-    def prefix(s: pd.Series, need: pd.Series) -> pd.DataFrame:
-        rows = []
-        for text, least in zip(s, need):
-            codes = gram_codes(text, size)
-            ranked = sorted(codes, key=lambda c: (weights[c % GRAM_BUCKETS], c))
-            rows.append((len(codes), ranked[:max(len(codes) - int(least) + 1, 0)], *gram_signature(codes), *letter_signature(text)))
-        return pd.DataFrame(rows, columns=_GRAM_SCHEMA.names)
-
-    return prefix
+    classes = F.transform(characters(s), lambda ch: F.ascii(ch).bitwiseAND(F.lit(31)))
+    return let(_occurrences(classes, lambda x, n: x * 8 + F.least(n, F.lit(7)).cast("int")), _words)
 
 
 def _histogram(buckets: DataFrame, size: int) -> list[int]:
@@ -198,6 +139,17 @@ def _histogram(buckets: DataFrame, size: int) -> list[int]:
     return counts
 
 
+def _bucket(code: Column) -> Column:
+    return F.pmod(code, F.lit(GRAM_BUCKETS)).cast("int")
+
+
+def _rarest_first(codes: Column, weights: list[int]) -> Column:
+    """The codes by how many the bucket of each holds."""
+    weight = _fixed_array(weights)
+    ranked = F.sort_array(F.transform(codes, lambda c: F.struct(F.element_at(weight, _bucket(c) + 1).alias("w"), c.alias("c"))))
+    return F.transform(ranked, lambda x: x["c"])
+
+
 def _band(length: Column, threshold: float) -> Column:
     t = threshold / 100.0
     if t >= 1:
@@ -211,7 +163,7 @@ def _in_route(nodes: DataFrame, route) -> DataFrame:
     return df if longest is None else df.filter(F.col("len") <= longest)
 
 
-def _postings(nodes: DataFrame, threshold: float, route, weights: list[int], on: list[str], longer: bool) -> DataFrame:
+def _postings(nodes: DataFrame, threshold: float, route, on: list[str], longer: bool) -> DataFrame:
     """(block key, node) rows of one route.
 
     The shorter string of a pair posts in its own length band only; the longer
@@ -220,18 +172,16 @@ def _postings(nodes: DataFrame, threshold: float, route, weights: list[int], on:
     """
     size = route[0]
     t = threshold / 100.0
-    length = F.col("len")
+    length, ranked = F.col("len"), F.col(f"ranked_{size}")
     partner = F.ceil(length * (t / (2 - t)) - EPS).cast("int") if longer else length
     need = F.greatest(F.ceil(_shared_floor(length + partner, threshold, size) - EPS), F.lit(1)).cast("int")
     bands = F.sequence(_band(partner, threshold), _band(length, threshold)) if longer else F.array(_band(length, threshold))
-    df = _in_route(nodes, route).select("id", "s", "len", *on, bands.alias("bands"), _prefix_udf(size, weights)("s", need).alias("g"))
-    # Outer explodes: the plain ones add a non-empty check that would evaluate
-    # the Python function again. A NULL gram (empty prefix) joins nothing.
-    df = df.select("id", "s", "len", *on, "bands", "g.*").select(
-        "id", "s", "len", *on, "n_grams", *SIGNATURE, "bands", "prefix", F.posexplode_outer("prefix").alias("rank", "gram"))
-    df = df.select(
-        "id", "s", "len", *on, "n_grams", *SIGNATURE, "gram", F.slice("prefix", F.lit(1), F.coalesce("rank", F.lit(0))).alias("before"),
-        F.explode_outer("bands").alias("band"))
+    held = ["id", "s", "len", *on, F.size(ranked).alias("n_grams"), F.col(f"grams_{size}").alias("gram_bits"), "letter_bits"]
+    prefix = F.slice(ranked, F.lit(1), F.greatest(F.size(ranked) - need + 1, F.lit(0)))
+    df = _in_route(nodes, route).select(*held, bands.alias("bands"), prefix.alias("prefix"))
+    held = ["id", "s", "len", *on, "n_grams", "gram_bits", "letter_bits"]
+    df = df.select(*held, "bands", "prefix", F.posexplode("prefix").alias("rank", "gram"))
+    df = df.select(*held, "gram", F.slice("prefix", F.lit(1), F.col("rank")).alias("before"), F.explode("bands").alias("band"))
     return df.select("*", F.xxhash64("gram", "band", *on).alias("block"))
 
 
@@ -265,7 +215,7 @@ def _candidates(short: DataFrame, long: DataFrame, threshold: float, route, on:
         cond = cond & (la < below)
     def differing(kind: str) -> Column:
         words = range(BITMAP_WORDS)
-        return sum((F.bit_count(F.col(f"a.{kind}{w}").bitwiseXOR(F.col(f"b.{kind}{w}"))) for w in words), F.lit(0))
+        return sum((F.bit_count(F.get(f"a.{kind}", w).bitwiseXOR(F.get(f"b.{kind}", w))) for w in words), F.lit(0))
 
     most_edits = F.floor((la + lb) * (1 - t) + EPS).cast("int")
     shared_cap = (F.col("a.n_grams") + F.col("b.n_grams") - differing("gram_bits")) / 2
@@ -284,30 +234,37 @@ def candidate_pairs(left: DataFrame, right: DataFrame | None, threshold: float,
     on = on or []
     self_join = right is None
 
+    passes = routes(threshold)
+    sizes = sorted({route[0] for route in passes})
+
     def prepare(df: DataFrame) -> DataFrame:
         # Comparing costs CPU, not bytes: spread the nodes whatever their size.
         n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return cut_lineage(df.select("id", "s", *on, F.length("s").alias("len")).repartition(n))
+        df = df.select("id", "s", *on, F.length("s").alias("len")).repartition(n)
+        df = df.select("*", letter_signature("s").alias("letter_bits"), *[gram_codes("s", k).alias(f"codes_{k}") for k in sizes])
+        return cut_lineage(df.withColumns({f"grams_{k}": gram_signature(F.col(f"codes_{k}")) for k in sizes}))
 
     nodes = [prepare(df) for df in ([left] if self_join else [left, right])]
-    found, passes = [], routes(threshold)
+    found = []
     # Gram counts of all passes and sides in one job: at most 4 * GRAM_BUCKETS rows.
     grams = [
-        _in_route(df, route).select(F.lit(i).alias("pass"), F.lit(side).alias("side"), F.explode_outer(_bucket_udf(route[0])("s")).alias("bucket"))
+        _in_route(df, route).select(F.lit(i).alias("pass"), F.lit(side).alias("side"), F.explode(F.transform(f"codes_{route[0]}", _bucket)).alias("bucket"))
         for i, route in enumerate(passes) for side, df in enumerate(nodes)]
     seen = {(i, side): [0] * GRAM_BUCKETS for i in range(len(passes)) for side in range(len(nodes))}
     for row in reduce(DataFrame.unionByName, grams).groupBy("pass", "side", "bucket").agg(F.count(F.lit(1)).alias("n")).collect():
         seen[row["pass"], row["side"]][row["bucket"]] = row["n"]
+    counts = {route[0]: [sum(n) for n in zip(*(seen[i, side] for side in range(len(nodes))))] for i, route in enumerate(passes)}
+    nodes = [cut_lineage(df.select(
+        *[c for c in df.columns if not c.startswith("codes_")],
+        *[_rarest_first(F.col(f"codes_{k}"), counts[k]).alias(f"ranked_{k}") for k in sizes])) for df in nodes]
     for i, route in enumerate(passes):
-        sides = [seen[i, side] for side in range(len(nodes))]
-        if not all(any(counts) for counts in sides):
+        if not all(any(seen[i, side]) for side in range(len(nodes))):
             continue  # nothing to pair on one side
-        counts = [sum(n) for n in zip(*sides)]
-        may_be_hot = max(counts) > block_rows  # a block is never bigger than its gram's count
+        may_be_hot = max(counts[route[0]]) > block_rows  # a block is never bigger than its gram's count
 
         def pairs(short: DataFrame, long: DataFrame, order: str) -> DataFrame:
             return _candidates(
-                _postings(short, threshold, route, counts, on, False), _postings(long, threshold, route, counts, on, True),
+                _postings(short, threshold, route, on, False), _postings(long, threshold, route, on, True),
                 threshold, route, on, order, block_rows, may_be_hot)
 
         if self_join:
@@ -331,7 +288,9 @@ def similar_pairs(left: DataFrame, right: DataFrame | None = None, threshold: fl
     ``right`` each unordered pair of different ids appears once. Runs small
     bounded jobs at build time (gram and block histograms); the pairs are lazy.
     """
-    scored = candidate_pairs(left, right, threshold, on, block_rows).withColumn("lcs", lcs_udf("s_a", "s_b"))
+    # One-row explode: the length is computed once, for the filter and for the score.
+    pairs = candidate_pairs(left, right, threshold, on, block_rows)
+    scored = pairs.select("*", F.explode(F.array(lcs_length("s_a", "s_b"))).alias("lcs"))
     total = F.length("s_a") + F.length("s_b")
     return scored.filter(F.lit(200) * F.col("lcs") >= F.lit(threshold) * total).select(
         "id_a", "id_b",

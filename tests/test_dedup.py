@@ -1,9 +1,12 @@
 """Exact and fuzzy de-duplication: known cases and brute-force twins."""
 
 import random
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
+from leadspark.functions import text
 from leadspark.functions.text import normalize_name, token_sort_ratio
 from leadspark.operators import dedup, similarity
 
@@ -119,12 +122,36 @@ def random_names(rng, n, words, longest=3):
 WORDS = ["sur", "norte", "el", "la", "pilar", "hotel", "club", "parque industrial", "a", "de", "country", "bc"]
 
 
-def test_lcs_bits():
+def test_lcs_length(spark):
+    """Texts on both sides of every word border, also with characters outside the basic plane."""
     rng = random.Random(3)
-    for _ in range(400):
-        a = "".join(rng.choice("abc") for _ in range(rng.randint(0, 80)))
-        b = "".join(rng.choice("abc") for _ in range(rng.randint(0, 80)))
-        assert similarity.lcs_bits(a, b) == lcs_dp(a, b)
+    rows = []
+    for n in [0, 1, 30, 61, 62, 63, 64, 124, 125, 190]:
+        for m in [0, 1, 30, 61, 62, 63, 64, 124, 125, 190]:
+            for letters in ("ab", "abcdefghij é\U0001d11e"):
+                rows.append(("".join(rng.choice(letters) for _ in range(n)), "".join(rng.choice(letters) for _ in range(m))))
+    found = spark.createDataFrame(rows, "a string, b string").select("a", "b", text.lcs_length("a", "b").alias("n")).collect()
+    assert [r.n for r in found] == [lcs_dp(r.a, r.b) for r in found] and len(found) == len(rows)
+
+
+def test_gram_codes_are_bags(spark):
+    """Common codes of two texts count their common grams with repetition; signatures never hide one."""
+    rng = random.Random(4)
+    names = ["", "a", "aa", "aaa", "abab"] + ["".join(rng.choice("abc ") for _ in range(rng.randint(0, 70))) for _ in range(60)]
+    df = spark.createDataFrame([(s,) for s in names], "s string")
+    for size in (1, 2):
+        rows = df.select("s", similarity.gram_codes("s", size).alias("codes")).withColumn(
+            "bits", similarity.gram_signature(F.col("codes"))).withColumn("letters", similarity.letter_signature("s")).collect()
+        for a, b in zip(rows, rows[7:]):
+            def bag(s):
+                return Counter(s[i:i + size] for i in range(len(s) - size + 1)) if s else Counter([""])
+
+            common = sum((bag(a.s) & bag(b.s)).values())
+            assert len(set(a.codes) & set(b.codes)) == common and len(set(a.codes)) == len(a.codes)
+            differing = sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(a.bits, b.bits))
+            assert differing <= len(a.codes) + len(b.codes) - 2 * common
+            edits = len(a.s) + len(b.s) - 2 * lcs_dp(a.s, b.s)
+            assert sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(a.letters, b.letters)) <= edits
 
 
 @pytest.mark.parametrize("threshold,block_rows", [(85, 20_000), (70, 5), (60, 20_000), (100, 20_000), (92, 3)])
@@ -264,3 +291,34 @@ def test_title_queries_equal_nested_loop(spark):
     got = sorted(r.ord for r in QUERIES["w2_dedup_fuzzy_titles"](spark, SF).collect())
     assert got == [o for o, _, _ in kept]
     assert (QUERIES["j3_page_titles"](spark, SF).selectExpr("coalesce(sum(pairs), 0)").first()[0]) == pairs
+
+
+def test_connected_components(spark):
+    from leadspark.operators.components import connected_components
+
+    rng = random.Random(2)
+    links = [(i, i + 1) for i in range(1000, 1300)] + [(5000, i) for i in range(5001, 5200)] + [(7, 7)]
+    links += [(rng.randrange(400), rng.randrange(400)) for _ in range(180)]
+    root = {n: n for link in links for n in link}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            low = min(root[a], root[b])
+            changed |= (root[a], root[b]) != (low, low)
+            root[a] = root[b] = low
+    rng.shuffle(links)
+    linked = {n for a, b in links if a != b for n in (a, b)}
+    got = connected_components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert sorted(map(tuple, got)) == sorted((n, root[n]) for n in linked)
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("fold_rows", [0, 3, 10_000])
+def test_folds_and_rounds_agree(spark, monkeypatch, fold_rows):
+    """Components settled by folds, by rounds or by both give the sequential scan."""
+    monkeypatch.setattr(dedup, "FOLD_ROWS", fold_rows)
+    rng = random.Random(12)
+    rows = [(n, rng.choice(["Tigre", "", None, "Pilar"])) for n in random_names(rng, 90, WORDS)]
+    df = leads(spark, rows)
+    assert [r.ord for r in dedup.dedup_fuzzy(df, threshold=75).select("ord").orderBy("ord").collect()] == greedy(rows, 75)
