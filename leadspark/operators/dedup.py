@@ -19,7 +19,7 @@ from .grouping import first_per_group, null_safe_join
 from .similarity import similar_pairs
 
 DEFAULT_THRESHOLD = 85
-FIRST_BATCH = 8_000
+FIRST_BATCH = 2_000
 BATCH_GROWTH = 8
 #: A connected group of names with up to this many rows to settle is settled by one fold.
 FOLD_ROWS = 2_000
@@ -242,7 +242,7 @@ def _settle(nodes: DataFrame, threshold: float, by: list[str]) -> DataFrame:
     over the edges of their rows.
     """
     names = _names(nodes, by)
-    pairs = cut_lineage(similar_pairs(names, None, threshold, on=by).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")))
+    pairs = cut_lineage(similar_pairs(names, None, threshold, on=by, scored=False).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")))
     roots = connected_components(pairs)
     rows = _held(nodes, names, by).join(roots.withColumnRenamed("node", "name"), "name", "left")
     rows = cut_lineage(rows.withColumn("root", F.coalesce("root", "name")))
@@ -267,7 +267,7 @@ def _settle(nodes: DataFrame, threshold: float, by: list[str]) -> DataFrame:
 def _struck(kept: DataFrame, rest: DataFrame, threshold: float, by: list[str]) -> DataFrame:
     """Ids of ``rest`` that a node of ``kept`` removes."""
     own, far = _names(kept, by), _names(rest, by)
-    pairs = similar_pairs(own, far, threshold, on=by).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    pairs = similar_pairs(own, far, threshold, on=by, scored=False).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
     return _compatible(pairs, _held(kept, own, by), _held(rest, far, by)).select(F.col("id_b").alias("id")).distinct()
 
 

@@ -280,19 +280,27 @@ def candidate_pairs(left: DataFrame, right: DataFrame | None, threshold: float,
 
 
 def similar_pairs(left: DataFrame, right: DataFrame | None = None, threshold: float = 85,
-                  on: list[str] | None = None, block_rows: int = 20_000) -> DataFrame:
+                  on: list[str] | None = None, block_rows: int = 20_000, scored: bool = True) -> DataFrame:
     """Pairs of nodes with ratio >= threshold: ``id_a, id_b, score``.
 
     ``left`` (and ``right``) hold distinct nodes: a unique ``id``, the sorted-token
     text ``s`` and the columns in ``on`` that both sides must share. Without
     ``right`` each unordered pair of different ids appears once. Runs small
     bounded jobs at build time (gram and block histograms); the pairs are lazy.
+    Without ``scored`` the pairs come alone, and those whose Levenshtein distance already tells that
+    they reach the threshold (insertions and deletions are at most twice as many) cost no score.
     """
-    # One-row explode: the length is computed once, for the filter and for the score.
-    pairs = candidate_pairs(left, right, threshold, on, block_rows)
-    scored = pairs.select("*", F.explode(F.array(lcs_length("s_a", "s_b"))).alias("lcs"))
     total = F.length("s_a") + F.length("s_b")
-    return scored.filter(F.lit(200) * F.col("lcs") >= F.lit(threshold) * total).select(
+    lcs = lcs_length("s_a", "s_b")
+    if not scored:
+        edits = F.call_function("levenshtein", F.col("s_a"), F.col("s_b"))
+        lcs = F.when(200 * 2 * edits <= (200 - 2 * threshold) * total, F.lit(None).cast("int")).otherwise(lcs)
+    # One-row explode: the length is computed once, for the filter and for the score.
+    pairs = candidate_pairs(left, right, threshold, on, block_rows).select("*", F.explode(F.array(lcs)).alias("lcs"))
+    good = pairs.filter(F.col("lcs").isNull() | (F.lit(200) * F.col("lcs") >= F.lit(threshold) * total))
+    if not scored:
+        return good.select("id_a", "id_b")
+    return good.select(
         "id_a", "id_b",
         F.when(total == 0, F.lit(100.0)).otherwise(F.lit(200.0) * F.col("lcs") / total).alias("score"),
     )
