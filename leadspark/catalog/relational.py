@@ -80,13 +80,16 @@ def j3_titles(t):
     return dedup.name_pairs(v_title(t), threshold=TITLE_THRESHOLD).withColumn("score", F.round("score", 6))
 
 
-@query("j4_vs_production", f"""WITH n AS (SELECT *, {V.sort_tokens('nombre')} AS s, {V.norm('partido')} AS d FROM ({NEW_SQL})
+J4_SQL = f"""WITH n AS (SELECT *, {V.sort_tokens('nombre')} AS s, {V.norm('partido')} AS d FROM ({NEW_SQL})
     WHERE {V.dedup_key()} NOT IN (SELECT {V.dedup_key()} FROM ({PROD_SQL}))),
   p AS (SELECT *, {V.sort_tokens('nombre')} AS s, {V.norm('partido')} AS d FROM ({PROD_SQL})),
   ns AS (SELECT DISTINCT s FROM n), ps AS (SELECT s, min(ord) AS ord FROM p GROUP BY 1),
   sc AS (SELECT ns.s, ps.ord, {V.ratio('ns.s', 'ps.s')} AS score FROM ns JOIN ps ON true),
   best AS (SELECT s, ord, score FROM sc WHERE score >= 85 QUALIFY row_number() OVER (PARTITION BY s ORDER BY score DESC, ord) = 1)
-  SELECT n.ord AS ord_a, p.ord AS ord_b, round(score, 6) AS score FROM n JOIN best USING (s) JOIN p ON p.ord = best.ord WHERE n.d = p.d OR n.d = '' OR p.d = ''""")
+  SELECT n.ord AS ord_a, p.ord AS ord_b, round(score, 6) AS score FROM n JOIN best USING (s) JOIN p ON p.ord = best.ord WHERE n.d = p.d OR n.d = '' OR p.d = ''"""
+
+
+@query("j4_vs_production", J4_SQL)
 def j4(t):
     _, matches = dedup.dedup_vs_production(new_batch(t), production(t))
     return matches.select("ord_a", "ord_b", F.round("score", 6).alias("score"))
@@ -494,12 +497,18 @@ def w15(t):
 # ---------------------------------------------------------------- T
 
 
-@query("t1_match_order", "SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS n FROM orders")
-def t1(t):
+@query("t1_order_positions", "SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS n FROM orders")
+def t1_positions(t):
     rows = t.orders.select("o_orderkey", (-F.col("o_totalprice")).alias("lowest"))
     return global_row_number(rows, "lowest", "n", ties=("o_orderkey",)).select("o_orderkey", "n")
 
 
+@query("t1_match_order", J4_SQL.replace("SELECT n.ord AS ord_a", "SELECT row_number() OVER (ORDER BY score DESC, n.ord, p.ord) AS n, n.ord AS ord_a"))
+def t1(t):
+    _, matches = dedup.dedup_vs_production(new_batch(t), production(t))
+    return dedup.match_positions(matches).select("ord_a", "ord_b", F.round("score", 6).alias("score"), "n")
+
+
 @query("t2_top_pairs", f"""WITH k AS (SELECT ord, {V.sort_tokens('nombre')} AS s, {V.norm('partido')} AS d FROM ({V.PART_SQL}))
   SELECT a.ord AS ord_a, b.ord AS ord_b, 100.0::DOUBLE AS score, CASE WHEN a.d = b.d THEN 'nombre+partido' ELSE 'nombre' END AS match_type
   FROM k a JOIN k b ON a.s = b.s AND a.ord < b.ord ORDER BY a.ord, b.ord LIMIT 20""")
@@ -507,9 +516,9 @@ def t2(t):
     return dedup.top_matches(v_part(t), 20).select("ord_a", "ord_b", "score", "match_type")
 
 
-@query("t3_lots_newest_first", f"SELECT lote_id FROM ({LOTS_SQL}) ORDER BY creado_en DESC, lote_id")
+@query("t3_lots_newest_first", f"SELECT lote_id, row_number() OVER (ORDER BY creado_en DESC, lote_id) AS n FROM ({LOTS_SQL})")
 def t3(t):
-    return ledger.filter_lots(v_lots(t)).select("lote_id")
+    return ledger.newest_first(v_lots(t)).select("lote_id", "n")
 
 
 @query("t4_head_limit", "SELECT doc_id FROM documents ORDER BY doc_id LIMIT 100")

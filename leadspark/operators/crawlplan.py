@@ -30,13 +30,20 @@ def fetch_error(url, text, allowed) -> Column:
 def crawl_permission(urls: DataFrame, rules: DataFrame, key: str = "url") -> DataFrame:
     """``allowed`` per URL: first matching rule of its domain in file order, else allowed.
 
-    Rules are ``(domain, seq, allow, path)``. URLs of a domain meet only the
-    rules of that domain that match, reduced at once to the first.
+    Rules are ``(domain, seq, allow, path)``. A path is cut at the lengths that rules of its domain have
+    and looked up by (domain, beginning), of which there is one rule at most: the work of an address grows
+    with its path, not with the rules.
     """
     wanted = urls.select(key).distinct().select(key, url_domain(key).alias("domain"), F.concat(
         F.when(url_path(key) == "", "/").otherwise(url_path(key)),
         F.regexp_extract(key, r"(\?[^#]*)", 1)).alias("__path"))
-    hits = wanted.join(rules, "domain").filter(F.col("__path").startswith(F.col("path")))
+    rules = rules.filter(F.col("path").isNotNull()).groupBy("domain", F.col("path").alias("__start")).agg(
+        F.min(F.struct("seq", "allow")).alias("__rule"))
+    lengths = rules.groupBy("domain").agg(F.collect_set(F.length("__start")).alias("__lengths"))
+    fitting = F.filter("__lengths", lambda n: n <= F.length("__path"))
+    starts = wanted.join(lengths, "domain").select(
+        key, "domain", F.explode(F.transform(fitting, lambda n: F.substring("__path", F.lit(1), n))).alias("__start"))
+    hits = starts.join(rules, ["domain", "__start"]).select(key, "__rule.*")
     first = hits.groupBy(key).agg(F.min_by("allow", "seq").alias("__allow"))
     return urls.join(first, key, "left").withColumn("allowed", F.coalesce("__allow", F.lit(True))).drop("__allow")
 

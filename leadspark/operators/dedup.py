@@ -15,7 +15,7 @@ from pyspark.sql.window import Window as W
 from ..functions.text import dedup_key, let, normalize_name, same_district, sort_tokens, squash_name
 from ..session import cut_lineage
 from .components import connected_components
-from .grouping import first_per_group, null_safe_join
+from .grouping import first_per_group, first_row_of_key, null_safe_join, sorted_positions
 from .similarity import similar_pairs
 
 DEFAULT_THRESHOLD = 85
@@ -32,18 +32,18 @@ def dedup_exact(df: DataFrame, order_col: str = "ord", by: list[str] | None = No
     """One row per normalised name and district (within ``by``): the first."""
     by = by or []
     keyed = df.withColumn("__dk", dedup_key())
-    return first_per_group(keyed, [*by, "__dk"], [order_col]).drop("__dk")
+    return first_row_of_key(keyed, [*by, "__dk"], order_col).drop("__dk")
 
 
 def dedup_by_name(df: DataFrame, order_col: str = "ord") -> DataFrame:
     """First row per lower-cased, space-collapsed name (accents count)."""
-    return first_per_group(df.withColumn("__nk", squash_name("nombre")), ["__nk"], [order_col]).drop("__nk")
+    return first_row_of_key(df.withColumn("__nk", squash_name("nombre")), ["__nk"], order_col).drop("__nk")
 
 
 def dedup_by_url(df: DataFrame, order_col: str = "ord", url_col: str = "sitio_web") -> DataFrame:
     """First row per address; all rows without one share a slot."""
     keyed = df.withColumn("__u", F.coalesce(F.col(url_col), F.lit("")))
-    return first_per_group(keyed, ["__u"], [order_col]).drop("__u")
+    return first_row_of_key(keyed, ["__u"], order_col).drop("__u")
 
 
 def dedup_by_place_id(df: DataFrame, order_col: str = "ord") -> DataFrame:
@@ -163,6 +163,11 @@ def find_fuzzy_matches(df: DataFrame, order_col: str = "ord", threshold: float =
     return _pair_rows(pairs, members).orderBy(F.desc("score"), "ord_a", "ord_b")
 
 
+def match_positions(matches: DataFrame, name: str = "n") -> DataFrame:
+    """Matches (``ord_a, ord_b, score``) with their place from the best score down, ties by their rows."""
+    return sorted_positions(matches, [F.desc("score"), F.asc("ord_a"), F.asc("ord_b")], name)
+
+
 def top_matches(df: DataFrame, k: int = 20, order_col: str = "ord", threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
     """The first ``k`` rows of ``find_fuzzy_matches`` without listing the others.
 

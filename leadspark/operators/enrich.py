@@ -14,7 +14,7 @@ from ..functions.replies import lead_from_reply, parse_reply
 from ..functions.scoring import is_enriched
 from ..functions.text import blank_to_null, geocode_query, truthy
 from ..schemas import COMMERCIAL_STATES, CONTACT_SCHEMA, DEFAULT_COUNTRY, LEAD_SCHEMA
-from .grouping import first_per_group, left_lookup
+from .grouping import first_per_group, first_row_of_key, left_lookup
 
 # --- fixed values: verification states that count as valid ---
 VALID_STATUSES = ["valid", "accept_all"]
@@ -29,7 +29,7 @@ def resume(pages: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
 def page_text_by_url(candidates: DataFrame, page_text: DataFrame, order_col: str = "page_id", url: str = "sitio_web") -> DataFrame:
     """Candidates with the ``text`` of their site: the last page per URL with enough text."""
     usable = page_text.filter(has_content("text"))
-    latest = first_per_group(usable.select("url", "text", order_col), ["url"], [order_col], last=True)
+    latest = first_row_of_key(usable.select("url", "text", order_col), ["url"], order_col, last=True)
     lookup = latest.select(F.col("url").alias(url), "text")
     return left_lookup(candidates, lookup, [url])
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
+from ..session import cut_lineage
+
 
 def first_per_group(df: DataFrame, keys: list[str], order_cols: list, last: bool = False) -> DataFrame:
     """One row per key: the first (or last) by ``order_cols``.
@@ -19,6 +21,38 @@ def first_per_group(df: DataFrame, keys: list[str], order_cols: list, last: bool
     return df.groupBy(*[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)]).agg(pick.alias("__row")).select("__row.*")
 
 
+def digest(keys: list[str]) -> Column:
+    """256 bits of the key columns; NULL differs from every text."""
+    parts = [F.coalesce(F.concat(F.length(F.col(f"`{k}`").cast("string")).cast("string"), F.lit(":"), F.col(f"`{k}`").cast("string")), F.lit("-")) for k in keys]
+    return F.unhex(F.sha2(F.concat(*parts), 256))
+
+
+def first_row_of_key(df: DataFrame, keys: list[str], order_col: str, last: bool = False) -> DataFrame:
+    """The row of the first (or last) ``order_col`` of every key, for wide rows and long keys.
+
+    ``order_col`` tells rows apart (no two rows share a value, none is NULL). The
+    aggregate sees 32 bytes and the order of a row only; whole rows are fetched afterwards by that order.
+    """
+    pick = F.max(order_col) if last else F.min(order_col)
+    chosen = df.groupBy(digest(keys).alias("__key")).agg(pick.alias("__chosen")).select("__chosen")
+    return df.join(chosen, F.col(order_col) == F.col("__chosen"), "left_semi")
+
+
+def sorted_positions(df: DataFrame, order: list[Column], name: str = "n") -> DataFrame:
+    """1-based position of every row in the given order, which tells rows apart.
+
+    Rows are dealt by ranges of the whole order, so equal leading values spread over
+    tasks; each range is numbered by itself and shifted by the sizes of those before it (a row a range).
+    """
+    ranges = cut_lineage(df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()))
+    sizes = ranges.groupBy("__range").agg(F.count(F.lit(1)).alias("__size"))
+    before = F.sum("__size").over(W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1))
+    offsets = sizes.select("__range", F.coalesce(before, F.lit(0)).alias("__before"))
+    local = F.row_number().over(W.partitionBy("__range").orderBy(*order))
+    return ranges.withColumn("__local", local).join(F.broadcast(offsets), "__range").withColumn(
+        name, F.col("__local") + F.col("__before")).drop("__range", "__local", "__before")
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join on ``keys`` where NULL equals NULL; the keys appear once."""
     renamed = right.select(*[F.col(c).alias(f"__r_{c}") if c in keys else F.col(c) for c in right.columns])

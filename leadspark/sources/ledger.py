@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import _col
-from ..operators.grouping import first_per_group
+from ..operators.grouping import first_per_group, sorted_positions
 from ..schemas import (
     BASE_VERTICAL, DISPLAY_NAMES, LOT_EVENT_SCHEMA, RUN_EVENT_SCHEMA, VERTICAL_EVENT_SCHEMA, VERTICALS,
 )
@@ -133,6 +133,11 @@ def filter_lots(lots: DataFrame, vertical: str | None = None, state: str | None
     return lots.orderBy(F.desc("creado_en"), "lote_id")
 
 
+def newest_first(lots: DataFrame, name: str = "n") -> DataFrame:
+    """Lots with their place in the listing of ``filter_lots``."""
+    return sorted_positions(lots, [F.desc("creado_en"), F.asc("lote_id")], name)
+
+
 def pending_lots(lots: DataFrame, vertical: str | None = None) -> DataFrame:
     return filter_lots(lots, vertical, "pendiente")
 

@@ -322,3 +322,53 @@ def test_folds_and_rounds_agree(spark, monkeypatch, fold_rows):
     rows = [(n, rng.choice(["Tigre", "", None, "Pilar"])) for n in random_names(rng, 90, WORDS)]
     df = leads(spark, rows)
     assert [r.ord for r in dedup.dedup_fuzzy(df, threshold=75).select("ord").orderBy("ord").collect()] == greedy(rows, 75)
+
+
+def test_first_row_of_key_keeps_payload_out_of_sorts(spark):
+    from leadspark.operators.grouping import first_per_group, first_row_of_key
+
+    rows = [(i, k, d, "x" * i) for i, (k, d) in enumerate([("a", ""), ("a", None), ("a", ""), (None, "a"), ("a1", ":"), ("a", "1:"), (None, "a"), ("", "-")])]
+    df = spark.createDataFrame(rows, "ord long, k string, d string, body string")
+    for last in (False, True):
+        got = first_row_of_key(df, ["k", "d"], "ord", last)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, first_per_group(df, ["k", "d"], ["ord"], last).collect()))
+        assert got.columns == df.columns
+    assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
+    assert first_row_of_key(df.limit(0), ["k"], "ord").count() == 0
+
+
+def test_sorted_positions_split_equal_scores(spark):
+    """A third of all rows share a score: they lie in several ranges and keep their places."""
+    from leadspark.operators.grouping import sorted_positions
+
+    rng = random.Random(6)
+    rows = [(100.0 if rng.random() < 0.34 else rng.choice([85.0, 90.5, 99.0]), i, rng.randrange(50)) for i in range(3000)]
+    rng.shuffle(rows)
+    order = [F.desc("score"), F.asc("ord_a"), F.asc("ord_b")]
+    df = spark.createDataFrame(rows, "score double, ord_a long, ord_b long").repartition(5)
+    got = {(r.score, r.ord_a, r.ord_b): r.n for r in sorted_positions(df, order).collect()}
+    assert got == {row: n for n, row in enumerate(sorted(rows, key=lambda r: (-r[0], r[1], r[2])), 1)}
+    spread = df.repartitionByRange(4, *order).filter("score = 100").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert spread > 1
+    assert sorted_positions(df.limit(0), order).count() == 0
+
+
+def test_crawl_permission_equals_rule_by_rule(spark):
+    from leadspark.operators.crawlplan import crawl_permission
+
+    rng = random.Random(7)
+    paths = ["", "/", "/a", "/a/b", "/ab", "/a?x=1", "/b", None, "/a/b/c", "é/"]
+    rules = [(f"d{rng.randrange(4)}.com", seq, rng.random() < 0.5, rng.choice(paths)) for seq in range(60)]
+    urls = [f"https://{rng.choice(['', 'www.'])}d{rng.randrange(6)}.com{p or ''}{q}" for p in paths for q in ("", "/b/c/d", "?x=1&y", "#f") for _ in range(4)]
+    got = {r.url: r.allowed for r in crawl_permission(
+        spark.createDataFrame([(u,) for u in urls], "url string"),
+        spark.createDataFrame(rules, "domain string, seq int, allow boolean, path string")).collect()}
+    for url in urls:
+        rest = url.split("//", 1)[1]
+        host = rest.replace("#", "/").replace("?", "/").split("/", 1)[0]
+        tail = rest[len(host):].split("#")[0]
+        path = tail.split("?")[0] or "/"
+        whole = path + ("?" + tail.split("?", 1)[1] if "?" in tail else "")
+        domain = host[4:] if host.startswith("www.") else host
+        hits = [(seq, allow) for d, seq, allow, start in rules if d == domain and start is not None and whole.startswith(start)]
+        assert got[url] == (min(hits)[1] if hits else True), url
