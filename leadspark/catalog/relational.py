@@ -308,13 +308,16 @@ def a10(t):
     return report.time_span(t.events.select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp")), "event_id")
 
 
-@query("a11_run_metrics", with_cust(f"""SELECT count(*) AS discovered, count(*) FILTER (WHERE sitio_web IS NOT NULL) AS fetched, count(*) FILTER (WHERE sitio_web IS NOT NULL AND telefono IS NOT NULL) AS fetched_ok,
+@query("a11_run_metrics", with_cust(f""", q AS (SELECT ord, provincia, {GEO_Q} AS query FROM v),
+  g AS (SELECT DISTINCT query FROM q WHERE provincia IN ('AFRICA', 'ASIA', 'EUROPE') AND ord > 10), f AS (SELECT ord FROM q JOIN g USING (query))
+  SELECT count(*) AS discovered, count(*) FILTER (WHERE sitio_web IS NOT NULL) AS fetched, count(*) FILTER (WHERE sitio_web IS NOT NULL AND telefono IS NOT NULL) AS fetched_ok,
   count(*) FILTER (WHERE {V.truthy('v.email')} OR {V.truthy('telefono')} OR coalesce(latitud, 0) <> 0) AS enriched, count(*) FILTER (WHERE v.email IS NOT NULL) AS validated,
-  count(*) FILTER (WHERE r.status IS NOT NULL AND r.error IS NULL) AS verified_ok, 0::BIGINT AS geocoded, count(*) AS saved,
-  count(*) FILTER (WHERE sitio_web IS NOT NULL AND telefono IS NULL) AS errors FROM v LEFT JOIN ({VERIF}) r ON r.email = v.email"""))
+  count(*) FILTER (WHERE r.status IS NOT NULL AND r.error IS NULL) AS verified_ok, count(f.ord) AS geocoded, count(*) AS saved,
+  count(*) FILTER (WHERE sitio_web IS NOT NULL AND telefono IS NULL) AS errors FROM v LEFT JOIN ({VERIF}) r ON r.email = v.email LEFT JOIN f ON f.ord = v.ord"""))
 def a11(t):
     leads = v_cust(t).withColumns({"had_url": F.col("sitio_web").isNotNull(), "had_text": F.col("sitio_web").isNotNull() & F.col("telefono").isNotNull()})
-    leads = enrich.apply_verifications(enrich.mark_enriched(leads), verifications(t)).withColumn("geo_found", F.lit(False))
+    leads = enrich.apply_verifications(enrich.mark_enriched(leads), verifications(t))
+    leads = enrich.apply_geocodes(leads, gazetteer(t, ["AFRICA", "ASIA"], 0), gazetteer(t, ["ASIA", "EUROPE"], 1000))
     return enrich.run_metrics(leads)
 
 
@@ -459,8 +462,7 @@ def w11(t):
   FROM g WINDOW w AS (PARTITION BY user_id, island ORDER BY ts, event_id)""")
 def w12(t):
     attempts = t.events.select("event_id", "user_id", "ts", (F.col("event_type") == "error").alias("fail"))
-    hours = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 3_600_000_000 / 12)
-    return crawlplan.failure_streaks(attempts, "user_id", ["ts", "event_id"], bucket=hours).select("event_id", "streak", "open")
+    return crawlplan.failure_streaks(attempts, "user_id", ["ts", "event_id"]).select("event_id", "streak", "open")
 
 
 @query("w13_pacing_plan", """WITH r AS (SELECT event_id, user_id, epoch_us(ts) // 60000000 AS arrival FROM events),
@@ -469,7 +471,7 @@ def w12(t):
 def w13(t):
     minutes = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 60_000_000)
     requests = t.events.select("event_id", "user_id", minutes.alias("arrival"))
-    plan = crawlplan.pacing_plan(requests, 90, "user_id", "arrival", "event_id", bucket_seconds=720)
+    plan = crawlplan.pacing_plan(requests, 90, "user_id", "arrival", "event_id")
     return plan.select("event_id", F.col("slot").cast("double").alias("slot"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql.window import Window as W
 from ..functions.html import has_content
 from ..functions.text import _col, has_http_scheme, url_base, url_domain, url_path
 from .discover import CONTACT_PAGES
-from .grouping import null_safe_join, order_bucket, streaks
+from .grouping import in_ranges, null_safe_join, streaks
 
 # --- fixed values: outcome texts ---
 BAD_URL = "URL inválida"
@@ -49,14 +49,14 @@ def crawl_permission(urls: DataFrame, rules: DataFrame, key: str = "url") -> Dat
 
 
 def pacing_plan(requests: DataFrame, rate: float = 3.0, domain: str = "domain", arrival: str = "arrival",
-                order_col: str = "ord", bucket_seconds: float = 3600.0) -> DataFrame:
+                order_col: str = "ord") -> DataFrame:
     """Earliest ``slot`` (seconds) per request so that a domain gets one per ``rate`` seconds.
 
-    slot_k = max over i<=k of (arrival_i + (k-i)*rate). Arrival buckets are
-    solved apart and the bucket maxima carried over, so one domain with a third
-    of all requests still spreads.
+    slot_k = max over i<=k of (arrival_i + (k-i)*rate). Ranges of (domain, arrival, order) are
+    solved apart and their maxima carried over, so one domain with a third
+    of all requests spreads, also if they arrive at once.
     """
-    rows = requests.withColumn("__b", F.floor(F.col(arrival) / bucket_seconds))
+    rows = in_ranges(requests, [domain, arrival, order_col], "__b")
     local = W.partitionBy(domain, "__b").orderBy(arrival, order_col)
     upto = local.rowsBetween(W.unboundedPreceding, W.currentRow)
     rows = rows.withColumn("__rn", F.row_number().over(local) - 1)
@@ -74,12 +74,17 @@ def pacing_plan(requests: DataFrame, rate: float = 3.0, domain: str = "domain",
 
 def failure_streaks(attempts: DataFrame, source: str = "source", order_cols: list[str] | None = None,
                     failed: str = "fail", bucket: Column | None = None, limit: int = FAILURE_LIMIT) -> DataFrame:
-    """Failures since the last success per source; the breaker is open from ``limit`` on."""
+    """Failures since the last success per source; the breaker is open from ``limit`` on.
+
+    Without a ``bucket`` the attempts are dealt by ranges of (source, order), so a busy source spreads
+    over tasks however close its attempts lie.
+    """
     order_cols = order_cols or ["ts"]
-    bucket = order_bucket(attempts, order_cols[0]) if bucket is None else bucket
+    if bucket is None:
+        attempts, bucket = in_ranges(attempts, [source, *order_cols], "__slice"), F.col("__slice")
     f = F.coalesce(failed, F.lit(False))
     out = streaks(attempts, [source], order_cols, f, ~f, bucket, "streak")
-    return out.withColumn("open", F.col("streak") >= limit)
+    return out.withColumn("open", F.col("streak") >= limit).drop("__slice")
 
 
 def subpage_urls(urls: DataFrame, url: str = "url", paths: list[str] = CONTACT_PAGES) -> DataFrame:

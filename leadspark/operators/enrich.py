@@ -14,7 +14,7 @@ from ..functions.replies import lead_from_reply, parse_reply
 from ..functions.scoring import is_enriched
 from ..functions.text import blank_to_null, geocode_query, truthy
 from ..schemas import COMMERCIAL_STATES, CONTACT_SCHEMA, DEFAULT_COUNTRY, LEAD_SCHEMA
-from .grouping import first_per_group, first_row_of_key, left_lookup
+from .grouping import first_per_group, first_row_of_key, frequent_lookup, left_lookup
 
 # --- fixed values: verification states that count as valid ---
 VALID_STATUSES = ["valid", "accept_all"]
@@ -116,7 +116,8 @@ def apply_geocodes(leads: DataFrame, primary: DataFrame, secondary: DataFrame |
     asked = with_geo_query(leads)
     hits = geocode_lookup(asked.select(F.col("geo_query").alias("query")), primary, secondary).select(
         F.col("query").alias("geo_query"), F.col("lat").alias("__lat"), F.col("lon").alias("__lon"))
-    return asked.join(hits, "geo_query", "left").withColumns({
+    # Leads without an address share one query text.
+    return frequent_lookup(asked, hits, "geo_query").withColumns({
         "latitud": F.coalesce("__lat", "latitud"), "longitud": F.coalesce("__lon", "longitud"),
         "geo_found": F.col("__lat").isNotNull(),
     }).drop("__lat", "__lon", "geo_query")

@@ -38,13 +38,20 @@ def first_row_of_key(df: DataFrame, keys: list[str], order_col: str, last: bool
     return df.join(chosen, F.col(order_col) == F.col("__chosen"), "left_semi")
 
 
+def in_ranges(df: DataFrame, order: list, name: str = "__range") -> DataFrame:
+    """Rows dealt by ranges of the whole order, with the number of their range (it never decreases along
+    the order). Equal leading columns spread over tasks; rows equal in all of them share a range.
+    """
+    return cut_lineage(df.repartitionByRange(*order).withColumn(name, F.spark_partition_id()))
+
+
 def sorted_positions(df: DataFrame, order: list[Column], name: str = "n") -> DataFrame:
     """1-based position of every row in the given order, which tells rows apart.
 
     Rows are dealt by ranges of the whole order, so equal leading values spread over
     tasks; each range is numbered by itself and shifted by the sizes of those before it (a row a range).
     """
-    ranges = cut_lineage(df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()))
+    ranges = in_ranges(df, order)
     sizes = ranges.groupBy("__range").agg(F.count(F.lit(1)).alias("__size"))
     before = F.sum("__size").over(W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1))
     offsets = sizes.select("__range", F.coalesce(before, F.lit(0)).alias("__before"))
@@ -141,6 +148,24 @@ def global_row_number(df: DataFrame, order_col: str, name: str = "row_no", bucke
     )
 
 
+def frequent_lookup(df: DataFrame, lookup: DataFrame, key: str, hot_keys: int = 256) -> DataFrame:
+    """Left join on ``key`` (one lookup row a key) for keys that may hold any share of the rows.
+
+    The ``hot_keys`` most frequent keys get their row from a broadcast of as many rows; what is left is joined by a
+    shuffle, where a key has less than one row in ``hot_keys``. Rows without a key or with a hot one
+    take a salted stand-in there.
+    """
+    added = [c for c in lookup.columns if c != key]
+    rows = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    hot = rows.orderBy(F.desc("__n"), key).limit(hot_keys).join(lookup, key, "left").select(
+        F.col(key).alias("__hot"), F.struct(*added).alias("__row"))
+    known = df.join(F.broadcast(hot), F.col(key) == F.col("__hot"), "left")
+    known = known.withColumn("__key", F.when(F.col("__hot").isNull(), F.col(key)))
+    rest = lookup.select(F.col(key).alias("__key"), F.struct(*added).alias("__found"))
+    out = left_lookup(known, rest, ["__key"])
+    return out.select(*df.columns, *[F.coalesce(F.col("__row")[c], F.col("__found")[c]).alias(c) for c in added])
+
+
 def left_lookup(df: DataFrame, lookup: DataFrame, keys: list[str]) -> DataFrame:
     """Left join on ``keys`` that spreads rows whose key is NULL.
 

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.crawlplan import FAILURE_LIMIT, failure_streaks
+from ..operators.grouping import order_bucket
 from ..operators.enrich import extraction_records
 from ..sources.lead_csv import path_exists
 
@@ -46,7 +47,7 @@ def streak_stream(attempts: DataFrame, out: str, state: str, checkpoint: str, li
     """
     def advance(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = failure_streaks(batch, "source", ["ts"], "fail", limit=limit)
+        rows = failure_streaks(batch, "source", ["ts"], "fail", order_bucket(batch, "ts"), limit)
         first_ok = batch.filter(~F.col("fail")).groupBy("source").agg(F.min("ts").alias("__ok"))
         before = f"{state}/batch={batch_id - 1}"
         if batch_id > 0 and path_exists(spark, before):

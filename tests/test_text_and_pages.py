@@ -1,11 +1,13 @@
 """Names, URLs, places, contacts, pages, replies, prompts, plans of the crawl."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from leadspark.functions import extract, html, pii, replies, text
+from leadspark.operators.grouping import frequent_lookup, in_ranges
 from leadspark.operators import crawlplan, discover, enrich, prompts, report
 from leadspark.plans import jobs
 from leadspark.schemas import COMMERCIAL_STATES, METADATA_FIELDS, VERTICALS, metadata_schema, vertical_dimension
@@ -164,7 +166,7 @@ def test_streaks_and_pacing(spark):
     got = crawlplan.failure_streaks(df, bucket=F.floor(F.col("ts") / 2)).orderBy("ts").collect()
     assert [r.streak for r in got] == [1, 2, 0, 1, 2, 3, 4] and [r.open for r in got] == [False] * 5 + [True, True]
     requests = spark.createDataFrame([("d", 0.0, 1), ("d", 1.0, 2), ("d", 10.0, 3), ("d", 10.5, 4)], "domain string, arrival double, ord bigint")
-    plan = crawlplan.pacing_plan(requests, 3.0, bucket_seconds=2)
+    plan = crawlplan.pacing_plan(requests, 3.0)
     assert [r.slot for r in plan.orderBy("ord").collect()] == [0.0, 3.0, 10.0, 13.0]
 
 
@@ -252,3 +254,36 @@ def test_supplement_gate_has_two_sides(spark):
     sites = lambda limit: sorted(r[0] for r in discover.supplement(base, extra, limit).collect())
     assert sites(None) == sites(6) == ["a.com", "b.com", "c.com"]
     assert sites(4) == ["a.com", "b.com"]
+
+
+def test_hot_domains_and_sources_spread(spark):
+    """A third of all requests arrive at once for one domain, a third of all attempts come from one source."""
+    rng = random.Random(3)
+    rows = [(i, "hot" if i % 3 == 0 else rng.choice(["a", "b", None]), 5 if i % 3 == 0 else rng.randrange(40), rng.random() < 0.7) for i in range(2400)]
+    df = spark.createDataFrame(rows, "ord long, domain string, arrival long, fail boolean").repartition(4)
+    slots, streak = {}, {}
+    free, run = {}, {}
+    for i, domain, arrival, fail in sorted(rows, key=lambda r: (r[2], r[0])):
+        slots[i] = max(arrival, free.get(domain, arrival))
+        free[domain] = slots[i] + 3
+        run[domain] = run.get(domain, 0) + 1 if fail else 0
+        streak[i] = run[domain]
+    assert {r.ord: r.slot for r in crawlplan.pacing_plan(df).collect()} == slots
+    got = crawlplan.failure_streaks(df, "domain", ["arrival", "ord"])
+    assert {r.ord: r.streak for r in got.collect()} == streak and "__slice" not in got.columns
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # a table this small would be one range
+    try:
+        ranges = in_ranges(df, ["domain", "arrival", "ord"]).filter("domain = 'hot' AND arrival = 5").select("__range").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert ranges > 1
+
+
+def test_frequent_lookup_equals_left_join(spark):
+    rng = random.Random(5)
+    rows = [(i, "hot" if i % 3 == 0 else rng.choice(["a", "b", "gone", None, f"k{i}"])) for i in range(900)]
+    df = spark.createDataFrame(rows, "ord long, q string")
+    lookup = spark.createDataFrame([("hot", 1.0, None), ("a", None, "x"), ("k7", 2.0, "y"), ("unused", 0.0, "z")], "q string, lat double, by string")
+    want = sorted(map(str, df.join(lookup, "q", "left").select("ord", "q", "lat", "by").collect()))
+    for hot in (1, 3, 5000):
+        assert sorted(map(str, frequent_lookup(df, lookup, "q", hot).collect())) == want
