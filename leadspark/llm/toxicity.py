@@ -28,6 +28,8 @@ from .common import map_batches, pick
 
 #: Labelled documents of each class that the model is fitted on, at most.
 TOXIC_SAMPLE, ORDINARY_SAMPLE = 1500, 2500
+#: Windows of the ordinary sample that its dictionary is trained on, at most.
+ORDINARY_WINDOWS = 40_000
 #: Bytes of a window (it ends at a space), and sizes of the dictionaries.
 WINDOW, TOXIC_BYTES, ORDINARY_BYTES = 64, 2048, 8192
 #: A fragment belongs to the toxic samples if so many toxic documents have it, so many times as often as ordinary ones.
@@ -144,10 +146,11 @@ def _trained(samples: list[bytes], size: int) -> bytes:
         return b"".join(samples)[-size:]
 
 
-def fit(toxic: list[str], ordinary: list[str], odds: float = 1.0) -> Model | None:
+def fit(toxic: list[str], ordinary: list[str], odds: float = 1.0, ordinary_windows: int = ORDINARY_WINDOWS) -> Model | None:
     """The model of labelled texts; None if a class has none.
 
-    ``odds``: how many ordinary documents there are for a toxic one. Half of the texts train the
+    ``odds``: how many ordinary documents there are for a toxic one. ``ordinary_windows``: so many windows
+    of ordinary text at most, drawn at random, train its dictionary. Half of the texts train the
     dictionaries, the others the weights and the threshold.
     """
     if not toxic or not ordinary:
@@ -165,7 +168,7 @@ def fit(toxic: list[str], ordinary: list[str], odds: float = 1.0) -> Model | Non
             plain.append(doubled(data[at:end]))
             at = end
     random.Random(1).shuffle(plain)
-    contents = _trained(samples, TOXIC_BYTES) if samples else b"", _trained(plain[:40_000], ORDINARY_BYTES)
+    contents = _trained(samples, TOXIC_BYTES) if samples else b"", _trained(plain[:ordinary_windows], ORDINARY_BYTES)
     distances = Distances(*contents)
     x = np.array([features(distances(t)) for t in [*spare[0], *spare[1]]])
     y = np.r_[np.ones(len(spare[0])), np.zeros(len(spare[1]))]
@@ -217,14 +220,15 @@ def train(docs: DataFrame, labels: DataFrame, toxic_sample: int = TOXIC_SAMPLE,
     """The model from at most ``toxic_sample`` and ``ordinary_sample`` labelled documents that are not held out.
 
     The ids come first (by the order of their hash), their texts after; a repeated label counts
-    as toxic if one of its rows is.
+    as toxic if one of its rows is, a repeated document gives one of its texts.
     """
     texts = pick(docs, doc_id="doc_id", text="text").where("doc_id IS NOT NULL")
     marks = pick(labels, doc_id="doc_id", toxic="toxic").where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out(F.col("doc_id")))
     known = marks.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).join(texts.select("doc_id").distinct(), "doc_id", "left_semi")
     counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     chosen = [known.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for k, n in ((1, toxic_sample), (0, ordinary_sample))]
-    rows = texts.join(F.broadcast(chosen[0].unionAll(chosen[1])), "doc_id").select("doc_id", "toxic", F.coalesce("text", F.lit("")).alias("text")).collect()
+    held = texts.join(F.broadcast(chosen[0].unionAll(chosen[1])), "doc_id").select("doc_id", "toxic", F.coalesce("text", F.lit("")).alias("text"))
+    rows = held.groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.length("text"))).alias("text")).collect()
     rows.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"], r["text"]))
     return fit([r["text"] for r in rows if r["toxic"]], [r["text"] for r in rows if not r["toxic"]], counts.get(0, 0) / max(1, counts.get(1, 0)))
 
