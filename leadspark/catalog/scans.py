@@ -427,15 +427,15 @@ def f18(t):
 
 
 VERTICAL_EVENTS_SQL = f"""SELECT {V.VERTICAL_OF_NATION} AS vertical, o_orderdate AS ts, o_orderkey,
-  CASE WHEN o_orderstatus = 'F' AND o_totalprice > 400000 AND n_nationkey % 15 <> 0 THEN 'desactivar' ELSE 'activar' END AS accion
+  CASE WHEN (o_orderstatus = 'F' AND o_totalprice > 400000 OR n_nationkey % 15 IN (4, 9) AND o_orderdate >= TIMESTAMP '2000-01-01') AND n_nationkey % 15 <> 0 THEN 'desactivar' ELSE 'activar' END AS accion
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"""
 
 
 def vertical_events(t):
-    """Activations told by orders; large finished orders deactivate (never the base vertical)."""
+    """Activations told by orders; large finished orders deactivate, and all late ones of two verticals (never the base vertical)."""
     base = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(
         t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    off = "o_orderstatus = 'F' AND o_totalprice > 400000 AND n_nationkey % 15 <> 0"
+    off = "(o_orderstatus = 'F' AND o_totalprice > 400000 OR n_nationkey % 15 IN (4, 9) AND o_orderdate >= TIMESTAMP '2000-01-01') AND n_nationkey % 15 <> 0"
     # The order key in microseconds keeps the times unique.
     ts = F.timestamp_micros(F.unix_micros(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey"))
     return base.select(

@@ -20,7 +20,7 @@ from ..operators.enrich import (
 from ..operators.grouping import left_lookup
 from ..sources.ledger import Ledger
 from ..sources.lead_csv import minimal_lead, production_lead
-from ..sources.lots import write_lot
+from ..sources.lots import commit_lot, stage_lot
 
 
 @dataclass
@@ -74,10 +74,11 @@ def run_enrichment(ledger: Ledger, lots_root: str, options: RunOptions, **inputs
             counters = {**run_metrics(leads).first().asDict(), "saved": 0, "lote_id": None}
         else:
             seen, lot_id = Observation(), str(uuid.uuid4())
-            write_lot(leads.observe(seen, *metric_columns()).drop(*flags), lots_root, options.vertical, lot_id)
+            attempt = stage_lot(leads.observe(seen, *metric_columns()).drop(*flags), lots_root, options.vertical, lot_id)
             counters = {**seen.get, "lote_id": None}
             if counters["discovered"]:
-                ledger.create_lot(lot_id, options.vertical, datetime.now(timezone.utc), counters["saved"])
+                done = commit_lot(ledger.spark, lots_root, options.vertical, lot_id, attempt, counters["saved"])
+                ledger.create_lot(lot_id, options.vertical, done.ts, done.filas)
                 counters["lote_id"] = lot_id
     except Exception as error:  # recorded in the ledger, then raised
         failure = error

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +16,19 @@ from ..schemas import (
 from .lead_csv import path_exists
 
 _TABLES = {"verticals": VERTICAL_EVENT_SCHEMA, "lots": LOT_EVENT_SCHEMA, "runs": RUN_EVENT_SCHEMA}
+#: Small event files of a table beyond which an append merges them.
+COMPACT_AFTER = 64
+#: Bytes of a merged file; one of half of it is not small any more.
+FILE_BYTES = 128 << 20
 
 
 class Ledger:
-    """Event tables under one folder; every change is an append."""
+    """Event tables under one folder; every change is an append.
+
+    Appends merge small files, so their number is bounded. An event that stands there twice is one
+    to every view below: a merge broken between writing and deleting changes no answer, and the next
+    one drops the copies. A table read before a merge is to be read anew after it.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
@@ -34,6 +44,24 @@ class Ledger:
 
     def append_frame(self, table: str, df: DataFrame) -> None:
         df.select(*_TABLES[table].names).write.mode("append").parquet(f"{self.root}/{table}")
+        if len(self._small_files(table)) > COMPACT_AFTER:
+            self.compact(table)
+
+    def _small_files(self, table: str) -> list:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}")
+        listed = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+        return [f for f in listed if f.getPath().getName().endswith(".parquet") and 2 * f.getLen() < FILE_BYTES]
+
+    def compact(self, table: str) -> None:
+        """Merge the small event files of a table."""
+        old = self._small_files(table)
+        if len(old) < 2:
+            return
+        parts = math.ceil(sum(f.getLen() for f in old) / FILE_BYTES)
+        rows = self.spark.read.schema(_TABLES[table]).parquet(*[f.getPath().toString() for f in old]).distinct()
+        rows.repartition(parts).write.mode("append").parquet(f"{self.root}/{table}")
+        for f in old:
+            f.getPath().getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(f.getPath(), False)
 
     # -- verticals
     def activate(self, vertical: str, ts: datetime, prompt_path: str = "", schema_path: str = "") -> None:

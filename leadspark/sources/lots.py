@@ -1,4 +1,9 @@
-"""Lots: partitioned lead tables registered in the ledger."""
+"""Lots: partitioned lead tables registered in the ledger.
+
+A lot is written as an attempt of its own folder and counts once its row stands in the manifest
+beside the lots. Readers take the attempt that was committed first, so rows of a broken run are never
+seen and a repeated run adds nothing.
+"""
 
 from __future__ import annotations
 
@@ -12,29 +17,59 @@ from .ledger import Ledger
 from .lead_csv import consolidate, path_exists
 
 
-def write_lot(leads: DataFrame, root: str, vertical: str, lot_id: str) -> None:
-    """Lead rows under ``vertical=/lote_id=``."""
-    tagged = leads.withColumn("vertical", F.lit(vertical)).withColumn("lote_id", F.lit(lot_id))
-    tagged.write.mode("append").partitionBy("vertical", "lote_id").parquet(root)
+#: Committed attempts; the underscore hides the folder from scans of the lots.
+MANIFEST = "_manifest"
+MANIFEST_SCHEMA = "lote_id string, vertical string, intento string, filas long, ts timestamp"
+
+
+def stage_lot(leads: DataFrame, root: str, vertical: str, lot_id: str) -> str:
+    """Lead rows as a new attempt under ``vertical=/lote_id=/intento=``; returns the attempt."""
+    attempt = f"i{uuid.uuid4().hex}"
+    tagged = leads.withColumns({"vertical": F.lit(vertical), "lote_id": F.lit(lot_id), "intento": F.lit(attempt)})
+    tagged.write.mode("append").partitionBy("vertical", "lote_id", "intento").parquet(root)
+    return attempt
+
+
+def committed_lots(spark: SparkSession, root: str) -> DataFrame:
+    """The attempt that counts of every lot: the one committed first."""
+    path = f"{root}/{MANIFEST}"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+    first = F.min_by(F.struct("vertical", "intento", "filas", "ts"), F.struct("ts", "intento")).alias("m")
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(path).groupBy("lote_id").agg(first).select("lote_id", "m.*")
+
+
+def commit_lot(spark: SparkSession, root: str, vertical: str, lot_id: str, attempt: str, rows: int):
+    """Commit an attempt; returns the manifest row that counts, which an earlier commit keeps."""
+    row = (lot_id, vertical, attempt, rows, datetime.now(timezone.utc))
+    spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/{MANIFEST}")
+    return committed_lots(spark, root).filter(F.col("lote_id") == lot_id).first()
 
 
 def save_lot(ledger: Ledger, leads: DataFrame, root: str, vertical: str, lot_id: str | None = None) -> str:
     """Write one lot and register it with its row count.
 
-    The count is observed while writing: the rows are computed once.
+    The count is observed while writing: the rows are computed once. A run repeated with the same
+    ``lot_id`` writes no rows if the lot is committed, and registers it as of its commit; the same
+    event twice in the ledger is one. A lot of another vertical under that id is an error.
     """
-    lot_id = lot_id or str(uuid.uuid4())
-    seen = Observation()
-    write_lot(leads.observe(seen, F.count(F.lit(1)).alias("n")), root, vertical, lot_id)
-    ledger.create_lot(lot_id, vertical, datetime.now(timezone.utc), seen.get["n"])
+    lot_id, spark = lot_id or str(uuid.uuid4()), ledger.spark
+    done = committed_lots(spark, root).filter(F.col("lote_id") == lot_id).first()
+    if done is None:
+        seen = Observation()
+        attempt = stage_lot(leads.observe(seen, F.count(F.lit(1)).alias("n")), root, vertical, lot_id)
+        done = commit_lot(spark, root, vertical, lot_id, attempt, seen.get["n"])
+    if done.vertical != vertical:
+        raise ValueError(f"lot {lot_id!r} is one of {done.vertical!r}")
+    ledger.create_lot(lot_id, vertical, done.ts, done.filas)
     return lot_id
 
 
 def read_lots(spark: SparkSession, root: str, lots: DataFrame) -> DataFrame:
-    """Lead rows of the given ledger lots; only their partitions are scanned."""
-    wanted = lots.select("vertical", "lote_id")
+    """Lead rows of the given ledger lots; only the partitions of their committed attempts are scanned."""
+    wanted = committed_lots(spark, root).join(lots.select("vertical", "lote_id"), ["vertical", "lote_id"], "left_semi")
     rows = spark.read.option("basePath", root).parquet(root)
-    return rows.join(wanted, ["vertical", "lote_id"], "left_semi")
+    return rows.join(wanted.select("vertical", "lote_id", "intento"), ["vertical", "lote_id", "intento"], "left_semi").drop("intento")
 
 
 def open_lots(lots: DataFrame) -> DataFrame:
@@ -47,7 +82,7 @@ def consolidated(spark: SparkSession, root: str, lots: DataFrame, vertical: str)
     from .lead_csv import export_row
     from ..schemas import CSV_SCHEMA
 
-    if not path_exists(spark, root):
+    if committed_lots(spark, root).filter("filas > 0").isEmpty():
         return spark.createDataFrame([], CSV_SCHEMA)
     rows = read_lots(spark, root, open_lots(lots.filter(F.col("vertical") == vertical)))
     return consolidate([export_row(rows)])

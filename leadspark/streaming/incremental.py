@@ -20,20 +20,15 @@ def page_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 def incremental_extraction(pages: DataFrame, out: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
     """Records of pages ``(id, nombre, url, text)`` not seen before, each batch durable.
 
-    The checkpoint remembers the files read. A batch takes the ids that no earlier batch in
-    ``out`` has, so nothing is kept in state, and is written under its number with overwrite: a
-    repeated batch replaces itself, and a page delivered twice is extracted once.
+    The checkpoint remembers the files read and, in its state store, the ids seen (not the pages). With
+    the store of ``build_session`` a batch looks up its own ids only, whatever has been written
+    before. It is written under its number with overwrite: a repeated batch replaces itself, and a
+    page delivered twice is extracted once. Pages without an id count as one page.
     """
     def extract(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = batch.dropDuplicates(["id"])
-        if batch_id > 0 and path_exists(spark, out):
-            ids = T.StructType([T.StructField("barrio_id", T.StringType()), T.StructField("batch", T.LongType())])
-            done = spark.read.schema(ids).format(fmt).load(out).filter(F.col("batch") < batch_id).select("barrio_id").distinct()
-            fresh = fresh.join(done, fresh["id"].cast("string") == done["barrio_id"], "left_anti")
-        extraction_records(fresh).write.mode("overwrite").format(fmt).save(f"{out}/batch={batch_id}")
+        extraction_records(batch).write.mode("overwrite").format(fmt).save(f"{out}/batch={batch_id}")
 
-    return pages.writeStream.foreachBatch(extract).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return pages.dropDuplicates(["id"]).writeStream.foreachBatch(extract).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def streak_stream(attempts: DataFrame, out: str, state: str, checkpoint: str, limit: int = FAILURE_LIMIT) -> StreamingQuery:

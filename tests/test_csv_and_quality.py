@@ -155,3 +155,45 @@ def test_tolerant_and_strict_log(spark, tmp_path):
     assert jsonl.corrupt_rows(log).count() == 1
     with pytest.raises(Exception):
         jsonl.read_log_strict(spark, str(path)).collect()
+
+
+def test_lot_of_a_repeated_or_broken_run(spark, tmp_path):
+    book = ledger.Ledger(spark, str(tmp_path / "ledger"))
+    root = str(tmp_path / "lots")
+    rows = frame(spark, lead(nombre="A"), lead(nombre="B"))
+    lots.stage_lot(rows, root, "hoteles", "l1")  # broken before its commit
+    assert lots.committed_lots(spark, root).count() == 0
+    assert lots.consolidated(spark, root, book.lots(), "hoteles").count() == 0
+    for _ in range(2):
+        assert lots.save_lot(book, rows, root, "hoteles", "l1") == "l1"
+    assert lots.read_lots(spark, root, book.lots()).count() == 2
+    # A second writer commits later: the first commit stays.
+    first = lots.committed_lots(spark, root).first()
+    late = lots.stage_lot(frame(spark, lead(nombre="C")), root, "hoteles", "l1")
+    assert lots.commit_lot(spark, root, "hoteles", "l1", late, 1).intento == first.intento
+    assert sorted(r.nombre for r in lots.read_lots(spark, root, book.lots()).collect()) == ["A", "B"]
+    book.update_lot("l1", "subido", datetime(2100, 1, 1))
+    lots.save_lot(book, rows, root, "hoteles", "l1")  # an upload is not undone by a repeated run
+    lot = book.lots().first()
+    assert (lot.estado, lot.leads_count, book.lots().count()) == ("subido", 2, 1)
+    with pytest.raises(ValueError):
+        lots.save_lot(book, rows, root, "clinicas", "l1")
+    empty = lots.save_lot(book, rows.limit(0), root, "clinicas")
+    assert book.lots().filter(F.col("lote_id") == empty).first().leads_count == 0
+    assert lots.consolidated(spark, root, book.lots(), "clinicas").count() == 0
+
+
+def test_ledger_files_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ledger, "COMPACT_AFTER", 4)
+    book = ledger.Ledger(spark, str(tmp_path))
+    for i in range(11):
+        book.create_lot(f"l{i % 3}", "hoteles", T0 + timedelta(hours=i), i)
+        assert len(list((tmp_path / "lots").glob("*.parquet"))) <= 5
+    want = {("l0", 9), ("l1", 10), ("l2", 8)}
+    assert {(r.lote_id, r.leads_count) for r in book.lots().collect()} == want
+    # A merge broken before it deletes: every event is there twice.
+    book.events("lots").write.mode("append").parquet(str(tmp_path / "copy"))
+    book.append_frame("lots", spark.read.parquet(str(tmp_path / "copy")))
+    assert {(r.lote_id, r.leads_count) for r in book.lots().collect()} == want
+    book.compact("lots")
+    assert book.events("lots").count() == 11 and len(list((tmp_path / "lots").glob("*.parquet"))) == 1
