@@ -4,8 +4,10 @@ import base64
 import bz2
 import gzip
 import math
+import os
 import random
 import re
+import time
 import urllib.parse
 import zlib
 from collections import Counter
@@ -16,6 +18,7 @@ import pytest
 
 from leadspark.llm import html_content, packing, sampling, secrets, tokens
 
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 ODD_TEXTS = ["", " ", "   ", "a", "\x00", "\n\n q\t r", "x" * 500, "日本" * 40, "it's 12 34!! é ü \x85 a \x1f b", "a  b   c ", "🙂🙂 ñ", "<s> <unk>"]
@@ -366,3 +369,51 @@ def test_token_and_sample_operators(spark):
     assert {tuple(r.ids) for r in got if r.doc_id == 1 and r.sample == 1}.__len__() == 1
     assert {r.decoded for r in sampling.decode_ids(rows.where("doc_id = 1"), PIECES).collect()} == {"the an"}
     assert tokens.count_tokens(docs.limit(0), PIECES).count() == 0 and sampling.sample_segmentations(docs.limit(0), PIECES).count() == 0
+
+
+@pytest.mark.parametrize("block", [
+    "<div class='user-comments'><p>Reader says a lot of words here in a comment</p></div>", "<ol class='commentlist'><li>Reader says a lot of words here</ol>",
+    "<div class='inline-advert'><p>Buy this now, it is cheap and has many words</p></div>", "<p style='color:red; display:none'>Hidden words that nobody reads on this page</p>",
+    "<div id='userComments'>Reader says a lot of words</div>", "<p style='visibility: hidden'>Hidden</p>", "<!-- a comment > with markup <p>no</p> -->", "<![CDATA[no]]><![if x]>", "<!-->",
+])
+def test_blocks_within_an_article_that_are_no_main_text(block):
+    assert html_content.main_text(f"<body><article>{BODY}{block}<p>The end of the article.</p></article></body>") == f"{BODY_TEXT} The end of the article."
+
+
+@pytest.mark.parametrize("name", ["more-stories", "latest-news", "recent-posts", "you-may-like", "also-read list"])
+def test_teasers_beside_the_article(name):
+    teaser = f"<div class='{name}'><article><h2>Another story</h2><p>A teaser of another story with quite some words in it, as many as a line has.</p></article></div>"
+    assert html_content.main_text(f"<body><article>{BODY}</article>{teaser}</body>") == BODY_TEXT
+    assert html_content.main_text(f"<body>{teaser * 9}<article>{BODY}</article></body>") == BODY_TEXT
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "no-ads", "with-comments", "related-work", "read-me", "page-with-newsletter"])
+def test_names_that_rule_nothing_out(name):
+    assert html_content.main_text(f"<body><article><div class='{name}'>{BODY}</div><p>End.</p></article></body>") == f"{BODY_TEXT} End."
+
+
+def test_density_decides_whether_a_mark_is_believed():
+    teaser = "<article><a href=x>Short</a> news</article>"
+    assert html_content.main_text(f"<body>{teaser}<div><h1>Title</h1>{BODY * 3}</div></body>").endswith(f"Title {BODY_TEXT} {BODY_TEXT} {BODY_TEXT}")
+    assert html_content.main_text(f"<body><p>A stray line of words outside of it</p><article>{BODY}<p>Ok.</p></article></body>") == f"{BODY_TEXT} Ok."
+
+
+def test_rights_at_the_end_of_an_unmarked_page():
+    for line in ("© 2024 The Company of Many Words, Inc.", "Copyright 2024 by us and by many others", "2024 Company Ltd. All rights reserved."):
+        assert html_content.main_text(f"<body><div>{BODY}</div><p>{line}</p></body>") == BODY_TEXT
+    assert html_content.main_text(f"<body><article>{BODY}<p>Copyright law is old.</p></article></body>") == f"{BODY_TEXT} Copyright law is old."
+
+
+@pytest.mark.parametrize("markup", ["<div>", "<div class='user-comments'>", "<p><b>", "<!--", "<a", "<a href='", "</b>", "<b><i>", "<ul><li>", "</", "<!x", "<?x", "<![x", "<script>", "<div></p>"])
+def test_long_markup_is_read_in_linear_time(markup):
+    started = time.process_time()
+    assert html_content.main_text(f"<article>{BODY}</article>" + markup * 100_000).startswith(BODY_TEXT)
+    assert html_content.main_text(f"<article>{BODY}</article>" + markup * 100_000 + ">").startswith(BODY_TEXT)
+    assert time.process_time() - started < 10
+
+
+def test_pages_without_their_mark_give_the_same_text(spark):
+    html = [r.html for r in spark.read.parquet(f"{FOLDER}/pages.parquet").select("html").collect() if r.html]
+    unmarked = [re.sub(r"<(/?)article\b", r"<\1div", h) for h in html]
+    same = sum(html_content.main_text(a) == html_content.main_text(b) for a, b in zip(html, unmarked, strict=True))
+    assert same >= 0.95 * len(html) > 0
