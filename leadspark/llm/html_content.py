@@ -60,7 +60,7 @@ PLACE_WORDS = re.compile(
     r"mobile|desktop|sticky|fixed|respond|thread", re.IGNORECASE)
 #: Words that say so as the last part of a class or id, whatever stands before ...
 STRONG_WORDS = re.compile(
-    r"(?:adverts?|advertisements?|advertising|ads|sponsor(?:ed|s)|promos?|comments?|sidebars?|breadcrumbs?|cookies?|newsletter|navbar|disqus|popup|masthead)(?:lists?|box|block|area|section|wrap(?:per)?|container|bar|slot|form|notice)?",
+    r"(?:adverts?|advertisements?|advertising|ads?|sponsor(?:ed|s)|promos?|comments?|sidebars?|breadcrumbs?|cookies?|newsletter|navbar|disqus|popup|masthead)(?:lists?|box|block|area|section|wrap(?:per)?|container|bar|slot|form|notice)?",
     re.IGNORECASE)
 #: ... but for these, which say that a page has, or has not, such a part.
 HAS_WORDS = frozenset("has have no not non with without is hide show layout page before after above below".split())
@@ -82,23 +82,24 @@ PARTS = re.compile(r"(?:posts?|items?|sections?|block|box|lists?|group|thread)$"
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 
 
-def named_aside(label: str, article: bool) -> bool:
-    """Whether a class or id among the names of an element says that it is not the main text."""
+def named_aside(label: str, article: bool) -> int:
+    """Whether a class or id among the names of an element says that it is not the main text: 2 surely, 1 likely, 0 not."""
+    likely = 0
     for name in label.split():
         parts = [x for x in re.split("[-_]+|(?<=[a-z0-9])(?=[A-Z])", name) if x]
         if not parts:
             continue
         if STRONG_WORDS.fullmatch(parts[-1]) and not any(x.lower() in HAS_WORDS for x in parts) and parts[-1].lower() not in HEAD_WORDS:
-            return True
+            return 2
         if len(parts) > 1 and OTHER_WORDS.fullmatch(parts[0]) and any(STORY_WORDS.fullmatch(x) for x in parts[1:]) and all(
                 OTHER_WORDS.fullmatch(x) or STORY_WORDS.fullmatch(x) or PLACE_WORDS.fullmatch(x) for x in parts):
-            return True
+            likely = 1
         words = [x for x in parts if ASIDE_WORDS.fullmatch(x)]
         head = all(x.lower() in HEAD_WORDS for x in words)
         # post-header is the head of a post, site-header that of the site.
         if words and all(x in words or PLACE_WORDS.fullmatch(x) for x in parts) and not (head and (article or PARTS.match(parts[0]))):
-            return True
-    return False
+            likely = 1
+    return likely
 
 
 @dataclass(slots=True)
@@ -110,8 +111,8 @@ class Block:
     aside: bool = False
     #: Number of the marked article it belongs to, 0 for none.
     article: int = 0
-    #: Ruled out by a class or id of its own.
-    named: bool = False
+    #: Ruled out by a class or id of its own (see ``named_aside``).
+    named: int = 0
     #: An ``article`` element stands around it.
     in_article: bool = False
     #: The innermost block that groups lines, itself or around it.
@@ -212,7 +213,7 @@ class LineReader(HTMLParser):
         label = f"{named.get('class') or ''} {named.get('id') or ''}".strip()
         off = (tag in ASIDE and not (tag == "header" and outer.article) or role in ASIDE_ROLES or "hidden" in named
                or named.get("aria-hidden") == "true" or bool(HIDING.search(named.get("style") or "")))
-        by_name = bool(label) and not off and tag not in ("html", "body", "article", "main") and named_aside(label, bool(outer.article))
+        by_name = named_aside(label, bool(outer.article)) if label and not off and tag not in ("html", "body", "article", "main") else 0
         article = outer.article
         if (tag in ARTICLE or role in ("main", "article")) and not article and not outer.aside and not off:
             self.articles += 1
@@ -300,8 +301,8 @@ def densities(lines: list[Line]) -> tuple[list[str], np.ndarray, np.ndarray, np.
 def not_ruled_out(lines: list[Line], blocks: list[Block]) -> list[Line]:
     """The lines that no class or id around them rules out.
 
-    It does not where it holds the only article of the page or, not within an article, most of the
-    dense text and over eight times as much as the articles free of such names hold; if nothing is
+    It does not where it holds the only article of the page or, not within an article and not surely
+    an advert, comment or the like, most of the dense text and over eight times as much as the articles free of such names hold; if nothing is
     left otherwise, it never does.
     """
     if not any(block.named for block in blocks):
@@ -326,8 +327,8 @@ def not_ruled_out(lines: list[Line], blocks: list[Block]) -> list[Line]:
         articles[blocks[i].around] += articles[i]
     out = [False] * len(blocks)
     for i, block in enumerate(blocks[1:], 1):
-        spared = 2 * held[i] > total and held[i] > 8 * marked and not block.in_article or only and articles[i] and not block.article
-        out[i] = out[block.around] or block.named and not spared
+        spared = 2 * held[i] > total and held[i] > 8 * marked and block.named < 2 and not block.in_article or only and articles[i] and not block.article
+        out[i] = out[block.around] or block.named > 0 and not spared
     return [line for line in lines if not out[line.block]] or lines
 
 
