@@ -165,6 +165,64 @@ def x20_headers(t):
     return out.select("page_id", "nombre", "provincia", "localidad")
 
 
+# The sources that come with the library, each over listing pages built from all customers.
+
+
+@query("s10_portal", with_cust("""SELECT ord AS page_id, nombre, sitio_web, partido, CASE WHEN partido IS NOT NULL AND provincia = 'AFRICA' THEN 'Santa Fe' END AS provincia,
+  coalesce(partido || ', ' || CASE provincia WHEN 'AFRICA' THEN 'Santa Fe' ELSE provincia END, '') AS location_raw, 'zonaprop' AS fuente FROM v"""))
+def s10_portal(t):
+    province = F.when(F.col("provincia") == "AFRICA", "Santa Fe").otherwise(F.col("provincia"))
+    place = F.coalesce(F.concat(F.lit("<div class='card-location'>"), "partido", F.lit(", "), province, F.lit("</div>")), F.lit(""))
+    html = F.concat(F.lit("<main><article class='c'><h2><a href='"), F.coalesce("sitio_web", F.lit("/ficha")), F.lit("'>"), "nombre", F.lit("</a></h2>"), place,
+                    F.lit("</article><article><h3>ab</h3></article></main>"))
+    out = discover.discovery_source("barrios_privados")(v_cust(t).select(F.col("ord").alias("page_id"), html.alias("html")))
+    return out.select("page_id", "nombre", "sitio_web", "partido", "provincia", F.col("raw_data")["location_raw"].alias("location_raw"), "fuente")
+
+
+@query("s10_parks", with_cust("""SELECT ord AS page_id, nombre, 'https://www.caip.org.ar/p/' || ord::STRING AS sitio_web, coalesce(partido, 'Buenos Aires') AS provincia, 'caip' AS fuente FROM v WHERE ord % 2 = 0
+  UNION ALL SELECT ord, 'Parque ' || nombre, coalesce(sitio_web, 'https://www.caip.org.ar/parque'), 'Buenos Aires', 'caip' FROM v WHERE ord % 2 = 1"""))
+def s10_parks(t):
+    """Pages with a table, and pages without one whose anchors name parks."""
+    table = F.concat(F.lit("<table><tr><td>"), "nombre", F.lit("</td><td>"), F.coalesce("partido", F.lit("")), F.lit("</td><td><a href='/p/"), "ord", F.lit("'>ver</a></td></tr></table>"))
+    anchor = F.concat(F.lit("<p><a href='/otros'>Contacto general</a> <a href='"), F.coalesce("sitio_web", F.lit("/parque")), F.lit("'>Parque <b>"), "nombre", F.lit("</b></a></p>"))
+    html = F.when(F.col("ord") % 2 == 0, table).otherwise(anchor)
+    out = discover.discovery_source("parques_industriales")(v_cust(t).select(F.col("ord").alias("page_id"), html.alias("html")))
+    return out.select("page_id", F.regexp_replace("nombre", "^Parque *", "Parque ").alias("nombre"), "sitio_web", "provincia", "fuente")
+
+
+@query("s10_members", with_cust("SELECT ord AS page_id, nombre, sitio_web, 'arlog' AS fuente FROM v"))
+def s10_members(t):
+    """Pages with cards, and pages with a member table and its head row."""
+    link = F.coalesce(F.concat(F.lit("<a href='"), "sitio_web", F.lit("'>web</a>")), F.lit("<a href='/socio'>web</a>"))
+    card = F.concat(F.lit("<article><p>Socio</p><h4>"), "nombre", F.lit("</h4>"), link, F.lit("</article>"))
+    table = F.concat(F.lit("<table><tr><td>Empresa</td></tr><tr><td> "), "nombre", F.lit("</td><td>"), link, F.lit("</td></tr></table>"))
+    html = F.when(F.col("ord") % 2 == 0, card).otherwise(table)
+    return discover.discovery_source("logisticas")(v_cust(t).select(F.col("ord").alias("page_id"), html.alias("html"))).select("page_id", "nombre", "sitio_web", "fuente")
+
+
+@query("s10_pharma", with_cust("""SELECT ord AS page_id, nombre, localidad, provincia, estado_comercial = 'CLIENTE' AS es_distribuidor, 'anmat' AS fuente FROM v"""))
+def s10_pharma(t):
+    """The last cell is the kind; it marks distributors and rejects no row."""
+    kind = F.when(F.col("estado_comercial") == "CLIENTE", "Droguería / drogueria").otherwise("Farmacia")
+    html = F.concat(F.lit("<table><tr><th>Nombre</th></tr><tr><td>"), "nombre", F.lit("</td><td>"), F.coalesce("localidad", F.lit("")), F.lit("</td><td>"), "provincia", F.lit("</td><td>"), kind, F.lit("</td></tr></table>"))
+    out = discover.discovery_source("droguerias")(v_cust(t).select(F.col("ord").alias("page_id"), html.alias("html")))
+    return out.select("page_id", "nombre", "localidad", "provincia", "es_distribuidor", "fuente")
+
+
+@query("s10_clinics", with_cust("""SELECT ord AS page_id, nombre, provincia, localidad, sitio_web, 'sssalud' AS fuente FROM v"""))
+def s10_clinics(t):
+    html = F.concat(F.lit("<table><tr><th>Prestador</th><th>Provincia</th><th>Localidad</th></tr><tr><td>"), "nombre", F.lit("</td><td>"), "provincia", F.lit("</td><td>"),
+                    F.coalesce("localidad", F.lit(" ")), F.lit("</td><td><a href='"), F.coalesce("sitio_web", F.lit("/ficha")), F.lit("'>x</a></td></tr></table>"))
+    out = discover.discovery_source("clinicas")(v_cust(t).select(F.col("ord").alias("page_id"), html.alias("html")))
+    return out.select("page_id", "nombre", "provincia", "localidad", "sitio_web", "fuente")
+
+
+@query("s10_search", f"""SELECT page_id, url AS sitio_web, 'google_dorks' AS fuente FROM pages WHERE url <> '' AND {V.domain('url')} NOT IN {V.in_list(discover.SECTOR_BANNED)}""")
+def s10_search(t):
+    """A vertical without a page parser reads search results."""
+    return discover.discovery_source("consulados")(t.pages).select("page_id", "sitio_web", "fuente")
+
+
 H1_TEXT = V.node_text(r"regexp_extract(card, '(?is)<h1\b[^>]*>(.*?)</h1\s*>', 1)", "")
 
 

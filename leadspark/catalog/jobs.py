@@ -140,8 +140,8 @@ def st2(t):
 @query("e1_source_plugin", with_cust("SELECT ord AS page_id, nombre FROM v"))
 def e1(t):
     """A user's own source: registry tables with the name in the first cell."""
-    discover.register_source("prueba", lambda p: discover.parse_table(p, "propia", {"nombre": 0}, header_cells=False))
-    return discover.discovery_source("prueba")(registry_pages(t)).select("page_id", "nombre")
+    own = {"prueba": lambda p: discover.parse_table(p, "propia", {"nombre": 0}, header_cells=False)}
+    return discover.discovery_source("prueba", own)(registry_pages(t)).select("page_id", "nombre")
 
 
 @query("e2_page_parser", "SELECT page_id, count(*) AS n FROM (SELECT page_id, unnest(regexp_extract_all(html, '<li>')) FROM pages) GROUP BY 1")
@@ -150,8 +150,7 @@ def e2(t):
     def items(pages):
         return pages.select("page_id", F.explode(F.regexp_extract_all("html", F.lit("<li>"), F.lit(0))).alias("item"))
 
-    discover.register_source("items", items)
-    return discover.discovery_source("items")(t.pages).groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
+    return discover.discovery_source("items", {"items": items})(t.pages).groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("e3_answer_provider", "SELECT conv_id AS id, 'p' || min(turn)::STRING AS provider FROM conversations WHERE text <> '' GROUP BY 1")

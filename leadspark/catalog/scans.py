@@ -128,8 +128,8 @@ CARD_SQL = rf"SELECT page_id, unnest(regexp_extract_all(html, '(?is)<article\b[^
 
 @query("s10_listing_source", f"""SELECT page_id, nombre FROM (SELECT page_id, {V.node_text(H1, '')} AS nombre FROM ({CARD_SQL})) WHERE length(nombre) > 2""")
 def s10(t):
-    discover.register_source("portada", lambda p: discover.parse_cards(p, "zonaprop", title_tags=("h2", "h3", "h1")))
-    return discover.discovery_source("portada")(t.pages.select("page_id", "html")).select("page_id", "nombre")
+    own = {"portada": lambda p: discover.parse_cards(p, "zonaprop", title_tags=("h2", "h3", "h1"))}
+    return discover.discovery_source("portada", own)(t.pages.select("page_id", "html")).select("page_id", "nombre")
 
 
 def place_answers(t):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -277,8 +277,13 @@ register_source("clinicas", lambda p: parse_table(
     p, "sssalud", {"nombre": 0, "provincia": 1, "localidad": 2}, headers=REGISTRY_HEADERS))
 
 
-def discovery_source(vertical: str) -> Parser:
-    """Page parser of a vertical; verticals without one read search results."""
+def discovery_source(vertical: str, parsers: Mapping[str, Parser] | None = None) -> Parser:
+    """Page parser of a vertical; verticals without one read search results.
+
+    ``parsers`` come before the registered ones, for this call only.
+    """
+    if parsers and vertical in parsers:
+        return parsers[vertical]
     return _REGISTRY.get(vertical, lambda p: search_candidates(p.select("*", F.lit("google_dorks").alias("fuente"))))
 
 
