@@ -179,12 +179,14 @@ def _byte_layers(layer: Layer, data: bytes, first: np.ndarray, last: np.ndarray,
     if not stretches:
         return out
     text = data.decode("utf-8", "surrogateescape")
+    done, offset = 0, 0
     for m in _STRETCH.finditer(text):
         if len(text) == len(data):
             begin = np.arange(m.start(), m.end() + 1)
         else:
-            start = len(text[: m.start()].encode("utf-8", "surrogateescape"))
-            begin = start + np.concatenate([[0], np.cumsum([len(c.encode()) for c in m[0]])])
+            offset += len(text[done : m.start()].encode("utf-8", "surrogateescape"))
+            done = m.start()
+            begin = offset + np.concatenate([[0], np.cumsum([len(c.encode()) for c in m[0]])])
         a, b = first[begin[:-1]], last[begin[1:] - 1]
         out.append(Layer(m[0], layer.start, layer.end) if isinstance(layer.start, int) else Layer(m[0], layer.start[a], layer.end[b]))
     return out

@@ -417,3 +417,22 @@ def test_pages_without_their_mark_give_the_same_text(spark):
     unmarked = [re.sub(r"<(/?)article\b", r"<\1div", h) for h in html]
     same = sum(html_content.main_text(a) == html_content.main_text(b) for a, b in zip(html, unmarked, strict=True))
     assert same >= 0.95 * len(html) > 0
+
+
+def test_many_stretches_in_one_coded_run_take_linear_time():
+    """Binary bytes between short texts: every text is a stretch of its own, at its own place."""
+    def coded(n):
+        data = b"".join(b"\xff\x00\xc3\xa9 password = abcdef%06d\x01" % i for i in range(n))
+        return base64.b64encode(data).decode()
+
+    def seconds(n):
+        text = coded(n)
+        started = time.process_time()
+        base, every = secrets.scan_text(text)
+        assert sum(k == 0 for _, k, _ in every) - sum(k == 0 for _, k, _ in base) == n
+        assert len({a for a, k, _ in every if k == 0}) >= n
+        return time.process_time() - started
+
+    seconds(200)
+    small, large = seconds(1500), seconds(12_000)
+    assert large < 8 * small * 2.5 + 1
