@@ -16,20 +16,19 @@ from ..session import shared_dir
 SLICE_ROWS = 1000
 
 
-def pick(df: DataFrame, **columns: str) -> DataFrame:
-    """The given columns only, as ``new=old``; further columns may have any names, also the same ones.
+def position(names: list[str], name: str) -> int:
+    """Place of a column: an exact spelling wins over one in another case, the first over later ones."""
+    at = [i for i, n in enumerate(names) if n == name] or [i for i, n in enumerate(names) if n.lower() == name.lower()]
+    if not at:
+        raise ValueError(f"no column {name!r} among {names}")
+    return at[0]
+
 
-    An exact spelling wins over one in another case, the first column over later ones.
-    """
+def pick(df: DataFrame, **columns: str) -> DataFrame:
+    """The given columns only, as ``new=old`` (see ``position``); further columns may have any names, also the same ones."""
     names = df.columns
     flat = df.toDF(*[f"c{i}" for i in range(len(names))])
-    out = []
-    for new, old in columns.items():
-        at = [i for i, n in enumerate(names) if n == old] or [i for i, n in enumerate(names) if n.lower() == old.lower()]
-        if not at:
-            raise ValueError(f"no column {old!r} among {names}")
-        out.append(F.col(f"c{at[0]}").alias(new))
-    return flat.select(*out)
+    return flat.select(*[F.col(f"c{position(names, old)}").alias(new) for new, old in columns.items()])
 
 
 def scratch(spark: SparkSession, name: str) -> str:

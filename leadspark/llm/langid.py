@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, pick
+from .common import map_batches, pick, position
 
 UNKNOWN = "und"
 #: Labelled documents of each language that the trigram counts are taken from, about.
@@ -148,7 +148,8 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """(doc_id, lang_pred, score, languages) of every row of ``docs``.
 
     A NULL text, one without a letter, or any text where nothing was learned is ``und`` with
-    score 0. ``languages``: the chosen set.
+    score 0. ``languages``: the chosen set. Repeated rows and NULL ids give a row each, extra
+    columns are ignored, an empty table gives none; a text is read whole, whatever its length.
     """
     source = pick(docs, doc_id="doc_id", text="text").select(F.col("doc_id"), F.col("text").cast("string"))
 
@@ -169,9 +170,10 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 def keep_identified(docs: DataFrame, model: Model | None) -> DataFrame:
     """The rows of ``docs`` whose text has a language, all columns as they were; ``und`` goes.
 
-    Without a model (nothing learned) only texts without a letter go.
+    Without a model (nothing learned) only texts without a letter go; NULL and empty texts go.
+    Repeated rows are decided alike, extra columns stay, an empty table stays empty.
     """
-    at = docs.columns.index("text")
+    at = position(docs.columns, "text")
 
     def start():
         known = Identifier(model)

@@ -157,7 +157,8 @@ def near_copies(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, group_id) for every row of ``docs``.
 
     Rows have one ``group_id`` if links of similarity 0.8 or more connect them. NULL, empty and
-    wordless texts are one group.
+    wordless texts are one group. Repeated rows and NULL ids come back as often, extra columns are
+    ignored, an empty table gives no rows, texts count whole.
     """
     prints = stored(_prints(docs), "shingle-prints")
     sets = stored(prints.where("n > 0").groupBy("set_id").agg(F.min("text_hash").alias("text_hash"), F.first("n").alias("n"), F.first("bands").alias("bands")), "shingle-sets")

@@ -18,8 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import map_batches, pick
+from .common import map_batches, pick, position
 from .tokens import _WORDS, SPACE, UNKNOWN_PENALTY, normalised, vocabulary
 
 #: Scores are multiplied by this; scores of the model are ranks, so it is small.
@@ -387,16 +388,22 @@ def sample_segmentations(docs: DataFrame, model: str, samples: int = SAMPLES, sm
 
 
 def decode_ids(rows: DataFrame, model: str, ids_col: str = "ids") -> DataFrame:
-    """``rows`` with the column ``decoded``: the text of the ids, NULL for NULL."""
-    at, fields = rows.columns.index(ids_col), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    """``rows`` with the column ``decoded``: the text of the ids, NULL for NULL.
+
+    A column of that name (in any case) is replaced; other columns stay, repeated rows come back as
+    often, an empty table stays empty.
+    """
+    at = position(rows.columns, ids_col)
+    rest = [i for i, n in enumerate(rows.columns) if n.lower() != "decoded"]
+    fields = T.StructType([*[rows.schema.fields[i] for i in rest], T.StructField("decoded", T.StringType())])
 
     def start():
         codec = Codec(model)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = [None if ids is None else codec.decode(ids) for ids in batch.column(at).to_pylist()]
-            return pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
+            return pa.RecordBatch.from_arrays([*[batch.column(i) for i in rest], pa.array(texts, pa.string())], names=fields.names)
 
         return step
 
-    return map_batches(rows, start, f"{fields}, decoded string")
+    return map_batches(rows, start, fields)

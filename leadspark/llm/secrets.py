@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, pick
+from .common import map_batches, pick, position
 
 KINDS = ("assign", "access", "hex")
 #: Letters of the keyword in either ASCII case; the value has 6 characters or more.
@@ -286,7 +286,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Columns: doc_id, n_assign, n_access, n_hex, base_spans and spans (arrays of kind, start,
     end; code points, end exclusive). NULL or empty text: no spans. Repeated rows and NULL ids
-    give a row each, an empty table none, extra columns are ignored.
+    give a row each, an empty table none, extra columns are ignored. Very long texts are scanned whole;
+    a text's layers, with what its compressed data unpacks to, are held by its task one text at a time.
     """
     source = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id"), F.col("text").cast("string"))
     id_type = source.schema["doc_id"].dataType.simpleString()
@@ -330,17 +331,21 @@ def redact_text(text: str, mark: str) -> str:
 def redact_documents(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret in ``text`` replaced and ``n_chars`` counted anew; other columns as they were.
 
-    NULL texts stay NULL.
+    NULL texts stay NULL and keep their count, repeated rows come back as often, an empty table stays
+    empty. A table without ``n_chars`` gets none.
     """
     names = docs.columns
-    at, counted = names.index("text"), names.index("n_chars")
+    at = position(names, "text")
+    counted = position(names, "n_chars") if "n_chars" in (n.lower() for n in names) else None
 
     def start():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = [None if t is None else redact_text(t, mark) for t in batch.column(at).to_pylist()]
             columns = batch.columns
-            sizes = [n if t is None else len(t) for t, n in zip(texts, columns[counted].to_pylist(), strict=True)]
-            columns[at], columns[counted] = pa.array(texts, columns[at].type), pa.array(sizes, columns[counted].type)
+            columns[at] = pa.array(texts, columns[at].type)
+            if counted is not None:
+                sizes = [n if t is None else len(t) for t, n in zip(texts, columns[counted].to_pylist(), strict=True)]
+                columns[counted] = pa.array(sizes, columns[counted].type)
             return pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
         return step

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import map_batches, pick, stored
+from .common import map_batches, pick, position, stored
 from .components import connected_components
 
 #: Rows of a bucket compared within one step; the rest of a larger bucket is compared block by block.
@@ -254,7 +254,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, most: int = 4, id_col: str
     ``component_id`` is the least doc_id reachable over links of ``most`` differing bits,
     ``group_fp`` the least fingerprint. NULL, empty and wordless texts have fingerprint 0 and link
     like others; repeated rows come back as often; NULL ids get the least id of their component,
-    if it has one.
+    if it has one. Extra columns are ignored, an empty table gives no rows, texts count whole.
     """
     prints = stored(document_fingerprints(docs, words, id_col, text_col), "fingerprints")
     first = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("doc")), "first-of-fingerprint")
@@ -271,7 +271,8 @@ def near_duplicates(docs: DataFrame, words: int = 4, most: int = 4, id_col: str
 def keep_one_of_each(docs: DataFrame, words: int = 4, most: int = 4) -> DataFrame:
     """One row of each near-duplicate group: that of the least doc_id (NULL last), all columns as they were.
 
-    Of rows that share it, the one with the least text hash stays, once.
+    Of rows that share it, the one with the least text hash stays, once. NULL, empty and wordless texts
+    are one group; an empty table stays empty.
     """
     return keep_first(docs, near_duplicates(docs, words, most), "group_fp")
 
@@ -282,7 +283,7 @@ def keep_first(docs: DataFrame, near: DataFrame, group: str) -> DataFrame:
     kept = near.groupBy(group).agg(F.min(order).alias("first")).select(F.col("first.id").alias("kept_id"), F.col("first.hash").alias("kept_hash"))
     names = docs.columns
     flat = docs.toDF(*[f"c{i}" for i in range(len(names))])
-    own_id, own_hash = F.col(f"c{names.index('doc_id')}"), F.xxhash64(f"c{names.index('text')}")
+    own_id, own_hash = F.col(f"c{position(names, 'doc_id')}"), F.xxhash64(f"c{position(names, 'text')}")
     rows = flat.withColumn("own_id", own_id).withColumn("own_hash", own_hash).join(
         kept, F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("own_hash") == F.col("kept_hash")), "left_semi")
     turn = F.row_number().over(W.partitionBy("own_id", "own_hash").orderBy("own_id"))

@@ -64,7 +64,9 @@ def merge_sketches(parts: DataFrame, keys: list[str], sketch_col: str = "sketch"
     """One sketch per key of any number of partial ones: (keys, sketch).
 
     Hashes are distinct before they are ranked, and the rank limit applies on the map side, so
-    that no task gets more than ``k`` hashes of a key from another.
+    that no task gets more than ``k`` hashes of a key from another. NULL and empty sketches merge to the
+    empty one, a NULL key is a key, repeated sketches change nothing, extra columns are ignored, an
+    empty table gives no rows.
     """
     hashes = parts.select(*keys, F.explode_outer(sketch_col).alias("hash")).distinct()
     rank = F.row_number().over(W.partitionBy(*keys).orderBy(F.col("hash").asc_nulls_last()))

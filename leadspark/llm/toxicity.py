@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, pick
+from .common import map_batches, pick, position
 
 #: Labelled documents of each class that the model is fitted on, at most.
 TOXIC_SAMPLE, ORDINARY_SAMPLE = 1500, 2500
@@ -234,7 +234,11 @@ def train(docs: DataFrame, labels: DataFrame, toxic_sample: int = TOXIC_SAMPLE,
 
 
 def score_documents(docs: DataFrame, model: Model | None) -> DataFrame:
-    """(doc_id, score) of every row of ``docs``; NULL and empty texts are scored as the empty text."""
+    """(doc_id, score) of every row of ``docs``; NULL and empty texts are scored as the empty text.
+
+    Repeated rows and NULL ids give a row each with equal scores, extra columns are ignored, an empty
+    table gives none. A text is scored whole, window by window, whatever its length.
+    """
     source = pick(docs, doc_id="doc_id", text="text").select(F.col("doc_id"), F.col("text").cast("string"))
 
     def start():
@@ -249,8 +253,11 @@ def score_documents(docs: DataFrame, model: Model | None) -> DataFrame:
 
 
 def keep_civil(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose score is below ``threshold``, all columns as they were."""
-    at = docs.columns.index("text")
+    """The rows of ``docs`` whose score is below ``threshold``, all columns as they were.
+
+    NULL and empty texts are scored as the empty text, repeated rows are decided alike; an empty table stays empty.
+    """
+    at = position(docs.columns, "text")
 
     def start():
         score = Scorer(model)

@@ -15,6 +15,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from leadspark.llm import html_content, packing, sampling, secrets, tokens
 
@@ -436,3 +437,19 @@ def test_many_stretches_in_one_coded_run_take_linear_time():
     seconds(200)
     small, large = seconds(1500), seconds(12_000)
     assert large < 8 * small * 2.5 + 1
+
+
+def test_columns_in_another_case_and_of_clashing_names(spark):
+    from leadspark.llm import langid, neardup, toxicity
+
+    text = "token = abcdefgh and some more words to make a line of it"
+    docs = spark.createDataFrame([(1, text, "x"), (1, text, "x"), (2, None, None)], "DOC_ID long, TEXT string, c0 string")
+    assert sorted(r.TEXT or "" for r in secrets.redact_documents(docs).collect()) == ["", *["[SECRET] and some more words to make a line of it"] * 2]
+    assert toxicity.keep_civil(docs, None).columns == docs.columns and langid.keep_identified(docs, None).count() == 2
+    assert sorted(r.DOC_ID for r in neardup.keep_one_of_each(docs).collect()) == [1, 2]
+    rows = sampling.sample_segmentations(docs, PIECES, samples=1).withColumn("DECODED", F.lit(7))
+    again = sampling.decode_ids(rows, PIECES)
+    assert again.columns.count("decoded") == 1 and "DECODED" not in again.columns
+    assert {r["decoded"] for r in again.where("doc_id = 1").collect()} == {text}
+    for out in (secrets.redact_documents(docs.limit(0)), toxicity.keep_civil(docs.limit(0), None), langid.keep_identified(docs.limit(0), None), sampling.decode_ids(rows.limit(0), PIECES)):
+        assert out.count() == 0
