@@ -106,6 +106,17 @@ def s7(t):
     return jsonl.read_source_csv(t.spark, path, "c_custkey").select("row_id", "c_name", F.col("c_acctbal").cast("double").alias("c_acctbal"))
 
 
+@query("s7_row_position", """SELECT (row_number() OVER (ORDER BY c_custkey) - 1)::STRING AS row_id, c_custkey, c_acctbal,
+  c_name || CASE WHEN c_custkey % 3 = 0 THEN chr(10) || ' "' || c_mktsegment || '", fin' ELSE '' END AS nota FROM customer""")
+def s7_position(t):
+    """Several files in order, every third row over two lines; rows without a key are known by their position."""
+    path = t.scratch("s7p")
+    note = F.concat("c_name", F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit('\n "'), "c_mktsegment", F.lit('", fin'))).otherwise(""))
+    rows = t.customer.select("c_custkey", "c_acctbal", note.alias("nota")).repartitionByRange(4, "c_custkey").sortWithinPartitions("c_custkey")
+    rows.write.option("header", True).option("escape", '"').csv(path)
+    return jsonl.read_source_csv(t.spark, path).select("row_id", "c_custkey", "c_acctbal", "nota")
+
+
 @query("s8_latest_export", with_cust("SELECT nombre, vertical FROM v"))
 def s8(t):
     root = t.scratch("s8")

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.grouping import global_row_number
 from ..schemas import EXTRACTION_SCHEMA
+from .csv_records import read_csv_rows
 from .lead_csv import path_exists
 
 CORRUPT = "_corrupt"
@@ -54,13 +54,7 @@ def processed_ids(log: DataFrame, id_col: str = "barrio_id") -> DataFrame:
 def read_source_csv(spark: SparkSession, path: str, id_col: str | None = None) -> DataFrame:
     """Source table with inferred types; ``row_id`` is the declared key or the row position (from 0, as text).
 
-    Positions come from the file scan order, so they are stable only while the
-    file stays as it is; prefer a declared key.
+    Positions follow the paths of the files and the lines in them, so they are the same in every run; one
+    file is read by several tasks.
     """
-    df = spark.read.option("header", True).option("inferSchema", True).option("multiLine", True).option(
-        "quote", '"').option("escape", '"').csv(path)
-    if id_col:
-        return df.withColumn("row_id", F.col(id_col).cast("string"))
-    placed = df.withColumn("__pos", F.monotonically_increasing_id())
-    numbered = global_row_number(placed, "__pos", "__n")
-    return numbered.withColumn("row_id", (F.col("__n") - 1).cast("string")).drop("__pos", "__n")
+    return read_csv_rows(spark, path, id_col=id_col, infer=True)
