@@ -13,7 +13,7 @@ from ..operators import dedup, discover, enrich
 from ..plans import jobs
 from ..schemas import METADATA_FIELDS, metadata_schema
 from ..sources import lead_csv, ledger
-from ..streaming import incremental
+from ..streaming import incremental, streak_state
 from . import views as V
 from .functions import REPLY, registry_pages
 from .registry import query
@@ -134,6 +134,22 @@ def st2(t):
     return t.spark.read.parquet(f"{root}/out").select("source", "ts", "streak", "open")
 
 
+@query("st2_streaks_out_of_order", STREAKS_SQL)
+def st2_out_of_order(t):
+    """The attempts arrive in three files that mix all times; a last row far ahead closes the feed."""
+    root = t.scratch("st2o")
+    attempts = t.events.select(F.col("user_id").cast("string").alias("source"), F.col("ts").cast("timestamp").alias("ts"),
+                               F.col("event_id").alias("ord"), (F.col("event_type") == "error").alias("fail"))
+    for part in (2, 0, 1):
+        attempts.filter(F.col("ord") % 3 == part).write.mode("append").parquet(f"{root}/in")
+    end = attempts.agg((F.max("ts") + F.expr("INTERVAL 80 DAYS")).alias("ts")).select(
+        F.lit(None).cast("string").alias("source"), "ts", F.lit(0).cast("long").alias("ord"), F.lit(False).alias("fail"))
+    end.write.mode("append").parquet(f"{root}/in")
+    stream = incremental.page_stream(t.spark, f"{root}/in", attempts.schema, files_per_trigger=4)
+    streak_state.streak_state_stream(stream, f"{root}/out", f"{root}/checkpoint", "40 days").awaitTermination()
+    return t.spark.read.parquet(f"{root}/out").select("source", F.col("ord").alias("ts"), "streak", "open")
+
+
 # ---------------------------------------------------------------- E
 
 
