@@ -168,14 +168,19 @@ def x20_headers(t):
 # The sources that come with the library, each over listing pages built from all customers.
 
 
-@query("s10_portal", with_cust("""SELECT ord AS page_id, nombre, sitio_web, partido, CASE WHEN partido IS NOT NULL AND provincia = 'AFRICA' THEN 'Santa Fe' END AS provincia,
-  coalesce(partido || ', ' || CASE provincia WHEN 'AFRICA' THEN 'Santa Fe' ELSE provincia END, '') AS location_raw, 'zonaprop' AS fuente FROM v"""))
-def s10_portal(t):
+def portal_pages(t):
+    """One portal page per customer: its card and one without a name."""
     province = F.when(F.col("provincia") == "AFRICA", "Santa Fe").otherwise(F.col("provincia"))
     place = F.coalesce(F.concat(F.lit("<div class='card-location'>"), "partido", F.lit(", "), province, F.lit("</div>")), F.lit(""))
     html = F.concat(F.lit("<main><article class='c'><h2><a href='"), F.coalesce("sitio_web", F.lit("/ficha")), F.lit("'>"), "nombre", F.lit("</a></h2>"), place,
                     F.lit("</article><article><h3>ab</h3></article></main>"))
-    out = discover.discovery_source("barrios_privados")(v_cust(t).select(F.col("ord").alias("page_id"), html.alias("html")))
+    return v_cust(t).select(F.col("ord").alias("page_id"), html.alias("html"))
+
+
+@query("s10_portal", with_cust("""SELECT ord AS page_id, nombre, sitio_web, partido, CASE WHEN partido IS NOT NULL AND provincia = 'AFRICA' THEN 'Santa Fe' END AS provincia,
+  coalesce(partido || ', ' || CASE provincia WHEN 'AFRICA' THEN 'Santa Fe' ELSE provincia END, '') AS location_raw, 'zonaprop' AS fuente FROM v"""))
+def s10_portal(t):
+    out = discover.discovery_source("barrios_privados")(portal_pages(t))
     return out.select("page_id", "nombre", "sitio_web", "partido", "provincia", F.col("raw_data")["location_raw"].alias("location_raw"), "fuente")
 
 

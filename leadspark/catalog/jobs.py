@@ -224,20 +224,27 @@ def q1_metrics(t):
     return enrich.run_metrics(out).select("discovered", "fetched", "fetched_ok", "enriched", "validated", "errors")
 
 
-@query("q2_extraction_job", with_cust("""SELECT ord::STRING AS barrio_id, coalesce(sitio_web, CASE WHEN provincia <> 'ASIA' THEN 'https://hallado.example.com.ar/' || ord::STRING END, '') AS url_usada,
-  CASE WHEN sitio_web IS NULL THEN 'Sin web / Texto vacío' END AS error, CASE WHEN sitio_web IS NOT NULL THEN coalesce(email, '') END AS emails FROM v WHERE provincia <> 'AFRICA'"""))
-def q2(t):
-    leads = v_cust(t)
-    source = leads.select(F.col("ord").cast("string").alias("row_id"), "nombre", "partido", "sitio_web")
-    log = leads.filter("provincia = 'AFRICA'").select(F.col("ord").cast("string").alias("barrio_id"))
-    results = leads.filter("provincia <> 'ASIA'").select(F.col("ord").cast("string").alias("row_id"), F.lit(0).alias("query_no"), F.explode(F.array(F.lit(0), F.lit(1))).alias("rank"),
+def extraction_inputs(leads):
+    """Search results by customer (``id``) and the home and contact pages of customers with a site."""
+    results = leads.filter("provincia <> 'ASIA'").select(F.col("ord").cast("string").alias("id"), F.lit(0).alias("query_no"), F.explode(F.array(F.lit(0), F.lit(1))).alias("rank"),
                                                          F.concat(F.lit("https://hallado.example.com.ar/"), "ord").alias("url"))
     results = results.withColumn("url", F.when(F.col("rank") == 0, "https://www.facebook.com/x").otherwise(F.col("url")))
     sites = leads.filter("sitio_web is not null")
     home = sites.select(F.col("sitio_web").alias("url"), F.lit("").alias("path"), F.col("sitio_web").alias("site"), F.lit("portada").alias("text"))
     contact = sites.select(F.concat("sitio_web", F.lit("/contacto")).alias("url"), F.lit("/contacto").alias("path"), F.col("sitio_web").alias("site"),
                            F.concat_ws(" ", F.lit("escribir a"), "email").alias("text"))
-    out = jobs.extraction_job(source, log, results, home.unionByName(contact), discover.subpage_priority(t.spark, discover.CONTACT_PAGES_V1))
+    return results, home.unionByName(contact)
+
+
+@query("q2_extraction_job", with_cust("""SELECT ord::STRING AS barrio_id, coalesce(sitio_web, CASE WHEN provincia <> 'ASIA' THEN 'https://hallado.example.com.ar/' || ord::STRING END, '') AS url_usada,
+  CASE WHEN sitio_web IS NULL THEN 'Sin web / Texto vacío' END AS error, CASE WHEN sitio_web IS NOT NULL THEN coalesce(email, '') END AS emails FROM v WHERE provincia <> 'AFRICA'"""))
+def q2(t):
+    leads = v_cust(t)
+    source = leads.select(F.col("ord").cast("string").alias("row_id"), "nombre", "partido", "sitio_web")
+    log = leads.filter("provincia = 'AFRICA'").select(F.col("ord").cast("string").alias("barrio_id"))
+    results, pages = extraction_inputs(leads)
+    results = results.withColumnRenamed("id", "row_id")
+    out = jobs.extraction_job(source, log, results, pages, discover.subpage_priority(t.spark, discover.CONTACT_PAGES_V1))
     return out.select("barrio_id", "url_usada", "error", F.array_join("emails_regex", ",").alias("emails"))
 
 
