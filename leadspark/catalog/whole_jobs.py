@@ -104,11 +104,8 @@ def q3_whole(t):
     """One lot a vertical, one of them uploaded; the consolidated rows and the run table give the view."""
     root = t.scratch("q3w")
     book = ledger.Ledger(t.spark, f"{root}/ledger")
-    leads = typed_leads(t)
-    for vertical in VERTICALS:
-        lot = lots.save_lot(book, leads.filter(F.col("vertical") == vertical), f"{root}/lots", vertical)
-        if vertical == "embajadas":
-            book.update_lot(lot, "subido", datetime(2100, 1, 1))
+    saved = lots.save_lots(book, typed_leads(t), f"{root}/lots")
+    book.update_lot(saved["embajadas"], "subido", datetime(2100, 1, 1))
     orders = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     none = F.lit(None).cast("long")
     book.append_frame("runs", orders.select(

@@ -68,8 +68,8 @@ def leads_from_answers(candidates: DataFrame, vertical: str, enriched_at: Column
     df = df.withColumn("__lead", extracted)
     lead = F.when(F.col("__lead").isNull(), minimal_lead(v, enriched_at)).otherwise(
         fill_missing(F.col("__lead"), partido=F.col("partido"), sitio_web=F.col("sitio_web")))
-    return df.select(*keep, lead.alias("lead"), F.col("__lead").isNotNull().alias("extracted")).select(
-        *keep, "extracted", "lead.*")
+    # A generator: later joins and filters on a lead's columns do not repeat the reading of its reply.
+    return df.select(*keep, F.col("__lead").isNotNull().alias("extracted"), F.inline(F.array(lead)))
 
 
 def apply_verifications(leads: DataFrame, verifications: DataFrame) -> DataFrame:

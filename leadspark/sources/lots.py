@@ -13,6 +13,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..schemas import VERTICALS
 from .ledger import Ledger
 from .lead_csv import consolidate, path_exists
 
@@ -65,6 +66,27 @@ def save_lot(ledger: Ledger, leads: DataFrame, root: str, vertical: str, lot_id:
     return lot_id
 
 
+def save_lots(ledger: Ledger, leads: DataFrame, root: str) -> dict[str, str]:
+    """One lot for every vertical that ``leads`` has, written by one job; returns lot id by vertical.
+
+    Rows without a vertical are an error, as is a vertical that is not known: their lot could not be found.
+    """
+    spark, attempt = ledger.spark, f"i{uuid.uuid4().hex}"
+    ids = {v: str(uuid.uuid4()) for v in VERTICALS}
+    lot_of = F.create_map(*[F.lit(x) for pair in ids.items() for x in pair])
+    known = F.coalesce(F.try_element_at(lot_of, F.col("vertical")), F.raise_error(F.concat(F.lit("no such vertical: "), F.coalesce("vertical", F.lit("NULL")))))
+    tagged, seen = leads.withColumns({"lote_id": known, "intento": F.lit(attempt)}), Observation()
+    counters = [F.count_if(F.col("vertical") == v).alias(v) for v in VERTICALS]
+    tagged.observe(seen, *counters).write.mode("append").partitionBy("vertical", "lote_id", "intento").parquet(root)
+    counts = {v: n for v, n in seen.get.items() if n}
+    at = datetime.now(timezone.utc)
+    rows = [(ids[v], v, attempt, n, at) for v, n in counts.items()]
+    if rows:
+        spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/{MANIFEST}")
+        ledger.append("lots", *[(ids[v], v, at, "pendiente", n, None) for v, n in counts.items()])
+    return {v: ids[v] for v in counts}
+
+
 def read_lots(spark: SparkSession, root: str, lots: DataFrame) -> DataFrame:
     """Lead rows of the given ledger lots; only the partitions of their committed attempts are scanned."""
     wanted = committed_lots(spark, root).join(lots.select("vertical", "lote_id"), ["vertical", "lote_id"], "left_semi")

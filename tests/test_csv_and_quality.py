@@ -197,3 +197,18 @@ def test_ledger_files_are_bounded(spark, tmp_path, monkeypatch):
     assert {(r.lote_id, r.leads_count) for r in book.lots().collect()} == want
     book.compact("lots")
     assert book.events("lots").count() == 11 and len(list((tmp_path / "lots").glob("*.parquet"))) == 1
+
+
+def test_lots_of_several_verticals(spark, tmp_path):
+    book, root = ledger.Ledger(spark, str(tmp_path / "ledger")), str(tmp_path / "lots")
+    rows = frame(spark, lead(nombre="A"), lead(nombre="B"), lead(nombre="C", vertical="clinicas"))
+    saved = lots.save_lots(book, rows, root)
+    assert set(saved) == {"hoteles", "clinicas"} and len(set(saved.values())) == 2
+    assert {(r.vertical, r.lote_id, r.estado, r.leads_count) for r in book.lots().collect()} == {
+        ("hoteles", saved["hoteles"], "pendiente", 2), ("clinicas", saved["clinicas"], "pendiente", 1)}
+    book.update_lot(saved["hoteles"], "subido", datetime(2100, 1, 1))
+    assert [r.nombre for r in lots.read_lots(spark, root, lots.open_lots(book.lots())).collect()] == ["C"]
+    assert lots.save_lots(book, rows.filter("nombre = 'no'"), root) == {}
+    with pytest.raises(Exception, match="no such vertical"):
+        lots.save_lots(book, rows.withColumn("vertical", F.lit("otra")), root)
+    assert lots.committed_lots(spark, root).count() == 2
