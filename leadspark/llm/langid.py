@@ -11,8 +11,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .common import map_batches, pick, position
 
@@ -168,21 +170,30 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: Model | None) -> DataFrame:
-    """The rows of ``docs`` whose text has a language, all columns as they were; ``und`` goes.
+    """The rows of ``docs`` whose text has a language; ``und`` goes. A NULL in a text column ``lang`` takes the prediction.
 
-    Without a model (nothing learned) only texts without a letter go; NULL and empty texts go.
-    Repeated rows are decided alike, extra columns stay, an empty table stays empty.
+    All other columns stay as they were, and so does a ``lang`` that is there. Without a model (nothing learned) only
+    texts without a letter go and no ``lang`` is filled; NULL and empty texts go. Repeated rows are decided
+    alike, extra columns stay, an empty table stays empty.
     """
     at = position(docs.columns, "text")
+    lang = position(docs.columns, "lang") if "lang" in [n.lower() for n in docs.columns] else None
+    if lang is not None and docs.schema[lang].dataType != StringType():
+        lang = None
 
     def start():
         known = Identifier(model)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            def named(text: str) -> bool:
-                return known(text)[0] != UNKNOWN if model else bool(len(known.trigrams(text)))
-
-            return batch.filter(pa.array([named(t or "") for t in batch.column(at).to_pylist()], pa.bool_()))
+            texts = [t or "" for t in batch.column(at).to_pylist()]
+            if not model:
+                return batch.filter(pa.array([bool(len(known.trigrams(t))) for t in texts], pa.bool_()))
+            found = [known(t)[0] for t in texts]
+            if lang is not None:
+                columns = batch.columns
+                columns[lang] = pc.coalesce(columns[lang], pa.array(found, columns[lang].type))
+                batch = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+            return batch.filter(pa.array([f != UNKNOWN for f in found], pa.bool_()))
 
         return step
 

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 import xxhash
 from oracle import compare, connect
+from pyspark.sql import functions as F
 
 from leadspark.llm import components, langid, neardup, pivots, simhash, sketch, toxicity
 from leadspark.llm.queries import ORACLES, QUERIES
@@ -219,6 +220,12 @@ def test_language_of_mixed_and_odd_texts(spark, messy):
     assert [g for g in got if g[1]] == [(2, True), (3, True), (4, True), (7, True)] and len(got) == len(MESSY)
     assert langid.keep_identified(messy, model).count() == langid.keep_identified(messy, None).count() == len(MESSY) - 4
     assert langid.train(docs.limit(0)) is None and langid.identify(messy.limit(0), None).count() == 0
+    asked = docs.filter("doc_id < 3 OR doc_id > 90").withColumn("lang", F.when(F.col("doc_id") != 1, F.nullif("lang", F.lit("en"))))
+    filled = {r.doc_id: r.lang for r in langid.keep_identified(asked, model).collect()}
+    want = {r.doc_id: r.lang_pred for r in langid.identify(asked, model).collect()}
+    assert filled == {0: "en", 1: "de", 2: "fr", 99: want[99]}  # a language that is missing is the predicted one
+    assert langid.keep_identified(asked.withColumn("lang", F.lit(None).cast("int")), model).schema["lang"].dataType.simpleString() == "int"
+    assert {r.lang for r in langid.keep_identified(asked, None).collect()} == {None, "fr"}
 
 
 def shingles(text, n=5):
