@@ -23,7 +23,7 @@ _OPTIONS = {"quote": '"', "escape": '"'}
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines with file, split, order in the split and whether they begin and end inside a quoted field."""
     scan = spark.read.option("lineSep", "\n").text(path).select(
-        F.regexp_replace("value", "^﻿", "").alias("line"), F.col("_metadata.file_path").alias("__file"),
+        F.regexp_replace("value", "^\ufeff", "").alias("line"), F.col("_metadata.file_path").alias("__file"),
         F.col("_metadata.file_block_start").alias("__split"), F.monotonically_increasing_id().alias("__at"))
     lines = scan.withColumn("__quotes", F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit(""))))
     splits = lines.groupBy(*_PLACE).agg(F.sum("__quotes").alias("__in"))

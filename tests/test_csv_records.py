@@ -46,7 +46,7 @@ def test_records_over_splits(spark, tmp_path, small_splits):
 
 def test_ids_types_and_edges(spark, tmp_path):
     one = tmp_path / "one.csv"
-    one.write_bytes("﻿id,row_id,n\r\n7,x,1\r\n\r\n8,y,oops\r\n".encode())
+    one.write_bytes("\ufeffid,row_id,n\r\n7,x,1\r\n\r\n8,y,oops\r\n".encode())
     got = csv_records.read_csv_rows(spark, str(one), "id long, row_id string, n int", "id").orderBy("id").collect()
     assert [tuple(r) for r in got] == [(7, 1, "7"), (8, None, "8")]
     assert csv_records.read_csv_rows(spark, str(tmp_path / "absent")).count() == 0
