@@ -4,9 +4,18 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_STATE_STORE = "spark.sql.streaming.stateStore."
+#: State of streams on disk; a batch uploads its changes, not the whole state.
+STATE_STORE_CONF = {
+    f"{_STATE_STORE}providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_STATE_STORE}rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 #: Settings the operators are written for. AQE splits skewed join partitions
 #: and picks the number of reducers; UTC keeps every time text comparable.
 RECOMMENDED_CONF = {
@@ -16,9 +25,7 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # State of streams on disk; a batch uploads its changes, not the whole state.
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    **STATE_STORE_CONF,
 }
 
 
@@ -35,6 +42,19 @@ def build_session(app_name: str = "leadspark", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+@contextmanager
+def state_store(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside use the store on disk, whatever the session was built with; its settings stay."""
+    before = {key: spark.conf.get(key, None) for key in STATE_STORE_CONF}
+    for key, value in STATE_STORE_CONF.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared scratch folder: ``spark.checkpoint.dir``.
 

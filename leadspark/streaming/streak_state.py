@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..operators.crawlplan import FAILURE_LIMIT
+from ..session import state_store
 
 OUTPUT = "source string, ts timestamp, ord long, streak long, open boolean"
 
@@ -72,6 +73,8 @@ def streak_state_stream(attempts: DataFrame, out: str, checkpoint: str, delay: s
     A batch touches the state of its own sources and of expired timers; nothing is rewritten. All attempts of a source in
     one batch meet in one task, some milliseconds at a time: a source that holds a large part of a *table* is
     the batch operator's (`failure_streaks`), or `streak_stream`'s for an ordered feed.
+
+    The state has several variables, which only the store on disk holds: the stream takes it in any session.
     """
     timed = attempts.withColumn("ts", F.col("ts").cast("timestamp")).filter("ts is not null").withWatermark("ts", delay)
     rows = timed.select(
@@ -82,5 +85,6 @@ def streak_state_stream(attempts: DataFrame, out: str, checkpoint: str, delay: s
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.filter(F.col("source").isNotNull()).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    return counted.writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", checkpoint).trigger(
-        availableNow=True).start()
+    with state_store(attempts.sparkSession):
+        return counted.writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", checkpoint).trigger(
+            availableNow=True).start()

@@ -42,3 +42,17 @@ def test_state_outlives_the_query_and_late_rows_count_for_nothing(spark, tmp_pat
     later = [("a", T0 + timedelta(minutes=2), 3, False), ("a", T0 + timedelta(hours=6), 4, True), ("b", T0 + timedelta(hours=6), 5, None)]
     got = run(spark, tmp_path, later, [(None, T0 + timedelta(hours=9), 0, None)])
     assert {k: v[1:] for k, v in got.items()} == {("a", 1): (1, False), ("a", 2): (2, False), ("a", 4): (3, True), ("b", 5): (0, False)}
+
+
+def test_a_session_with_the_default_store(spark, tmp_path):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    memory = before.replace("RocksDB", "HDFSBacked")
+    spark.conf.set(key, memory)
+    try:
+        rows = [("a", T0, 1, True), ("a", T0 + timedelta(minutes=1), 2, True)]
+        got = run(spark, tmp_path, rows, [(None, T0 + timedelta(days=1), 0, None)])
+        assert {k: v[1] for k, v in got.items()} == {("a", 1): 1, ("a", 2): 2}
+        assert spark.conf.get(key) == memory
+    finally:
+        spark.conf.set(key, before)
