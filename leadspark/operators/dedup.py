@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from ..functions.text import dedup_key, let, normalize_name, same_district, sort_tokens, squash_name
+from ..functions.text import dedup_key, normalize_name, same_district, sort_tokens, squash_name
 from ..session import cut_lineage
 from .components import connected_components
 from .grouping import first_per_group, first_row_of_key, null_safe_join, sorted_positions
@@ -20,9 +20,9 @@ from .similarity import similar_pairs
 
 DEFAULT_THRESHOLD = 85
 FIRST_BATCH = 2_000
-BATCH_GROWTH = 8
-#: A connected group of names with up to this many rows to settle is settled by one fold.
-FOLD_ROWS = 2_000
+BATCH_GROWTH = 4
+#: A group with up to this many rows to settle, and links between them (32 MB), is settled by one fold.
+FOLD_ROWS, FOLD_LINKS = 20_000, 4_000_000
 
 
 # ---------------------------------------------------------------- exact
@@ -218,55 +218,53 @@ def _both_ways(pairs: DataFrame) -> DataFrame:
     return pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
-def _fold_survivors(rows: DataFrame, near: DataFrame) -> DataFrame:
+def _fold_survivors(rows: DataFrame, edges: DataFrame) -> DataFrame:
     """Ids that the in-order scan keeps, one fold a component.
 
-    ``rows`` are (root, name, id, d), ``near`` (root, name, names): the names like it.
-    A row goes if a kept row of its own or a like name has a compatible district.
+    ``rows`` are (root, id), ``edges`` (lo, hi): a row goes if a kept one below it is linked to it.
     """
-    scans = rows.groupBy("root").agg(F.sort_array(F.collect_list(F.struct("id", "name", "d"))).alias("scan"))
-    like = near.groupBy("root").agg(F.map_from_entries(F.collect_list(F.struct("name", "names"))).alias("like"))
-    none = F.filter("scan", lambda row: F.lit(False))
+    below = edges.groupBy(F.col("hi").alias("id")).agg(F.collect_list(F.col("lo").cast("long")).alias("below"))
+    scans = rows.join(below, "id", "left").groupBy("root").agg(F.sort_array(F.collect_list(F.struct(F.col("id").cast("long").alias("id"), "below"))).alias("scan"))
+    none = F.array().cast("array<bigint>")
 
     def step(kept, row):
-        def settled(names):
-            return F.when(F.exists(kept, lambda k: ((k["name"] == row["name"]) | F.coalesce(F.array_contains(names, k["name"]), F.lit(False)))
-                                   & same_district(k["d"], row["d"])), kept).otherwise(F.array_append(kept, row))
+        return F.when(F.coalesce(F.arrays_overlap(kept, row["below"]), F.lit(False)), kept).otherwise(F.array_append(kept, row["id"]))
 
-        return let(F.element_at("like", row["name"]), settled)
+    return scans.select(F.explode(F.aggregate("scan", none, step)).alias("id"))
 
-    kept = F.aggregate("scan", none, step)
-    return scans.join(like, "root", "left").select(F.explode(F.transform(kept, lambda k: k["id"])).alias("id"))
+
+def _folded(rows: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """(ids kept in the groups that one fold can settle, rows and edges of the other groups)."""
+    weights = edges.groupBy(F.col("hi").alias("id")).agg(F.count(F.lit(1)).alias("links"))
+    sizes = rows.join(weights, "id", "left").groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("links").alias("links"))
+    large = cut_lineage(sizes.filter((F.col("n") > FOLD_ROWS) | (F.col("links") > FOLD_LINKS)).select("root"))
+    if large.isEmpty():
+        return _fold_survivors(rows, edges), None, None
+    big = cut_lineage(rows.join(large, "root", "left_semi").select("id"))
+    kept = _fold_survivors(rows.join(large, "root", "left_anti"), edges.join(big, F.col("hi") == F.col("id"), "left_anti"))
+    return kept, big, cut_lineage(edges.join(big, F.col("hi") == F.col("id"), "left_semi"))
 
 
 def _settle(nodes: DataFrame, threshold: float, by: list[str]) -> DataFrame:
     """Ids that the in-order scan keeps among all ``nodes``.
 
-    Rows influence each other only along similar names, so each connected component of names is
-    settled by itself: the small ones by a fold over their rows, the few large ones by rounds
-    over the edges of their rows.
+    Rows influence each other only along similar names within ``by``. A fold over its rows settles such a
+    group, or each connected component of one that is too large for that; components that are too large are settled
+    by rounds over their edges.
     """
     names = _names(nodes, by)
     pairs = cut_lineage(similar_pairs(names, None, threshold, on=by, scored=False).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")))
-    roots = connected_components(pairs)
-    rows = _held(nodes, names, by).join(roots.withColumnRenamed("node", "name"), "name", "left")
-    rows = cut_lineage(rows.withColumn("root", F.coalesce("root", "name")))
-    sizes = rows.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-    large = cut_lineage(sizes.filter(F.col("n") > FOLD_ROWS).select("root"))
-    linked = _both_ways(pairs).join(roots.withColumnRenamed("node", "a"), "a")
-    if large.isEmpty():
-        small_rows, small_links = rows, linked
-    else:
-        small_rows, small_links = rows.join(large, "root", "left_anti"), linked.join(large, "root", "left_anti")
-    near = small_links.groupBy("root", F.col("a").alias("name")).agg(F.collect_list("b").alias("names"))
-    kept = _fold_survivors(small_rows, near)
-    if small_rows is rows:
+    held = cut_lineage(_held(nodes, names, by))
+    shared = held.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    linked = _both_ways(pairs).unionByName(shared.select(F.col("name").alias("a"), F.col("name").alias("b")))
+    edges = cut_lineage(_compatible(linked, held, held).filter("id_a < id_b").toDF("lo", "hi"))
+    kept, rows, edges = _folded(nodes.select("id", (F.xxhash64(*by) if by else F.lit(0)).alias("root")), edges)
+    if rows is None:
         return kept
-    rows = rows.join(large, "root", "left_semi")
-    own = rows.select(F.col("name").alias("a"), F.col("name").alias("b")).distinct()
-    pairs = linked.join(large, "root", "left_semi").select("a", "b").unionByName(own)
-    edges = _compatible(pairs, rows, rows).filter("id_a < id_b").toDF("lo", "hi").distinct()
-    return kept.unionByName(rows.select("id").join(_greedy_removed(edges), "id", "left_anti"))
+    roots = connected_components(edges.select(F.col("lo").alias("a"), F.col("hi").alias("b"))).withColumnRenamed("node", "id")
+    more, rows, edges = _folded(cut_lineage(rows.join(roots, "id", "left").select("id", F.coalesce("root", "id").alias("root"))), edges)
+    kept = kept.unionByName(more)
+    return kept if rows is None else kept.unionByName(rows.join(_greedy_removed(edges), "id", "left_anti"))
 
 
 def _struck(kept: DataFrame, rest: DataFrame, threshold: float, by: list[str]) -> DataFrame:

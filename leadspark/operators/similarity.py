@@ -18,12 +18,16 @@ done on *distinct* sorted-token strings ("nodes"):
   block is split at random and the other copied to the splits, so a hot gram
   becomes many tasks.
 
+Short names of few lengths need no grams: two of them match exactly if they share a subsequence of the length that
+the threshold asks for, and after their common beginning is taken off there are few of these (``common_keys``).
+
 Grams, signatures and the final bit-vector LCS are expressions: no Python worker takes part.
 """
 
 from __future__ import annotations
 
 import math
+import os
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -36,6 +40,12 @@ GRAM_BUCKETS = 4096
 BLOCK_BUCKETS = 16384
 BITMAP_WORDS = 4
 EPS = 1e-9
+#: Subsequences a node may have on average, and at most, for pairs to be found by them.
+KEYS_PER_NODE, MOST_KEYS = 64, 1024
+#: Pairs of lengths that the expression of the subsequences may tell apart.
+KEY_CASES = 100
+#: Beginning of the keys for partners of another length.
+_OTHER = "x"
 
 
 # ---------------------------------------------------------------- bounds
@@ -157,6 +167,93 @@ def _band(length: Column, threshold: float) -> Column:
     return F.floor(F.log(F.greatest(length, F.lit(1)).cast("double")) / math.log((2 - t) / t)).cast("int")
 
 
+# ---------------------------------------------------------------- common subsequences
+
+
+def _key_cases(sizes: dict[int, int], start: int, threshold: float) -> dict[int, list[tuple[int, int, int]]] | None:
+    """(shorter, longer, common) of every partner length, by length; None where there would be too many keys.
+
+    ``sizes`` are counts by length without the ``start`` characters that all texts begin with. A pair of these lengths
+    reaches the threshold if it has ``common`` more characters in common than those.
+    """
+    cases, keys = {}, 0
+    for n, held in sizes.items():
+        cases[n], most = [], 0
+        for partner in sizes:
+            lo, hi = min(n, partner), max(n, partner)
+            common = max(0, math.ceil(threshold * (n + partner + 2 * start) / 200 - EPS) - start)
+            if common <= lo:
+                cases[n].append((lo, hi, common))
+                most += max(math.comb(n, k) for k in range(n - common + 1)) if common else 1
+        if most > MOST_KEYS:
+            return None
+        keys += held * most
+    if sum(map(len, cases.values())) > KEY_CASES or keys > KEYS_PER_NODE * sum(sizes.values()):
+        return None
+    return cases
+
+
+def _subsequences(s: Column, size: int, common: int) -> Column:
+    """The different subsequences of ``common`` characters of a text of ``size``: characters go from left to right."""
+    if not common:
+        return F.array(F.lit(""))
+    found = F.array(F.struct(s.alias("t"), F.lit(1).alias("at")))
+
+    def shorter(x):
+        return F.transform(F.sequence(x["at"], F.lit(common + 1)), lambda i: F.struct(
+            F.concat(x["t"].substr(F.lit(1), i - 1), x["t"].substr(i + 1, F.lit(size))).alias("t"), i.alias("at")))
+
+    for _ in range(size - common):
+        found = F.flatten(F.transform(found, shorter))
+    return F.array_distinct(F.transform(found, lambda x: x["t"]))
+
+
+def common_keys(sides: list[DataFrame], threshold: float) -> Column | None:
+    """Texts that two nodes share exactly if their ratio reaches the threshold; None where a node would have many.
+
+    A key is a subsequence of the length that the two lengths ask for, with these lengths. The driver
+    sees a row per length, and gives up beyond a few.
+    """
+    rows = reduce(DataFrame.unionByName, [df.select("s") for df in sides])
+    head = F.substring("s", 1, 256)
+    seen = rows.groupBy(F.length("s").alias("n")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(head).alias("least"), F.max(head).alias("most")).limit(KEY_CASES + 1).collect()
+    start = len(os.path.commonprefix([text for row in seen for text in (row["least"], row["most"])]))
+    cases = _key_cases({row["n"] - start: row["rows"] for row in seen}, start, threshold) if 0 < len(seen) <= KEY_CASES else None
+    if cases is None:
+        return None
+    rest, keys = F.expr(f"substring(s, {start + 1})"), None
+
+    def texts_of(n: int, lo: int, hi: int, common: int) -> Column:
+        mark = f"{lo} " if lo == hi else f"{_OTHER}{lo} {hi} "
+        return F.transform(_subsequences(rest, n, common), lambda t: F.concat(F.lit(mark), t))
+
+    for n, partners in cases.items():
+        texts = [texts_of(n, *case) for case in partners]
+        when = (F.length("s") == n + start, F.concat(*texts) if len(texts) > 1 else texts[0])
+        keys = F.when(*when) if keys is None else keys.when(*when)
+    return keys
+
+
+def _keyed_pairs(sides: list[DataFrame], keys: Column, on: list[str], with_texts: bool = True) -> DataFrame:
+    """Pairs of nodes that share a key, each once."""
+    held = ["id", "s"] if with_texts else ["id"]
+    n = int(sides[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    posted = [df.select("id", "s", *on).repartition(n).select(
+        *held, *on, F.length("s").alias("len"), F.explode(keys).alias("key")) for df in sides]
+    a, b = posted[0].alias("a"), posted[-1].alias("b")
+    # Two nodes of one length may also share a key of theirs that is meant for partners of another.
+    cond = (F.col("a.len") != F.col("b.len")) == F.col("a.key").startswith(_OTHER)
+    if len(sides) == 1:
+        cond = cond & (F.col("a.id") < F.col("b.id"))
+    for k in ["key", *on]:
+        cond = cond & (F.col(f"a.{k}") == F.col(f"b.{k}"))
+    return a.join(b, cond).select(*[F.col(f"{side}.{c}").alias(f"{c}_{side}") for side in "ab" for c in held]).distinct()
+
+
+# ---------------------------------------------------------------- blocks
+
+
 def _in_route(nodes: DataFrame, route) -> DataFrame:
     _, shortest, longest, _ = route
     df = nodes.filter(F.col("len") >= shortest)
@@ -233,6 +330,7 @@ def candidate_pairs(left: DataFrame, right: DataFrame | None, threshold: float,
     """Distinct node pairs left after all filters: what the LCS is computed for."""
     on = on or []
     self_join = right is None
+    sides = [left] if self_join else [left, right]
 
     passes = routes(threshold)
     sizes = sorted({route[0] for route in passes})
@@ -244,7 +342,7 @@ def candidate_pairs(left: DataFrame, right: DataFrame | None, threshold: float,
         df = df.select("*", letter_signature("s").alias("letter_bits"), *[gram_codes("s", k).alias(f"codes_{k}") for k in sizes])
         return cut_lineage(df.withColumns({f"grams_{k}": gram_signature(F.col(f"codes_{k}")) for k in sizes}))
 
-    nodes = [prepare(df) for df in ([left] if self_join else [left, right])]
+    nodes = [prepare(df) for df in sides]
     found = []
     # Gram counts of all passes and sides in one job: at most 4 * GRAM_BUCKETS rows.
     grams = [
@@ -290,13 +388,18 @@ def similar_pairs(left: DataFrame, right: DataFrame | None = None, threshold: fl
     Without ``scored`` the pairs come alone, and those whose Levenshtein distance already tells that
     they reach the threshold (insertions and deletions are at most twice as many) cost no score.
     """
+    sides = [left] if right is None else [left, right]
+    keys = common_keys(sides, threshold)
+    if keys is not None and not scored:
+        return _keyed_pairs(sides, keys, on or [], False)
     total = F.length("s_a") + F.length("s_b")
     lcs = lcs_length("s_a", "s_b")
     if not scored:
         edits = F.call_function("levenshtein", F.col("s_a"), F.col("s_b"))
         lcs = F.when(200 * 2 * edits <= (200 - 2 * threshold) * total, F.lit(None).cast("int")).otherwise(lcs)
     # One-row explode: the length is computed once, for the filter and for the score.
-    pairs = candidate_pairs(left, right, threshold, on, block_rows).select("*", F.explode(F.array(lcs)).alias("lcs"))
+    pairs = candidate_pairs(left, right, threshold, on, block_rows) if keys is None else _keyed_pairs(sides, keys, on or [])
+    pairs = pairs.select("*", F.explode(F.array(lcs)).alias("lcs"))
     good = pairs.filter(F.col("lcs").isNull() | (F.lit(200) * F.col("lcs") >= F.lit(threshold) * total))
     if not scored:
         return good.select("id_a", "id_b")

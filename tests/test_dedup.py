@@ -372,3 +372,31 @@ def test_crawl_permission_equals_rule_by_rule(spark):
         domain = host[4:] if host.startswith("www.") else host
         hits = [(seq, allow) for d, seq, allow, start in rules if d == domain and start is not None and whole.startswith(start)]
         assert got[url] == (min(hits)[1] if hits else True), url
+
+
+@pytest.mark.parametrize("start, letters, lengths, threshold", [
+    ("cust#00", "0123", (4, 5, 6), 85), ("", "abc", (0, 1, 2, 3, 4, 5), 60), ("xyz", "ab", (3, 7), 90), ("a", "ab", (1, 2), 50)])
+def test_common_keys_give_every_pair(spark, start, letters, lengths, threshold):
+    def common(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = 0
+            for j, y in enumerate(b):
+                last, row[j + 1] = row[j + 1], last + 1 if x == y else max(row[j + 1], row[j])
+        return row[-1]
+
+    rnd = random.Random(5)
+    names = sorted({start + "".join(rnd.choice(letters) for _ in range(rnd.choice(lengths))) for _ in range(150)})
+    want = {(i, j) for i, a in enumerate(names) for j, b in enumerate(names) if i < j and 200 * common(a, b) >= threshold * (len(a) + len(b))}
+    df = spark.createDataFrame(list(enumerate(names)), "id long, s string")
+    assert similarity.common_keys([df], threshold) is not None
+    assert sorted(tuple(sorted(r)) for r in similarity.similar_pairs(df, None, threshold, scored=False).collect()) == sorted(want)
+    two = similarity.similar_pairs(df.filter("id % 2 = 0"), df.filter("id % 2 = 1"), threshold).select("id_a", "id_b").collect()
+    assert sorted(tuple(sorted(r)) for r in two) == sorted((i, j) for i, j in want if i % 2 != j % 2)
+
+
+def test_numbered_names_take_common_keys(spark):
+    # 900,000 numbered names have 15 keys each; pairs of gram blocks grew with the square of the table.
+    cases = similarity._key_cases({6: 900_000}, 12, 85)
+    assert cases == {6: [(6, 6, 4)]}
+    assert similarity._key_cases({33: 100}, 0, 85) is None
