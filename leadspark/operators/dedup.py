@@ -6,6 +6,7 @@ a unique integer column (position in the source).
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -168,14 +169,36 @@ def match_positions(matches: DataFrame, name: str = "n") -> DataFrame:
     return sorted_positions(matches, [F.desc("score"), F.asc("ord_a"), F.asc("ord_b")], name)
 
 
+def _falling_thresholds(longest: int, threshold: float) -> list[float]:
+    """Thresholds that let names of the longest length differ in 1, 2, 4 ... characters, the given one last."""
+    edits = [2 ** i for i in range(max(1, longest).bit_length())]
+    steps = [math.floor(10_000 * (1 - n / max(1, longest))) / 100 for n in edits]
+    return [*[t for t in steps if t > threshold], threshold]
+
+
 def top_matches(df: DataFrame, k: int = 20, order_col: str = "ord", threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
     """The first ``k`` rows of ``find_fuzzy_matches`` without listing the others.
 
     The k best row pairs lie in the k best name pairs, and use only the first k+1
-    rows of each name.
+    rows of each name. Copies come first, then pairs are sought from a high threshold down until
+    there are k, so not all pairs of a table of like names are made.
     """
     members = _members(df, order_col)
-    best = name_pairs(df, order_col, threshold)
+    names = cut_lineage(members.groupBy("__s").agg(F.count(F.lit(1)).alias("n"), F.min("o").alias("first")))
+    copies = names.filter("n > 1").select(
+        F.col("first").alias("first_a"), F.col("first").alias("first_b"), F.lit(100.0).alias("score"), (F.col("n") * (F.col("n") - 1) / 2).alias("pairs"))
+    longest = names.agg(F.coalesce(F.max(F.length("__s")), F.lit(0))).first()[0]
+    for least in [100, *_falling_thresholds(longest, threshold)]:
+        best = copies
+        if least < 100 or threshold >= 100:
+            like = similar_pairs(names.select(F.col("first").alias("id"), F.col("__s").alias("s")), threshold=least)
+            held = [names.select(F.col("first").alias(f"id_{side}"), F.col("n").alias(f"n_{side}")) for side in "ab"]
+            best = best.unionByName(like.join(held[0], "id_a").join(held[1], "id_b").select(
+                F.least("id_a", "id_b").alias("first_a"), F.greatest("id_a", "id_b").alias("first_b"), "score",
+                (F.col("n_a") * F.col("n_b")).cast("double").alias("pairs")))
+        best = cut_lineage(best)
+        if best.agg(F.coalesce(F.sum("pairs"), F.lit(0))).first()[0] >= k:
+            break
     # Where a name pairs with itself its best pair starts at its first row as well.
     best = best.orderBy(F.desc("score"), "first_a", F.col("first_a") != F.col("first_b"), "first_b").limit(2 * k)
     best = _named(best, members)

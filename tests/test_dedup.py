@@ -400,3 +400,14 @@ def test_numbered_names_take_common_keys(spark):
     cases = similarity._key_cases({6: 900_000}, 12, 85)
     assert cases == {6: [(6, 6, 4)]}
     assert similarity._key_cases({33: 100}, 0, 85) is None
+
+
+def test_best_matches_stop_at_the_threshold_that_gives_enough(spark, monkeypatch):
+    rows = leads(spark, [(f"Planta#{i:09d} {where}", where) for i in range(60) for where in ("Pilar", "Tigre", "Quilmes")])
+    want = [tuple(r) for r in dedup.find_fuzzy_matches(rows).limit(20).collect()]
+    asked, real = [], dedup.similar_pairs
+    monkeypatch.setattr(dedup, "similar_pairs", lambda *a, **k: asked.append(k["threshold"]) or real(*a, **k))
+    assert [tuple(r) for r in dedup.top_matches(rows, 20).collect()] == want
+    assert asked and min(asked) > 90
+    few = leads(spark, [("Uno", "a"), ("Uno", "b"), ("Unos", "a"), ("Cerro", "a")])
+    assert [tuple(r) for r in dedup.top_matches(few, 20).collect()] == [tuple(r) for r in dedup.find_fuzzy_matches(few).collect()]
