@@ -177,10 +177,10 @@ def _request_text(before: str, after: str, limit: int | None) -> dict[str, Colum
 def batch_requests(pages: DataFrame, prompts: DataFrame, limit: int | None = None) -> DataFrame:
     """Request rows (system and user text, ``truncated``) of pages ``(..., vertical, text)``.
 
-    The prompt table has one row per vertical, so Spark broadcasts it by its size.
+    The prompt table has one row per vertical and is broadcast: the few verticals would leave all pages to as many tasks.
     """
     system = prompts.select("vertical", F.col("prompt").alias("system"))
-    return pages.join(system, "vertical").withColumns(_request_text(REQUEST_BEFORE, REQUEST_AFTER, limit))
+    return pages.join(F.broadcast(system), "vertical").withColumns(_request_text(REQUEST_BEFORE, REQUEST_AFTER, limit))
 
 
 def contact_requests(pages: DataFrame, limit: int | None = None) -> DataFrame:

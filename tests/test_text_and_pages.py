@@ -287,3 +287,13 @@ def test_frequent_lookup_equals_left_join(spark):
     want = sorted(map(str, df.join(lookup, "q", "left").select("ord", "q", "lat", "by").collect()))
     for hot in (1, 3, 5000):
         assert sorted(map(str, frequent_lookup(df, lookup, "q", hot).collect())) == want
+
+
+def test_requests_leave_pages_where_they_are(spark):
+    """Three verticals must not collect all pages in three tasks."""
+    from leadspark.operators.prompts import batch_requests, prompt_table
+
+    pages = spark.range(10 ** 9).selectExpr("id", "element_at(array('hoteles', 'clinicas', 'empresas'), int(id % 3) + 1) AS vertical", "repeat('x', 9) AS text")
+    plan = batch_requests(pages, prompt_table(spark))._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("BroadcastHashJoin") < plan.index("Exchange hashpartitioning")
+    assert batch_requests(pages.limit(50), prompt_table(spark)).count() == 50
