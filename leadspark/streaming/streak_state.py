@@ -13,18 +13,20 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from ..operators.crawlplan import FAILURE_LIMIT
 from ..session import state_store
 
+#: Slices of the delay in which attempts wait together.
+SLICES = 16
 OUTPUT = "source string, ts timestamp, ord long, streak long, open boolean"
 
 
 class _Streaks(StatefulProcessor):
     """Attempts wait until the watermark has passed their time and are then counted in order.
 
-    State of a source: its streak, and the waiting attempts under their time in milliseconds. A timer stands
-    at each of these times, so a timer reads the attempts of one millisecond only.
+    State of a source: its streak, and the waiting attempts under the end of their slice of time in milliseconds. A timer
+    stands at each of these ends, so a timer reads the attempts of one slice only.
     """
 
-    def __init__(self, limit: int):
-        self.limit = limit
+    def __init__(self, limit: int, slice_ms: int):
+        self.limit, self.slice_ms = limit, slice_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -33,7 +35,7 @@ class _Streaks(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         for frame in rows:
-            frame = frame.assign(ms=frame["us"] // 1000)
+            frame = frame.assign(ms=(frame["us"] // (1000 * self.slice_ms) + 1) * self.slice_ms)
             for ms, part in frame.groupby("ms"):
                 ms, known = int(ms), ([], [], [])
                 if self.waiting.containsKey((ms,)):
@@ -64,14 +66,15 @@ def streak_state_stream(attempts: DataFrame, out: str, checkpoint: str, delay: s
                         limit: int = FAILURE_LIMIT) -> StreamingQuery:
     """Running failure streak per source of a stream ``(source, ts, ord, fail)`` whose files come in any order.
 
-    An attempt is counted once the watermark (latest ``ts`` seen less ``delay``) has passed it, so the rows are
+    An attempt is counted once the watermark (latest ``ts`` seen less ``delay``) has passed the slice of time it lies in (a
+    sixteenth of the delay: a source costs a step of its state a slice, not an attempt), so the rows are
     those of the batch operator ordered by (``ts``, ``ord``), however files mix within the delay. An attempt that comes
     later than that changes no streak and has no row; the query's progress counts it (``numRowsDroppedByWatermark``).
     A NULL ``fail`` is no failure. Rows with a NULL source only move the watermark: one of them far enough ahead
     closes a feed. Rows without a time are left out.
 
     A batch touches the state of its own sources and of expired timers; nothing is rewritten. All attempts of a source in
-    one batch meet in one task, some milliseconds at a time: a source that holds a large part of a *table* is
+    one batch meet in one task, some slices at a time: a source that holds a large part of a *table* is
     the batch operator's (`failure_streaks`), or `streak_stream`'s for an ordered feed.
 
     The state has several variables, which only the store on disk holds: the stream takes it in any session.
@@ -79,8 +82,9 @@ def streak_state_stream(attempts: DataFrame, out: str, checkpoint: str, delay: s
     timed = attempts.withColumn("ts", F.col("ts").cast("timestamp")).filter("ts is not null").withWatermark("ts", delay)
     rows = timed.select(
         "source", "ts", F.unix_micros("ts").alias("us"), "ord", F.coalesce("fail", F.lit(False)).alias("fail"))
+    span = attempts.sparkSession.range(1).select(F.unix_millis(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {delay}"))).first()[0]
     counted = rows.groupBy("source").transformWithStateInPandas(
-        _Streaks(limit), OUTPUT, "Append", "EventTime")
+        _Streaks(limit, max(1, span // SLICES)), OUTPUT, "Append", "EventTime")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.filter(F.col("source").isNotNull()).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
