@@ -12,7 +12,8 @@ perturbed values, each once.
 
 from __future__ import annotations
 
-from itertools import chain, islice
+from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,21 +34,86 @@ KEPT_WORDS = 200_000
 NEAR, FAR_MASS = 512, 40.0
 
 
+class Trie:
+    """Beginnings of pieces as states; finds the pieces at all places of a text at once, a character a step.
+
+    Steps (state and character) stand in an open hash table of which a tenth or less is used.
+    """
+
+    def __init__(self, names: list[str]):
+        step: dict[tuple[int, int], int] = {}
+        ends = []
+        for name in names:
+            state = 0
+            for c in name:
+                state = step.setdefault((state, ord(c)), len(step) + 1)
+            ends.append(state)
+        self.piece = np.full(len(step) + 1, -1, dtype=np.int32)
+        self.piece[ends] = np.arange(len(names), dtype=np.int32)
+        self.first = np.zeros(0x110000, dtype=np.int32)
+        for (state, c), to in step.items():
+            if not state:
+                self.first[c] = to
+        bits = (10 * len(step)).bit_length()
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.held, self.to = np.full(1 << bits, -1, dtype=np.int64), np.zeros(1 << bits, dtype=np.int32)
+        keys = np.array([state << 21 | c for state, c in step], dtype=np.int64)
+        to = np.fromiter(step.values(), dtype=np.int32, count=len(step))
+        slot = self._slot(keys)
+        while len(keys):
+            # Of those that want one free place, one gets it; the others go on to the next.
+            free = np.flatnonzero(self.held[slot] < 0)
+            _, one = np.unique(slot[free], return_index=True)
+            got = free[one]
+            self.held[slot[got]], self.to[slot[got]] = keys[got], to[got]
+            left = np.ones(len(keys), dtype=bool)
+            left[got] = False
+            keys, to, slot = keys[left], to[left], slot[left] + 1 & self.last
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).view(np.int64)
+
+    def _next(self, state: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The states after a character, 0 for none."""
+        keys = state.astype(np.int64) << 21 | codes
+        slot = self._slot(keys)
+        held = self.held[slot]
+        out = np.where(held == keys, self.to[slot], 0)
+        on = np.flatnonzero((held != keys) & (held >= 0))
+        while len(on):
+            slot[on] = slot[on] + 1 & self.last
+            held = self.held[slot[on]]
+            hit = held == keys[on]
+            out[on[hit]] = self.to[slot[on[hit]]]
+            on = on[~hit & (held >= 0)]
+        return out
+
+    def find(self, codes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(where they start, piece) of the pieces of 1, 2, 3 ... characters in a text, by their places."""
+        state, found = self.first[codes], []
+        at = np.flatnonzero(state)
+        state = state[at]
+        while len(at):
+            piece = self.piece[state]
+            whole = piece >= 0
+            found.append((at[whole], piece[whole]))
+            if at[-1] + len(found) == len(codes):
+                at, state = at[:-1], state[:-1]
+            state = self._next(state, codes[at + len(found)])
+            on = state > 0
+            at, state = at[on], state[on]
+        return found
+
+
 class Codec:
     """Piece tables of a sentencepiece model, with its bytes for characters without a piece."""
 
     def __init__(self, path: str):
-        import ahocorasick
-
         pieces = vocabulary(path)
         names = list(pieces)
         self.ids = np.array([pieces[p][0] for p in names], dtype=np.int32)
         self.scores = np.array([pieces[p][1] for p in names])
-        self.lengths = np.array([len(p) for p in names], dtype=np.int32)
-        self.automaton = ahocorasick.Automaton()
-        for i, p in enumerate(names):
-            self.automaton.add_word(p, i)
-        self.automaton.make_automaton()
+        self.trie = Trie(names)
         self.known = np.zeros(0x110000, dtype=bool)
         self.known[[ord(p) for p in names if len(p) == 1]] = True
         self.unknown = float(self.scores.min()) - UNKNOWN_PENALTY
@@ -56,24 +122,39 @@ class Codec:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.byte_ids = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         # Bytes of ASCII are characters by themselves.
-        self.text_of = [model.id_to_piece(i).replace(SPACE, " ") for i in range(model.get_piece_size())]
-        self.high_bytes = {}
+        self.text_of = np.array([model.id_to_piece(i).replace(SPACE, " ") for i in range(model.get_piece_size())], dtype=object)
+        self.is_high, self.high_bytes = np.zeros(len(self.text_of), dtype=bool), {}
         for b, i in enumerate(self.byte_ids):
             if b < 0x80:
                 self.text_of[i] = chr(b)
             else:
-                self.high_bytes[i] = bytes([b])
+                self.is_high[i], self.high_bytes[i] = True, bytes([b])
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: list[int] | np.ndarray) -> str:
         """The text of ids: marks are spaces, byte pieces bytes, and the space before the text goes."""
-        names, high = self.text_of, self.high_bytes
-        if high.keys().isdisjoint(ids):
-            text = "".join([names[i] for i in ids])
+        ids = np.asarray(ids, dtype=np.int64)
+        names, high = self.text_of[ids].tolist(), self.high_bytes
+        if self.is_high[ids].any():
+            text = b"".join([high.get(i) or name.encode() for i, name in zip(ids.tolist(), names, strict=True)]).decode("utf-8", "replace")
         else:
-            text = b"".join([high.get(i) or names[i].encode() for i in ids]).decode("utf-8", "replace")
+            text = "".join(names)
         return text[1:] if text.startswith(" ") else text
 
 
+@lru_cache(maxsize=1)
+def codec_of(path: str) -> Codec:
+    """The codec of a model, made once in a worker."""
+    return Codec(path)
+
+
+class _Numbers(dict):
+    """Numbers of words; a new word gets the next one."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class Lattice:
     """Nodes and pieces of distinct words, as they come: node ``base[w] + p`` is position p of word w.
 
@@ -83,7 +164,7 @@ class Lattice:
     """
 
     def __init__(self, codec: Codec, smoothing: float):
-        self.codec, self.smoothing, self.number = codec, smoothing, {}
+        self.codec, self.smoothing, self.number = codec, smoothing, _Numbers()
         self.room: dict[str, np.ndarray] = {}
         self.length = self.base = self.first = self.many = np.zeros(0, dtype=np.int64)
         self.start = self.piece = np.zeros(0, dtype=np.int32)
@@ -100,8 +181,8 @@ class Lattice:
 
     def words_of(self, text: str) -> np.ndarray:
         """Numbers of the words of a text; new words get the next ones, ``extend`` adds their nodes."""
-        number = self.number
-        return np.array([number.setdefault(w, len(number)) for w in _WORDS.findall(normalised(text))], dtype=np.int64)
+        words = _WORDS.findall(normalised(text))
+        return np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
 
     def extend(self) -> None:
         """Nodes and pieces of the words that have none yet."""
@@ -113,26 +194,26 @@ class Lattice:
         lengths = np.array([len(w) for w in words], dtype=np.int64)
         base = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
         line = "\x00".join(words) + "\x00"  # word w starts at base[w], position p ends at base[w] + p
-        found = np.fromiter(chain.from_iterable(codec.automaton.iter(line)), dtype=np.int64).reshape(-1, 2)
-        ends, piece = found[:, 0] + 1, found[:, 1]
-        start = ends - codec.lengths[piece]
-        weight = codec.scores[piece] * smoothing
         codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        found = codec.trie.find(codes)
         odd = np.flatnonzero(~codec.known[codes])
         odd = np.setdiff1d(odd, base + lengths, assume_unique=True)  # without the ends of words
         if len(odd):
-            ends, start = np.concatenate([ends, odd + 1]), np.concatenate([start, odd])
-            piece = np.concatenate([piece, -1 - codes[odd].astype(np.int64)])
-            weight = np.concatenate([weight, np.full(len(odd), codec.unknown * smoothing)])
-        word = np.searchsorted(base, ends, side="right") - 1
-        order = np.lexsort((start, ends))
-        ends, start, piece, weight, word = ends[order], start[order], piece[order], weight[order], word[order]
+            one, piece = found[0] if found else (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32))
+            found[:1] = [(np.concatenate([one, odd]), np.concatenate([piece, -1 - codes[odd].astype(np.int32)]))]
+        # By end, longer pieces first.
+        ends = np.concatenate([start + size for size, (start, _) in reversed([*enumerate(found, 1)])])
+        start, piece = (np.concatenate([x[i] for x in reversed(found)]) for i in (0, 1))
+        order = np.argsort(ends, kind="stable")
+        ends, start, piece = ends[order], start[order], piece[order]
+        weight = np.where(piece < 0, codec.unknown, codec.scores[np.maximum(piece, 0)]) * smoothing
+        word = np.repeat(np.arange(len(words)), lengths + 1)[start]
         size = len(line)
         total = np.full(size, -np.inf)
         total[base] = 0.0
         # Forward sums, one position of all words at a time.
         position = ends - base[word]
-        by_position = np.argsort(position, kind="stable")
+        by_position = np.argsort(position.astype(np.uint16) if position.max() < 1 << 16 else position, kind="stable")
         cuts = np.flatnonzero(np.diff(position[by_position])) + 1
         for arcs in np.split(by_position, cuts):
             value = total[start[arcs]] + weight[arcs]
@@ -182,7 +263,7 @@ class Sampler:
     """``samples`` distinct segmentations of each text of a batch, with scores."""
 
     def __init__(self, path: str, samples: int = SAMPLES, smoothing: float = SMOOTHING, seed: int = 42):
-        self.codec, self.samples, self.smoothing, self.seed = Codec(path), samples, smoothing, seed
+        self.codec, self.samples, self.smoothing, self.seed = codec_of(path), samples, smoothing, seed
         self.lattice = Lattice(self.codec, smoothing)
 
     def _draw(self, lattice: Lattice, word: np.ndarray, key: np.ndarray, local: np.ndarray, position: np.ndarray, step: np.ndarray, draw: int) -> tuple[np.ndarray, np.ndarray]:
@@ -209,35 +290,48 @@ class Sampler:
             out[offset[who] + k] = arc
         return out, count
 
-    def _sets(self, lattice: Lattice, path: _Path, word: np.ndarray, key: np.uint64, draw: int) -> list[tuple]:
-        """The best sets that the rest of a path's set falls into, (value, decision, excluded pieces)."""
-        at = path.fixed
-        path.log_p = float(lattice.log_p[path.arcs].sum())
-        log_p = lattice.log_p[path.arcs[: at + NEAR]]
-        before = np.concatenate([[0.0], np.cumsum(log_p)])
-        if at >= len(path.arcs):
+    def _sets(self, lattice: Lattice, paths: list[_Path], words: list[np.ndarray], keys: list[np.uint64], draw: int) -> list[list[tuple]]:
+        """For each path the best sets that the rest of its set falls into, (value, decision, excluded pieces)."""
+        if not paths:
             return []
-        # Sets that leave the path late have hardly any mass; they stay together until they matter.
-        far = int(np.searchsorted(-before[at:], FAR_MASS - before[at], side="left")) + at
-        far = min(far, len(log_p))
-        mass = self._left(log_p[at:far]) + before[at:far]
-        excluded = ()
-        if path.without:
-            # The first free decision has lost more pieces than the one taken.
-            excluded = (*path.without, int(path.arcs[at]))
-            node = self._node(lattice, path, word, at)
-            left = [i for i in range(lattice.first[node], lattice.first[node] + lattice.many[node]) if i not in excluded]
-            mass[0] = before[at] + (np.logaddexp.reduce(lattice.log_p[left]) if left else -np.inf)
-        n = len(mass)
-        value = self._truncated(mass, path.value, key, at, draw)
-        best = np.argpartition(-value, self.samples)[: self.samples + 1] if n > self.samples + 1 else np.arange(n)
-        sets = [(float(value[i]), at + int(i), excluded if i == 0 and excluded else (int(path.arcs[at + i]),)) for i in best if value[i] > -np.inf]
-        if far < len(path.arcs):
-            rest = float(lattice.log_p[path.arcs[far:]].sum())
-            late = self._truncated(before[far : far + 1] + self._left(np.array([rest])), path.value, key, 1 << 43, draw)[0]
-            if late > -np.inf:
-                sets.append((float(late), far, None))
-        return sets
+        log_p = np.split(lattice.log_p[np.concatenate([p.arcs for p in paths])], np.cumsum([len(p.arcs) for p in paths])[:-1])
+        taken, before, late = [], [], []
+        for path, own in zip(paths, log_p, strict=True):
+            path.log_p, at = float(own.sum()), path.fixed
+            # Sets that leave the path late have hardly any mass; they stay together until they matter.
+            sums = np.zeros(min(at + NEAR, len(own)) + 1)
+            np.cumsum(own[: len(sums) - 1], out=sums[1:])
+            far = at
+            if at < len(own):
+                far = min(int(np.searchsorted(-sums[at:], FAR_MASS - sums[at], side="left")) + at, len(sums) - 1)
+            late.append(far < len(own))
+            taken += [own[at:far], np.array([own[far:].sum()] if late[-1] else [])]
+            before.append(sums[at : far + late[-1]])
+        mass = self._left(np.concatenate(taken)) + np.concatenate(before)
+        sizes = np.array([len(x) for x in before], dtype=np.int64)
+        ends = np.cumsum(sizes)
+        fixed = np.array([p.fixed for p in paths], dtype=np.int64)
+        counter = np.arange(len(mass)) + np.repeat(fixed - ends + sizes, sizes)
+        counter[ends[late] - 1] = 1 << 43
+        lost = {}
+        for i, path in enumerate(paths):
+            if path.without and path.fixed < len(path.arcs):
+                # The first free decision has lost more pieces than the one taken.
+                lost[i] = (*path.without, int(path.arcs[path.fixed]))
+                node = self._node(lattice, path, words[i], path.fixed)
+                left = [k for k in range(lattice.first[node], lattice.first[node] + lattice.many[node]) if k not in lost[i]]
+                mass[ends[i] - sizes[i]] = before[i][0] + (np.logaddexp.reduce(lattice.log_p[left]) if left else -np.inf)
+        values = self._truncated(mass, np.repeat([p.value for p in paths], sizes), np.repeat(np.array(keys, dtype=np.uint64), sizes), counter, draw)
+        found = []
+        for i, (path, end) in enumerate(zip(paths, ends, strict=True)):
+            value, at = values[end - sizes[i] : end], path.fixed
+            n = len(value) - late[i]
+            best = np.argpartition(-value[:n], self.samples)[: self.samples + 1] if n > self.samples + 1 else np.arange(n)
+            sets = [(float(value[k]), at + k, lost[i] if k == 0 and i in lost else (int(path.arcs[at + k]),)) for k in best.tolist() if value[k] > -np.inf]
+            if late[i] and value[n] > -np.inf:
+                sets.append((float(value[n]), at + n, None))
+            found.append(sets)
+        return found
 
     @staticmethod
     def _left(log_p: np.ndarray) -> np.ndarray:
@@ -246,10 +340,9 @@ class Sampler:
             return np.log(-np.expm1(np.minimum(log_p, 0.0)))
 
     @staticmethod
-    def _truncated(mass: np.ndarray, limit: float, key: np.uint64, at: int, draw: int) -> np.ndarray:
-        """Gumbel values at the masses, truncated at the limit."""
-        n = len(mass)
-        u = uniform(np.full(n, key), np.arange(at, at + n), np.full(n, 1 << 40), draw)
+    def _truncated(mass: np.ndarray, limit: np.ndarray, key: np.ndarray, counter: np.ndarray, draw: int) -> np.ndarray:
+        """Gumbel values at the masses, truncated at the limits."""
+        u = uniform(key, counter, np.full(len(mass), 1 << 40), draw)
         value = -np.logaddexp(-limit, -(mass - np.log(-np.log(u))))
         value[np.isneginf(mass)] = -np.inf
         return value
@@ -299,7 +392,8 @@ class Sampler:
             lo, hi = (ends[a - 1] if a else 0), (ends[b - 1] if b else 0)
             path = _Path(arcs[lo:hi], counts[a:b], float(root[d]), 0, ())
             paths.append([path])
-            queues.append([(*s, 0) for s in self._sets(lattice, path, words[d], key[d], 0)])
+        for sets in self._sets(lattice, [p[0] for p in paths], words, list(key), 0):
+            queues.append([(*s, 0) for s in sets])
         for draw in range(1, self.samples):
             # The best set of every document: what is free after its decision is drawn for all at once.
             jobs = []
@@ -335,14 +429,25 @@ class Sampler:
                 taken = decision - parent.offsets[o] + 1
                 path = _Path(np.concatenate([parent.arcs[:decision], [arc], arcs[lo:hi]]), np.concatenate([parent.counts[:o], [counts[a] + taken], counts[a + 1 : a + size]]), value, decision, excluded)
                 paths[d].append(path)
-                queues[d] += [(*s, len(paths[d]) - 1) for s in self._sets(lattice, path, words[d], key[d], draw)]
-        return [[self._row(lattice, p, queue) for p in found] for found, queue in zip(paths, queues, strict=True)]
+            drawn = [j[0] for j in jobs]
+            for d, sets in zip(drawn, self._sets(lattice, [paths[d][-1] for d in drawn], [words[d] for d in drawn], [key[d] for d in drawn], draw), strict=True):
+                queues[d] += [(*s, len(paths[d]) - 1) for s in sets]
+        pieces = iter(self._pieces(lattice, [p for found in paths for p in found]))
+        return [[self._row(p, next(pieces), queue) for p in found] for found, queue in zip(paths, queues, strict=True)]
 
-    def _row(self, lattice: Lattice, path: _Path, queue: list[tuple]) -> dict:
+    @staticmethod
+    def _pieces(lattice: Lattice, paths: list[_Path]) -> list[np.ndarray]:
+        """The pieces of each path from left to right."""
+        if not paths:
+            return []
         # Decisions run from the end of each word: reading order turns every word around.
-        offsets = path.offsets
-        last = np.repeat(offsets[1:] - 1 + offsets[:-1], path.counts)
-        piece = lattice.piece[path.arcs[last - np.arange(len(path.arcs))]]
+        counts = np.concatenate([p.counts for p in paths])
+        ends = np.cumsum(counts)
+        arcs = np.concatenate([p.arcs for p in paths])
+        last = np.repeat(2 * ends - 1 - counts, counts)
+        return np.split(lattice.piece[arcs[last - np.arange(len(arcs))]], np.cumsum([len(p.arcs) for p in paths])[:-1])
+
+    def _row(self, path: _Path, piece: np.ndarray, queue: list[tuple]) -> dict:
         odd = np.flatnonzero(piece < 0)
         ids = self.codec.ids[np.maximum(piece, 0)]
         if len(odd):
@@ -379,7 +484,7 @@ def sample_segmentations(docs: DataFrame, model: str, samples: int = SAMPLES, sm
             return pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), ids, pa.array(np.diff(offsets)),
                  *(pa.array([r[2][c] for r in rows], pa.float64()) for c in ("log_prob", "perturbed", "inclusion")),
-                 pa.array([decode(s["ids"].tolist()) == t for _, _, s, t in rows])],
+                 pa.array([decode(s["ids"]) == t for _, _, s, t in rows])],
                 names=["doc_id", "sample", "ids", "n_pieces", "log_prob", "perturbed", "inclusion", "round_trip"])
 
         return step
@@ -398,7 +503,7 @@ def decode_ids(rows: DataFrame, model: str, ids_col: str = "ids") -> DataFrame:
     fields = T.StructType([*[rows.schema.fields[i] for i in rest], T.StructField("decoded", T.StringType())])
 
     def start():
-        codec = Codec(model)
+        codec = codec_of(model)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = [None if ids is None else codec.decode(ids) for ids in batch.column(at).to_pylist()]

@@ -54,6 +54,25 @@ def test_words_solved_alone_are_the_whole_text(unigram):
         assert whole[:2] == count(text)[:2]
 
 
+def test_pieces_are_found_at_all_places_at_once():
+    names = ["a", "b", "ab", "abab", "ba", "日", "日本日", "\U0010fffd", "bab日"]
+    trie = sampling.Trie(names)
+    rnd = random.Random(4)
+    for text in ["", "x", "\x00", *("".join(rnd.choices("aab日本x\U0010fffd", k=rnd.randint(1, 40))) for _ in range(200))]:
+        found = trie.find(np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32))
+        got = {(int(at), names[i]) for starts, pieces in found for at, i in zip(starts, pieces, strict=True)}
+        assert got == {(at, p) for at in range(len(text)) for p in names if text.startswith(p, at)}
+        assert all(len(names[i]) == size for size, (_, pieces) in enumerate(found, 1) for i in pieces)
+    whole = sampling.codec_of(PIECES)
+    assert sampling.codec_of(PIECES) is whole  # once a worker, not once a task
+    pieces = list(tokens.vocabulary(PIECES))
+    line = "\x00".join(pieces)
+    found = whole.trie.find(np.frombuffer(line.encode("utf-32-le"), dtype=np.uint32))
+    starts = np.cumsum([0, *(len(p) + 1 for p in pieces[:-1])])
+    held = {(int(at), int(i)) for at_all, of in found for at, i in zip(at_all, of, strict=True)}
+    assert held.issuperset(zip(starts.tolist(), range(len(pieces)), strict=True))
+
+
 def segmentations(word, pieces, codec, smoothing):
     if not word:
         return [((), 0.0)]
