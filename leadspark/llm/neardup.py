@@ -169,15 +169,15 @@ def near_copies(docs: DataFrame) -> DataFrame:
     members = stored(keyed.join(bands, "key").select("key", "least", "set_id", "n"), "band-members")
 
     of_print = stored(prints.where("n > 0").groupBy("fp").agg(F.min("set_id").alias("first")), "first-set-of-fingerprint")
-    near = fingerprint_links(of_print.select("fp")).toDF("a", "b").join(of_print.toDF("a", "first_a"), "a").join(of_print.toDF("b", "first_b"), "b")
+    # Many buckets give the same link.
+    near = fingerprint_links(of_print.select("fp")).distinct().toDF("a", "b").join(of_print.toDF("a", "first_a"), "a").join(of_print.toDF("b", "first_b"), "b")
     same = prints.where("n > 0").select("fp", "set_id").distinct().join(of_print, "fp")
     pairs = members.select("least", "set_id").unionAll(near.select("first_a", "first_b")).unionAll(same.select("first", "set_id")).toDF("x", "y").where("x <> y")
     pairs = stored(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "shingle-pairs")
 
     wanted = pairs.select(F.col("a").alias("set_id")).unionAll(pairs.select("b")).distinct()
     held = stored(_sets_of(docs, sets.select("set_id", "text_hash").join(wanted, "set_id")), "held-sets")
-    links = _verified(pairs, held, "shingle-links")
-    roots = connected_components(links)
+    roots = stored(connected_components(_verified(pairs, held, "shingle-links")), "first-roots")
     placed = stored(members.join(roots, F.col("set_id") == F.col("node"), "left").select("key", "set_id", "n", F.coalesce("root", "set_id").alias("root")), "placed-members")
     parts = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size")).groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("size", "root")).alias("top"))
     mixed = parts.where("parts > 1").select("key", F.col("top.root").alias("main"))
@@ -186,7 +186,9 @@ def near_copies(docs: DataFrame) -> DataFrame:
     more = outside.join(around.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.root") != F.col("y.root")) & (
         (F.col("y.root") == F.col("y.main")) | (F.col("x.set_id") < F.col("y.set_id"))) & may_be_alike("x", "y"))
     more = more.select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    roots = connected_components(links.unionAll(_verified(more, held, "more-shingle-links")))
+    # What the first links connect is a star around each root by now: an edge a set, however many links it had.
+    stars = roots.where("node <> root").toDF("a", "b")
+    roots = connected_components(stars.unionAll(_verified(more, held, "more-shingle-links")))
     return prints.join(roots, F.col("set_id") == F.col("node"), "left").select("doc_id", "text_hash", F.coalesce("root", "set_id").alias("group_id"))
 
 

@@ -403,6 +403,32 @@ def test_chains_through_a_band(spark):
     assert sorted(map(sorted, groups.values())) == sorted([i for i in range(60) if label[i] == r] for r in set(label))
 
 
+def test_second_closure_takes_an_edge_a_set(spark, monkeypatch):
+    """Links that the first closure has used are stars afterwards: their number no longer counts."""
+    rnd = random.Random(6)
+    base, rows = [f"w{rnd.randrange(9000)}" for _ in range(300)], []
+    for i in range(150):
+        words = list(base)
+        for at in rnd.sample(range(300), 3):
+            words[at] = f"n{i}"
+        rows.append((i, " ".join(words)))
+    seen, closure = [], components.connected_components
+
+    def counted(edges, *args):
+        seen.append(edges.count())
+        return closure(edges, *args)
+
+    monkeypatch.setattr(neardup, "connected_components", counted)
+    found = neardup.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    sets = [shingles(t) for _, t in rows]
+    groups = {}
+    for r in found:
+        groups.setdefault(r.group_id, set()).add(r.doc_id)
+    label = brute_groups(sets)
+    assert sorted(map(sorted, groups.values())) == sorted([i for i in range(150) if label[i] == r] for r in set(label))
+    assert len(seen) == 2 and seen[0] > 200 and seen[1] < 150
+
+
 def test_near_copies_of_messy_rows(spark, messy):
     kept = neardup.keep_one_of_each(messy)
     assert kept.columns == messy.columns
