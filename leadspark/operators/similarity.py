@@ -21,7 +21,10 @@ done on *distinct* sorted-token strings ("nodes"):
 Short names of few lengths need no grams: two of them match exactly if they share a subsequence of the length that
 the threshold asks for, and after their common beginning is taken off there are few of these (``common_keys``).
 
-Grams, signatures and the final bit-vector LCS are expressions: no Python worker takes part.
+Names of at most 64 characters whose grams are so common that blocks would meet more pairs than there are (whole titles at a
+low threshold) are compared block against block instead: each pair once, a name against a whole block at a time (``_cell_pairs``).
+
+Grams, signatures and the final bit-vector LCS are expressions; only these blocks are compared in Python workers.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ import math
 import os
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +49,8 @@ EPS = 1e-9
 KEYS_PER_NODE, MOST_KEYS = 64, 1024
 #: Pairs of lengths that the expression of the subsequences may tell apart.
 KEY_CASES = 100
+#: Names of a block that is compared as a whole, and the longest of them (bits of a word).
+CELL_ROWS, CELL_CHARS = 4000, 64
 #: Beginning of the keys for partners of another length.
 _OTHER = "x"
 
@@ -325,6 +332,110 @@ def _candidates(short: DataFrame, long: DataFrame, threshold: float, route, on:
     )
 
 
+# ---------------------------------------------------------------- blocks of whole names
+
+
+def _cells_of(sides: list[DataFrame], threshold: float) -> list[int] | None:
+    """Blocks of each side if comparing all pairs is less work than the pairs that meet at shared grams; None if not.
+
+    A node posts the rarest grams, as large a share of them as the threshold leaves. The driver sees counts of buckets.
+    """
+    sizes = [df.agg(F.count(F.lit(1)), F.coalesce(F.max(F.length("s")), F.lit(0))).first() for df in sides]
+    if max(longest for _, longest in sizes) > CELL_CHARS or not all(n for n, _ in sizes):
+        return None
+    size = 2 if gram_floor_length(threshold) is not None else 1
+    share = 1 - max(0.0, _shared_floor(2, threshold, size) if size == 1 else 3 * threshold / 100.0 - 2)
+    counts = [_histogram(df.select(F.explode(F.transform(gram_codes("s", size), _bucket)).alias("bucket")), GRAM_BUCKETS) for df in sides]
+    posted, met, upto = 0, 0, share * sum(map(sum, counts))
+    for held in sorted(zip(counts[0], counts[-1], strict=True), key=sum):
+        posted += held[0] + (held[1] if len(sides) > 1 else held[0])
+        if posted > upto * (1 if len(sides) > 1 else 2):
+            break
+        met += held[0] * held[1]
+    return [-(-n // CELL_ROWS) for n, _ in sizes] if met >= sizes[0][0] * sizes[-1][0] else None
+
+
+def block_lcs(a: list[str], b: list[str], threshold: float, ahead: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place in a, place in b, score) of the pairs of two blocks that reach the threshold; with ``ahead``, later places of ``b`` only.
+
+    Texts have at most CELL_CHARS characters. Letter counts bound the common subsequence; it is computed for one
+    text against all left of the block, a character a step.
+    """
+    lengths = np.array([len(t) for t in b], dtype=np.int64)
+    points = np.frombuffer("".join(b).encode("utf-32-le"), dtype=np.uint32)
+    letters, code = np.unique(points, return_inverse=True)
+    kind = np.uint8 if len(letters) < 255 else np.uint32
+    rows = np.repeat(np.arange(len(b)), lengths)
+    columns = np.arange(len(points)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    table = np.zeros((int(lengths.max(initial=0)), len(b)), dtype=kind)  # 0 stands behind the end of a text
+    table[columns, rows] = code + 1
+    held = np.zeros((len(letters), len(b)), dtype=np.uint8)
+    np.add.at(held, (code, rows), 1)
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for i, text in enumerate(a):
+        own = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+        at = np.searchsorted(letters, own)
+        known = np.flatnonzero((at < len(letters)) & (letters[np.minimum(at, len(letters) - 1)] == own) if len(letters) else np.zeros(len(own), dtype=bool))
+        places = np.zeros(len(letters) + 1, dtype=np.uint64)
+        np.bitwise_or.at(places, at[known] + 1, np.uint64(1) << known.astype(np.uint64))
+        kinds, many = np.unique(at[known], return_counts=True)
+        common = np.minimum(held[kinds], many.astype(np.uint8)[:, None]).sum(axis=0, dtype=np.uint8)
+        may = 200 * common.astype(np.int64) >= threshold * (lengths + len(text))
+        if ahead:
+            may[: i + 1] = False
+        may = np.flatnonzero(may)
+        if not len(may):
+            continue
+        state = np.full(len(may), 2**64 - 1, dtype=np.uint64)
+        both, more = np.empty_like(state), np.empty_like(state)
+        for line in table[: int(lengths[may].max())].take(may, axis=1):
+            np.take(places, line, out=both, mode="clip")
+            np.bitwise_and(state, both, out=both)
+            np.add(state, both, out=more)
+            np.subtract(state, both, out=both)
+            np.bitwise_or(more, both, out=state)
+        lcs, total = np.bitwise_count(~state).astype(np.int64), lengths[may] + len(text)
+        good = 200 * lcs >= threshold * total
+        may, lcs, total = may[good], lcs[good], total[good]
+        found.append((np.full(len(may), i), may, np.where(total == 0, 100.0, 200.0 * lcs / np.maximum(total, 1))))
+    if not found:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _cell_pairs(sides: list[DataFrame], threshold: float, blocks: list[int]) -> DataFrame:
+    """All pairs that reach the threshold, from pairs of blocks; each pair of blocks is a group of its own."""
+    self_join = len(sides) == 1
+
+    def dealt(df: DataFrame, own: str, other: str, side: int) -> DataFrame:
+        last = F.lit(blocks[-1 - side] - 1)
+        block = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(blocks[side if len(sides) > 1 else 0])).cast("int")
+        df = df.select("id", "s", block.alias(own), F.lit(side).alias("side"))
+        partners = F.sequence(F.lit(0), last) if not self_join else F.sequence(own, last) if side == 0 else F.sequence(F.lit(0), own)
+        return df.select("id", "s", "side", own, F.explode(partners).alias(other)).select("id", "s", "side", "i", "j")
+
+    if self_join:
+        blocks = blocks * 2
+        groups = blocks[0] * (blocks[0] + 1) // 2
+    else:
+        groups = blocks[0] * blocks[1]
+    kind = sides[0].schema["id"].dataType.simpleString()
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.sort_by("id")
+        side = table.column("side").to_numpy()
+        a, b = (table.take(pa.array(np.flatnonzero(side == k))) for k in (0, 1))
+        same = self_join and len(table) and table.column("i")[0] == table.column("j")[0]
+        i, j, score = block_lcs(a.column("s").to_pylist(), b.column("s").to_pylist(), threshold, same)
+        return pa.table({"id_a": a.column("id").take(pa.array(i)), "id_b": b.column("id").take(pa.array(j)), "score": pa.array(score)})
+
+    rows = dealt(sides[0], "i", "j", 0).unionByName(dealt(sides[-1], "j", "i", 1))
+    # Comparing costs CPU, not bytes: a fixed number of partitions is not merged.
+    found = rows.repartition(min(groups, 1000), "i", "j").groupBy("i", "j").applyInArrow(compare, f"id_a {kind}, id_b {kind}, score double")
+    # A checkpoint runs the last stage twice; behind an exchange the blocks are compared once.
+    return found.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def candidate_pairs(left: DataFrame, right: DataFrame | None, threshold: float, on: list[str] | None = None,
                     block_rows: int = 20_000) -> DataFrame:
     """Distinct node pairs left after all filters: what the LCS is computed for."""
@@ -392,6 +503,10 @@ def similar_pairs(left: DataFrame, right: DataFrame | None = None, threshold: fl
     keys = common_keys(sides, threshold)
     if keys is not None and not scored:
         return _keyed_pairs(sides, keys, on or [], False)
+    blocks = None if keys is not None or on else _cells_of(sides, threshold)
+    if blocks is not None:
+        found = _cell_pairs(sides, threshold, blocks)
+        return found if scored else found.select("id_a", "id_b")
     total = F.length("s_a") + F.length("s_b")
     lcs = lcs_length("s_a", "s_b")
     if not scored:

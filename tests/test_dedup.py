@@ -411,3 +411,33 @@ def test_best_matches_stop_at_the_threshold_that_gives_enough(spark, monkeypatch
     assert asked and min(asked) > 90
     few = leads(spark, [("Uno", "a"), ("Uno", "b"), ("Unos", "a"), ("Cerro", "a")])
     assert [tuple(r) for r in dedup.top_matches(few, 20).collect()] == [tuple(r) for r in dedup.find_fuzzy_matches(few).collect()]
+
+
+def test_blocks_of_whole_names_find_every_pair(spark, monkeypatch):
+    """Titles whose grams are common: blocks against all pairs by plain Python, one and two sides, and the cost they are chosen by."""
+    def lcs(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            before = 0
+            for j, y in enumerate(b, 1):
+                before, row[j] = row[j], before + 1 if x == y else max(row[j], row[j - 1])
+        return row[-1]
+
+    rnd = random.Random(12)
+    parts = ["the", "er", "ing", "tion", "nd", "é日", "🙂a"]
+    texts = sorted({"".join(rnd.choice(parts) for _ in range(rnd.randint(0, 18)))[:64] for _ in range(140)} | {""})
+    monkeypatch.setattr(similarity, "CELL_ROWS", 17)
+    nodes = spark.createDataFrame(list(enumerate(texts)), "id long, s string")
+    left, right = nodes.filter("id % 3 = 0"), nodes.filter("id % 3 > 0").unionByName(spark.createDataFrame([(1000, "")], "id long, s string"))
+    for threshold in (75, 60.5):
+        assert similarity._cells_of([nodes], threshold) == [-(-len(texts) // 17)]
+        score = {(i, j): 100.0 if not a + b else 200.0 * lcs(a, b) / len(a + b) for i, a in enumerate(texts) for j, b in enumerate(texts)}
+        want = {k: v for k, v in score.items() if k[0] < k[1] and v >= threshold}
+        found = similarity.similar_pairs(nodes, threshold=threshold).collect()
+        assert len(found) == len(want) > 5 and {(min(r[:2]), max(r[:2])): r.score for r in found} == want
+        want = {k: v for k, v in score.items() if k[0] % 3 == 0 and k[1] % 3 and v >= threshold} | {(0, 1000): 100.0}
+        found = similarity.similar_pairs(left, right, threshold, scored=False).collect()
+        assert sorted(tuple(r) for r in found) == sorted(want)
+    assert similarity._cells_of([spark.createDataFrame([(1, "a" * 65), (2, "a" * 64)], "id long, s string")], 75) is None
+    rare = spark.createDataFrame([(i, "".join(chr(0x4E00 + rnd.randrange(9000)) for _ in range(20))) for i in range(300)], "id long, s string")
+    assert similarity._cells_of([rare], 75) is None  # few pairs meet: gram blocks
