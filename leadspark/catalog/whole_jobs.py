@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import replies
 from ..functions.extract import ALL_FAILED_ERROR, NO_PAGE_ERROR
 from ..operators import dedup, discover, enrich
+from ..operators.grouping import shuffled
 from ..plans import jobs
 from ..schemas import METADATA_FIELDS, VERTICALS, Field
 from ..sources import jsonl, lead_csv, ledger, lots
@@ -106,7 +107,7 @@ def q3_whole(t):
     book = ledger.Ledger(t.spark, f"{root}/ledger")
     saved = lots.save_lots(book, typed_leads(t), f"{root}/lots")
     book.update_lot(saved["embajadas"], "subido", datetime(2100, 1, 1))
-    orders = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    orders = t.orders.join(shuffled(t.customer), F.col("o_custkey") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     none = F.lit(None).cast("long")
     book.append_frame("runs", orders.select(
         F.col("o_orderkey").cast("string").alias("run_id"), F.expr(V.VERTICAL_OF_NATION).alias("vertical"), F.lit("inicio").alias("tipo"),

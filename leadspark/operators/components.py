@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .grouping import shuffled
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -26,11 +27,11 @@ def connected_components(links: DataFrame) -> DataFrame:
         least = ways.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("lowest")).select(
             "node", F.least("node", "lowest").alias("lowest"))
         # Larger neighbours hang below the least neighbour of a node, and so does the node itself.
-        hung = ways.join(least, F.col("hi") == F.col("node")).select(
+        hung = ways.join(shuffled(least), F.col("hi") == F.col("node")).select(
             F.greatest("lo", "node").alias("a"), F.col("lowest").alias("b"))
         down = _downward(hung)
         lowest = down.groupBy("hi").agg(F.min("lo").alias("lowest"))
-        links = cut_lineage(_downward(down.join(lowest, "hi").select(F.explode(F.array(
+        links = cut_lineage(_downward(down.join(shuffled(lowest), "hi").select(F.explode(F.array(
             F.struct(F.col("hi").alias("a"), F.col("lowest").alias("b")),
             F.struct(F.col("lo").alias("a"), F.col("lowest").alias("b")))).alias("e")).select("e.*")))
     return links.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(

@@ -16,7 +16,7 @@ from pyspark.sql.window import Window as W
 from ..functions.text import dedup_key, normalize_name, same_district, sort_tokens, squash_name
 from ..session import cut_lineage
 from .components import connected_components
-from .grouping import first_per_group, first_row_of_key, null_safe_join, sorted_positions
+from .grouping import first_per_group, first_row_of_key, null_safe_join, shuffled, sorted_positions
 from .similarity import similar_pairs
 
 DEFAULT_THRESHOLD = 85
@@ -74,7 +74,7 @@ def duplicate_groups(df: DataFrame) -> DataFrame:
 def exact_new(new: DataFrame, production: DataFrame) -> DataFrame:
     """Rows whose normalised name and district are not in production."""
     keys = production.select(dedup_key().alias("__dk")).distinct()
-    return new.withColumn("__dk", dedup_key()).join(keys, "__dk", "left_anti").drop("__dk")
+    return new.withColumn("__dk", dedup_key()).join(shuffled(keys), "__dk", "left_anti").drop("__dk")
 
 
 # ---------------------------------------------------------------- similarity
@@ -104,14 +104,14 @@ def name_pairs(df: DataFrame, order_col: str = "ord", threshold: float = DEFAULT
     edges = cut_lineage(similar_pairs(names.select(F.col("first").alias("id"), F.col("__s").alias("s")), threshold=threshold))
     a = names.select(F.col("first").alias("id_a"), F.col("n").alias("n_a"), F.col("__s").alias("s_a"))
     b = names.select(F.col("first").alias("id_b"), F.col("n").alias("n_b"), F.col("__s").alias("s_b"))
-    pairs = edges.join(a, "id_a").join(b, "id_b")
+    pairs = edges.join(shuffled(a), "id_a").join(shuffled(b), "id_b")
     ga = groups.filter("__d <> ''").select(F.col("__s").alias("s_a"), "__d", F.col("n").alias("m_a"))
     gb = groups.filter("__d <> ''").select(F.col("__s").alias("s_b"), "__d", F.col("n").alias("m_b"))
     shared = (
-        pairs.select("s_a", "s_b").join(ga, "s_a").join(gb, ["s_b", "__d"])
+        pairs.select("s_a", "s_b").join(shuffled(ga), "s_a").join(shuffled(gb), ["s_b", "__d"])
         .groupBy("s_a", "s_b").agg(F.sum(F.col("m_a") * F.col("m_b")).alias("same"))
     )
-    two_names = pairs.join(shared, ["s_a", "s_b"], "left").select(
+    two_names = pairs.join(shuffled(shared), ["s_a", "s_b"], "left").select(
         F.least("id_a", "id_b").alias("first_a"), F.greatest("id_a", "id_b").alias("first_b"), "score",
         (F.col("n_a") * F.col("n_b")).alias("pairs"), F.coalesce("same", F.lit(0)).cast("long").alias("pairs_same_district"),
     )
@@ -159,7 +159,7 @@ def find_fuzzy_matches(df: DataFrame, order_col: str = "ord", threshold: float =
     The output is as large as the number of pairs; ``name_pairs`` says the same in
     one line per pair of names and ``top_matches`` lists the best k.
     """
-    members = _members(df, order_col)
+    members = shuffled(_members(df, order_col))
     pairs = _named(name_pairs(df, order_col, threshold), members)
     return _pair_rows(pairs, members).orderBy(F.desc("score"), "ord_a", "ord_b")
 
@@ -192,7 +192,7 @@ def top_matches(df: DataFrame, k: int = 20, order_col: str = "ord", threshold: f
         best = copies
         if least < 100 or threshold >= 100:
             like = similar_pairs(names.select(F.col("first").alias("id"), F.col("__s").alias("s")), threshold=least)
-            held = [names.select(F.col("first").alias(f"id_{side}"), F.col("n").alias(f"n_{side}")) for side in "ab"]
+            held = [shuffled(names.select(F.col("first").alias(f"id_{side}"), F.col("n").alias(f"n_{side}"))) for side in "ab"]
             best = best.unionByName(like.join(held[0], "id_a").join(held[1], "id_b").select(
                 F.least("id_a", "id_b").alias("first_a"), F.greatest("id_a", "id_b").alias("first_b"), "score",
                 (F.col("n_a") * F.col("n_b")).cast("double").alias("pairs")))
@@ -221,7 +221,7 @@ def _names(nodes: DataFrame, by: list[str]) -> DataFrame:
 def _held(nodes: DataFrame, names: DataFrame, by: list[str]) -> DataFrame:
     """Nodes as (name, id, d): the id of their name, their own id and their district."""
     of = names.select(*by, F.col("s").alias("__s"), F.col("id").alias("name"))
-    return null_safe_join(nodes, of, [*by, "__s"]).select("name", "id", F.col("__d").alias("d"))
+    return null_safe_join(nodes, shuffled(of), [*by, "__s"]).select("name", "id", F.col("__d").alias("d"))
 
 
 def _compatible(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
@@ -229,7 +229,7 @@ def _compatible(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFram
 
     An unknown district is compatible with all.
     """
-    left, right = (df.select(*[F.col(c).alias(f"{c}_{side}") for c in ("name", "id", "d")]) for df, side in ((left, "a"), (right, "b")))
+    left, right = (shuffled(df.select(*[F.col(c).alias(f"{c}_{side}") for c in ("name", "id", "d")])) for df, side in ((left, "a"), (right, "b")))
     both = cut_lineage(pairs.select(F.col("a").alias("name_a"), F.col("b").alias("name_b")).join(left, "name_a"))
     same = both.filter("d_a <> ''").withColumn("d_b", F.col("d_a")).join(right, ["name_b", "d_b"])
     either = both.filter("d_a = ''").join(right, "name_b")
@@ -247,7 +247,7 @@ def _fold_survivors(rows: DataFrame, edges: DataFrame) -> DataFrame:
     ``rows`` are (root, id), ``edges`` (lo, hi): a row goes if a kept one below it is linked to it.
     """
     below = edges.groupBy(F.col("hi").alias("id")).agg(F.collect_list(F.col("lo").cast("long")).alias("below"))
-    scans = rows.join(below, "id", "left").groupBy("root").agg(F.sort_array(F.collect_list(F.struct(F.col("id").cast("long").alias("id"), "below"))).alias("scan"))
+    scans = rows.join(shuffled(below), "id", "left").groupBy("root").agg(F.sort_array(F.collect_list(F.struct(F.col("id").cast("long").alias("id"), "below"))).alias("scan"))
     none = F.array().cast("array<bigint>")
 
     def step(kept, row):
@@ -259,13 +259,13 @@ def _fold_survivors(rows: DataFrame, edges: DataFrame) -> DataFrame:
 def _folded(rows: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
     """(ids kept in the groups that one fold can settle, rows and edges of the other groups)."""
     weights = edges.groupBy(F.col("hi").alias("id")).agg(F.count(F.lit(1)).alias("links"))
-    sizes = rows.join(weights, "id", "left").groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("links").alias("links"))
+    sizes = rows.join(shuffled(weights), "id", "left").groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("links").alias("links"))
     large = cut_lineage(sizes.filter((F.col("n") > FOLD_ROWS) | (F.col("links") > FOLD_LINKS)).select("root"))
     if large.isEmpty():
         return _fold_survivors(rows, edges), None, None
     big = cut_lineage(rows.join(large, "root", "left_semi").select("id"))
-    kept = _fold_survivors(rows.join(large, "root", "left_anti"), edges.join(big, F.col("hi") == F.col("id"), "left_anti"))
-    return kept, big, cut_lineage(edges.join(big, F.col("hi") == F.col("id"), "left_semi"))
+    kept = _fold_survivors(rows.join(large, "root", "left_anti"), edges.join(shuffled(big), F.col("hi") == F.col("id"), "left_anti"))
+    return kept, big, cut_lineage(edges.join(shuffled(big), F.col("hi") == F.col("id"), "left_semi"))
 
 
 def _settle(nodes: DataFrame, threshold: float, by: list[str]) -> DataFrame:
@@ -285,9 +285,9 @@ def _settle(nodes: DataFrame, threshold: float, by: list[str]) -> DataFrame:
     if rows is None:
         return kept
     roots = connected_components(edges.select(F.col("lo").alias("a"), F.col("hi").alias("b"))).withColumnRenamed("node", "id")
-    more, rows, edges = _folded(cut_lineage(rows.join(roots, "id", "left").select("id", F.coalesce("root", "id").alias("root"))), edges)
+    more, rows, edges = _folded(cut_lineage(rows.join(shuffled(roots), "id", "left").select("id", F.coalesce("root", "id").alias("root"))), edges)
     kept = kept.unionByName(more)
-    return kept if rows is None else kept.unionByName(rows.join(_greedy_removed(edges), "id", "left_anti"))
+    return kept if rows is None else kept.unionByName(rows.join(shuffled(_greedy_removed(edges)), "id", "left_anti"))
 
 
 def _struck(kept: DataFrame, rest: DataFrame, threshold: float, by: list[str]) -> DataFrame:
@@ -307,13 +307,13 @@ def _greedy_removed(edges: DataFrame) -> DataFrame:
     edges = cut_lineage(edges)
     removed = spark.createDataFrame([], edges.select(F.col("hi").alias("id")).schema)
     while not edges.isEmpty():
-        kept = edges.select("lo").distinct().join(edges.select(F.col("hi").alias("lo")).distinct(), "lo", "left_anti")
+        kept = shuffled(edges.select("lo").distinct().join(shuffled(edges.select(F.col("hi").alias("lo")).distinct()), "lo", "left_anti"))
         gone = cut_lineage(edges.join(kept, "lo", "left_semi").select("hi").distinct())
         removed = removed.unionByName(gone.withColumnRenamed("hi", "id"))
         edges = cut_lineage(
             edges.join(kept, "lo", "left_anti")
-            .join(gone, "hi", "left_anti")
-            .join(gone.withColumnRenamed("hi", "lo"), "lo", "left_anti")
+            .join(shuffled(gone), "hi", "left_anti")
+            .join(shuffled(gone.withColumnRenamed("hi", "lo")), "lo", "left_anti")
         )
     return removed
 
@@ -354,9 +354,9 @@ def fuzzy_survivors(nodes: DataFrame, threshold: float, by: list[str], first_bat
             break
         cut = _order_cut(undecided, size)
         batch, rest = undecided.filter(F.col("id") <= cut), undecided.filter(F.col("id") > cut)
-        kept = cut_lineage(batch.join(_settle(batch, threshold, by), "id", "left_semi"))
+        kept = cut_lineage(batch.join(shuffled(_settle(batch, threshold, by)), "id", "left_semi"))
         kept_all.append(kept.select("id"))
-        undecided = cut_lineage(rest.join(_struck(kept, rest, threshold, by), "id", "left_anti"))
+        undecided = cut_lineage(rest.join(shuffled(_struck(kept, rest, threshold, by)), "id", "left_anti"))
         left = undecided.count()
         size *= BATCH_GROWTH
     out = nodes.select("id").limit(0)
@@ -377,7 +377,7 @@ def dedup_fuzzy(df: DataFrame, order_col: str = "ord", threshold: float = DEFAUL
     keyed = with_name_keys(df)
     nodes = keyed.groupBy(*by, "__s", "__d").agg(F.min(order_col).alias("id"))
     survivors = fuzzy_survivors(nodes, threshold, by, first_batch)
-    return df.join(survivors.withColumnRenamed("id", order_col), order_col, "left_semi")
+    return df.join(shuffled(survivors.withColumnRenamed("id", order_col)), order_col, "left_semi")
 
 
 # ---------------------------------------------------------------- production
@@ -397,12 +397,12 @@ def dedup_vs_production(new: DataFrame, production: DataFrame, order_col: str =
     prod_names = cut_lineage(first_per_group(prod, keys, ["prod_ord"]))
     new_names = cut_lineage(candidates.groupBy("__s").agg(F.min(order_col).alias("id")))
     prod_nodes = prod_names.groupBy("__s").agg(F.min("prod_ord").alias("id"))
-    equal = new_names.join(prod_nodes.withColumnRenamed("id", "id_b"), "__s").select(
+    equal = new_names.join(shuffled(prod_nodes.withColumnRenamed("id", "id_b")), "__s").select(
         F.col("id").alias("id_a"), "id_b", F.lit(100.0).alias("score"))
     if any_match:
         open_names = new_names
     else:
-        open_names = new_names.join(prod_nodes.select("__s"), "__s", "left_anti")
+        open_names = new_names.join(shuffled(prod_nodes.select("__s")), "__s", "left_anti")
     fuzzy = similar_pairs(
         open_names.select("id", F.col("__s").alias("s")), prod_nodes.select("id", F.col("__s").alias("s")), threshold
     )
@@ -413,16 +413,16 @@ def dedup_vs_production(new: DataFrame, production: DataFrame, order_col: str =
     )
     if any_match:
         firsts = prod_nodes.select(F.col("id").alias("id_b"), F.col("__s").alias("__ps"))
-        options = scored.join(firsts, "id_b").join(prod_rows, "__ps")
+        options = scored.join(shuffled(firsts), "id_b").join(shuffled(prod_rows), "__ps")
     else:
-        options = scored.withColumnRenamed("id_b", "prod_ord").join(prod_rows, "prod_ord")
-    named = options.join(new_names.select(F.col("id").alias("id_a"), "__s"), "id_a")
+        options = scored.withColumnRenamed("id_b", "prod_ord").join(shuffled(prod_rows), "prod_ord")
+    named = options.join(shuffled(new_names.select(F.col("id").alias("id_a"), "__s")), "id_a")
     best_of = ["__s"] if not any_match else ["__s", "__pd"]
     best = named.groupBy(*best_of).agg(
         F.max_by(F.struct("prod_ord", "prod_nombre", "prod_partido", "score", F.col("__pd").alias("pd")),
                  F.struct("score", -F.col("prod_ord"))).alias("best")
     )
-    joined = candidates.join(best.select("__s", "best"), "__s", "left")
+    joined = candidates.join(shuffled(best.select("__s", "best")), "__s", "left")
     hit = joined.filter(F.col("best").isNotNull() & same_district("__d", F.col("best.pd")))
     if any_match:
         hit = first_per_group(hit, [order_col], [-F.col("best.score"), F.col("best.prod_ord")])
@@ -432,5 +432,5 @@ def dedup_vs_production(new: DataFrame, production: DataFrame, order_col: str =
         F.col("best.prod_partido").alias("partido_b"), F.col("best.score").alias("score"),
         F.lit("vs_production").alias("match_type"),
     )
-    unique = candidates.drop("__s", "__d").join(matches.select(F.col("ord_a").alias(order_col)), order_col, "left_anti")
+    unique = candidates.drop("__s", "__d").join(shuffled(matches.select(F.col("ord_a").alias(order_col))), order_col, "left_anti")
     return unique, matches

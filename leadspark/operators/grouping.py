@@ -10,6 +10,15 @@ from pyspark.sql.window import Window as W
 from ..session import cut_lineage
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """A side of a join that grows with the input, so that neither side is broadcast.
+
+    A checkpointed table is believed to be as small as the compressed files it came from, also where an explode made
+    many rows of each. A broadcast chosen by that estimate builds the whole table on the driver.
+    """
+    return df.hint("merge")
+
+
 def first_per_group(df: DataFrame, keys: list[str], order_cols: list, last: bool = False) -> DataFrame:
     """One row per key: the first (or last) by ``order_cols``.
 
@@ -35,7 +44,7 @@ def first_row_of_key(df: DataFrame, keys: list[str], order_col: str, last: bool
     """
     pick = F.max(order_col) if last else F.min(order_col)
     chosen = df.groupBy(digest(keys).alias("__key")).agg(pick.alias("__chosen")).select("__chosen")
-    return df.join(chosen, F.col(order_col) == F.col("__chosen"), "left_semi")
+    return df.join(shuffled(chosen), F.col(order_col) == F.col("__chosen"), "left_semi")
 
 
 def in_ranges(df: DataFrame, order: list, name: str = "__range") -> DataFrame:

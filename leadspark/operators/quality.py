@@ -11,6 +11,7 @@ from ..functions.scoring import (
 from ..functions.text import dedup_key, truthy
 from ..session import cut_lineage
 from .dedup import DEFAULT_THRESHOLD, dedup_vs_production, fuzzy_survivors, with_name_keys
+from .grouping import shuffled
 
 UPLOAD_MIN_SCORE, UPLOAD_MIN_ROWS = 40, 5
 
@@ -64,7 +65,7 @@ def summarize_batches(df: DataFrame, by: str = "vertical", order_col: str = "ord
     keys = cut_lineage(rows.groupBy(by, "__k").agg(F.count(F.lit(1)).alias("__n"), F.min(order_col).alias("id"), F.min_by(F.struct("__s", "__d"), order_col).alias("of"))).select("*", "of.*").drop("of")
     exact_n = keys.groupBy(by).agg((F.sum("__n") - F.count(F.lit(1))).alias("exact_duplicates"), F.count(F.lit(1)).alias("__exact"))
     nodes = keys.groupBy(by, "__s", "__d").agg(F.min("id").alias("id"))
-    fuzzy_n = nodes.join(fuzzy_survivors(nodes, threshold, [by]), "id", "left_semi").groupBy(by).agg(F.count(F.lit(1)).alias("__fuzzy"))
+    fuzzy_n = nodes.join(shuffled(fuzzy_survivors(nodes, threshold, [by])), "id", "left_semi").groupBy(by).agg(F.count(F.lit(1)).alias("__fuzzy"))
     out = (
         field_metrics(df, [by]).join(exact_n, by).join(fuzzy_n, by)
         .withColumn("fuzzy_duplicates", F.col("__exact") - F.col("__fuzzy")).drop("__exact", "__fuzzy")

@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import characters, lcs_length, let
 from ..session import cut_lineage
+from .grouping import shuffled
 
 GRAM_BUCKETS = 4096
 BLOCK_BUCKETS = 16384
@@ -248,7 +249,7 @@ def _keyed_pairs(sides: list[DataFrame], keys: Column, on: list[str], with_texts
     n = int(sides[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
     posted = [df.select("id", "s", *on).repartition(n).select(
         *held, *on, F.length("s").alias("len"), F.explode(keys).alias("key")) for df in sides]
-    a, b = posted[0].alias("a"), posted[-1].alias("b")
+    a, b = shuffled(posted[0]).alias("a"), posted[-1].alias("b")
     # Two nodes of one length may also share a key of theirs that is meant for partners of another.
     cond = (F.col("a.len") != F.col("b.len")) == F.col("a.key").startswith(_OTHER)
     if len(sides) == 1:
@@ -305,7 +306,7 @@ def _candidates(short: DataFrame, long: DataFrame, threshold: float, route, on:
         long = long.withColumn("cut", F.explode(F.sequence(F.lit(0), cuts.cast("int") - 1)))
     else:
         short, long = short.withColumn("cut", F.lit(0)), long.withColumn("cut", F.lit(0))
-    a, b = short.alias("a"), long.alias("b")
+    a, b = shuffled(short).alias("a"), long.alias("b")
     t = threshold / 100.0
     la, lb = F.col("a.len"), F.col("b.len")
     cond = F.lit(True)

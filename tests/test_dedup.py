@@ -1,6 +1,7 @@
 """Exact and fuzzy de-duplication: known cases and brute-force twins."""
 
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from leadspark.functions import text
 from leadspark.functions.text import normalize_name, token_sort_ratio
 from leadspark.operators import dedup, similarity
+from leadspark.session import cut_lineage
 
 
 def leads(spark, rows):
@@ -441,3 +443,25 @@ def test_blocks_of_whole_names_find_every_pair(spark, monkeypatch):
     assert similarity._cells_of([spark.createDataFrame([(1, "a" * 65), (2, "a" * 64)], "id long, s string")], 75) is None
     rare = spark.createDataFrame([(i, "".join(chr(0x4E00 + rnd.randrange(9000)) for _ in range(20))) for i in range(300)], "id long, s string")
     assert similarity._cells_of([rare], 75) is None  # few pairs meet: gram blocks
+
+
+@pytest.mark.parametrize("names", ["numbered", "free"])
+def test_growing_sides_are_not_broadcast(spark, tmp_path, monkeypatch, names):
+    """Files of a few KB make the estimates small; no step of the de-duplication may take its tables to the driver for that."""
+    from leadspark.operators import components, quality
+
+    name = "concat('Customer#', lpad(id, 6, '0'))" if names == "numbered" else "concat_ws(' ', hex(id * 7919), repeat(chr(65 + id % 26), 1 + id % 9), 'sa')"
+    spark.range(300).selectExpr("id AS ord", f"{name} AS nombre", "CAST(id % 3 AS STRING) AS partido", "'v' AS vertical").write.parquet(str(tmp_path / "t"))
+    rows = dedup.with_name_keys(spark.read.parquet(str(tmp_path / "t")))
+    joins = []
+
+    def seen(df):
+        joins.extend(re.findall(r"\w*Join\w*", df._jdf.queryExecution().executedPlan().toString()))
+        return cut_lineage(df)
+
+    for module in (dedup, similarity, components, quality):
+        monkeypatch.setattr(module, "cut_lineage", seen)
+    nodes = rows.selectExpr("ord AS id", "__s", "__d", "vertical")
+    kept = seen(dedup.fuzzy_survivors(nodes, 85, ["vertical"], first_batch=50))
+    assert kept.count() > 0
+    assert set(joins) == {"SortMergeJoin"} and len(joins) > 20
