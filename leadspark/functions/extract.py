@@ -76,6 +76,11 @@ def named_contacts(contacts) -> Column:
     return F.filter(_col(contacts), lambda c: ~c["nombre_completo"].eqNullSafe(F.lit(NO_NAME)))
 
 
+def is_blank(text) -> Column:
+    """Nothing but white space; NULL counts as empty."""
+    return ~F.coalesce(_col(text), F.lit("")).rlike(r"(?U)[^\s\x1c-\x1f]")
+
+
 def cut_text(text, limit: int) -> Column:
     return F.substring(_col(text), 1, limit)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.extract import (
     ALL_FAILED_ERROR, EMPTY_TEXT_ERROR, EXTRACTION_BUDGET, NO_PAGE_ERROR, REGEX_ONLY, clean_contact,
-    contact_reject_reason, cut_text, emails_in, phones_in, union_emails,
+    contact_reject_reason, cut_text, emails_in, is_blank, phones_in, union_emails,
 )
 from ..functions.html import has_content
 from ..functions.replies import lead_from_reply, parse_reply
@@ -164,7 +164,7 @@ def extraction_records(pages: DataFrame, answers: DataFrame | None = None, at: C
         valid = answers.filter(~F.exists(F.coalesce("contactos", F.array().cast(f"array<{_CONTACTS}>")),
                                          lambda c: contact_reject_reason(c).isNotNull()))
         df = left_lookup(pages, valid.withColumn("contactos", F.transform("contactos", clean_contact)), ["id"])
-    blank = F.trim("text") == ""
+    blank = is_blank("text")
     answered = ~blank & F.col("provider").isNotNull()
     empty = F.array().cast("array<string>")
     return df.select(
