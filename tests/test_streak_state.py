@@ -56,3 +56,28 @@ def test_a_session_with_the_default_store(spark, tmp_path):
         assert spark.conf.get(key) == memory
     finally:
         spark.conf.set(key, before)
+
+
+def test_steps_of_the_state_do_not_grow_with_the_sources(spark, tmp_path):
+    rows = [(f"s{i}", T0 + timedelta(minutes=20 * k), 2 * i + k, True) for i in range(3000) for k in range(2)]
+    spark.createDataFrame([*rows, (None, T0 + timedelta(days=1), 0, False)], SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = incremental.page_stream(spark, f"{tmp_path}/in", spark.createDataFrame([], SCHEMA).schema)
+    query = streak_state.streak_state_stream(stream, f"{tmp_path}/out", f"{tmp_path}/state", "1 hour")
+    query.awaitTermination()
+    got = spark.read.schema(streak_state.OUTPUT).parquet(f"{tmp_path}/out").collect()
+    assert {(r.source, r.ord): r.streak for r in got} == {(source, i): 1 + i % 2 for source, _, i, _ in rows}
+    steps = sum(op["numRowsUpdated"] for p in query.recentProgress for op in p["stateOperators"])
+    assert 0 < steps < 6000, steps
+
+
+def test_streaks_of_a_slice_go_on_from_the_last_one():
+    import pyarrow as pa
+
+    def table(*rows):
+        return pa.Table.from_pylist([dict(zip(("source", "us", "ord", "fail"), r)) for r in rows], streak_state._WAITING)
+
+    rows = table(("b", 5, 2, True), ("a", 3, 1, True), ("a", 3, 0, False), ("b", 5, 1, True), ("c", 1, 3, False), ("d", 9, 4, True))
+    out, after = streak_state._running(rows, {"b": 2, "c": 4, "e": 1}, 3)
+    assert [tuple(r) for r in out[["source", "ord", "streak", "open"]].itertuples(index=False)] == [
+        ("a", 0, 0, False), ("a", 1, 1, False), ("b", 1, 3, True), ("b", 2, 4, True), ("c", 3, 0, False), ("d", 4, 1, False)]
+    assert after == {"a": 1, "b": 4, "d": 1, "e": 1}
