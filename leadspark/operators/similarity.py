@@ -22,7 +22,7 @@ Short names of few lengths need no grams: two of them match exactly if they shar
 the threshold asks for, and after their common beginning is taken off there are few of these (``common_keys``).
 
 Names of at most 64 characters whose grams are so common that blocks would meet more pairs than there are (whole titles at a
-low threshold) are compared block against block instead: each pair once, a name against a whole block at a time (``_cell_pairs``).
+low threshold) are compared block against block instead: each pair once, a name against some blocks at a time (``_cell_pairs``).
 
 Grams, signatures and the final bit-vector LCS are expressions; only these blocks are compared in Python workers.
 """
@@ -31,6 +31,8 @@ from __future__ import annotations
 
 import math
 import os
+from collections import Counter
+from collections.abc import Iterable
 from functools import reduce
 
 import numpy as np
@@ -50,8 +52,14 @@ EPS = 1e-9
 KEYS_PER_NODE, MOST_KEYS = 64, 1024
 #: Pairs of lengths that the expression of the subsequences may tell apart.
 KEY_CASES = 100
-#: Names of a block that is compared as a whole, and the longest of them (bits of a word).
-CELL_ROWS, CELL_CHARS = 4000, 64
+#: Names of a block that is compared as a whole, at least and at most, and the longest of them (bits of a word).
+LEAST_CELL, CELL_ROWS, CELL_CHARS = 500, 4000, 64
+#: Blocks of a side that are aimed at, so that there is work for all cores, and blocks of the other side that are compared at once.
+CELLS, WIDE = 24, 6
+#: Characters of a name whose order is compared first: on average, and at most (bits of a short word).
+PART_CHARS, PART_BITS = 28, 32
+#: Pairs whose common subsequences are computed at once.
+SETTLED = 50_000
 #: Beginning of the keys for partners of another length.
 _OTHER = "x"
 
@@ -353,86 +361,151 @@ def _cells_of(sides: list[DataFrame], threshold: float) -> list[int] | None:
         if posted > upto * (1 if len(sides) > 1 else 2):
             break
         met += held[0] * held[1]
-    return [-(-n // CELL_ROWS) for n, _ in sizes] if met >= sizes[0][0] * sizes[-1][0] else None
+    return [-(-n // min(max(-(-n // CELLS), LEAST_CELL), CELL_ROWS)) for n, _ in sizes] if met >= sizes[0][0] * sizes[-1][0] else None
+
+
+def _lcs_steps(rows: Iterable[np.ndarray], size: int, kind) -> np.ndarray:
+    """Common subsequences of ``size`` pairs: ``rows`` has, a character of the one text a step, its places in the other."""
+    state = np.full(size, np.iinfo(kind).max, dtype=kind)
+    both, more = np.empty_like(state), np.empty_like(state)
+    for row in rows:
+        np.bitwise_and(state, row, out=both)
+        np.add(state, both, out=more)
+        np.subtract(state, both, out=both)
+        np.bitwise_or(more, both, out=state)
+    return np.bitwise_count(~state)
+
+
+class _Block:
+    """Texts of a block by character: how often and where each text has it.
+
+    ``part`` tells the characters of the shorter common subsequence that is computed first: those of middle frequency, PART_CHARS
+    a text on average. Places among them are ``near``; what a text has beyond PART_BITS is counted as common (``beyond``).
+    """
+
+    def __init__(self, texts: list[str]):
+        self.lengths = np.array([len(t) for t in texts], dtype=np.int64)
+        points = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32)
+        self.letters = np.flatnonzero(np.bincount(points))
+        code = np.searchsorted(self.letters, np.arange(int(points.max(initial=0)) + 1))[points]
+        size, ends = (len(self.letters), len(texts)), np.cumsum(self.lengths)
+        rows = np.repeat(np.arange(len(texts)), self.lengths)
+        columns = np.arange(len(points)) - np.repeat(ends - self.lengths, self.lengths)
+        self.held = np.bincount(code * len(texts) + rows, minlength=size[0] * size[1]).astype(np.uint8).reshape(size)
+        self.near = np.zeros(size, dtype=np.uint32)
+        self.places = np.zeros((size[0] + 1, size[1]), dtype=np.uint64)  # the last line is that of a character no text has
+        np.bitwise_or.at(self.places, (code, rows), np.uint64(1) << columns.astype(np.uint64))
+        often = self.held.sum(axis=1, dtype=np.int64)
+        order = np.argsort(-often, kind="stable")[2:]
+        self.part = np.zeros(len(self.letters), dtype=bool)
+        self.part[order[np.cumsum(often[order]) <= PART_CHARS * len(texts)]] = True
+        chosen = self.part[code]
+        before = np.cumsum(chosen) - chosen
+        at = before - np.append(before, 0)[ends - self.lengths][rows]
+        fits = chosen & (at < PART_BITS)
+        np.bitwise_or.at(self.near, (code[fits], rows[fits]), np.uint32(1) << at[fits].astype(np.uint32))
+        own = self.held[self.part].sum(axis=0, dtype=np.int64)
+        self.beyond = np.maximum(own - PART_BITS, 0).astype(np.uint8)
+        self._capped: dict[tuple[int, int], np.ndarray] = {}
+
+    def capped(self, letter: int, most: int) -> np.ndarray:
+        """How often the texts have a character, ``most`` times at the most."""
+        if (letter, most) not in self._capped:
+            self._capped[letter, most] = np.minimum(self.held[letter], np.uint8(most))
+        return self._capped[letter, most]
 
 
 def block_lcs(a: list[str], b: list[str], threshold: float, ahead: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(place in a, place in b, score) of the pairs of two blocks that reach the threshold; with ``ahead``, later places of ``b`` only.
 
-    Texts have at most CELL_CHARS characters. Letter counts bound the common subsequence; it is computed for one
-    text against all left of the block, a character a step.
+    Texts have at most CELL_CHARS characters. The common subsequence is computed for one text against all left of the
+    block, a character a step. Two bounds come before: the characters in common, and of those the
+    characters of middle frequency only as far as they stand in the same order.
     """
-    lengths = np.array([len(t) for t in b], dtype=np.int64)
-    points = np.frombuffer("".join(b).encode("utf-32-le"), dtype=np.uint32)
-    letters, code = np.unique(points, return_inverse=True)
-    kind = np.uint8 if len(letters) < 255 else np.uint32
-    rows = np.repeat(np.arange(len(b)), lengths)
-    columns = np.arange(len(points)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    table = np.zeros((int(lengths.max(initial=0)), len(b)), dtype=kind)  # 0 stands behind the end of a text
-    table[columns, rows] = code + 1
-    held = np.zeros((len(letters), len(b)), dtype=np.uint8)
-    np.add.at(held, (code, rows), 1)
+    block = _Block(b)
+    lengths, index = block.lengths, {chr(x): k for k, x in enumerate(block.letters.tolist())}
+    part, sizes = block.part.tolist(), np.array([len(t) for t in a], dtype=np.int64)
+    needs = {n: np.maximum(np.ceil(threshold * (lengths + n) / 200 - EPS), 0).astype(np.uint8) for n in np.unique(sizes).tolist()}
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for i, text in enumerate(a):
-        own = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
-        at = np.searchsorted(letters, own)
-        known = np.flatnonzero((at < len(letters)) & (letters[np.minimum(at, len(letters) - 1)] == own) if len(letters) else np.zeros(len(own), dtype=bool))
-        places = np.zeros(len(letters) + 1, dtype=np.uint64)
-        np.bitwise_or.at(places, at[known] + 1, np.uint64(1) << known.astype(np.uint64))
-        kinds, many = np.unique(at[known], return_counts=True)
-        common = np.minimum(held[kinds], many.astype(np.uint8)[:, None]).sum(axis=0, dtype=np.uint8)
-        may = 200 * common.astype(np.int64) >= threshold * (lengths + len(text))
-        if ahead:
-            may[: i + 1] = False
-        may = np.flatnonzero(may)
-        if not len(may):
-            continue
-        state = np.full(len(may), 2**64 - 1, dtype=np.uint64)
-        both, more = np.empty_like(state), np.empty_like(state)
-        for line in table[: int(lengths[may].max())].take(may, axis=1):
-            np.take(places, line, out=both, mode="clip")
-            np.bitwise_and(state, both, out=both)
-            np.add(state, both, out=more)
-            np.subtract(state, both, out=both)
-            np.bitwise_or(more, both, out=state)
-        lcs, total = np.bitwise_count(~state).astype(np.int64), lengths[may] + len(text)
+    left: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def settle() -> None:
+        """The whole common subsequence of the pairs that are left."""
+        first, second = (np.concatenate(x) for x in zip(*left, strict=True))
+        left.clear()
+        own, of = np.unique(first, return_inverse=True)
+        codes = np.full((len(own), int(sizes[own].max())), len(index), dtype=np.int64)  # behind the letters: none
+        for row, text in zip(codes, (a[i] for i in own), strict=True):
+            row[: len(text)] = [index.get(ch, len(index)) for ch in text]
+        lcs = _lcs_steps((block.places[line[of], second] for line in codes.T), len(of), np.uint64).astype(np.int64)
+        total = lengths[second] + sizes[first]
         good = 200 * lcs >= threshold * total
-        may, lcs, total = may[good], lcs[good], total[good]
-        found.append((np.full(len(may), i), may, np.where(total == 0, 100.0, 200.0 * lcs / np.maximum(total, 1))))
+        found.append((first[good], second[good], np.where(total == 0, 100.0, 200.0 * lcs / np.maximum(total, 1))[good]))
+
+    waiting = 0
+    for i, text in enumerate(a):
+        start, need = i + 1 if ahead else 0, needs[len(text)]
+        known = [(index[ch], ch, many) for ch, many in Counter(text).items() if ch in index]
+        common = np.zeros(len(b) - start, dtype=np.uint8)
+        for letter, _, many in known:
+            if not part[letter]:
+                np.add(common, block.capped(letter, many)[start:], out=common)
+        others = common.copy()
+        for letter, _, many in known:
+            if part[letter]:
+                np.add(common, block.capped(letter, many)[start:], out=common)
+        may = np.flatnonzero(common >= need[start:])
+        others, may = others[may], may + start
+        rows = {ch: block.near[letter].take(may) for letter, ch, _ in known if part[letter]}
+        if len(may) and rows:
+            near = _lcs_steps((rows[ch] for ch in text if ch in rows), len(may), np.uint32)
+            may = may[near + block.beyond[may] + others >= need[may]]
+        if len(may):
+            left.append((np.full(len(may), i), may))
+            waiting += len(may)
+        if waiting >= SETTLED:
+            settle()
+            waiting = 0
+    if left:
+        settle()
     if not found:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 def _cell_pairs(sides: list[DataFrame], threshold: float, blocks: list[int]) -> DataFrame:
-    """All pairs that reach the threshold, from pairs of blocks; each pair of blocks is a group of its own."""
-    self_join = len(sides) == 1
-
-    def dealt(df: DataFrame, own: str, other: str, side: int) -> DataFrame:
-        last = F.lit(blocks[-1 - side] - 1)
-        block = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(blocks[side if len(sides) > 1 else 0])).cast("int")
-        df = df.select("id", "s", block.alias(own), F.lit(side).alias("side"))
-        partners = F.sequence(F.lit(0), last) if not self_join else F.sequence(own, last) if side == 0 else F.sequence(F.lit(0), own)
-        return df.select("id", "s", "side", own, F.explode(partners).alias(other)).select("id", "s", "side", "i", "j")
+    """All pairs that reach the threshold; a block of one side and a wide block (WIDE blocks) of the other are a group of their own.
 
-    if self_join:
-        blocks = blocks * 2
-        groups = blocks[0] * (blocks[0] + 1) // 2
-    else:
-        groups = blocks[0] * blocks[1]
+    A name is compared with a whole wide block at a time, which costs less the wider it is. In a self-join a block meets
+    itself and the blocks behind it.
+    """
+    self_join = len(sides) == 1
+    first, second = blocks[0], blocks[-1]
+    wide = -(-second // WIDE)
+
+    def dealt(df: DataFrame, side: int) -> DataFrame:
+        cell = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(second if side else first)).cast("int")
+        df = df.select("id", "s", cell.alias("cell"), F.lit(side).alias("side"))
+        of = F.floor(F.col("cell") / WIDE).cast("int")
+        if side:
+            return df.withColumns({"i": F.explode(F.sequence(F.lit(0), F.col("cell") if self_join else F.lit(first - 1))), "j": of})
+        return df.withColumns({"i": F.col("cell"), "j": F.explode(F.sequence(of if self_join else F.lit(0), F.lit(wide - 1)))})
+
+    groups = sum(wide - i // WIDE for i in range(first)) if self_join else first * wide
     kind = sides[0].schema["id"].dataType.simpleString()
 
     def compare(table: pa.Table) -> pa.Table:
-        table = table.sort_by("id")
+        table = table.sort_by([("cell", "ascending"), ("id", "ascending")])
         side = table.column("side").to_numpy()
         a, b = (table.take(pa.array(np.flatnonzero(side == k))) for k in (0, 1))
-        same = self_join and len(table) and table.column("i")[0] == table.column("j")[0]
+        # The names of the block itself come first on the other side too.
+        same = self_join and len(table) and table.column("i")[0].as_py() // WIDE == table.column("j")[0].as_py()
         i, j, score = block_lcs(a.column("s").to_pylist(), b.column("s").to_pylist(), threshold, same)
         return pa.table({"id_a": a.column("id").take(pa.array(i)), "id_b": b.column("id").take(pa.array(j)), "score": pa.array(score)})
 
-    rows = dealt(sides[0], "i", "j", 0).unionByName(dealt(sides[-1], "j", "i", 1))
+    rows = dealt(sides[0], 0).unionByName(dealt(sides[-1], 1))
     # Comparing costs CPU, not bytes: a fixed number of partitions is not merged.
-    found = rows.repartition(min(groups, 1000), "i", "j").groupBy("i", "j").applyInArrow(compare, f"id_a {kind}, id_b {kind}, score double")
+    found = rows.repartition(min(2 * groups, 1000), "i", "j").groupBy("i", "j").applyInArrow(compare, f"id_a {kind}, id_b {kind}, score double")
     # A checkpoint runs the last stage twice; behind an exchange the blocks are compared once.
     return found.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -445,6 +446,31 @@ def test_blocks_of_whole_names_find_every_pair(spark, monkeypatch):
     assert similarity._cells_of([rare], 75) is None  # few pairs meet: gram blocks
 
 
+def test_few_pairs_of_a_block_cost_the_whole_subsequence(monkeypatch):
+    """Names of like letters in another order pass the letter counts; the order of some letters tells most of them apart."""
+    rnd = random.Random(4)
+    letters = "the one of and in to is that it was for on are as with his they"
+    names = ["".join(rnd.choice(letters) for _ in range(60)) for _ in range(150)]
+    names += [name[:50] + name[:9:-1][:10] for name in names[:20]]
+    whole, real = [], similarity._lcs_steps
+    monkeypatch.setattr(similarity, "_lcs_steps", lambda rows, size, kind: (whole.append(size) if kind is np.uint64 else None, real(rows, size, kind))[1])
+
+    def lcs(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            before = 0
+            for j, y in enumerate(b, 1):
+                before, row[j] = row[j], before + 1 if x == y else max(row[j], row[j - 1])
+        return row[-1]
+
+    i, j, score = similarity.block_lcs(names, names, 75, True)
+    want = {(x, y): 100 * lcs(names[x], names[y]) / 60 for x in range(len(names)) for y in range(x + 1, len(names))}
+    want = {pair: value for pair, value in want.items() if value >= 75}
+    assert len(want) >= 20 and dict(zip(zip(i.tolist(), j.tolist()), score.tolist())) == pytest.approx(want)
+    alike = sum((Counter(a) & Counter(b)).total() >= 45 for x, a in enumerate(names) for b in names[:x])
+    assert len(want) <= sum(whole) < alike / 4, (whole, alike)
+
+
 @pytest.mark.parametrize("names", ["numbered", "free"])
 def test_growing_sides_are_not_broadcast(spark, tmp_path, monkeypatch, names):
     """Files of a few KB make the estimates small; no step of the de-duplication may take its tables to the driver for that."""
