@@ -344,6 +344,38 @@ def _candidates(short: DataFrame, long: DataFrame, threshold: float, route, on:
 # ---------------------------------------------------------------- blocks of whole names
 
 
+def _gram_counts(texts: list[str], size: int) -> np.ndarray:
+    """How many grams of the texts, with occurrence numbers as in ``gram_codes``, fall into each of GRAM_BUCKETS buckets."""
+    points = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+    lengths = np.array([len(t) for t in texts], dtype=np.int64)
+    rows = np.repeat(np.arange(len(texts)), lengths)
+    if size == 2:
+        inside = np.flatnonzero(rows[1:] == rows[:-1])
+        points, rows = (points[inside] << 21) + points[inside + 1], rows[inside]
+    empty = np.flatnonzero(lengths == 0)
+    points, rows = np.append(points, np.full(len(empty), -1)), np.append(rows, empty)
+    order = np.lexsort((points, rows))
+    points, rows, at = points[order], rows[order], np.arange(len(order))
+    first = np.append(True, (points[1:] != points[:-1]) | (rows[1:] != rows[:-1]))[: len(order)]
+    times = at - np.maximum.accumulate(np.where(first, at, 0))
+    mixed = (points.astype(np.uint64) * np.uint64(64) + times.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    return np.bincount((mixed >> np.uint64(40)).astype(np.int64) % GRAM_BUCKETS, minlength=GRAM_BUCKETS)
+
+
+def _gram_histogram(df: DataFrame, size: int) -> list[int]:
+    """Grams of ``s`` by bucket; at most GRAM_BUCKETS rows reach the driver."""
+    def count(batches):
+        for batch in batches:
+            counts = _gram_counts(batch.column(0).to_pylist(), size)
+            held = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_pydict({"bucket": pa.array(held.astype(np.int32)), "n": pa.array(counts[held])})
+
+    counts = [0] * GRAM_BUCKETS
+    for row in df.select("s").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+        counts[row["bucket"]] = row["n"]
+    return counts
+
+
 def _cells_of(sides: list[DataFrame], threshold: float) -> list[int] | None:
     """Blocks of each side if comparing all pairs is less work than the pairs that meet at shared grams; None if not.
 
@@ -354,7 +386,7 @@ def _cells_of(sides: list[DataFrame], threshold: float) -> list[int] | None:
         return None
     size = 2 if gram_floor_length(threshold) is not None else 1
     share = 1 - max(0.0, _shared_floor(2, threshold, size) if size == 1 else 3 * threshold / 100.0 - 2)
-    counts = [_histogram(df.select(F.explode(F.transform(gram_codes("s", size), _bucket)).alias("bucket")), GRAM_BUCKETS) for df in sides]
+    counts = [_gram_histogram(df, size) for df in sides]
     posted, met, upto = 0, 0, share * sum(map(sum, counts))
     for held in sorted(zip(counts[0], counts[-1], strict=True), key=sum):
         posted += held[0] + (held[1] if len(sides) > 1 else held[0])

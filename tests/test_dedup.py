@@ -446,6 +446,17 @@ def test_blocks_of_whole_names_find_every_pair(spark, monkeypatch):
     assert similarity._cells_of([rare], 75) is None  # few pairs meet: gram blocks
 
 
+def test_gram_counts_are_those_of_the_expression(spark):
+    """Counted by array steps or by expressions: the same grams with the same occurrence numbers, under other codes."""
+    texts = ["", "a", "ana banana", "é日🙂é日", "aaaa", "ab ab"]
+    for size in (1, 2):
+        codes = spark.createDataFrame([(t,) for t in texts], "s string").select(F.explode(similarity.gram_codes("s", size)).alias("c"))
+        want = sorted(r["count"] for r in codes.groupBy("c").count().collect())
+        counts = similarity._gram_counts(texts, size)
+        assert len(counts) == similarity.GRAM_BUCKETS and sorted(counts[counts > 0].tolist()) == want
+    assert similarity._gram_counts([], 2).sum() == 0
+
+
 def test_few_pairs_of_a_block_cost_the_whole_subsequence(monkeypatch):
     """Names of like letters in another order pass the letter counts; the order of some letters tells most of them apart."""
     rnd = random.Random(4)
