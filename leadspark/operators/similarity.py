@@ -24,7 +24,8 @@ the threshold asks for, and after their common beginning is taken off there are
 Names of at most 64 characters whose grams are so common that blocks would meet more pairs than there are (whole titles at a
 low threshold) are compared block against block instead: each pair once, a name against some blocks at a time (``_cell_pairs``).
 
-Grams, signatures and the final bit-vector LCS are expressions; only these blocks are compared in Python workers.
+Grams, signatures and the final bit-vector LCS are expressions; only these blocks are compared in Python workers, and the grams
+counted that choose this way.
 """
 
 from __future__ import annotations
